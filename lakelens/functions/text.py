@@ -27,7 +27,7 @@ def fold_literal(value: str) -> str:
 
 
 def _real_text(column: Column) -> Column:
-    """Shortest round-trip digits, plain between 1E-05 and 1E+15, otherwise `d.dE+nn`."""
+    """Shortest round-trip digits, plain from 0.0001 up to 1E+15, otherwise `d.dE+nn`."""
     shortest = column.cast("string")
     magnitude = F.abs(column.cast("double"))
     plain = shortest.try_cast("decimal(38,22)").cast("string")
@@ -37,7 +37,7 @@ def _real_text(column: Column) -> Column:
     scientific = F.regexp_replace(scientific, r"E([+-])(\d)$", "E$10$2")
     return (
         F.when(magnitude == 0, F.lit("0"))
-        .when((magnitude >= 1e-5) & (magnitude < 1e15), plain)
+        .when((magnitude >= 1e-4) & (magnitude < 1e15), plain)
         .otherwise(scientific)
     )
 
