@@ -82,6 +82,18 @@ def _scan(
     return raw.withColumn("_present", field_count(F.col(RAW_RECORD), delimiter))
 
 
+def scan_records(spark: SparkSession, path: str | list[str], delimiter: str, spanning: list[str]) -> DataFrame:
+    """One row per record with its position and `n_fields`; `spanning` files hold records of several lines."""
+    # With a schema of one column the parser hands over every wider record as raw text.
+    raw = _scan(spark, path, delimiter, False, 1, False)
+    if spanning:
+        whole = _scan(spark, path, delimiter, False, 1, True)
+        raw = raw.filter(~F.col(FILE).isin(spanning)).unionByName(whole.filter(F.col(FILE).isin(spanning)))
+    # A scan must use some column besides the raw record; every record has at least one field.
+    at_least = F.when(F.col("_0").isNull(), F.lit(0)).otherwise(F.lit(1))
+    return raw.select(FILE, BLOCK, F.greatest(F.coalesce("_present", F.lit(1)), at_least).alias("n_fields"))
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
