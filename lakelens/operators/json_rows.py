@@ -9,53 +9,62 @@ from pyspark.sql import types as T
 MAX_COLUMNS = 10_000
 
 
-def _key_summary(rows: DataFrame, column: str, order_by: str | None) -> DataFrame:
-    """One row per key with its type and first appearance; a NULL key carries rows that are no object."""
-    order = F.col(order_by) if order_by else F.monotonically_increasing_id()
+def _pairs(rows: DataFrame, column: str, order: Column | None) -> DataFrame:
+    """One row per key of every object, with the kind of its value; a NULL key for rows without any.
+
+    With `order`, also the row's order and the key's place in the object.
+    """
+    json, variant = F.col(column), F.try_parse_json(F.col(column))
     parsed = rows.select(
-        order.alias("_order"),
-        F.json_object_keys(F.col(column)).alias("_keys"),
-        F.try_parse_json(F.col(column)).alias("_variant"),
+        variant.alias("_variant"),
+        F.startswith(F.ltrim(json, F.lit(" \t\r\n")), F.lit("{")).alias("_braced"),
+        *([] if order is None else [order.alias("_order"), F.json_object_keys(json).alias("_keys")]),
     )
-    spark = rows.sparkSession
-    pairs = parsed.lateralJoin(spark.tvf.variant_explode_outer(F.col("_variant").outer()))
-    kind = F.nullif(F.schema_of_variant("value"), F.lit("VOID"))
-    pairs = pairs.select(
-        "_order",
+    pairs = parsed.lateralJoin(rows.sparkSession.tvf.variant_explode_outer(F.col("_variant").outer()))
+    # Valid JSON that opens with a brace is an object; anything else counts once per row.
+    broken = (F.coalesce("pos", F.lit(0)) == 0) & (F.col("_variant").isNull() | ~F.col("_braced"))
+    kept = [
         "key",
-        ((F.col("_keys").isNull() | F.col("_variant").isNull()) & (F.coalesce("pos", F.lit(0)) == 0))
-        .cast("int")
-        .alias("_broken"),
-        F.array_position("_keys", F.col("key")).alias("_place"),
-        kind.alias("_kind"),
-    )
+        F.nullif(F.schema_of_variant("value"), F.lit("VOID")).alias("_kind"),
+        broken.cast("int").alias("_broken"),
+    ]
+    if order is not None:
+        kept += ["_order", F.array_position("_keys", F.col("key")).alias("_place")]
+    return pairs.select(*kept)
+
+
+def _key_summary(rows: DataFrame, column: str, order: Column | None = None) -> DataFrame:
+    """One row per key with its type; the NULL key counts rows that are no object."""
+    pairs = _pairs(rows, column, order)
 
     def every(test: Column) -> Column:
         return F.bool_and(test)
 
-    whole, real = F.col("_kind") == "BIGINT", F.col("_kind").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    return pairs.groupBy("key").agg(
+    whole = F.col("_kind") == "BIGINT"
+    real = whole | (F.col("_kind") == "DOUBLE") | F.startswith(F.col("_kind"), F.lit("DECIMAL"))
+    kind = (
         F.when(F.count("_kind") == 0, F.lit("string"))
         .when(every(F.col("_kind") == "BOOLEAN"), F.lit("boolean"))
         .when(every(whole), F.lit("bigint"))
         .when(every(real), F.lit("double"))
         .otherwise(F.lit("string"))
-        .alias("type"),
-        F.min("_order").alias("first_row"),
-        F.min_by("_place", "_order").alias("place"),
-        F.sum("_broken").alias("broken"),
     )
+    summary = [kind.alias("type"), F.sum("_broken").alias("broken")]
+    if order is not None:
+        summary += [F.min("_order").alias("first_row"), F.min_by("_place", "_order").alias("place")]
+    return pairs.groupBy("key").agg(*summary)
 
 
-def infer_json_types(rows: DataFrame, column: str, order_by: str | None = None) -> DataFrame:
+def infer_json_types(rows: DataFrame, column: str) -> DataFrame:
     """Key and type of every column, over all rows."""
-    summary = _key_summary(rows, column, order_by).filter(F.col("key").isNotNull())
+    summary = _key_summary(rows, column).filter(F.col("key").isNotNull())
     return summary.select(F.col("key").alias("column"), "type")
 
 
 def json_schema(rows: DataFrame, column: str, order_by: str | None = None) -> T.StructType:
     """The inferred schema, columns in the order they are first seen; raises when no table can be made."""
-    summary = _key_summary(rows, column, order_by).orderBy("first_row", "place").limit(MAX_COLUMNS + 2).collect()
+    order = F.col(order_by) if order_by else F.monotonically_increasing_id()
+    summary = _key_summary(rows, column, order).orderBy("first_row", "place").limit(MAX_COLUMNS + 2).collect()
     if not summary:
         raise ValueError("At least one row is needed.")
     broken = sum(row["broken"] for row in summary if row["key"] is None)

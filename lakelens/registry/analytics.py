@@ -12,7 +12,7 @@ from lakelens.registry.base import plain, query, table
 
 
 def _money(name: str) -> Column:
-    return F.col(name).cast("decimal(18,2)")
+    return F.col(name).cast("decimal(12,2)")
 
 
 def _share(name: str, factor: str) -> Column:
@@ -54,7 +54,7 @@ def cost_model(spark, sf_dir) -> CostModel:
             F.col("o_orderkey").alias("MnemonicId"),
         ),
         accountings=items.filter(F.col("l_linestatus") == "F").select(
-            *keys, *dated(shipped), F.round(price.cast("decimal(18,2)") * kept, 2).alias("CostAmount"),
+            *keys, *dated(shipped), F.round(price.cast("decimal(12,2)") * kept, 2).alias("CostAmount"),
             _share("l_extendedprice", "1.10").alias("JPSAmount"), _money("l_extendedprice").alias("JISAmount"),
             _money("l_quantity").alias("JPSQuantity"), _money("l_quantity").alias("JISQuantity"),
             _money("l_extendedprice").alias("EVAmount"),

@@ -41,8 +41,12 @@ def ends_inside_quotes(line: Column, delimiter: str = ",") -> Column:
 
 def field_count(record: Column, delimiter: str = ",") -> Column:
     """Number of fields of one complete record; delimiters inside quotes do not count."""
-    unquoted = F.when(F.contains(record, F.lit('"')), _without_quoted_fields(record, delimiter)).otherwise(record)
-    length = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(delimiter), F.lit("")))
+    sep = re.escape(delimiter)
+    other = f"[^{sep}]+" if len(delimiter) == 1 else f"(?s:(?!{sep}).)++"
+    # Quoted fields and all other text vanish, the delimiters between fields stay.
+    delimiters = F.regexp_replace(F.replace(record, F.lit('""'), F.lit("")), rf'(^|{sep})"[^"]*"|{other}', "$1")
+    plain = F.length(record) - F.length(F.replace(record, F.lit(delimiter), F.lit("")))
+    length = F.when(F.contains(record, F.lit('"')), F.length(delimiters)).otherwise(plain)
     return (length / len(delimiter)).cast("int") + 1
 
 
