@@ -76,6 +76,26 @@ def resolve_column(name: str, available: list[str]) -> int:
     raise ValueError(f"Filter column '{name}' not found. Available columns: {', '.join(available)}.")
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _resolve(name: str, schema: T.StructType, available: list[str]) -> tuple[Column, T.DataType]:
+    """Column and type of a filter column; a dotted name reaches into structs."""
+    names = [fold_literal(candidate) for candidate in available]
+    head, _, rest = name.partition(".")
+    if rest and fold_literal(name) not in names and fold_literal(head) in names:
+        column, data_type = _resolve(head, schema, available)
+        while rest and isinstance(data_type, T.StructType):
+            head, _, rest = rest.partition(".")
+            field = data_type.fields[resolve_column(head, data_type.names)]
+            column, data_type = column.getField(field.name), field.dataType
+        if not rest:
+            return column, data_type
+    field = schema.fields[resolve_column(name, available)]
+    return F.col(_quoted(field.name)), field.dataType
+
+
 def _number_literal(number: Decimal, scale: int, op: str) -> Decimal:
     """The value on the column's own grid that keeps `column op value` unchanged for gt/gte/lt/lte."""
     step = Decimal(1).scaleb(-scale)
@@ -189,13 +209,11 @@ def build_predicate(
     `names` are the user-facing column names when they differ from the schema's own (a CSV header may
     repeat a name; conditions then apply to its first column).
     """
-    fields = schema.fields
-    available = names if names is not None else [field.name for field in fields]
+    available = names if names is not None else schema.names
     parts = []
     for condition in checked_conditions(conditions):
-        field = fields[resolve_column(condition.column, available)]
-        quoted = F.col("`" + field.name.replace("`", "``") + "`")
-        parts.append(condition_column(quoted, field.dataType, condition.operator, condition.value))
+        column, data_type = _resolve(condition.column, schema, available)
+        parts.append(condition_column(column, data_type, condition.operator, condition.value))
     return reduce(operator.and_, parts) if parts else None
 
 

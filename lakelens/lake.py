@@ -62,8 +62,10 @@ class Lake:
         has_header: bool = True,
         offset: int = 0,
         filters: Iterable | None = None,
+        multiline: bool | None = None,
     ) -> Page:
-        rows = read_csv(self.spark, self._at(path), delimiter, has_header, filters, position=True)
+        """`multiline=None` first looks through all files for records that span lines; False skips that."""
+        rows = read_csv(self.spark, self._at(path), delimiter, has_header, filters, multiline, position=True)
         return page(rows, None, max_rows, offset)
 
     def read_parquet(

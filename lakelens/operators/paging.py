@@ -8,7 +8,6 @@ later files are never opened.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lakelens.functions.predicates import where
 from lakelens.operators.project import project_existing
-from lakelens.sources.position import BLOCK, FILE, POSITION, ROW, user_columns
+from lakelens.sources.position import BLOCK, FILE, POSITION, ROW, input_files, user_columns
 
 # Page size limits.
 DEFAULT_ROWS = 200
@@ -43,11 +42,6 @@ def clamp_rows(max_rows: int | None) -> int:
     return min(max(DEFAULT_ROWS if max_rows is None else max_rows, 1), MAX_ROWS)
 
 
-def _input_files(df: DataFrame) -> list[str]:
-    """Sorted input files, spelled as the scan metadata spells them."""
-    return sorted(re.sub(r"^(\w+):///", r"\1:/", name) for name in df.inputFiles())
-
-
 def _covering_files(df: DataFrame, files: list[str], offset: int, end: int) -> tuple[str, str, int] | None:
     """First and last file the rows [offset, end) can lie in, and the matches before that first file."""
     if len(files) <= FIRST_FILES:
@@ -66,44 +60,58 @@ def _covering_files(df: DataFrame, files: list[str], offset: int, end: int) -> t
     return None if first is None else (first, batch[-1], before)
 
 
-def _block_bounds(df: DataFrame, offset: int, end: int) -> Row | None:
-    """First and last block that hold rows [offset, end), and the matches before the first one.
+def _bounds(df: DataFrame, keys: list[str], offset: int, end: int) -> Row:
+    """First and last key that hold rows [offset, end), and the matches before the first one.
 
-    The running sum sees one row per file block, about as many as the scan has tasks.
+    The running sum sees one row per file or file block, no more than the scan has tasks.
     """
-    blocks = df.groupBy(FILE, BLOCK).agg(F.count("*").alias("matches"))
-    running = F.sum("matches").over(Window.orderBy(FILE, BLOCK).rowsBetween(Window.unboundedPreceding, 0))
+    counts = df.groupBy(*keys).agg(F.count("*").alias("matches"))
+    running = F.sum("matches").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
     touched = (
-        blocks.withColumn("upto", running)
+        counts.withColumn("upto", running)
         .withColumn("before", F.col("upto") - F.col("matches"))
         .filter((F.col("upto") > offset) & (F.col("before") < end))
     )
-    block = F.struct(FILE, BLOCK)
-    return touched.agg(
-        F.min(block).alias("first"), F.max(block).alias("last"), F.min("before").alias("before")
-    ).first()
+    key = F.struct(*keys)
+    return touched.agg(F.min(key).alias("first"), F.max(key).alias("last"), F.min("before").alias("before")).first()
+
+
+def _within_files(df: DataFrame, first: str, last: str) -> DataFrame:
+    """Rows of a range of files; the others are dropped from the listing."""
+    return df.filter(F.col(FILE).between(first, last))
+
+
+def _nothing(df: DataFrame) -> DataFrame:
+    empty = df.limit(0)
+    return empty if ROW in df.columns else empty.withColumn(ROW, F.lit(None).cast("bigint"))
 
 
 def _slice(df: DataFrame, files: list[str], offset: int, end: int) -> DataFrame:
     """Rows [offset, end) of `df` in file order, position columns included."""
     covering = _covering_files(df, files, offset, end)
-    bounds = None
-    if covering is not None:
-        first_file, last_file, before_files = covering
-        # The same file range for counting and reading, so that both see the same splits.
-        located = df.filter(F.col(FILE).between(first_file, last_file))
-        bounds = _block_bounds(located, offset - before_files, end - before_files)
-    if bounds is None or bounds["first"] is None:
-        empty = df.limit(0)
-        return empty if ROW in df.columns else empty.withColumn(ROW, F.lit(None).cast("bigint"))
+    if covering is None:
+        return _nothing(df)
+    first_file, last_file, skipped = covering
+    located = _within_files(df, first_file, last_file)
+    by_row_index = ROW in df.columns
+    if not by_row_index and first_file != last_file:
+        # Where a split starts depends on which files are read, so the files are settled before the splits.
+        bounds = _bounds(located, [FILE], offset - skipped, end - skipped)
+        if bounds["first"] is None:
+            return _nothing(df)
+        located = _within_files(df, bounds["first"][FILE], bounds["last"][FILE])
+        skipped += bounds["before"]
+    bounds = _bounds(located, [FILE, BLOCK], offset - skipped, end - skipped)
     first, last = bounds["first"], bounds["last"]
+    if first is None:
+        return _nothing(df)
     after_first = (F.col(FILE) > first[FILE]) | ((F.col(FILE) == first[FILE]) & (F.col(BLOCK) >= first[BLOCK]))
     before_last = (F.col(FILE) < last[FILE]) | ((F.col(FILE) == last[FILE]) & (F.col(BLOCK) <= last[BLOCK]))
-    rows = located.filter(after_first & before_last)
-    if ROW not in rows.columns:
-        rows = rows.withColumn(ROW, F.monotonically_increasing_id())
-    skip = offset - before_files - bounds["before"]
-    return rows.orderBy(*POSITION).offset(skip).limit(end - offset)
+    if by_row_index:
+        rows = _within_files(located, first[FILE], last[FILE]).filter(after_first & before_last)
+    else:
+        rows = located.filter(after_first & before_last).withColumn(ROW, F.monotonically_increasing_id())
+    return rows.orderBy(*POSITION).offset(offset - skipped - bounds["before"]).limit(end - offset)
 
 
 def page_frame(
@@ -112,7 +120,7 @@ def page_frame(
     """Rows of one page of a positioned scan, in file order; `peek` adds the row after the page, if any."""
     count, skip = clamp_rows(max_rows), max(offset, 0)
     matching = where(df, filters)
-    rows = _slice(matching, _input_files(df), skip, skip + count + (1 if peek else 0))
+    rows = _slice(matching, input_files(df), skip, skip + count + (1 if peek else 0))
     return rows.select(*[F.col(f"`{name}`") for name in user_columns(df)])
 
 
@@ -163,7 +171,7 @@ def page_after(
     Position columns stay in the result, so its last row names the start of the next page.
     """
     count = clamp_rows(max_rows)
-    matching, files = where(df, filters), _input_files(df)
+    matching, files = where(df, filters), input_files(df)
     if last is not None:
         file, row = last
         matching = matching.filter((F.col(FILE) > file) | ((F.col(FILE) == file) & (F.col(ROW) > row)))

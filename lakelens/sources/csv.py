@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.functions.predicates import build_predicate
-from lakelens.sources.position import BLOCK, FILE, with_split_position
+from lakelens.sources.position import BLOCK, FILE, input_files, with_split_position
 
 RAW_RECORD = "_raw_record"
 
@@ -50,16 +50,24 @@ def field_count(record: Column, delimiter: str = ",") -> Column:
     return (length / len(delimiter)).cast("int") + 1
 
 
-def files_with_open_quotes(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str]:
-    """Files in which some record spans lines (one parallel pass; at most one name per input file)."""
-    lines = spark.read.text(path)
-    found = lines.filter(ends_inside_quotes(F.col("value"), delimiter))
+def files_to_read_whole(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str]:
+    """Files in which a record spans lines or a line holds only blanks, which the line-wise reader drops.
+
+    One parallel pass; at most one name per input file.
+    """
+    line = F.col("value")
+    blank = (line != "") & (F.trim(line) == "")
+    found = spark.read.text(path).filter(ends_inside_quotes(line, delimiter) | blank)
     return [row[0] for row in found.select(F.col("_metadata.file_path")).distinct().collect()]
 
 
 def _first_record(spark: SparkSession, path: str | list[str], delimiter: str, multiline: bool) -> list[str]:
-    rows = spark.read.options(**_options(delimiter, False, multiline)).csv(path)
-    row = rows.filter(F.col("_metadata.file_block_start") == 0).first()
+    rows = with_split_position(spark.read.options(**_options(delimiter, False, multiline)).csv(path))
+    heads, files = rows.filter(F.col(BLOCK) == 0), input_files(rows)
+    row = None
+    if files:
+        heads_of_first = heads.filter(F.col(FILE) == files[0]).drop(FILE, BLOCK)
+        row = heads_of_first.first() or heads.drop(FILE, BLOCK).first()
     cells = [] if row is None else ["" if cell is None else cell for cell in row]
     return [cells[0].removeprefix("\ufeff"), *cells[1:]] if cells else []
 
@@ -114,7 +122,7 @@ def read_csv(
     checks for records that span lines: files without any are split over many tasks, the others are read
     whole, one task per file. True or False skips the check. `position` adds the pager's columns.
     """
-    spanning = files_with_open_quotes(spark, path, delimiter) if multiline is None else []
+    spanning = files_to_read_whole(spark, path, delimiter) if multiline is None else []
     first = _first_record(spark, path, delimiter, bool(multiline or spanning))
     names = first if has_header else [f"column_{i}" for i in range(len(first))]
     if not names:

@@ -6,6 +6,8 @@ line-based files the row order inside a block is taken by the pager, after filte
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ FILE = "_pos_file"
 BLOCK = "_pos_block"
 ROW = "_pos_row"
 POSITION = [FILE, BLOCK, ROW]
-PARQUET_BLOCK_ROWS = 1 << 20
+PARQUET_BLOCK_BITS = 20
 
 
 def with_split_position(scan: DataFrame) -> DataFrame:
@@ -27,9 +29,14 @@ def with_row_position(scan: DataFrame) -> DataFrame:
     """Adds file, row block and row index to a Parquet scan."""
     index = F.col("_metadata.row_index")
     return scan.withColumns(
-        {FILE: F.col("_metadata.file_path"), BLOCK: F.floor(index / PARQUET_BLOCK_ROWS), ROW: index}
+        {FILE: F.col("_metadata.file_path"), BLOCK: F.shiftright(index, PARQUET_BLOCK_BITS), ROW: index}
     )
 
 
 def user_columns(df: DataFrame) -> list[str]:
     return [name for name in df.columns if name not in POSITION]
+
+
+def input_files(df: DataFrame) -> list[str]:
+    """Sorted input files, spelled as the scan metadata spells them; known from the listing, unread."""
+    return sorted(re.sub(r"^(\w+):///", r"\1:/", name) for name in df.inputFiles())

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from lakelens.functions.predicates import where
 from lakelens.operators.project import project_requested
-from lakelens.sources.position import BLOCK, FILE, ROW, with_split_position
+from lakelens.sources.position import BLOCK, FILE, ROW, input_files, with_split_position
 from lakelens.sources.xml_records import XmlRecord, iter_records
 
 HEAD_TAGS = 4_096
@@ -30,8 +30,7 @@ XML_SCHEMA = "name string, is_attribute boolean"
 def _head(spark: SparkSession, path: str | list[str], tags: int) -> list[bytes]:
     """The first `tags` tags of the first file, cut after each `>`; long lines do no harm."""
     pieces = with_split_position(spark.read.option("lineSep", ">").text(path))
-    first = pieces.agg(F.min(FILE)).first()[0]
-    head = pieces.filter((F.col(FILE) == first) & (F.col(BLOCK) == 0)).select("value").limit(tags)
+    head = pieces.filter((F.col(FILE) == input_files(pieces)[0]) & (F.col(BLOCK) == 0)).select("value").limit(tags)
     return [(row[0] + ">").encode() for row in head.collect()]
 
 

@@ -136,6 +136,10 @@ def test_typed_columns(spark):
         assert ids(df, (name, "startswith", "01/31/2024 08")) == [1, 2]
         assert ids(df, (name, "lt", "not a date")) == [1, 2]
     assert ids(df, ("n", "isnull")) == [3]
+    struct = df.select("id", F.struct("n", F.struct("m").alias("in.ner")).alias("s"))
+    assert ids(struct, ("S.N", "gt", "10")) == [2]
+    with pytest.raises(ValueError, match="zz"):
+        where(struct, [("s.zz", "eq", "1")])
     nested = df.select("id", F.array("n").alias("a"))
     assert ids(nested, ("a", "isnotnull")) == [1, 2, 3]
     with pytest.raises(ValueError, match="isnull"):

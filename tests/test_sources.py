@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+import random
+
 import pytest
 
-from lakelens.operators.paging import page, page_after, page_flags, page_frame
+from lakelens.operators.csv_check import check_csv_files
+from lakelens.operators.paging import _within_files, page, page_after, page_flags, page_frame
 from lakelens.operators.project import project_existing, project_requested
 from lakelens.sources.csv import read_csv
 from lakelens.sources.files import list_directory
 from lakelens.sources.parquet import parquet_schema, read_parquet
-from lakelens.sources.position import FILE, ROW
+from lakelens.sources.position import FILE, ROW, input_files
 from lakelens.sources.text import read_text
 from lakelens.sources.xml import read_xml, xml_schema
 
@@ -96,6 +100,17 @@ def test_csv_mixed_files_keep_order(spark, lake_file):
     assert values(csv_page(spark, folder, max_rows=2, offset=2).rows, "id") == ["3", "4"]
 
 
+def test_csv_blank_and_empty_lines(spark, lake_file):
+    path = lake_file("t.csv", "a\n1\n\n   \n2\n")
+    assert values(csv_page(spark, path).rows, "a") == ["1", "   ", "2"]
+
+
+def test_csv_first_file_empty(spark, lake_file):
+    lake_file("a.csv", "", "some")
+    folder = lake_file("b.csv", "x,y\n1,2\n", "some").rsplit("/", 1)[0]
+    assert [tuple(r) for r in csv_page(spark, folder).rows] == [("1", "2")]
+
+
 def test_csv_duplicate_header(spark, lake_file):
     path = lake_file("t.csv", "id,v,v\n1,a,b\n2,c,d\n")
     assert [tuple(r) for r in read_csv(spark, path).orderBy("id").collect()] == [("1", "b"), ("2", "d")]
@@ -287,3 +302,45 @@ def test_list_directory(spark, lake_file):
     assert flat == {("a.csv", False, 1), ("sub", True, None)}
     names = {r["name"] for r in list_directory(spark, root, recursive=True).collect()}
     assert names == {"a.csv", "sub", "sub/deep", "sub/deep/b.csv"}
+
+
+def test_page_plan(spark, sf_dir, capsys):
+    orders = read_parquet(spark, f"{sf_dir}/orders.parquet", position=True)
+    page_frame(orders, [("o_totalprice", "gt", "1000")], 10, 5).select("o_orderkey").explain("formatted")
+    plan = capsys.readouterr().out
+    assert "TakeOrderedAndProject" in plan and "GreaterThan(o_totalprice,1000.0)" in plan
+    schema = next(line for line in plan.splitlines() if line.startswith("ReadSchema"))
+    assert "o_custkey" not in schema and "o_orderkey" in schema
+
+
+def test_pages_list_only_their_files(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(0, 400, 1, 40).write.parquet(path)
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        df = read_parquet(spark, path, position=True)
+        files = input_files(df)
+        assert df.rdd.getNumPartitions() == 40
+        assert _within_files(df, files[3], files[5]).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+
+
+@pytest.mark.parametrize("seed,delimiter,quoting", [(1, ",", csv.QUOTE_MINIMAL), (2, ";", csv.QUOTE_ALL), (3, "|", csv.QUOTE_MINIMAL)])
+def test_random_csv(spark, tmp_path, seed, delimiter, quoting):
+    rng = random.Random(seed)
+    alphabet = 'ab12"' + delimiter + " '\\é\n"
+    rows = [["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 8))) for _ in range(3)] for _ in range(400)]
+    folder = tmp_path / "random"
+    folder.mkdir()
+    for part, some in enumerate((rows[:150], rows[150:])):
+        with open(folder / f"{part}.csv", "w", newline="") as target:
+            writer = csv.writer(target, delimiter=delimiter, quoting=quoting, lineterminator="\n")
+            writer.writerow(["x", "y", "z"])
+            writer.writerows(some)
+    with open(folder / "2.csv", "w", newline="") as target:
+        target.write(f"x{delimiter}y{delimiter}z\nk{delimiter}l{delimiter}\n")
+    found = csv_page(spark, str(folder), delimiter=delimiter, max_rows=1000).rows
+    assert [list(row) for row in found] == [*rows, ["k", "l", ""]]
+    assert check_csv_files(spark, str(folder), delimiter).count() == 0
