@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakelens.sources.csv import field_count, files_to_read_whole, scan_records
+from lakelens.sources.csv import field_count, scan_records
 from lakelens.sources.position import BLOCK, FILE, ROW
 
 
@@ -26,9 +26,7 @@ def check_csv_files(spark: SparkSession, path: str | list[str], delimiter: str =
     """
     if not delimiter:
         raise ValueError("The delimiter must not be empty.")
-    spanning = files_to_read_whole(spark, path, delimiter)
-    records = scan_records(spark, path, delimiter, spanning)
-    counted = records.withColumn(ROW, F.monotonically_increasing_id())
+    counted = scan_records(spark, path, delimiter)
     groups = counted.groupBy(FILE, BLOCK, "n_fields").agg(
         F.count("*").alias("records"), F.min(ROW).alias("first_row")
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lakelens.functions.predicates import where
 from lakelens.operators.project import project_existing
-from lakelens.sources.position import BLOCK, FILE, POSITION, ROW, input_files, user_columns
+from lakelens.sources.position import BLOCK, FILE, LINE, POSITION, ROW, input_files, user_columns
 
 # Page size limits.
 DEFAULT_ROWS = 200
@@ -110,7 +110,9 @@ def _slice(df: DataFrame, files: list[str], offset: int, end: int) -> DataFrame:
     if by_row_index:
         rows = _within_files(located, first[FILE], last[FILE]).filter(after_first & before_last)
     else:
-        rows = located.filter(after_first & before_last).withColumn(ROW, F.monotonically_increasing_id())
+        in_scan_order = F.monotonically_increasing_id()
+        line = F.coalesce(LINE, in_scan_order) if LINE in located.columns else in_scan_order
+        rows = located.filter(after_first & before_last).withColumn(ROW, line)
     return rows.orderBy(*POSITION).offset(offset - skipped - bounds["before"]).limit(end - offset)
 
 

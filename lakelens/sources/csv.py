@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.functions.predicates import build_predicate
-from lakelens.sources.position import BLOCK, FILE, input_files, with_split_position
+from lakelens.sources.csv_records import assembled_records, ends_inside_quotes
+from lakelens.sources.position import BLOCK, FILE, LINE, ROW, input_files, with_split_position
 
 RAW_RECORD = "_raw_record"
 
@@ -27,18 +28,6 @@ def _options(delimiter: str, header: bool, multiline: bool) -> dict:
     }
 
 
-def _without_quoted_fields(line: Column, delimiter: str) -> Column:
-    """The line after dropping escaped quotes and the content of every complete quoted field."""
-    sep = re.escape(delimiter)
-    return F.regexp_replace(F.replace(line, F.lit('""'), F.lit("")), rf'(^|{sep})"[^"]*"', "$1")
-
-
-def ends_inside_quotes(line: Column, delimiter: str = ",") -> Column:
-    """True for a line that leaves a quoted field open, so its record goes on in the next line."""
-    has_quote = F.contains(line, F.lit('"'))
-    return has_quote & _without_quoted_fields(line, delimiter).rlike(f'(^|{re.escape(delimiter)})"')
-
-
 def field_count(record: Column, delimiter: str = ",") -> Column:
     """Number of fields of one complete record; delimiters inside quotes do not count."""
     sep = re.escape(delimiter)
@@ -50,14 +39,14 @@ def field_count(record: Column, delimiter: str = ",") -> Column:
     return (length / len(delimiter)).cast("int") + 1
 
 
-def files_to_read_whole(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str]:
+def files_with_long_records(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str]:
     """Files in which a record spans lines or a line holds only blanks, which the line-wise reader drops.
 
     One parallel pass; at most one name per input file.
     """
     line = F.col("value")
     blank = (line != "") & (F.trim(line) == "")
-    found = spark.read.text(path).filter(ends_inside_quotes(line, delimiter) | blank)
+    found = spark.read.text(path).filter(ends_inside_quotes(line, re.escape(delimiter)) | blank)
     return [row[0] for row in found.select(F.col("_metadata.file_path")).distinct().collect()]
 
 
@@ -85,25 +74,62 @@ def _cells(raw: DataFrame, width: int) -> list[Column]:
     ]
 
 
+def _raw_schema(width: int) -> str:
+    return ", ".join(f"{name} string" for name in [*(f"_{i}" for i in range(width)), RAW_RECORD])
+
+
 def _scan(
     spark: SparkSession, path: str | list[str], delimiter: str, header: bool, width: int, multiline: bool
 ) -> DataFrame:
-    names = [f"_{i}" for i in range(width)]
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, RAW_RECORD]])
-    raw = with_split_position(spark.read.schema(schema).options(**_options(delimiter, header, multiline)).csv(path))
+    reader = spark.read.schema(_raw_schema(width)).options(**_options(delimiter, header, multiline))
+    return with_split_position(reader.csv(path))
+
+
+def _assembled_scan(
+    spark: SparkSession, path: str | list[str], delimiter: str, header: bool, width: int, files: list[str]
+) -> DataFrame:
+    """Files with records of several lines, split like any other file."""
+    lines = with_split_position(spark.read.option("lineSep", "\n").text(path)).filter(F.col(FILE).isin(files))
+    records = assembled_records(lines, re.escape(delimiter))
+    if header:
+        records = records.filter(~F.col("is_first"))
+    options = {name: str(value) for name, value in _options(delimiter, False, False).items()}
+    cells = F.from_csv(F.col("record"), _raw_schema(width), options)
+    return records.select(cells.alias("_cells"), FILE, BLOCK, LINE).select("_cells.*", FILE, BLOCK, LINE)
+
+
+def _records(
+    spark: SparkSession,
+    path: str | list[str],
+    delimiter: str,
+    header: bool,
+    width: int,
+    multiline: bool | None,
+    numbered: bool = False,
+) -> DataFrame:
+    """Raw cells with their position, each file read the way its records need."""
+    args = (spark, path, delimiter, header, width)
+    raw = _scan(*args, bool(multiline))
+    long = files_with_long_records(spark, path, delimiter) if multiline is None else []
+    if long:
+        assembled = _assembled_scan(*args, long)
+        if numbered:
+            in_block = Window.partitionBy(FILE, BLOCK).orderBy(LINE)
+            assembled = assembled.withColumn(LINE, F.row_number().over(in_block).cast("bigint"))
+        raw = raw.filter(~F.col(FILE).isin(long)).unionByName(assembled, allowMissingColumns=True)
     return raw.withColumn("_present", field_count(F.col(RAW_RECORD), delimiter))
 
 
-def scan_records(spark: SparkSession, path: str | list[str], delimiter: str, spanning: list[str]) -> DataFrame:
-    """One row per record with its position and `n_fields`; `spanning` files hold records of several lines."""
+def scan_records(spark: SparkSession, path: str | list[str], delimiter: str) -> DataFrame:
+    """One row per record: file, block, `n_fields` and a row number without gaps inside the block."""
     # With a schema of one column the parser hands over every wider record as raw text.
-    raw = _scan(spark, path, delimiter, False, 1, False)
-    if spanning:
-        whole = _scan(spark, path, delimiter, False, 1, True)
-        raw = raw.filter(~F.col(FILE).isin(spanning)).unionByName(whole.filter(F.col(FILE).isin(spanning)))
+    raw = _records(spark, path, delimiter, False, 1, None, numbered=True)
+    row = F.monotonically_increasing_id()
+    row = F.coalesce(LINE, row) if LINE in raw.columns else row
     # A scan must use some column besides the raw record; every record has at least one field.
     at_least = F.when(F.col("_0").isNull(), F.lit(0)).otherwise(F.lit(1))
-    return raw.select(FILE, BLOCK, F.greatest(F.coalesce("_present", F.lit(1)), at_least).alias("n_fields"))
+    fields = F.greatest(F.coalesce("_present", F.lit(1)), at_least)
+    return raw.select(FILE, BLOCK, row.alias(ROW), fields.alias("n_fields"))
 
 
 def read_csv(
@@ -118,23 +144,23 @@ def read_csv(
     """All-text rows of delimited files.
 
     Without a header the columns are `column_0 …`, as many as the first record has fields. When a header
-    repeats a name, the column holds the last value and a filter looks at the first. `multiline=None`
-    checks for records that span lines: files without any are split over many tasks, the others are read
-    whole, one task per file. True or False skips the check. `position` adds the pager's columns.
+    repeats a name, the column holds the last value and a filter looks at the first. `position` adds the
+    pager's columns.
+
+    `multiline=None` checks for records that span lines. Files without any are read line by line, the others
+    have their records put together first; both are split over many tasks. False skips the check and takes
+    every line as a record, True leaves it to Spark's multi-line reader, which gives a file to one task.
     """
-    spanning = files_to_read_whole(spark, path, delimiter) if multiline is None else []
-    first = _first_record(spark, path, delimiter, bool(multiline or spanning))
+    first = _first_record(spark, path, delimiter, multiline is not False)
     names = first if has_header else [f"column_{i}" for i in range(len(first))]
     if not names:
         return spark.createDataFrame([], T.StructType([]))
-    raw = _scan(spark, path, delimiter, has_header, len(names), bool(multiline))
-    if spanning:
-        whole = _scan(spark, path, delimiter, has_header, len(names), True)
-        raw = raw.filter(~F.col(FILE).isin(spanning)).unionByName(whole.filter(F.col(FILE).isin(spanning)))
-    rows = raw.select(*_cells(raw, len(names)), FILE, BLOCK)
+    raw = _records(spark, path, delimiter, has_header, len(names), multiline)
+    where_at = [name for name in (FILE, BLOCK, LINE) if name in raw.columns]
+    rows = raw.select(*_cells(raw, len(names)), *where_at)
     predicate = build_predicate(rows.schema, filters, names)
     if predicate is not None:
         rows = rows.filter(predicate)
     last = {name: index for index, name in enumerate(names)}
     kept = [F.col(f"_{last[name]}").alias(name) for name in dict.fromkeys(names)]
-    return rows.select(*kept, *([FILE, BLOCK] if position else []))
+    return rows.select(*kept, *(where_at if position else []))

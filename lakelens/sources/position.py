@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 FILE = "_pos_file"
 BLOCK = "_pos_block"
 ROW = "_pos_row"
+# Row order inside a block where a scan has shuffled its lines; the block alone does not tell it then.
+LINE = "_pos_line"
 POSITION = [FILE, BLOCK, ROW]
 PARQUET_BLOCK_BITS = 20
 
@@ -34,7 +36,7 @@ def with_row_position(scan: DataFrame) -> DataFrame:
 
 
 def user_columns(df: DataFrame) -> list[str]:
-    return [name for name in df.columns if name not in POSITION]
+    return [name for name in df.columns if name not in (*POSITION, LINE)]
 
 
 def input_files(df: DataFrame) -> list[str]:

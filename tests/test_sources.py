@@ -327,20 +327,45 @@ def test_pages_list_only_their_files(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
 
 
-@pytest.mark.parametrize("seed,delimiter,quoting", [(1, ",", csv.QUOTE_MINIMAL), (2, ";", csv.QUOTE_ALL), (3, "|", csv.QUOTE_MINIMAL)])
+def random_rows(rng, count, width, alphabet):
+    return [["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 8))) for _ in range(width)] for _ in range(count)]
+
+
+def write_rows(target, rows, **dialect):
+    with open(target, "w", newline="") as opened:
+        csv.writer(opened, **dialect).writerows(rows)
+
+
+@pytest.mark.parametrize("seed,delimiter,quoting", [(1, ",", csv.QUOTE_MINIMAL), (2, ";", csv.QUOTE_ALL)])
 def test_random_csv(spark, tmp_path, seed, delimiter, quoting):
     rng = random.Random(seed)
-    alphabet = 'ab12"' + delimiter + " '\\é\n"
-    rows = [["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 8))) for _ in range(3)] for _ in range(400)]
+    rows = random_rows(rng, 400, 3, 'ab12"' + delimiter + " '\\é\n")
+    header = [["x", "y two\nlines", "z"]]
     folder = tmp_path / "random"
     folder.mkdir()
-    for part, some in enumerate((rows[:150], rows[150:])):
-        with open(folder / f"{part}.csv", "w", newline="") as target:
-            writer = csv.writer(target, delimiter=delimiter, quoting=quoting, lineterminator="\n")
-            writer.writerow(["x", "y", "z"])
-            writer.writerows(some)
-    with open(folder / "2.csv", "w", newline="") as target:
-        target.write(f"x{delimiter}y{delimiter}z\nk{delimiter}l{delimiter}\n")
-    found = csv_page(spark, str(folder), delimiter=delimiter, max_rows=1000).rows
-    assert [list(row) for row in found] == [*rows, ["k", "l", ""]]
-    assert check_csv_files(spark, str(folder), delimiter).count() == 0
+    dialect = {"delimiter": delimiter, "quoting": quoting}
+    write_rows(folder / "0.csv", header + rows[:150], lineterminator="\n", **dialect)
+    write_rows(folder / "1.csv", header + rows[150:], lineterminator="\r\n", **dialect)
+    write_rows(folder / "2.csv", [["x", "y", "z"], ["k", "l", ""]], lineterminator="\n", **dialect)
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        df = read_csv(spark, str(folder), delimiter, position=True)
+        assert df.columns[1] == header[0][1]
+        assert [list(row) for row in page(df, max_rows=1000).rows] == [*rows, ["k", "l", ""]]
+        assert [list(row) for row in page(df, max_rows=40, offset=130).rows] == rows[130:170]
+        assert check_csv_files(spark, str(folder), delimiter).count() == 0
+        write_rows(folder / "3.csv", [*header, *rows[:100], ["a\nb"], *rows[:50], ["c"]], lineterminator="\n", **dialect)
+        bad = check_csv_files(spark, str(folder), delimiter).collect()
+        assert [tuple(row)[1:] for row in bad] == [(102, 1, 3, 2)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+
+
+def test_csv_odd_quotes(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text('a,b\n5" pipe,1\n"x\n5"",y",2\n"""",3\nu"v","w\n\n",\n,"z"\n')
+    df = read_csv(spark, str(path), position=True)
+    assert [tuple(row) for row in page(df).rows] == [
+        ('5" pipe', "1"), ('x\n5",y', "2"), ('"', "3"), ('u"v"', "w\n\n"), ("", "z"),
+    ]
