@@ -46,68 +46,88 @@ def _with_state(rows: DataFrame, group: list[str], order: str) -> DataFrame:
     )
 
 
-def _split_starts(lines: DataFrame) -> DataFrame:
-    """State at the start of every split."""
-    splits = lines.groupBy(*SPLIT).agg(F.max_by("_fixed", LINE).alias("_set"), F.max_by("_parity", LINE).alias("_odd"))
-    splits = splits.withColumn("_flip", F.when(F.col("_set").isNull(), F.col("_odd")).otherwise(F.lit(0)))
-    after = _with_state(splits.select(*SPLIT, "_set", "_flip"), [FILE], BLOCK)
-    state = F.coalesce("_fixed", "_parity")
-    in_order = Window.partitionBy(FILE).orderBy(BLOCK)
-    return after.select(*SPLIT, F.coalesce(F.lag(state).over(in_order), F.lit(0)).alias("_start"))
-
-
-def assembled_records(lines: DataFrame, sep: str) -> DataFrame:
-    """One row per record: file, block and line of its start, `record` and whether it `is_first` in its file.
-
-    `lines` are split-positioned lines cut at `\\n`, as `value`; blank lines are no records.
-    """
+def _marked(lines: DataFrame, sep: str) -> DataFrame:
+    """Lines numbered in scan order, with what each does to the quote state."""
     value = F.col("value")
     quoted = F.contains(value, F.lit('"'))
     from_outside = F.when(quoted, ends_inside_quotes(value, sep)).otherwise(F.lit(False))
     from_inside = F.when(quoted, ends_inside_quotes(F.concat(F.lit('"'), value), sep)).otherwise(F.lit(True))
-    marked = lines.withColumn(LINE, F.monotonically_increasing_id()).select(
-        "*", from_outside.alias("_o"), from_inside.alias("_i")
-    )
-    marked = marked.select(
+    numbered = lines.select(*SPLIT, F.monotonically_increasing_id().alias(LINE), "value")
+    both = numbered.select("*", from_outside.alias("_o"), from_inside.alias("_i"))
+    return both.select(
         *SPLIT,
         LINE,
         "value",
         F.when(F.col("_o") == F.col("_i"), F.col("_o").cast("int")).alias("_set"),
         (F.col("_o") & ~F.col("_i")).cast("int").alias("_flip"),
     )
-    known = _with_state(marked, SPLIT, LINE)
+
+
+def _split_starts(marked: DataFrame) -> DataFrame:
+    """For every split its state at the start and, when that is inside a record, the split it began in.
+
+    Only line numbers and flags are shuffled; the running sums over a file see one row per split.
+    """
+    known = _with_state(marked.drop("value"), SPLIT, LINE)
+    if_inside = F.coalesce(F.col("_fixed"), (F.col("_parity") + 1) % 2)
+    splits = known.groupBy(*SPLIT).agg(
+        F.max_by("_fixed", LINE).alias("_set"),
+        F.max_by("_parity", LINE).alias("_odd"),
+        (F.min(if_inside) == 0).alias("_leaves"),
+    )
+    splits = splits.withColumn("_flip", F.when(F.col("_set").isNull(), F.col("_odd")).otherwise(F.lit(0))).drop("_odd")
+    in_order = Window.partitionBy(FILE).orderBy(BLOCK)
+    state = F.coalesce("_fixed", "_parity")
+    started = _with_state(splits, [FILE], BLOCK).withColumn("_start", F.coalesce(F.lag(state).over(in_order), F.lit(0)))
+    begun = F.when((F.col("_start") == 0) | F.col("_leaves"), F.col(BLOCK))
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    return started.select(*SPLIT, "_start", F.last(begun, ignorenulls=True).over(earlier).alias("_open_block"))
+
+
+def assembled_records(lines: DataFrame, sep: str) -> DataFrame:
+    """One row per record: file, block and line of its start, `record` and whether it `is_first` in its file.
+
+    `lines` are split-positioned lines cut at `\\n`, as `value`; blank lines are no records.
+    """
+    marked = _marked(lines, sep)
     in_split = Window.partitionBy(*SPLIT).orderBy(LINE)
     upto = in_split.rowsBetween(Window.unboundedPreceding, 0)
-
-    placed = known.join(_split_starts(known), SPLIT)
+    known = _with_state(marked.join(_split_starts(marked), SPLIT), SPLIT, LINE)
     after = F.coalesce(F.col("_fixed"), (F.col("_start") + F.col("_parity")) % 2)
     begins = F.coalesce(F.lag(after).over(in_split), F.col("_start")) == 0
-    filled = (F.trim(F.col("value"), F.lit("\r")) != "").cast("int")
-    placed = placed.select(*SPLIT, LINE, "value", begins.alias("_begins"), F.sum(filled).over(upto).alias("_filled"))
+    filled = F.trim(F.col("value"), F.lit("\r")) != ""
+    placed = known.select(
+        *SPLIT,
+        LINE,
+        "value",
+        "_open_block",
+        begins.alias("_begins"),
+        (filled & (F.sum(filled.cast("int")).over(upto) == 1) & (F.col(BLOCK) == 0)).alias("is_first"),
+    )
+    begin_line = F.when(F.col("_begins"), F.col(LINE))
     placed = placed.select(
         "*",
-        F.last(F.when(F.col("_begins"), F.col(LINE)), ignorenulls=True).over(upto).alias("_record"),
-        F.lead("_begins").over(in_split).alias("_next_begins"),
+        F.last(begin_line, ignorenulls=True).over(upto).alias("_record"),
+        F.max(begin_line).over(Window.partitionBy(*SPLIT)).alias("_last_record"),
     )
-
-    # A split may open with the rest of a record of an earlier split.
-    ends = placed.groupBy(*SPLIT).agg(F.max("_record").alias("_record"))
-    earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    begun = F.when(F.col("_record").isNotNull(), F.struct(BLOCK, "_record"))
-    carried = ends.select(*SPLIT, F.last(begun, ignorenulls=True).over(earlier).alias("_carried"))
-    owner = F.coalesce(F.when(F.col("_record").isNotNull(), F.struct(BLOCK, "_record")), F.col("_carried"))
-    owned = placed.join(carried, SPLIT).withColumn("_owner", owner)
-    is_first = (F.col(BLOCK) == 0) & (F.col("_filled") == 1) & (F.trim("value", F.lit("\r")) != "")
-
-    alone = F.col("_begins") & F.coalesce("_next_begins", F.lit(False))
-    single = owned.filter(alone).select(*SPLIT, LINE, F.col("value").alias("record"), is_first.alias("is_first"))
-    pieces = F.array_sort(F.collect_list(F.struct(BLOCK, LINE, "value")))
-    joined = (
-        owned.filter(~alone)
-        .withColumn("is_first", is_first & F.col("_begins"))
-        .groupBy(FILE, F.col(f"_owner.{BLOCK}").alias("_b"), F.col("_owner._record").alias("_l"))
-        .agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("record"), F.max("is_first").alias("is_first"))
-        .select(FILE, F.col("_b").alias(BLOCK), F.col("_l").alias(LINE), "record", "is_first")
+    # The last record of a split may go on in later splits, whose lines before their first record belong to
+    # it; such a record is known by its block alone.
+    headless = F.col("_record").isNull()
+    pieces = placed.select(
+        FILE,
+        F.when(headless, F.col("_open_block")).otherwise(F.col(BLOCK)).alias("_block"),
+        F.when(headless | (F.col("_record") == F.col("_last_record")), F.lit(-1)).otherwise(F.col("_record")).alias("_id"),
+        F.struct(F.col(BLOCK).alias("block"), F.col(LINE).alias("line"), "value").alias("_piece"),
+        (F.col("is_first") & F.col("_begins")).alias("is_first"),
+    )
+    joined = pieces.groupBy(FILE, "_block", "_id").agg(
+        F.array_sort(F.collect_list("_piece")).alias("_pieces"), F.max("is_first").alias("is_first")
+    )
+    records = joined.select(
+        FILE,
+        F.col("_block").alias(BLOCK),
+        F.col("_pieces")[0]["line"].alias(LINE),
+        F.regexp_replace(F.array_join(F.transform("_pieces", lambda p: p["value"]), "\n"), r"\r$", "").alias("record"),
+        "is_first",
     )
-    records = single.unionByName(joined).withColumn("record", F.regexp_replace("record", r"\r$", ""))
     return records.filter(F.col("record") != "")
