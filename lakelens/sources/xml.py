@@ -1,8 +1,9 @@
 """Tabular XML: a root element whose children are records.
 
-Column names come from the first record, read from the head of the first file. The rows come from Spark's XML
-reader, one streaming pass per file. That reader finds the record tag at any depth and takes tags case by
-case; `strict=True` visits exactly the root's children instead, with a whole file per task.
+Column names come from the first record, read from the head of the first file. The rows of files up to
+`WHOLE_FILE_BYTES` come from Spark's XML reader, one streaming task per file; it finds the record tag at any depth
+and takes tags case by case. `strict=True` visits exactly the root's children. Larger files are cut into their
+records first, so that many tasks share them.
 """
 
 from __future__ import annotations
@@ -17,13 +18,15 @@ from pyspark.sql import types as T
 
 from lakelens.functions.predicates import where
 from lakelens.operators.project import project_requested
-from lakelens.sources.position import BLOCK, FILE, ROW, input_files, with_split_position
-from lakelens.sources.xml_records import XmlRecord, iter_records
+from lakelens.sources.position import BLOCK, FILE, LINE, input_files, with_split_position
+from lakelens.sources.xml_records import XmlRecord, iter_records, parse_record
+from lakelens.sources.xml_split import split_records, splittable_files
 
 HEAD_TAGS = 4_096
 ATTRIBUTE = "@"
 PIECE_BYTES = 1 << 20
 BATCH_RECORDS = 10_000
+WHOLE_FILE_BYTES = 256 << 20
 XML_SCHEMA = "name string, is_attribute boolean"
 
 
@@ -34,12 +37,14 @@ def _head(spark: SparkSession, path: str | list[str], tags: int) -> list[bytes]:
     return [(row[0] + ">").encode() for row in head.collect()]
 
 
-def _first_records(spark: SparkSession, path: str | list[str], record: str | None) -> list[XmlRecord]:
+def _first_records(
+    spark: SparkSession, path: str | list[str], record: str | None, namespaces: dict[str, str] | None = None
+) -> list[XmlRecord]:
     """Records at the head of the first file; looks further until at least one is complete."""
     tags = HEAD_TAGS
     while True:
         pieces = _head(spark, path, tags)
-        records = list(iter_records(pieces, record))
+        records = list(iter_records(pieces, record, namespaces))
         if records or len(pieces) < tags:
             return records
         tags *= 8
@@ -60,49 +65,88 @@ def _child_text(name: str, nested: bool) -> Column:
     return F.when(F.size(every) > 0, F.when(text.rlike(r"^\s*$"), F.lit("")).otherwise(text))
 
 
-def _tag_scan(spark: SparkSession, path: str | list[str], tag: str, names: list[str], nested: set[str]) -> DataFrame:
+def _raw_schema(names: list[str]) -> T.StructType:
     fields = []
     for name in names:
         fields.append(T.StructField(ATTRIBUTE + name, T.StringType()))
         fields.append(T.StructField(name, T.ArrayType(T.StringType())))
-    raw = spark.read.schema(T.StructType(fields)).xml(
-        path,
-        rowTag=tag,
-        ignoreNamespace=True,
-        ignoreSurroundingSpaces=False,
-        attributePrefix=ATTRIBUTE,
-        mode="FAILFAST",
-    )
-    cells = [
+    return T.StructType(fields)
+
+
+OPTIONS = {
+    "ignoreNamespace": "true",
+    "ignoreSurroundingSpaces": "false",
+    "attributePrefix": ATTRIBUTE,
+    "mode": "FAILFAST",
+}
+
+
+def _cells(names: list[str], nested: set[str]) -> list[Column]:
+    return [
         F.coalesce(F.col(f"`{ATTRIBUTE}{name}`"), _child_text(name, name.upper() in nested)).alias(name)
         for name in names
     ]
-    return with_split_position(raw).select(*cells, FILE, BLOCK)
 
 
-def _strict_scan(spark: SparkSession, path: str | list[str], record: str | None, names: list[str]) -> DataFrame:
-    keys = [name.upper() for name in names]
-    columns = [*names, FILE, BLOCK, ROW]
+def _tag_scan(spark: SparkSession, path: str | list[str], tag: str, names: list[str]) -> DataFrame:
+    return with_split_position(spark.read.schema(_raw_schema(names)).options(rowTag=tag, **OPTIONS).xml(path))
+
+
+def _split_scan(records: DataFrame, names: list[str]) -> DataFrame:
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _raw_schema(names).fields)
+    parsed = F.from_xml(F.col("record"), schema, OPTIONS)
+    return records.select(parsed.alias("_cells"), FILE, BLOCK, LINE).select("_cells.*", FILE, BLOCK, LINE)
+
+
+def _strict_schema(names: list[str]) -> T.StructType:
+    texts, places = [*names, FILE], [BLOCK, LINE]
+    return T.StructType(
+        [T.StructField(n, T.StringType()) for n in texts] + [T.StructField(n, T.LongType()) for n in places]
+    )
+
 
-    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _strict_files(
+    spark: SparkSession, path: str | list[str], record: str | None, names: list[str], left_out: list[str]
+) -> DataFrame:
+    """Exact rows of whole files, one file at a time."""
+    keys, schema = [name.upper() for name in names], _strict_schema(names)
+
+    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for file, content in zip(batch["file"], batch["content"]):
+            for file, content in zip(batch[FILE], batch["content"]):
                 pieces = (content[i : i + PIECE_BYTES] for i in range(0, len(content), PIECE_BYTES))
                 rows = []
                 for index, found in enumerate(iter_records(pieces, record)):
                     values = found.values()
                     rows.append([*(values.get(key) for key in keys), file, 0, index])
                     if len(rows) == BATCH_RECORDS:
-                        yield pd.DataFrame(rows, columns=columns)
+                        yield pd.DataFrame(rows, columns=schema.names)
                         rows = []
-                yield pd.DataFrame(rows, columns=columns)
+                yield pd.DataFrame(rows, columns=schema.names)
 
-    schema = T.StructType(
-        [T.StructField(name, T.StringType()) for name in [*names, FILE]]
-        + [T.StructField(name, T.LongType()) for name in (BLOCK, ROW)]
-    )
     files = spark.read.format("binaryFile").load(path)
-    return files.select(F.col("_metadata.file_path").alias("file"), "content").mapInPandas(records, schema)
+    files = files.filter(~F.col("_metadata.file_path").isin(left_out)) if left_out else files
+    return files.select(F.col("_metadata.file_path").alias(FILE), "content").mapInPandas(rows_of, schema)
+
+
+def _strict_records(records: DataFrame, names: list[str], namespaces: dict[str, str]) -> DataFrame:
+    """Exact rows of records already cut out."""
+    keys, schema = [name.upper() for name in names], _strict_schema(names)
+
+    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [parse_record(text, namespaces).values() for text in batch["record"]]
+            cells = pd.DataFrame([[values.get(key) for key in keys] for values in found], columns=names)
+            yield cells.assign(**{name: batch[name].to_numpy() for name in (FILE, BLOCK, LINE)})
+
+    return records.select(FILE, BLOCK, LINE, "record").mapInPandas(rows_of, schema)
+
+
+def _large_files(spark: SparkSession, path: str | list[str], whole_file_bytes: int) -> list[str]:
+    """Large files that can be cut into records; file contents are read only where a file is large."""
+    files = spark.read.format("binaryFile").load(path).filter(F.col("length") > whole_file_bytes)
+    large = [row[0] for row in files.select(F.col("_metadata.file_path")).collect()]
+    return splittable_files(spark, path, large) if large else []
 
 
 def read_xml(
@@ -113,28 +157,41 @@ def read_xml(
     filters: Iterable | None = None,
     strict: bool = False,
     position: bool = False,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """Text rows of the records; attributes first, then child elements.
 
     `record` names the record element, otherwise every root child seen at the head of the file is one.
     `columns` are returned in the requested order and spelling, NULL where a record has none.
     """
-    head = _first_records(spark, path, record)
+    namespaces: dict[str, str] = {}
+    head = _first_records(spark, path, record, namespaces)
     if not head:
         return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in columns or []]))
     known = [name for name, _ in head[0].columns()]
     upper = {name.upper() for name in known}
     names = known + [name for name in dict.fromkeys(columns or []) if name.upper() not in upper]
+    tags = list(dict.fromkeys(found.name for found in head))
+    large = _large_files(spark, path, whole_file_bytes)
+    if large:
+        records = split_records(spark, path, large)
+        if record is not None:
+            records = records.filter(F.upper("tag") == record.upper())
     if strict:
-        rows = _strict_scan(spark, path, record, names)
+        rows = _strict_files(spark, path, record, names, large)
+        if large:
+            rows = rows.unionByName(_strict_records(records, names, namespaces))
     else:
-        tags = dict.fromkeys(found.name for found in head)
+        raw = reduce(DataFrame.unionByName, [_tag_scan(spark, path, tag, names) for tag in tags])
+        if large:
+            cut = _split_scan(records, names)
+            raw = raw.filter(~F.col(FILE).isin(large)).unionByName(cut, allowMissingColumns=True)
         nested = set().union(*(found.nested for found in head))
-        scans = [_tag_scan(spark, path, tag, names, nested) for tag in tags]
-        rows = reduce(DataFrame.unionByName, scans)
+        places = [name for name in (FILE, BLOCK, LINE) if name in raw.columns]
+        rows = raw.select(*_cells(names, nested), *places)
     where(rows.select(*known), filters)
     rows = where(rows, filters)
     kept = columns or known
     if position:
-        kept = [*kept, *[name for name in rows.columns if name in (FILE, BLOCK, ROW)]]
+        kept = [*kept, *[name for name in rows.columns if name in (FILE, BLOCK, LINE)]]
     return project_requested(rows, kept)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from xml.parsers import expat
+from xml.sax.saxutils import quoteattr
 
 _XML_BLANK = " \t\r\n"
 
@@ -49,6 +50,7 @@ class _RecordBuilder:
         self.run: list[str] = []
         self.in_cdata = False
         self.done: list[XmlRecord] = []
+        self.namespaces: dict[str, str] = {}
 
     def attach(self, parser) -> None:
         parser.StartElementHandler = self.start
@@ -59,11 +61,16 @@ class _RecordBuilder:
         parser.StartCdataSectionHandler = lambda: self.flush(cdata=True)
         parser.EndCdataSectionHandler = lambda: self.flush(cdata=False)
         parser.StartDoctypeDeclHandler = self.refuse_doctype
+        parser.StartNamespaceDeclHandler = self.declare
 
     @staticmethod
     def refuse_doctype(*_) -> None:
         raise ValueError("XML with a DOCTYPE declaration is not read.")
 
+    def declare(self, prefix: str | None, uri: str) -> None:
+        if self.depth == 0 and prefix:
+            self.namespaces[prefix] = uri
+
     def flush(self, cdata: bool | None = None) -> None:
         """Ends a run of text; a run of blanks outside CDATA does not count."""
         text = "".join(self.run)
@@ -94,16 +101,29 @@ class _RecordBuilder:
         self.depth -= 1
 
 
-def iter_records(pieces: Iterable[bytes], record: str | None = None) -> Iterator[XmlRecord]:
-    """Records of the document given in pieces; `record` keeps root children of that name, ignoring case."""
+def iter_records(
+    pieces: Iterable[bytes], record: str | None = None, namespaces: dict[str, str] | None = None
+) -> Iterator[XmlRecord]:
+    """Records of the document given in pieces; `record` keeps root children of that name, ignoring case.
+
+    `namespaces` receives the prefixes the root declares.
+    """
     builder = _RecordBuilder()
     parser = expat.ParserCreate(namespace_separator=" ")
     parser.ordered_attributes = True
     parser.buffer_text = True
     builder.attach(parser)
+    if namespaces is not None:
+        builder.namespaces = namespaces
     for piece in pieces:
         parser.Parse(piece, False)
         ready, builder.done = builder.done, []
         for found in ready:
             if record is None or found.name.upper() == record.upper():
                 yield found
+
+
+def parse_record(text: str, namespaces: dict[str, str]) -> XmlRecord:
+    """One record cut out of a document whose root declared `namespaces`."""
+    declared = "".join(f' xmlns:{prefix}={quoteattr(uri)}' for prefix, uri in namespaces.items())
+    return next(iter_records([f"<r{declared}>".encode(), text.encode()]))

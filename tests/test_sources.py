@@ -286,6 +286,39 @@ def test_xml_strict_depth_and_doctype(spark, lake_file):
         read_xml(spark, bad)
 
 
+@pytest.mark.parametrize("strict", [False, True])
+def test_xml_over_splits(spark, lake_file, strict):
+    rng = random.Random(5)
+    names = ["Product", "a:Product", "product"] if strict else ["Product"]
+    expected, parts = [], ['<?xml version="1.0"?>\n<!-- all --><Products xmlns:a="urn:a" xmlns="urn:p">\n']
+    for i in range(300):
+        note = "".join(rng.choice("xy &lt;&amp;é>\n") for _ in range(rng.randint(1, 60))).strip() or "-"
+        plain = note.replace("&lt;", "<").replace("&amp;", "&")
+        note, plain = ("n", "n") if plain.count("&") != note.count("&amp;") else (note, plain)
+        name = rng.choice(names)
+        if i % 7 == 3:
+            parts.append(f'<{name} id="{i}" t="a>b/"/>')
+            expected.append((str(i), "a>b/", None, None))
+        else:
+            parts.append(f"<{name} t='q' id='{i}'><Note>{note}</Note><!-- c --><Tail><![CDATA[z]]></Tail></{name}>")
+            expected.append((str(i), "q", plain, "z"))
+        if i % 50 == 0:
+            parts.append("<Other><Product id='no'/></Other>" if strict else "<Other/>")
+    path = lake_file("big.xml", "\n".join(parts) + "</Products>\n", "xml")
+    lake_file("bigger.xml", "<Products><!-- <x> --><Product id='z' t='y'><Note>n</Note></Product></Products>", "xml")
+    expected.append(("z", "y", "n", None))
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        columns = ["id", "t", "Note", "Tail"]
+        folder = path.rsplit("/", 1)[0]
+        df = read_xml(spark, folder, "product", columns, strict=strict, position=True, whole_file_bytes=0)
+        assert [tuple(row) for row in page(df, max_rows=1000).rows] == expected
+        assert [tuple(row) for row in page(df, max_rows=20, offset=150).rows] == expected[150:170]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+
+
 def test_projections(spark):
     df = spark.createDataFrame([(1, "a", 2.0)], "Id int, Name string, Amount double")
     assert project_existing(df, ["amount", "ID", "zzz"]).columns == ["Id", "Amount"]
