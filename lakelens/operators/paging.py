@@ -24,6 +24,7 @@ MAX_ROWS = 10_000
 
 FIRST_FILES = 8
 FILE_GROWTH = 4
+MAX_FILES = 16_384
 
 
 @dataclass(frozen=True)
@@ -56,7 +57,7 @@ def _covering_files(df: DataFrame, files: list[str], offset: int, end: int) -> t
         seen += matches
         if seen >= end:
             break
-        start, size = start + size, size * FILE_GROWTH
+        start, size = start + size, min(size * FILE_GROWTH, MAX_FILES)
     return None if first is None else (first, batch[-1], before)
 
 

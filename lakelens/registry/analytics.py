@@ -181,12 +181,12 @@ EVM = (
 
 @query(
     "evm",
-    EVM + " SELECT ProjectId, CutoffDate, "
+    EVM + " SELECT ProjectId, CAST(CutoffDate AS VARCHAR) AS CutoffDate, "
     + ", ".join(f"CAST({name} AS DOUBLE) AS {name}" for name in ("bac", "pv", "ac", "ev", "eac"))
     + ", cpi, spi, CAST(eac - bac AS DOUBLE) AS vac FROM earned",
 )
 def earned_value(spark, sf_dir):
-    return plain(evm(cost_model(spark, sf_dir)))
+    return plain(evm(cost_model(spark, sf_dir)).withColumn("CutoffDate", F.col("CutoffDate").cast("string")))
 
 
 @query(
@@ -243,7 +243,7 @@ def join_dims(spark, sf_dir):
 
 @query(
     "agg_by_month",
-    MODEL + f" SELECT ProjectId, year(Date) AS \"Year\", month(Date) AS \"Month\", {_sum('CostAmount', 'actual_cost')}, "
+    MODEL + f" SELECT ProjectId, CAST(year(Date) AS INTEGER) AS \"Year\", CAST(month(Date) AS INTEGER) AS \"Month\", {_sum('CostAmount', 'actual_cost')}, "
     f"{_sum('JPSAmount', 'revenue_external')} FROM accounting GROUP BY ALL",
 )
 def agg_by_month(spark, sf_dir):

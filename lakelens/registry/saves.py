@@ -259,7 +259,7 @@ def search_fetch(spark, sf_dir):
 
 @query(
     "extract_chain",
-    "SELECT o_orderpriority, count(*) AS orders, sum(o_custkey) AS customers FROM orders "
+    "SELECT o_orderpriority, count(*) AS orders, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders "
     "WHERE o_orderstatus = 'O' AND o_totalprice > 1000 GROUP BY o_orderpriority",
 )
 def extract_chain(spark, sf_dir):

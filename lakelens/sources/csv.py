@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lakelens.functions.predicates import build_predicate
 from lakelens.sources.csv_records import assembled_records, ends_inside_quotes
-from lakelens.sources.position import BLOCK, FILE, LINE, ROW, input_files, with_split_position
+from lakelens.sources.position import BLOCK, FILE, LINE, ROW, input_files, named_files, with_split_position
 
 RAW_RECORD = "_raw_record"
 
@@ -39,15 +39,12 @@ def field_count(record: Column, delimiter: str = ",") -> Column:
     return (length / len(delimiter)).cast("int") + 1
 
 
-def files_with_long_records(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str]:
-    """Files in which a record spans lines or a line holds only blanks, which the line-wise reader drops.
-
-    One parallel pass; at most one name per input file.
-    """
+def files_with_long_records(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str] | None:
+    """Files in which a record spans lines or a line holds only blanks, which the line-wise reader drops;
+    None when there are too many to be named. One parallel pass."""
     line = F.col("value")
     blank = (line != "") & (F.trim(line) == "")
-    found = spark.read.text(path).filter(ends_inside_quotes(line, re.escape(delimiter)) | blank)
-    return [row[0] for row in found.select(F.col("_metadata.file_path")).distinct().collect()]
+    return named_files(spark.read.text(path).filter(ends_inside_quotes(line, re.escape(delimiter)) | blank))
 
 
 def _first_record(spark: SparkSession, path: str | list[str], delimiter: str, multiline: bool) -> list[str]:
@@ -86,10 +83,11 @@ def _scan(
 
 
 def _assembled_scan(
-    spark: SparkSession, path: str | list[str], delimiter: str, header: bool, width: int, files: list[str]
+    spark: SparkSession, path: str | list[str], delimiter: str, header: bool, width: int, files: list[str] | None
 ) -> DataFrame:
-    """Files with records of several lines, split like any other file."""
-    lines = with_split_position(spark.read.option("lineSep", "\n").text(path)).filter(F.col(FILE).isin(files))
+    """Files with records of several lines, split like any other file; None stands for every file."""
+    lines = with_split_position(spark.read.option("lineSep", "\n").text(path))
+    lines = lines if files is None else lines.filter(F.col(FILE).isin(files))
     records = assembled_records(lines, re.escape(delimiter))
     if header:
         records = records.filter(~F.col("is_first"))
@@ -109,14 +107,17 @@ def _records(
 ) -> DataFrame:
     """Raw cells with their position, each file read the way its records need."""
     args = (spark, path, delimiter, header, width)
-    raw = _scan(*args, bool(multiline))
     long = files_with_long_records(spark, path, delimiter) if multiline is None else []
-    if long:
-        assembled = _assembled_scan(*args, long)
+    if long == []:
+        raw = _scan(*args, bool(multiline))
+    else:
+        raw = _assembled_scan(*args, long)
         if numbered:
             in_block = Window.partitionBy(FILE, BLOCK).orderBy(LINE)
-            assembled = assembled.withColumn(LINE, F.row_number().over(in_block).cast("bigint"))
-        raw = raw.filter(~F.col(FILE).isin(long)).unionByName(assembled, allowMissingColumns=True)
+            raw = raw.withColumn(LINE, F.row_number().over(in_block).cast("bigint"))
+        if long:
+            plain = _scan(*args, False).filter(~F.col(FILE).isin(long))
+            raw = plain.unionByName(raw, allowMissingColumns=True)
     return raw.withColumn("_present", field_count(F.col(RAW_RECORD), delimiter))
 
 

@@ -20,7 +20,7 @@ from lakelens.functions.predicates import where
 from lakelens.operators.project import project_requested
 from lakelens.sources.position import BLOCK, FILE, LINE, input_files, with_split_position
 from lakelens.sources.xml_records import XmlRecord, iter_records, parse_record
-from lakelens.sources.xml_split import split_records, splittable_files
+from lakelens.sources.xml_split import files_to_cut, split_records
 
 HEAD_TAGS = 4_096
 ATTRIBUTE = "@"
@@ -88,8 +88,11 @@ def _cells(names: list[str], nested: set[str]) -> list[Column]:
     ]
 
 
-def _tag_scan(spark: SparkSession, path: str | list[str], tag: str, names: list[str]) -> DataFrame:
-    return with_split_position(spark.read.schema(_raw_schema(names)).options(rowTag=tag, **OPTIONS).xml(path))
+def _tag_scan(
+    spark: SparkSession, path: str | list[str], tag: str, names: list[str], left_out: Column | None
+) -> DataFrame:
+    raw = spark.read.schema(_raw_schema(names)).options(rowTag=tag, **OPTIONS).xml(path)
+    return with_split_position(raw if left_out is None else raw.filter(~left_out))
 
 
 def _split_scan(records: DataFrame, names: list[str]) -> DataFrame:
@@ -106,7 +109,7 @@ def _strict_schema(names: list[str]) -> T.StructType:
 
 
 def _strict_files(
-    spark: SparkSession, path: str | list[str], record: str | None, names: list[str], left_out: list[str]
+    spark: SparkSession, path: str | list[str], record: str | None, names: list[str], left_out: Column | None
 ) -> DataFrame:
     """Exact rows of whole files, one file at a time."""
     keys, schema = [name.upper() for name in names], _strict_schema(names)
@@ -125,7 +128,7 @@ def _strict_files(
                 yield pd.DataFrame(rows, columns=schema.names)
 
     files = spark.read.format("binaryFile").load(path)
-    files = files.filter(~F.col("_metadata.file_path").isin(left_out)) if left_out else files
+    files = files if left_out is None else files.filter(~left_out)
     return files.select(F.col("_metadata.file_path").alias(FILE), "content").mapInPandas(rows_of, schema)
 
 
@@ -142,13 +145,6 @@ def _strict_records(records: DataFrame, names: list[str], namespaces: dict[str,
     return records.select(FILE, BLOCK, LINE, "record").mapInPandas(rows_of, schema)
 
 
-def _large_files(spark: SparkSession, path: str | list[str], whole_file_bytes: int) -> list[str]:
-    """Large files that can be cut into records; file contents are read only where a file is large."""
-    files = spark.read.format("binaryFile").load(path).filter(F.col("length") > whole_file_bytes)
-    large = [row[0] for row in files.select(F.col("_metadata.file_path")).collect()]
-    return splittable_files(spark, path, large) if large else []
-
-
 def read_xml(
     spark: SparkSession,
     path: str | list[str],
@@ -172,20 +168,19 @@ def read_xml(
     upper = {name.upper() for name in known}
     names = known + [name for name in dict.fromkeys(columns or []) if name.upper() not in upper]
     tags = list(dict.fromkeys(found.name for found in head))
-    large = _large_files(spark, path, whole_file_bytes)
-    if large:
-        records = split_records(spark, path, large)
+    cut = files_to_cut(spark, path, whole_file_bytes)
+    if cut is not None:
+        records = split_records(spark, path, cut)
         if record is not None:
             records = records.filter(F.upper("tag") == record.upper())
     if strict:
-        rows = _strict_files(spark, path, record, names, large)
-        if large:
+        rows = _strict_files(spark, path, record, names, cut)
+        if cut is not None:
             rows = rows.unionByName(_strict_records(records, names, namespaces))
     else:
-        raw = reduce(DataFrame.unionByName, [_tag_scan(spark, path, tag, names) for tag in tags])
-        if large:
-            cut = _split_scan(records, names)
-            raw = raw.filter(~F.col(FILE).isin(large)).unionByName(cut, allowMissingColumns=True)
+        raw = reduce(DataFrame.unionByName, [_tag_scan(spark, path, tag, names, cut) for tag in tags])
+        if cut is not None:
+            raw = raw.unionByName(_split_scan(records, names), allowMissingColumns=True)
         nested = set().union(*(found.nested for found in head))
         places = [name for name in (FILE, BLOCK, LINE) if name in raw.columns]
         rows = raw.select(*_cells(names, nested), *places)

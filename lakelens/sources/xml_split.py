@@ -10,20 +10,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakelens.sources.position import BLOCK, FILE, LINE, with_split_position
+from lakelens.sources.position import BLOCK, FILE, LINE, named_files, with_split_position
 
 SPLIT = [FILE, BLOCK]
 # The inside of a tag up to its `>`, skipping quoted attribute values, where the last character is a slash.
 _EMPTY_ELEMENT = r"""^(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?<=/)>"""
 
 
-def _pieces(spark: SparkSession, path: str | list[str], files: list[str]) -> DataFrame:
-    cut = with_split_position(spark.read.option("lineSep", "<").text(path))
-    return cut.filter(F.col(FILE).isin(files))
+def _pieces(spark: SparkSession, path: str | list[str], files: Column) -> DataFrame:
+    return with_split_position(spark.read.option("lineSep", "<").text(path).filter(files))
 
 
-def splittable_files(spark: SparkSession, path: str | list[str], files: list[str]) -> list[str]:
-    """Those of the files in which every `<` begins a tag, a comment, a section or an instruction."""
+def files_to_cut(spark: SparkSession, path: str | list[str], whole_file_bytes: int) -> Column | None:
+    """Condition on a scan's metadata for the larger files that can be cut; None when there are none.
+
+    A file can be cut when every `<` begins a tag, a comment, a section or an instruction.
+    """
+    listed = spark.read.format("binaryFile").load(path).filter(F.col("length") > whole_file_bytes)
+    if listed.select("path").isEmpty():
+        return None
     value = F.col("value")
     open_ended = (
         (F.startswith(value, F.lit("!--")) & ~F.contains(value, F.lit("-->")))
@@ -31,8 +36,11 @@ def splittable_files(spark: SparkSession, path: str | list[str], files: list[str
         | (F.startswith(value, F.lit("?")) & ~F.contains(value, F.lit("?>")))
         | F.startswith(value, F.lit("!DOCTYPE"))
     )
-    found = _pieces(spark, path, files).filter(open_ended).select(FILE).distinct().collect()
-    return sorted(set(files) - {row[0] for row in found})
+    large = F.col("_metadata.file_size") > whole_file_bytes
+    others = named_files(spark.read.option("lineSep", "<").text(path).filter(large & open_ended))
+    if others is None:
+        return None
+    return large & ~F.col("_metadata.file_path").isin(others) if others else large
 
 
 def _marked(pieces: DataFrame) -> DataFrame:
@@ -65,7 +73,7 @@ def _split_starts(marked: DataFrame) -> DataFrame:
     return started.select(*SPLIT, "_start", F.last(begun, ignorenulls=True).over(earlier).alias("_open_block"))
 
 
-def split_records(spark: SparkSession, path: str | list[str], files: list[str]) -> DataFrame:
+def split_records(spark: SparkSession, path: str | list[str], files: Column) -> DataFrame:
     """One row per child of the root: file, block and line of its start, its XML as `record`, its local `tag`."""
     marked = _marked(_pieces(spark, path, files))
     known = marked.join(_split_starts(marked), SPLIT)

@@ -10,6 +10,7 @@ import pytest
 from lakelens.operators.csv_check import check_csv_files
 from lakelens.operators.paging import _within_files, page, page_after, page_flags, page_frame
 from lakelens.operators.project import project_existing, project_requested
+from lakelens.sources import position
 from lakelens.sources.csv import read_csv
 from lakelens.sources.files import list_directory
 from lakelens.sources.parquet import parquet_schema, read_parquet
@@ -402,3 +403,13 @@ def test_csv_odd_quotes(spark, tmp_path):
     assert [tuple(row) for row in page(df).rows] == [
         ('5" pipe', "1"), ('x\n5",y', "2"), ('"', "3"), ('u"v"', "w\n\n"), ("", "z"),
     ]
+
+
+def test_too_many_files_to_name(spark, lake_file, monkeypatch):
+    monkeypatch.setattr(position, "MAX_NAMED_FILES", 0)
+    lake_file("a.csv", "id,t\n1,x\n2,y\n", "named")
+    folder = lake_file("b.csv", 'id,t\n3,"x\n3b"\n4,z\n', "named").rsplit("/", 1)[0]
+    found = csv_page(spark, folder)
+    assert [tuple(row) for row in found.rows] == [("1", "x"), ("2", "y"), ("3", "x\n3b"), ("4", "z")]
+    path = lake_file("c.xml", "<r><!-- <p> --><p><k>1</k></p></r>")
+    assert values(page(read_xml(spark, path, "p", position=True, whole_file_bytes=0)).rows, "k") == ["1"]
