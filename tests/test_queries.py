@@ -21,7 +21,8 @@ ONLY_ROWS = {"file_inventory", "file_info", "search_fetch"}
 def duck():
     connection = duckdb.connect()
     for path in Path(QUERY_SF).glob("*.parquet"):
-        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+        files = f"{path}/*.parquet" if path.is_dir() else path
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{files}')")
     return connection
 
 
