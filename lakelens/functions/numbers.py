@@ -17,8 +17,9 @@ NUMBER_PATTERN = rf"^{_BLANK}(?:[+-]?{_UNSIGNED}|{_UNSIGNED}[+-]){_BLANK}$"
 MAX_MAGNITUDE = Decimal("79228162514264337593543950335")
 
 _BLANK_CHARACTERS = " \t\n\x0b\f\r"
-COARSE = "decimal(38,10)"
 FINE = "decimal(38,28)"
+COARSE = "decimal(38,10)"
+WHOLE = "decimal(38,0)"
 
 
 def parse_number(text: str) -> Decimal | None:
@@ -40,13 +41,17 @@ def plain_digits(column: Column) -> Column:
 
 
 def compare_number(column: Column, number: Decimal, compare) -> Column:
-    """`compare(cell, number)` for a text cell; NULL when the cell is no number that fits a decimal.
+    """`compare(cell, number)` for a text cell; NULL when the cell is no number within `MAX_MAGNITUDE`.
 
-    Values below 1e10 are compared to 28 decimals, larger ones to 10.
+    Values below 1e10 are compared to 28 decimals, values below 1e28 to 10, larger ones as whole numbers.
     """
     digits = plain_digits(column)
-    coarse = compare(digits.try_cast(COARSE), F.lit(f"{number:f}").try_cast(COARSE))
-    if abs(number) >= Decimal(10) ** 10:
-        return coarse
-    fine = compare(digits.try_cast(FINE), F.lit(f"{number:f}").try_cast(FINE))
-    return F.coalesce(fine, coarse)
+
+    def at(kind: str) -> Column:
+        return compare(digits.try_cast(kind), F.lit(f"{number:f}").try_cast(kind))
+
+    # A zero with any exponent is zero, but does not cast to a decimal.
+    zero = F.when(digits.rlike(r"^[+-]?[0.]+([eE].*)?$"), F.lit(bool(compare(Decimal(0), number))))
+    whole = F.when(F.abs(digits.try_cast(WHOLE)) <= F.lit(str(MAX_MAGNITUDE)).cast(WHOLE), at(WHOLE))
+    scales = [FINE, COARSE] if abs(number) < Decimal(10) ** 10 else [COARSE]
+    return F.coalesce(*map(at, scales), zero, whole)

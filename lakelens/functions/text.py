@@ -49,5 +49,11 @@ def cell_text(column: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return _real_text(column)
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.date_format(column, "MM/dd/yyyy HH:mm:ss")
+        if isinstance(data_type, T.TimestampType):
+            column = F.to_utc_timestamp(column, F.current_timezone())
+        return F.regexp_replace(
+            F.concat(column.cast("string"), F.lit(" 00:00:00")),
+            r"^(\d+)-(\d+)-(\d+) (\d+:\d+:\d+).*$",
+            "$2/$3/$1 $4",
+        )
     return column.cast("string")
