@@ -1,9 +1,9 @@
 """Tabular XML: a root element whose children are records.
 
-Column names come from the first record, read from the head of the first file. The rows of files up to
-`WHOLE_FILE_BYTES` come from Spark's XML reader, one streaming task per file; it finds the record tag at any depth
-and takes tags case by case. `strict=True` visits exactly the root's children. Larger files are cut into their
-records first, so that many tasks share them.
+Column names come from the first record, read from the head of the first file. The rows come from Spark's XML
+reader, one streaming task per file; it finds the record tag at any depth and takes tags case by case.
+`strict=True` visits exactly the root's children, holding one file at a time. Files too large for that are cut
+into their records first, so that many tasks share them.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ HEAD_TAGS = 4_096
 ATTRIBUTE = "@"
 PIECE_BYTES = 1 << 20
 BATCH_RECORDS = 10_000
+# Larger files are cut into records: a streaming task handles more than one that holds a whole file.
+STREAMED_FILE_BYTES = 1 << 30
 WHOLE_FILE_BYTES = 256 << 20
 XML_SCHEMA = "name string, is_attribute boolean"
 
@@ -119,7 +121,7 @@ def _strict_files(
             for file, content in zip(batch[FILE], batch["content"]):
                 pieces = (content[i : i + PIECE_BYTES] for i in range(0, len(content), PIECE_BYTES))
                 rows = []
-                for index, found in enumerate(iter_records(pieces, record)):
+                for index, found in enumerate(iter_records(pieces, record, complete=True)):
                     values = found.values()
                     rows.append([*(values.get(key) for key in keys), file, 0, index])
                     if len(rows) == BATCH_RECORDS:
@@ -153,7 +155,7 @@ def read_xml(
     filters: Iterable | None = None,
     strict: bool = False,
     position: bool = False,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    whole_file_bytes: int | None = None,
 ) -> DataFrame:
     """Text rows of the records; attributes first, then child elements.
 
@@ -168,6 +170,8 @@ def read_xml(
     upper = {name.upper() for name in known}
     names = known + [name for name in dict.fromkeys(columns or []) if name.upper() not in upper]
     tags = list(dict.fromkeys(found.name for found in head))
+    if whole_file_bytes is None:
+        whole_file_bytes = WHOLE_FILE_BYTES if strict else STREAMED_FILE_BYTES
     cut = files_to_cut(spark, path, whole_file_bytes)
     if cut is not None:
         records = split_records(spark, path, cut)

@@ -102,11 +102,14 @@ class _RecordBuilder:
 
 
 def iter_records(
-    pieces: Iterable[bytes], record: str | None = None, namespaces: dict[str, str] | None = None
+    pieces: Iterable[bytes],
+    record: str | None = None,
+    namespaces: dict[str, str] | None = None,
+    complete: bool = False,
 ) -> Iterator[XmlRecord]:
     """Records of the document given in pieces; `record` keeps root children of that name, ignoring case.
 
-    `namespaces` receives the prefixes the root declares.
+    `namespaces` receives the prefixes the root declares. A `complete` document must end with its root.
     """
     builder = _RecordBuilder()
     parser = expat.ParserCreate(namespace_separator=" ")
@@ -121,6 +124,8 @@ def iter_records(
         for found in ready:
             if record is None or found.name.upper() == record.upper():
                 yield found
+    if complete:
+        parser.Parse(b"", True)
 
 
 def parse_record(text: str, namespaces: dict[str, str]) -> XmlRecord:

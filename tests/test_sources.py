@@ -282,6 +282,9 @@ def test_xml_cells(spark, lake_file, strict):
 def test_xml_strict_depth_and_doctype(spark, lake_file):
     path = lake_file("n.xml", "<r><p><k>1</k><p><k>2</k></p></p><p><k>3</k></p></r>")
     assert values(xml_page(spark, path, True).rows, "k") == ["1", "3"]
+    cut_off = lake_file("c.xml", "<r><p><k>1</k></p><p><k>2</k>")
+    with pytest.raises(Exception, match="no element found"):
+        read_xml(spark, cut_off, strict=True).collect()
     bad = lake_file("d.xml", '<!DOCTYPE r [<!ENTITY e "x">]><r><p><k>&e;</k></p></r>')
     with pytest.raises(ValueError, match="DOCTYPE"):
         read_xml(spark, bad)
