@@ -32,7 +32,9 @@ FOLDERS = {
 PROJECT = "ProjectId"
 PRODUCT = "ProductId"
 ELEMENT = "WorkBreakdownElementId"
-# Project codes up to this many become literals of the scan filter; more are joined.
+# Type of amounts and quantities kept as text.
+AMOUNT = "decimal(20,4)"
+# Project ids up to this many become literals of the scan filter; more are joined.
 MAX_LITERALS = 1_000
 
 
@@ -71,6 +73,41 @@ def read_folder(
     return rows.select(*[F.col(f"`{column}`") for column in user_columns(rows)], stem.alias("project_file"))
 
 
+def _typed(name: str) -> Column:
+    """A text cell as the type its column name stands for; text that does not fit fails the job."""
+    cell = F.col(f"`{name}`")
+    filled = F.when(F.trim(cell) != "", F.trim(cell))
+    if name.endswith(("Amount", "Quantity", "Perc", "UnitCost")):
+        return filled.cast(AMOUNT)
+    if name.endswith("Date"):
+        slashed = F.to_timestamp(F.when(F.contains(filled, F.lit("/")), filled), "MM/dd/yyyy[ HH:mm:ss]")
+        dashed = F.when(~F.contains(filled, F.lit("/")), filled)
+        return F.coalesce(slashed.cast("date"), dashed.cast("date"))
+    if name.endswith(("Month", "Year")):
+        return filled.cast("int")
+    return F.lower(filled).cast("boolean") if name.startswith("Is") or name.endswith("IsCurrent") else cell
+
+
+def read_model(
+    spark: SparkSession, root: str, format: str = "csv", delimiter: str = ";", projects: Iterable[str] | None = None
+) -> CostModel:
+    """The eight folders of a lake. CSV cells are typed by their column names.
+
+    `projects` keeps the files named after these project ids; the others are not opened. The project,
+    product and work breakdown tables are read whole.
+    """
+    files = None if projects is None else list(projects)
+    tables = {}
+    for table, folder in FOLDERS.items():
+        whole = table in ("projects", "products", "work_breakdown_elements")
+        rows = read_folder(spark, f"{root.rstrip('/')}/{folder}", format, delimiter, None if whole else files)
+        rows = rows.drop("project_file")
+        if format == "csv":
+            rows = rows.select(*[_typed(name).alias(name) for name in rows.columns])
+        tables[table] = rows
+    return CostModel(**tables)
+
+
 def project_ids(projects: DataFrame, codes: Iterable[str], code: str = "MnemoncId") -> DataFrame:
     """Ids of the projects with the given codes, ignoring case."""
     wanted = [fold_literal(value) for value in codes]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakelens.plans import measures
 from lakelens.plans.evm import critical_flags, evm, missing_cutoff
-from lakelens.plans.model import CostModel, in_projects, project_ids, read_folder, scoped, with_dimensions
+from lakelens.plans.model import CostModel, in_projects, project_ids, read_folder, read_model, scoped, with_dimensions
 
 DAY = dt.date
 
@@ -109,6 +109,27 @@ def test_folder_of_projects(spark, lake_file):
     assert read_folder(spark, folder, files=["g2"]).count() == 2
 
 
+def test_model_from_folders(spark, lake_file):
+    facts = "ProjectId;ProductId;WorkBreakdownElementId;Date;Month;Year;CostAmount"
+    lake_file("g1.csv", "ProjectId;MnemoncId;CutoffDate\ng1;Alfa;2024-06-30\n", "Projects")
+    lake_file("g2.csv", "ProjectId;MnemoncId;CutoffDate\ng2;Beta;\n", "Projects")
+    lake_file("g1.csv", "ProductId;Description;PlannedUnitCost;IsSafetyBurden\n1;brick;2.5;True\n", "Products")
+    lake_file("g1.csv", "WorkBreakdownElementId;Description\n7;roof\n", "WorkBreakdownElements")
+    lake_file("g1.csv", f"{facts};EarnAmount\ng1;1;7;05/01/2024 00:00:00;5;2024;100.25;150\n", "BuildingRequirements")
+    lake_file("g2.csv", f"{facts};EarnAmount\ng2;1;7;2024-05-01;5;2024;30;\n", "BuildingRequirements")
+    lake_file("g1.csv", f"{facts}\ng1;1;7;2024-05-01;5;2024;80\n", "Orders")
+    lake_file("g1.csv", f"{facts};JPSAmount;EVAmount\ng1;1;7;2024-05-03T08:00:00;5;2024;120;130;90\n", "EarnCostAccountings")
+    lake_file("g1.csv", "ProjectId;CreationDate;CostAmount\ng1;2024-01-01;3\n", "PurchaseRequests")
+    path = lake_file("g1.csv", "ProjectId;CertificateType;NetAmount\ng1;A;5\n", "PaymentCertificates")
+    found = read_model(spark, path.rsplit("/", 2)[0])
+    first = by_project(evm(found))["g1"]
+    assert [first[n] for n in ("bac", "pv", "ac", "ev")] == [Decimal("100.25"), Decimal("100.25"), 120, 90]
+    assert by_project(measures.totals(found, ["planned_revenue"]))["g2"]["planned_revenue"] is None
+    assert found.products.first().IsSafetyBurden is True
+    only = read_model(spark, path.rsplit("/", 2)[0], projects=["g2"])
+    assert set(by_project(measures.totals(only, ["planned_cost"]))) == {"g2"}
+
+
 def test_hot_product_is_split(spark, model):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
