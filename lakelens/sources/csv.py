@@ -76,31 +76,48 @@ def _raw_schema(width: int) -> str:
 
 
 def _scan(
-    spark: SparkSession, path: str | list[str], delimiter: str, header: bool, width: int, multiline: bool
+    spark: SparkSession, path: str | list[str], delimiter: str, header: list[str] | None, width: int, multiline: bool
 ) -> DataFrame:
-    reader = spark.read.schema(_raw_schema(width)).options(**_options(delimiter, header, multiline))
-    return with_split_position(reader.csv(path))
+    """Raw cells of the line-wise or the multi-line reader; every file has to have the given header."""
+    reader = spark.read.options(**_options(delimiter, header is not None, multiline))
+    internal = [f"_{i}" for i in range(width)]
+    # Spark compares headers by name, which a repeated or empty name does not allow.
+    if header is None or "" in header or len({name.lower() for name in header}) < width:
+        return with_split_position(reader.schema(_raw_schema(width)).csv(path))
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, RAW_RECORD]])
+    raw = with_split_position(reader.schema(schema).option("enforceSchema", "false").csv(path))
+    return raw.toDF(*internal, RAW_RECORD, FILE, BLOCK)
 
 
 def _assembled_scan(
-    spark: SparkSession, path: str | list[str], delimiter: str, header: bool, width: int, files: list[str] | None
+    spark: SparkSession,
+    path: str | list[str],
+    delimiter: str,
+    header: list[str] | None,
+    width: int,
+    files: list[str] | None,
 ) -> DataFrame:
     """Files with records of several lines, split like any other file; None stands for every file."""
     lines = with_split_position(spark.read.option("lineSep", "\n").text(path))
     lines = lines if files is None else lines.filter(F.col(FILE).isin(files))
     records = assembled_records(lines, re.escape(delimiter))
-    if header:
-        records = records.filter(~F.col("is_first"))
     options = {name: str(value) for name, value in _options(delimiter, False, False).items()}
-    cells = F.from_csv(F.col("record"), _raw_schema(width), options)
-    return records.select(cells.alias("_cells"), FILE, BLOCK, LINE).select("_cells.*", FILE, BLOCK, LINE)
+    cells = F.from_csv(F.col("record"), _raw_schema(width), options).alias("_cells")
+    rows = records.select(cells, FILE, BLOCK, LINE, "is_first").select("_cells.*", FILE, BLOCK, LINE, "is_first")
+    if header is not None:
+        found = F.array(*[F.lower(F.coalesce(f"_{i}", F.lit(""))) for i in range(width)])
+        expected = F.array(*[F.lit(name.lower()) for name in header])
+        same = F.col(RAW_RECORD).isNull() & (F.regexp_replace(F.array_join(found, delimiter), "^\ufeff", "") == F.array_join(expected, delimiter))
+        other = F.raise_error(F.concat(F.lit("CSV header differs from that of the first file: "), F.col(FILE)))
+        rows = rows.filter(F.when(~F.col("is_first"), F.lit(True)).when(same, F.lit(False)).otherwise(other.cast("boolean")))
+    return rows.drop("is_first")
 
 
 def _records(
     spark: SparkSession,
     path: str | list[str],
     delimiter: str,
-    header: bool,
+    header: list[str] | None,
     width: int,
     multiline: bool | None,
     numbered: bool = False,
@@ -124,7 +141,7 @@ def _records(
 def scan_records(spark: SparkSession, path: str | list[str], delimiter: str) -> DataFrame:
     """One row per record: file, block, `n_fields` and a row number without gaps inside the block."""
     # With a schema of one column the parser hands over every wider record as raw text.
-    raw = _records(spark, path, delimiter, False, 1, None, numbered=True)
+    raw = _records(spark, path, delimiter, None, 1, None, numbered=True)
     row = F.monotonically_increasing_id()
     row = F.coalesce(LINE, row) if LINE in raw.columns else row
     # A scan must use some column besides the raw record; every record has at least one field.
@@ -142,7 +159,7 @@ def read_csv(
     multiline: bool | None = None,
     position: bool = False,
 ) -> DataFrame:
-    """All-text rows of delimited files.
+    """All-text rows of delimited files, which must agree in their header.
 
     Without a header the columns are `column_0 …`, as many as the first record has fields. When a header
     repeats a name, the column holds the last value and a filter looks at the first. `position` adds the
@@ -156,7 +173,7 @@ def read_csv(
     names = first if has_header else [f"column_{i}" for i in range(len(first))]
     if not names:
         return spark.createDataFrame([], T.StructType([]))
-    raw = _records(spark, path, delimiter, has_header, len(names), multiline)
+    raw = _records(spark, path, delimiter, names if has_header else None, len(names), multiline)
     where_at = [name for name in (FILE, BLOCK, LINE) if name in raw.columns]
     rows = raw.select(*_cells(raw, len(names)), *where_at)
     predicate = build_predicate(rows.schema, filters, names)

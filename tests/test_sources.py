@@ -112,6 +112,16 @@ def test_csv_first_file_empty(spark, lake_file):
     assert [tuple(r) for r in csv_page(spark, folder).rows] == [("1", "2")]
 
 
+@pytest.mark.parametrize("last", ["5", '"5\n6"'])
+def test_csv_headers_must_agree(spark, lake_file, last):
+    lake_file("a.csv", f"id,t\n1,{last}\n", "headers")
+    folder = lake_file("b.csv", f"ID,T\n2,{last}\n", "headers").rsplit("/", 1)[0]
+    assert read_csv(spark, folder).count() == 2
+    lake_file("c.csv", f"t,id\n{last},3\n", "headers")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, folder).collect()
+
+
 def test_csv_duplicate_header(spark, lake_file):
     path = lake_file("t.csv", "id,v,v\n1,a,b\n2,c,d\n")
     assert [tuple(r) for r in read_csv(spark, path).orderBy("id").collect()] == [("1", "b"), ("2", "d")]
@@ -383,7 +393,7 @@ def test_random_csv(spark, tmp_path, seed, delimiter, quoting):
     dialect = {"delimiter": delimiter, "quoting": quoting}
     write_rows(folder / "0.csv", header + rows[:150], lineterminator="\n", **dialect)
     write_rows(folder / "1.csv", header + rows[150:], lineterminator="\r\n", **dialect)
-    write_rows(folder / "2.csv", [["x", "y", "z"], ["k", "l", ""]], lineterminator="\n", **dialect)
+    write_rows(folder / "2.csv", [*header, ["k", "l", ""]], lineterminator="\n", **dialect)
     previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
     try:
