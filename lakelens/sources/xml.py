@@ -8,8 +8,10 @@ into their records first, so that many tasks share them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +21,7 @@ from pyspark.sql import types as T
 from lakelens.functions.predicates import where
 from lakelens.operators.project import project_requested
 from lakelens.sources.position import BLOCK, FILE, LINE, input_files, with_split_position
-from lakelens.sources.xml_records import XmlRecord, iter_records, parse_record
+from lakelens.sources.xml_records import XmlRecord, iter_records, parse_record, root_tag
 from lakelens.sources.xml_split import files_to_cut, split_records
 
 HEAD_TAGS = 4_096
@@ -32,24 +34,53 @@ WHOLE_FILE_BYTES = 256 << 20
 XML_SCHEMA = "name string, is_attribute boolean"
 
 
-def _head(spark: SparkSession, path: str | list[str], tags: int) -> list[bytes]:
-    """The first `tags` tags of the first file, cut after each `>`; long lines do no harm."""
-    pieces = with_split_position(spark.read.option("lineSep", ">").text(path))
-    head = pieces.filter((F.col(FILE) == input_files(pieces)[0]) & (F.col(BLOCK) == 0)).select("value").limit(tags)
+def _head(pieces: DataFrame, file: str, tags: int) -> list[bytes]:
+    """The first `tags` tags of a file, cut after each `>`; long lines do no harm."""
+    head = pieces.filter((F.col(FILE) == file) & (F.col(BLOCK) == 0)).select("value").limit(tags)
     return [(row[0] + ">").encode() for row in head.collect()]
 
 
+def _from_first_tag(spark: SparkSession, path: str | list[str], record: str, tags: int) -> list[bytes]:
+    """The first tag of that name and the tags after it, wherever in the files it is."""
+    pieces = with_split_position(spark.read.option("lineSep", "<").text(path))
+    opening = F.col("value").rlike(rf"(?i)^(?:[^\s/>:]+:)?{re.escape(record)}(?=[\s/>])")
+    file = pieces.filter(opening).agg(F.min(FILE)).first()[0]
+    if file is None:
+        return []
+    inside = pieces.filter(F.col(FILE) == file).withColumn(LINE, F.monotonically_increasing_id())
+    first = inside.filter(opening).agg(F.min(F.struct(BLOCK, LINE))).first()[0]
+    same_block = (F.col(BLOCK) == first[BLOCK]) & (F.col(LINE) >= first[LINE])
+    following = inside.filter(same_block | (F.col(BLOCK) > first[BLOCK]))
+    return [("<" + row[0]).encode() for row in following.orderBy(BLOCK, LINE).limit(tags).select("value").collect()]
+
+
 def _first_records(
     spark: SparkSession, path: str | list[str], record: str | None, namespaces: dict[str, str] | None = None
 ) -> list[XmlRecord]:
-    """Records at the head of the first file; looks further until at least one is complete."""
+    """Records at the head of the first file, else the first one wherever it is, read on to its end."""
+    namespaces = {} if namespaces is None else namespaces
+    pieces = with_split_position(spark.read.option("lineSep", ">").text(path))
+    for file in input_files(pieces):
+        tags = HEAD_TAGS
+        while True:
+            namespaces.clear()
+            head = _head(pieces, file, tags)
+            records = list(iter_records(head, record, namespaces))
+            if records:
+                return records
+            if record is not None or len(head) < tags:
+                break
+            tags *= 8
+        if record is not None:
+            break
     tags = HEAD_TAGS
-    while True:
-        pieces = _head(spark, path, tags)
-        records = list(iter_records(pieces, record, namespaces))
-        if records or len(pieces) < tags:
+    while record is not None:
+        found = _from_first_tag(spark, path, record, tags)
+        records = list(islice(iter_records([root_tag(namespaces), *found], record), 1))
+        if records or len(found) < tags:
             return records
         tags *= 8
+    return []
 
 
 def xml_schema(spark: SparkSession, path: str | list[str], record: str | None = None) -> DataFrame:

@@ -128,7 +128,11 @@ def iter_records(
         parser.Parse(b"", True)
 
 
+def root_tag(namespaces: dict[str, str]) -> bytes:
+    """A root that declares `namespaces`, to read records cut out of their document."""
+    declared = "".join(f" xmlns:{prefix}={quoteattr(uri)}" for prefix, uri in namespaces.items())
+    return f"<r{declared}>".encode()
+
+
 def parse_record(text: str, namespaces: dict[str, str]) -> XmlRecord:
-    """One record cut out of a document whose root declared `namespaces`."""
-    declared = "".join(f' xmlns:{prefix}={quoteattr(uri)}' for prefix, uri in namespaces.items())
-    return next(iter_records([f"<r{declared}>".encode(), text.encode()]))
+    return next(iter_records([root_tag(namespaces), text.encode()]))

@@ -10,7 +10,7 @@ import pytest
 from lakelens.operators.csv_check import check_csv_files
 from lakelens.operators.paging import _within_files, page, page_after, page_flags, page_frame
 from lakelens.operators.project import project_existing, project_requested
-from lakelens.sources import position
+from lakelens.sources import position, xml
 from lakelens.sources.csv import read_csv
 from lakelens.sources.files import list_directory
 from lakelens.sources.parquet import parquet_schema, read_parquet
@@ -289,6 +289,23 @@ def test_xml_cells(spark, lake_file, strict):
     assert rows[1].asDict() == {"id": "2", "n": " sp ", "e": "", "c": None, "d": "q", "t": None}
 
 
+def test_xml_record_far_from_the_head(spark, lake_file, monkeypatch):
+    monkeypatch.setattr(xml, "HEAD_TAGS", 16)
+    long = "".join(f"<f{i}>{i}</f{i}>" for i in range(40))
+    others = "".join(f"<Other id='{i}'><x>1</x></Other>" for i in range(100))
+    path = lake_file("far.xml", f"<r xmlns:a='urn:a'>{others}<a:P n='1'>{long}</a:P><a:P n='2'><f3>z</f3></a:P></r>")
+    assert xml_schema(spark, path, "p").count() == 41
+    assert xml_schema(spark, path, "q").count() == 0
+    found = xml_page(spark, path, False, record="p", columns=["n", "f3"])
+    assert [tuple(row) for row in found.rows] == [("1", "3"), ("2", "z")]
+    lake_file("a.xml", "<r/>", "several")
+    several = lake_file("b.xml", "<r><P><k>1</k></P></r>", "several").rsplit("/", 1)[0]
+    assert [tuple(row) for row in xml_page(spark, several, False).rows] == [("1",)]
+    assert [tuple(row) for row in xml_page(spark, several, False, record="P").rows] == [("1",)]
+    whole = lake_file("whole.xml", f"<r><P>{long}</P></r>")
+    assert xml_schema(spark, whole).count() == 40
+
+
 def test_xml_strict_depth_and_doctype(spark, lake_file):
     path = lake_file("n.xml", "<r><p><k>1</k><p><k>2</k></p></p><p><k>3</k></p></r>")
     assert values(xml_page(spark, path, True).rows, "k") == ["1", "3"]
