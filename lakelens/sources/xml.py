@@ -14,6 +14,7 @@ from functools import reduce
 from itertools import islice
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,9 +22,13 @@ from pyspark.sql import types as T
 from lakelens.functions.predicates import where
 from lakelens.operators.project import project_requested
 from lakelens.sources.position import BLOCK, FILE, LINE, input_files, with_split_position
+from lakelens.sources import xml_records
 from lakelens.sources.xml_records import XmlRecord, iter_records, parse_record, root_tag
 from lakelens.sources.xml_split import files_to_cut, split_records
 
+# Executors need not have this package installed: the record reader travels with the job.
+cloudpickle.register_pickle_by_value(xml_records)
+
 HEAD_TAGS = 4_096
 ATTRIBUTE = "@"
 PIECE_BYTES = 1 << 20
