@@ -49,3 +49,13 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 )
 def op3_url_filters(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
+
+
+# --- op2
+
+from lakelens.llm.mixing import mix  # noqa: E402
+
+
+@query("op2_source_mix")
+def op2_source_mix(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
