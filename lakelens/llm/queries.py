@@ -59,3 +59,23 @@ from lakelens.llm.mixing import mix  # noqa: E402
 @query("op2_source_mix")
 def op2_source_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+# --- op10
+
+from lakelens.llm.columns import written  # noqa: E402
+from lakelens.llm.warc import archive_folder, read_records, transactions, with_revisited, write_archives  # noqa: E402
+
+
+@query("op10_warc")
+def op10_warc(spark, sf_dir):
+    folder = archive_folder(spark)
+    archives = write_archives(table(spark, sf_dir, "pages"), folder)
+    records = written(read_records(archives, folder, keep_payload=False), "warc-records")
+    return with_revisited(transactions(records)).selectExpr(
+        "capture_id AS page_id",
+        "response.payload_bytes",
+        "response.digest AS payload_digest",
+        "response.type AS record_type",
+        "refers_to",
+    )
