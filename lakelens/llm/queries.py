@@ -79,3 +79,27 @@ def op10_warc(spark, sf_dir):
         "response.type AS record_type",
         "refers_to",
     )
+
+
+# --- op9
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from lakelens.llm.top_k import top_k  # noqa: E402
+
+
+@query(
+    "op9_top_k",
+    """
+    WITH usable AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+)
+def op9_top_k(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
