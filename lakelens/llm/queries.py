@@ -103,3 +103,19 @@ from lakelens.llm.top_k import top_k  # noqa: E402
 )
 def op9_top_k(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+# --- op7
+
+import public_tokenizers  # noqa: E402
+
+from lakelens.llm.token_files import read_token_files, token_folder, write_token_files  # noqa: E402
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op7_token_files")
+def op7_token_files(spark, sf_dir):
+    folder = token_folder(spark)
+    files = write_token_files(table(spark, sf_dir, "documents"), VOCABULARY, folder)
+    return read_token_files(written(files, "token-files"), folder)
