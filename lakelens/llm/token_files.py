@@ -29,6 +29,8 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -40,28 +42,34 @@ from lakelens.session import scratch_path
 
 MAGIC = b"LLIDSEF1"
 HEAD = struct.Struct("<8sQQQqB")
-#: Characters a range of documents holds; ids a file holds (its last document may exceed that).
+#: Characters a range of documents holds; ids after which a file is closed.
 RANGE_CHARS = 64 << 20
 FILE_IDS = 8 << 20
 #: Characters tokenized together, and pieces whose ids a worker keeps.
-STEP_CHARS = 1 << 20
-KEPT_PIECES = 600_000
-
-RUNS = re.compile(r"[ \n]{2}|[^\S \n]")
-UNSAFE = re.compile(r"[\x00\x1c-\x1f]")
+STEP_CHARS = 4 << 20
+KEPT_PIECES = 800_000
+
+#: White space that is not one blank or line feed between other characters, and the separators used below.
+SPACES = r"\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+UNEVEN = rf"[ \n][ \n]|[\x00-\x02{SPACES}]"
+#: Texts with these go through the tokenizer whole; its white space is not Python's there.
+WHOLE = re.compile(r"[\x1c-\x1f]")
 PIECES = re.compile(r"\s+(?=\s\S)|\s+\Z| ?\S+|\s")
+CUT, END, OTHER = "\0", "\1", "\2"
 _encoders: dict[int, Encoder] = {}
 
 
 class Encoder:
-    """Ids of texts as bytes, little-endian, with the ids of known pieces kept."""
+    """Ids of texts, with the ids of pieces seen lately kept."""
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join([UNSAFE.pattern, *map(re.escape, added)]))
-        self.known: dict[str, bytes] = {}
+        self.uneven = "|".join([UNEVEN, *map(re.escape, added)])
+        self.whole = re.compile("|".join([WHOLE.pattern, *map(re.escape, added)]))
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, vocabulary: str) -> Encoder:
@@ -71,44 +79,76 @@ class Encoder:
             _encoders[key] = cls(vocabulary)
         return _encoders[key]
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _cut(self, text: str) -> list[str] | None:
-        if self.special.search(text):
-            return None
-        if RUNS.search(text):
-            return PIECES.findall(text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        known, cut = self.known, [self._cut(text) for text in texts]
-        known[""] = b""
-        new = set().union(*(pieces for pieces in cut if pieces)).difference(known)
-        ended = [p for p in new if len(p) > 2 and p[-1] in ".,;:!?" and p[-2].isalpha()]
-        words = list((new.difference(ended) | {p[:-1] for p in ended} | {p[-1] for p in ended}).difference(known))
+    def _new(self, words: list[str]) -> None:
         for a in range(0, len(words), 1000):
             some = words[a : a + 1000]
             encoding = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
             ids, at = np.array(encoding.ids, self.kind), np.array(encoding.word_ids, np.int64)
-            ends = np.searchsorted(at, np.arange(len(some) + 1)) * ids.itemsize
+            ends = (np.searchsorted(at, np.arange(len(some) + 1)) * ids.itemsize).tolist()
             data = ids.tobytes()
-            known.update((word, data[ends[i] : ends[i + 1]]) for i, word in enumerate(some))
-        known.update((p, known[p[:-1]] + known[p[-1]]) for p in ended)
-        return [self.whole(text) if pieces is None else b"".join(map(known.__getitem__, pieces)) for text, pieces in zip(texts, cut)]
-
-
-def pack(doc_ids: list[int | None], parts: list[bytes], kind: str) -> bytes:
-    """One file. doc_ids ascend, nulls first; parts are the documents' ids."""
-    width = np.dtype(kind).itemsize
+            self.recent.update((word, data[ends[i] : ends[i + 1]]) for i, word in enumerate(some))
+
+    def pieces(self, wanted: list[str]) -> list[bytes]:
+        """Ids of distinct pieces. A word and the stop or comma after it are known apart."""
+        if len(self.recent) > KEPT_PIECES // 2:
+            self.older, self.recent = self.recent, {}
+        recent, older, new, ended = self.recent, self.older, set(), []
+        for piece in wanted:
+            if piece in recent:
+                continue
+            if piece in older:
+                recent[piece] = older[piece]
+            elif len(piece) > 2 and piece[-1] in ".,;:!?" and piece[-2].isalpha():
+                ended.append(piece)
+                new.update(part for part in (piece[:-1], piece[-1]) if part not in recent)
+            else:
+                new.add(piece)
+        self._new(list(new))
+        recent.update((piece, recent[piece[:-1]] + recent[piece[-1]]) for piece in ended)
+        return [recent[piece] for piece in wanted]
+
+    def _uneven(self, text: str) -> bytes:
+        if self.whole.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        cut = PIECES.findall(text)
+        distinct = list(set(cut))
+        ids = dict(zip(distinct, self.pieces(distinct)))
+        return b"".join([ids[piece] for piece in cut])
+
+    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, the end id after each, and the number of ids of each."""
+        column = pa.array(texts, pa.large_string())
+        others = {}
+        for i in np.flatnonzero(pc.match_substring_regex(column, self.uneven).to_numpy(zero_copy_only=False)).tolist():
+            others[i] = self._uneven(texts[i])
+        if others:
+            column = pa.array([f"{OTHER}{i}" if i in others else text for i, text in enumerate(texts)], pa.large_string())
+        column = pc.binary_join_element_wise(column, pa.scalar(END, pa.large_string()), pa.scalar(CUT, pa.large_string()))
+        column = pc.replace_substring(pc.replace_substring(column, " ", f"{CUT} "), "\n", f"{CUT}\n{CUT}")
+        cut = pc.split_pattern(column, CUT)
+        coded = cut.flatten().dictionary_encode()
+        bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        names = coded.dictionary.to_pylist()
+        plain = [name for name in names if name and name[0] not in (END, OTHER)]
+        ids = dict(zip(plain, self.pieces(plain))) | {f"{OTHER}{i}": part for i, part in others.items()}
+        ids |= {"": b"", END: np.array([end_id], self.kind).tobytes()}
+        parts = [ids[name] for name in names]
+        width = np.dtype(self.kind).itemsize
+        lengths = np.array([len(part) for part in parts], np.int64) // width
+        starts = np.cumsum(lengths) - lengths
+        at = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(lengths[at])])
+        places = np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], lengths[at])
+        return np.frombuffer(b"".join(parts), self.kind)[places], np.diff(ends[bounds])
+
+
+def pack(doc_ids: list[int | None], ids: np.ndarray, lengths: np.ndarray) -> bytes:
+    """One file. doc_ids ascend, nulls first; `ids` are those of all documents, `lengths` how many each has."""
     known = np.array([d for d in doc_ids if d is not None], np.int64)
     least = int(known[0]) if len(known) else 0
-    ends = np.cumsum([len(p) // width for p in parts], dtype=np.uint64)
-    head = HEAD.pack(MAGIC, len(parts), int(ends[-1]) if len(ends) else 0, len(parts) - len(known), least, width)
+    head = HEAD.pack(MAGIC, len(doc_ids), len(ids), len(doc_ids) - len(known), least, ids.itemsize)
     apart = known.astype(np.uint64) - np.int64(least).astype(np.uint64)
-    return b"".join([head, *parts, EliasFano.of(ends).to_bytes(), EliasFano.of(apart).to_bytes()])
+    return b"".join([head, ids.tobytes(), EliasFano.of(np.cumsum(lengths)).to_bytes(), EliasFano.of(apart).to_bytes()])
 
 
 class TokenFile:
@@ -147,32 +187,32 @@ def write_token_files(
     vocabulary = Path(vocabulary_path).read_text(encoding="utf-8")
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     chars = chosen.agg(F.sum(F.length("text"))).first()[0] or 0
-    ranges = max(1, math.ceil(chars / RANGE_CHARS), min(4 * spark.sparkContext.defaultParallelism, math.ceil(chars / STEP_CHARS)))
+    ranges = max(1, math.ceil(chars / RANGE_CHARS), min(4 * spark.sparkContext.defaultParallelism, math.ceil(chars / (1 << 20))))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, (store, base) = Encoder.of(vocabulary), file_store(folder)
         store.create_dir(base, recursive=True)
-        end = np.array([end_id], encoder.kind).tobytes()
-        doc_ids, parts, held, done, shard = [], [], 0, [], None
+        doc_ids, ids, lengths, held, done, shard = [], [], [], 0, [], None
 
         def flush():
             name = f"{shard:06d}-{len(done):06d}-{uuid.uuid4().hex}.ids"
             with store.open_output_stream(f"{base}/.{name}.partial", compression=None) as out:
-                out.write(pack(doc_ids, parts, encoder.kind))
+                out.write(pack(doc_ids, np.concatenate(ids), np.concatenate(lengths)))
             store.move(f"{base}/.{name}.partial", f"{base}/{name}")
-            done.append((name, shard, len(done), len(parts), held // len(end)))
+            done.append((name, shard, len(done), len(doc_ids), held))
 
         for batch in batches:
-            for ids, texts in _steps(batch):
-                shard = int(batch["range"].iloc[0])
-                for d, part in zip(ids, encoder.encode(texts)):
-                    doc_ids.append(None if d is None else int(d))
-                    parts.append(part + end)
-                    held += len(parts[-1])
-                    if held >= FILE_IDS * len(end):
-                        flush()
-                        doc_ids, parts, held = [], [], 0
-        if parts:
+            shard = int(batch["range"].iloc[0])
+            for some_ids, texts in _steps(batch):
+                coded, counts = encoder.encode(texts, end_id)
+                doc_ids += [None if d is None else int(d) for d in some_ids]
+                ids.append(coded)
+                lengths.append(counts)
+                held += len(coded)
+                if held >= FILE_IDS:
+                    flush()
+                    doc_ids, ids, lengths, held = [], [], [], 0
+        if doc_ids:
             flush()
         yield pd.DataFrame(done, columns=["file", "range", "part", "documents", "tokens"])
 
