@@ -119,3 +119,13 @@ def op7_token_files(spark, sf_dir):
     folder = token_folder(spark)
     files = write_token_files(table(spark, sf_dir, "documents"), VOCABULARY, folder)
     return read_token_files(written(files, "token-files"), folder)
+
+
+# --- op8
+
+from lakelens.llm.near_duplicates import near_duplicates  # noqa: E402
+
+
+@query("op8_near_duplicates")
+def op8_near_duplicates(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
