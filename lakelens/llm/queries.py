@@ -129,3 +129,16 @@ from lakelens.llm.near_duplicates import near_duplicates  # noqa: E402
 @query("op8_near_duplicates")
 def op8_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+# --- op5
+
+from lakelens.llm import toxicity  # noqa: E402
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), toxicity.score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
