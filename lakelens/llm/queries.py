@@ -142,3 +142,13 @@ def op5_toxicity(spark, sf_dir):
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), toxicity.score(model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+# --- op4
+
+from lakelens.llm.decontamination import contaminated  # noqa: E402
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
