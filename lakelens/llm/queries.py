@@ -152,3 +152,18 @@ from lakelens.llm.decontamination import contaminated  # noqa: E402
 @query("op4_decontamination")
 def op4_decontamination(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
+# --- op6
+
+from lakelens.llm import secret_spans  # noqa: E402
+
+
+@query("op6_secret_spans")
+def op6_secret_spans(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = secret_spans.find_secrets(docs, secret_spans.train(docs))
+    joined = "array_join(transform({}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    base = "filter(spans, s -> s.kind != 'random')"
+    counts = [f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS BIGINT) AS n_{k}" for k in ("assign", "access", "hex", "random")]
+    return found.selectExpr("doc_id", *counts, f"sha2({joined.format(base)}, 256) AS base_sha256", f"{joined.format('spans')} AS spans")
