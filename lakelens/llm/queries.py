@@ -167,3 +167,14 @@ def op6_secret_spans(spark, sf_dir):
     base = "filter(spans, s -> s.kind != 'random')"
     counts = [f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS BIGINT) AS n_{k}" for k in ("assign", "access", "hex", "random")]
     return found.selectExpr("doc_id", *counts, f"sha2({joined.format(base)}, 256) AS base_sha256", f"{joined.format('spans')} AS spans")
+
+
+# --- op1
+
+from lakelens.llm.licence_scan import TEMPLATES, scan_licences  # noqa: E402
+
+
+@query("op1_licence_scan")
+def op1_licence_scan(spark, sf_dir):
+    templates = spark.createDataFrame(TEMPLATES, "license string, text string")
+    return scan_licences(table(spark, sf_dir, "documents"), templates)
