@@ -34,11 +34,16 @@ BINS = 1024
 #: Patterns the driver plans for; one row per pattern is also the size bound of the tables broadcast here. Beyond it
 #: the plan is refused, never cut short.
 MOST_PATTERNS = 50_000
+SEED = 17
 
 Source = str | None
 Pattern = tuple[Source, ...]
 
 
+def row_hash(doc_id: Column, text: Column, seed: int = SEED) -> Column:
+    return F.xxhash64(F.lit(seed), doc_id, text)
+
+
 def by_code_point(sources: Sequence[Source]) -> list[Source]:
     return sorted(sources, key=lambda s: (s is None, s or ""))
 
@@ -133,12 +138,13 @@ def mix(
     weights: Sequence[int] = (3, 1, 2),
     share: Fraction = Fraction(3, 2),
     rounds: int = 2,
-    seed: int = 17,
+    seed: int = SEED,
 ) -> DataFrame:
-    """One row per row of `docs`: doc_id, sources, size, source_size, target, copies, taken.
+    """One row per row of `docs`: doc_id, row, sources, size, source_size, target, copies, taken.
 
     `source` is a column with one source, or an array of sources for documents that are in several. source_size and
-    target are sums over the document's sources. `copies` is how often the mix holds the document, `taken` the words.
+    target are sums over the document's sources. `copies` is how often the mix holds the document, `taken` the words,
+    `row` the seeded hash of id and text that orders documents (see `row_hash`).
     """
     spark = docs.sparkSession
     member = F.col(source) if isinstance(source, str) else source
@@ -149,7 +155,7 @@ def mix(
             F.col(doc_id).alias("doc_id"),
             F.coalesce(F.array_sort(F.array_distinct(member)), F.array()).alias("sources"),
             word_count(F.col(text)).alias("size"),
-            F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("hash"),
+            row_hash(F.col(doc_id), F.col(text), seed).alias("hash"),
         ),
         "mix-sizes",
     )
@@ -227,6 +233,7 @@ def mix(
         .withColumn("copies", F.when(F.col("size") > 0, F.coalesce("full", F.lit(0)) + F.when(extra, 1).otherwise(0)).otherwise(0))
         .select(
             "doc_id",
+            F.col("hash").alias("row"),
             "sources",
             "size",
             "source_size",

@@ -178,3 +178,13 @@ from lakelens.llm.licence_scan import TEMPLATES, scan_licences  # noqa: E402
 def op1_licence_scan(spark, sf_dir):
     templates = spark.createDataFrame(TEMPLATES, "license string, text string")
     return scan_licences(table(spark, sf_dir, "documents"), templates)
+
+
+# --- pipeline
+
+import corpus_pipeline  # noqa: E402
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
