@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelens.llm.columns import written
+from lakelens.llm.shared import shipped
 from lakelens.llm.shingles import FACTORS, WIDTH, mixed, steps
 
 COVER = 0.8
@@ -205,6 +206,7 @@ def contaminated(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", cover: float = COVER
 ) -> DataFrame:
     """doc_id, row (a hash of id and text), item_id, windows, matched, coverage, slots, first_word, last_word per find."""
+    shipped(docs.sparkSession)
     own = items.select(F.col(item_id).cast("string").alias("item"), F.xxhash64(item_id, item_text).alias("i_row"), F.col(item_text).alias("text"))
     schema = "item string, i_row long, i_at long, hash long, i_slots array<string>"
     windows = written(own.mapInPandas(_item_windows, schema).distinct(), "items")

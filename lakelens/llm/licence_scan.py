@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakelens.llm.shared import shipped
 from lakelens.llm.shingles import steps
 
 LEAST_DICE = 0.8
@@ -205,6 +206,7 @@ def scan_licences(
     docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST_DICE
 ) -> DataFrame:
     """doc_id, license, dice, first_word, end_word, one row per passage that matches a template."""
+    shipped(docs.sparkSession)
     known = templates.where("license IS NOT NULL AND text IS NOT NULL").select("license", "text").distinct()
     size = known.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     if size > MOST_WORDS:

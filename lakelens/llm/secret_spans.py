@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelens.llm.columns import written
+from lakelens.llm.shared import shipped
 from lakelens.llm.shingles import steps
 
 # The patterns of the base spans, and the least length of what they catch.
@@ -122,6 +123,7 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def train(docs: DataFrame, text: str = "text") -> Model:
     """Counts over all documents; the two tables of STATES * STATES sums are all that reaches the driver."""
+    shipped(docs.sparkSession)
     parts = docs.select(F.col(text).alias("text")).mapInPandas(_counted, "label int, pair int, n long")
     counts = np.zeros((2, STATES * STATES))
     for row in written(parts.groupBy("label", "pair").agg(F.sum("n").alias("n")), "pairs").collect():
@@ -161,6 +163,7 @@ def find_secrets(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: st
             as_rows = [[{"start": s, "kind": k, "end": e} for s, k, e in own] for own in spans]
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "spans": pd.Series(as_rows, dtype=object)})
 
+    shipped(docs.sparkSession)
     kind = docs.schema[doc_id].dataType
     rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
     result = rows.mapInPandas(found, "doc_id string, spans array<struct<start long, kind string, end long>>")

@@ -37,7 +37,7 @@ from tokenizers import Tokenizer
 
 from lakelens.llm.columns import written
 from lakelens.llm.elias_fano import EliasFano
-from lakelens.llm.warc import file_store
+from lakelens.llm.shared import file_store, shipped
 from lakelens.session import scratch_path
 
 MAGIC = b"LLIDSEF1"
@@ -183,7 +183,7 @@ def write_token_files(
     docs: DataFrame, vocabulary_path: str, folder: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Writes the files; returns file, first (ids in all files before it), documents, tokens, one row per file."""
-    spark = docs.sparkSession
+    spark = shipped(docs.sparkSession)
     vocabulary = Path(vocabulary_path).read_text(encoding="utf-8")
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     chars = chosen.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -256,6 +256,7 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
                 names = pd.array(data.doc_ids(), "Int64")
                 yield pd.DataFrame({"doc_id": names, "start": starts + int(first), "n_tokens": ends - starts, "ids_crc32": sums})
 
+    shipped(files.sparkSession)
     listed = files.select("file", "first")
     return listed.repartition(max(1, min(files.count(), 50_000))).mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

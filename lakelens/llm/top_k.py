@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakelens.llm.columns import written
+from lakelens.llm.shared import shipped
 
 SHARD_ROWS = 65_536
 LEAF_ROWS = 128
@@ -156,7 +157,7 @@ def top_k(
 
     `queries` is a condition on the columns id and v of the usable rows.
     """
-    spark = rows.sparkSession
+    spark = shipped(rows.sparkSession)
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     usable = rows.select(F.col(row_id).cast("long").alias("id"), F.col(vector).alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & fine)
     total = usable.count()

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelens.llm.columns import written
+from lakelens.llm.shared import shipped
 from lakelens.llm.shingles import steps
 
 MOST_TOXIC, MOST_ORDINARY = 4_000, 8_000
@@ -215,6 +216,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndar
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
+    shipped(docs.sparkSession)
     sample = _sample(docs, labels, doc_id, text, label)
     sizes = {2 * int(r["toxic"]) + r["fold"]: r["count"] for r in sample.groupBy("toxic", "fold").count().collect()}
     kinds = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"k{k}") for k in range(4)]

@@ -26,11 +26,11 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelens.llm.columns import written
+from lakelens.llm.shared import file_store, shipped
 from lakelens.session import scratch_path
 
 ARCHIVE_BYTES = 64 << 20
@@ -64,12 +64,6 @@ def record_id(kind: str, capture_id: Column, url: Column, digest: Column, nth: C
     return F.concat(F.lit("urn:uuid:"), F.concat_ws("-", name.substr(1, 8), name.substr(9, 4), version, variant, name.substr(21, 12)))
 
 
-def file_store(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri("file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path)
-    return pafs.LocalFileSystem(), path
-
-
 class ArchiveWriter:
     """Archives of one task: gzip members, one per record, renamed into place when full."""
 
@@ -113,6 +107,7 @@ def write_archives(
     pages: DataFrame, folder: str, capture_id: str = "page_id", url: str = "url", payload: str = "html", revisit_from: int = 0
 ) -> DataFrame:
     """Writes a WARC archive set under `folder`; returns (archive, records, bytes), one row per archive."""
+    shipped(pages.sparkSession)
     body = F.encode(F.coalesce(F.col(payload), F.lit("")), "UTF-8")
     captures = pages.select(
         F.col(capture_id).cast("long").alias("capture_id"),
@@ -242,6 +237,7 @@ def read_records(archives: DataFrame, folder: str, keep_payload: bool = True) ->
                             rows, held = [], 0
                 yield _frame(rows, names)
 
+    shipped(archives.sparkSession)
     listed = archives.select("archive").repartition(min(max(1, archives.count()), MOST_READERS))
     return listed.mapInPandas(read, RECORDS)
 
