@@ -2,14 +2,14 @@
 
 Patterns (fixed values) give the base spans of three kinds: assign, access and hex. The model adds spans of kind `random`:
 runs of token characters of at least LEAST_CHARS characters that no base span touches, hold a digit and two of the three
-character classes, and whose log-likelihood under a character Markov model of random strings exceeds the one under a
-model of ordinary identifiers by at least a threshold a character, never below 0.
+character classes, and whose log-likelihood under a character Markov model of random strings (the uniform one or the
+learned one, whichever fits better) exceeds the one under a model of ordinary identifiers by at least a threshold a character.
 
 Training. Both models are first-order chains over character classes with additive smoothing, trained from labelled samples: the
 values of base spans (random) and runs of token characters without any base span (ordinary). The counts cover every
-document; they are summed per task into tables of fixed size. The threshold is the midpoint between the mean scores
-of the two kinds, weighed by their spread, from score sums of the same samples. Where the documents hold too few secrets to learn
-from, the random model is the uniform one over letters and digits.
+document; they are summed per task into tables of fixed size. The threshold lies three standard deviations below the mean score of
+uniformly random runs of the least length, never below 0. Where the documents hold too few secrets to learn from, the
+uniform model over letters and digits stands alone.
 
 Defined results: a null text is empty and has no span. Positions are code points, ends exclusive. Texts of any length are
 searched whole. Repeated rows give equal results. Only the named columns are read.
@@ -80,13 +80,13 @@ def _outside(text: str, spans: list[tuple], pattern: re.Pattern) -> Iterator[tup
 
 @dataclass(frozen=True)
 class Model:
-    #: Log-likelihood ratio of every pair of characters, and the least mean ratio of a random string.
-    ratio: np.ndarray
+    #: Log-likelihood ratios of every pair of characters, a row per random model; the least mean ratio of a random run.
+    ratios: np.ndarray
     threshold: float
 
     def mean_ratio(self, run: str) -> float:
         pairs = _pairs(run)
-        return float(self.ratio[pairs].mean()) if len(pairs) else -math.inf
+        return float(self.ratios[:, pairs].mean(axis=1).max()) if len(pairs) else -math.inf
 
     def spans(self, text: str) -> list[tuple]:
         found = base_spans(text)
@@ -135,19 +135,15 @@ def train(docs: DataFrame, text: str = "text") -> Model:
 
     ordinary = chain(counts[0])
     # Secrets in a corpus may all be of one alphabet; strings over letters and digits are random as well.
-    even = np.zeros((STATES, STATES))
+    even = np.full((STATES, STATES), 1e-3)
     even[:62, :62] = 1.0
-    even = ((even + 1e-3) / (even + 1e-3).sum(axis=1, keepdims=True)).ravel()
-    random = (chain(counts[1]) + even) / 2 if counts[1].sum() >= LEAST_SEEN else even
-    ratio = np.log(random) - np.log(ordinary)
-
-    def moments(seen: np.ndarray, model: np.ndarray) -> tuple[float, float]:
-        share = seen / seen.sum() if seen.sum() else model / model.sum()
-        mean = float((share * ratio).sum())
-        return mean, math.sqrt(max(float((share * (ratio - mean) ** 2).sum()), 1e-9))
-
-    (low, low_spread), (high, high_spread) = moments(counts[0], ordinary), moments(np.zeros(1), even)
-    return Model(ratio, max(0.0, low + (high - low) * low_spread / (low_spread + high_spread)))
+    even = (even / even.sum(axis=1, keepdims=True)).ravel()
+    models = [even, chain(counts[1])] if counts[1].sum() >= LEAST_SEEN else [even]
+    ratios = np.log(np.array(models)) - np.log(ordinary)
+    weight = even / even.sum()
+    mean = float((weight * ratios[0]).sum())
+    spread = math.sqrt(float((weight * (ratios[0] - mean) ** 2).sum()))
+    return Model(ratios, max(0.0, mean - 3 * spread / math.sqrt(LEAST_CHARS - 1)))
 
 
 def find_secrets(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
