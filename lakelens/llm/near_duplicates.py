@@ -10,8 +10,9 @@ fewer than LEAST_SHARED with probability 2.4e-6; pairs below that are no candida
 First, the members of a key are compared with one of them only: the node whose keys are the most common, which in a
 group of copies is the text they were made from. The links found are joined into components. Then, for the few keys
 whose members are still in different components, every member outside the largest of them is compared with the
-members of other components. So every candidate pair is either compared on its full sets or already connected, and
-a group of thousands is not paired with itself.
+members of other components, unless they have too many shingles that no other of these texts has to be linked with any.
+So every candidate pair is compared on its full sets, already connected, or shown to be no link by its counts, and a
+group of thousands is not paired with itself.
 
 Links need 100 * |intersection| >= percent * |union| on the full sets (shingles as 40-bit numbers; two unequal ones
 of a pair of 1,000-word texts meet with probability 1e-6).
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from lakelens.llm.columns import written
 from lakelens.llm.components import components
+from lakelens.llm.shared import shipped
 from lakelens.llm.shingles import FACTORS, mixed, shingle_sets, steps
 
 BANDS, ROWS = 32, 5
@@ -126,8 +128,26 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInPandas(_compare(percent), "a binary, b binary")
 
 
+def _able(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, common): shingles that some other node has as well, of the nodes that have enough of them for any link."""
+    one, two = F.xxhash64("node"), F.xxhash64(F.lit(1), "node")
+    elements = F.expr("explode(transform(sequence(0, length(elements) div 5 - 1), i -> substring(elements, 5 * i + 1, 5)))")
+    own = (
+        sets.select(one.alias("x"), two.alias("y"), elements.alias("element"))
+        .groupBy("element")
+        .agg(F.min("x").alias("x"), F.max("x").alias("x2"), F.min("y").alias("y"), F.max("y").alias("y2"))
+        .where("x = x2 AND y = y2")
+        .groupBy("x", "y")
+        .agg(F.count("*").alias("alone"))
+    )
+    counted = sets.select("node", "n", one.alias("x"), two.alias("y")).join(own, ["x", "y"], "left")
+    common = F.col("n") - F.coalesce("alone", F.lit(0))
+    return counted.where(common * 100 >= F.col("n") * percent).select("node", common.alias("common"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, row (a hash of id and text), n_shingles, component_id, kept."""
+    shipped(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(doc_id, text).alias("row"), F.col(text).alias("text"))
     sketched = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
         _sketch, "doc_id string, row long, n long, node binary, keys array<long>"
@@ -165,8 +185,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     )
     parts = placed.groupBy("key", "part").agg(F.count("*").alias("c"))
     split = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("part", "c").alias("main")).where("parts > 1").drop("parts")
-    apart = written(placed.join(split, "key").join(nodes.select("node", "keys"), "node"), "apart")
-    outside = apart.where("part <> main").select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "part", "keys")])
+    several = written(placed.join(split, "key"), "several")
+    able = _able(several.select("node", "n").distinct().join(sets, "node"), percent)
+    apart = written(several.join(able, "node").join(nodes.select("node", "keys"), "node"), "apart")
+    outside = apart.where("part <> main").select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "part", "keys", "common")])
     joint = F.array_intersect("keys", "o_keys")
     second = written(
         apart.join(outside, "key")
@@ -174,6 +196,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
             (F.col("part") != F.col("o_part"))
             & ((F.col("part") == F.col("main")) | (F.col("node") < F.col("o_node")))
             & close(F.col("n"), F.col("o_n"))
+            & (F.least("common", "o_common") * (100 + percent) >= (F.col("n") + F.col("o_n")) * percent)
             & (F.size(joint) >= LEAST_SHARED)
             & (F.col("key") == F.array_min(joint))
         )
