@@ -92,9 +92,8 @@ class Lake:
         columns: list[str] | None = None,
         offset: int = 0,
         filters: Iterable | None = None,
-        strict: bool = False,
     ) -> Page:
-        rows = read_xml(self.spark, self._at(path), record, columns, filters, strict, position=True)
+        rows = read_xml(self.spark, self._at(path), record, columns, filters, position=True)
         return page(rows, None, max_rows, offset, None, project_requested)
 
     def save_text(self, path: str, content: DataFrame | str, **options) -> DataFrame:

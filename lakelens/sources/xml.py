@@ -1,16 +1,15 @@
 """Tabular XML: a root element whose children are records.
 
-Column names come from the first record, read from the head of the first file. The rows come from Spark's XML
-reader, one streaming task per file; it finds the record tag at any depth and takes tags case by case.
-`strict=True` visits exactly the root's children, holding one file at a time. Files too large for that are cut
-into their records first, so that many tasks share them.
+Column names come from the first record, read from the head of the first file. Every file is cut into the root's
+children over many tasks and each child is parsed by Spark's XML functions. Files that cannot be cut, because a
+comment, a section or an instruction in them holds a `<`, are read as a whole, one file to a task, with the same
+rows.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import reduce
 from itertools import islice
 
 import pandas as pd
@@ -23,8 +22,8 @@ from lakelens.functions.predicates import where
 from lakelens.operators.project import project_requested
 from lakelens.sources.position import BLOCK, FILE, LINE, input_files, with_split_position
 from lakelens.sources import xml_records
-from lakelens.sources.xml_records import XmlRecord, iter_records, parse_record, root_tag
-from lakelens.sources.xml_split import files_to_cut, split_records
+from lakelens.sources.xml_records import XmlRecord, iter_records, root_tag
+from lakelens.sources.xml_split import files_to_keep_whole, split_records
 
 # Executors need not have this package installed: the record reader travels with the job.
 cloudpickle.register_pickle_by_value(xml_records)
@@ -33,9 +32,6 @@ HEAD_TAGS = 4_096
 ATTRIBUTE = "@"
 PIECE_BYTES = 1 << 20
 BATCH_RECORDS = 10_000
-# Larger files are cut into records: a streaming task handles more than one that holds a whole file.
-STREAMED_FILE_BYTES = 1 << 30
-WHOLE_FILE_BYTES = 256 << 20
 XML_SCHEMA = "name string, is_attribute boolean"
 
 
@@ -94,12 +90,16 @@ def xml_schema(spark: SparkSession, path: str | list[str], record: str | None =
     return spark.createDataFrame(records[0].columns() if records else [], XML_SCHEMA)
 
 
-def _child_text(name: str, nested: bool) -> Column:
+def _child_text(name: str) -> Column:
     """First child of that name: '' when empty, NULL when absent, without inner tags when it has children."""
     every = F.col(f"`{name}`")
     text = F.coalesce(F.try_element_at(every, F.lit(1)), F.lit(""))
-    if nested:
-        text = F.regexp_replace(text, r"</?[\p{L}_][^<>]*>|<!--.*?-->", "")
+    opening = rf"(?is)<(?:[^\s/<>:]+:)?{re.escape(name)}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>"
+    first = F.split(F.col("record"), opening, 2)[1]
+    # Escaped or quoted text before the first inner tag holds no `<`; an end tag, comment or section is no child.
+    nested = first.rlike(r"^(?:[^<]|<!--(?s:.*?)-->|<!\[CDATA\[(?s:.*?)\]\]>)*<[\p{L}_:]")
+    inner = F.regexp_replace(text, r"</?[\p{L}_][^<>]*>|<!--.*?-->", "")
+    text = F.when(F.coalesce(nested, F.lit(False)), inner).otherwise(text)
     return F.when(F.size(every) > 0, F.when(text.rlike(r"^\s*$"), F.lit("")).otherwise(text))
 
 
@@ -119,38 +119,26 @@ OPTIONS = {
 }
 
 
-def _cells(names: list[str], nested: set[str]) -> list[Column]:
-    return [
-        F.coalesce(F.col(f"`{ATTRIBUTE}{name}`"), _child_text(name, name.upper() in nested)).alias(name)
-        for name in names
-    ]
-
-
-def _tag_scan(
-    spark: SparkSession, path: str | list[str], tag: str, names: list[str], left_out: Column | None
-) -> DataFrame:
-    raw = spark.read.schema(_raw_schema(names)).options(rowTag=tag, **OPTIONS).xml(path)
-    return with_split_position(raw if left_out is None else raw.filter(~left_out))
-
-
-def _split_scan(records: DataFrame, names: list[str]) -> DataFrame:
+def _split_rows(records: DataFrame, names: list[str]) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _raw_schema(names).fields)
     parsed = F.from_xml(F.col("record"), schema, OPTIONS)
-    return records.select(parsed.alias("_cells"), FILE, BLOCK, LINE).select("_cells.*", FILE, BLOCK, LINE)
+    raw = records.select(parsed.alias("_cells"), "record", FILE, BLOCK, LINE).select("_cells.*", "record", FILE, BLOCK, LINE)
+    cells = [F.coalesce(F.col(f"`{ATTRIBUTE}{name}`"), _child_text(name)).alias(name) for name in names]
+    return raw.select(*cells, FILE, BLOCK, LINE)
 
 
-def _strict_schema(names: list[str]) -> T.StructType:
+def _whole_schema(names: list[str]) -> T.StructType:
     texts, places = [*names, FILE], [BLOCK, LINE]
     return T.StructType(
         [T.StructField(n, T.StringType()) for n in texts] + [T.StructField(n, T.LongType()) for n in places]
     )
 
 
-def _strict_files(
-    spark: SparkSession, path: str | list[str], record: str | None, names: list[str], left_out: Column | None
+def _whole_rows(
+    spark: SparkSession, path: str | list[str], record: str | None, names: list[str], whole: DataFrame
 ) -> DataFrame:
-    """Exact rows of whole files, one file at a time."""
-    keys, schema = [name.upper() for name in names], _strict_schema(names)
+    """Rows of files that are not cut, one file at a time."""
+    keys, schema = [name.upper() for name in names], _whole_schema(names)
 
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -165,22 +153,8 @@ def _strict_files(
                         rows = []
                 yield pd.DataFrame(rows, columns=schema.names)
 
-    files = spark.read.format("binaryFile").load(path)
-    files = files if left_out is None else files.filter(~left_out)
-    return files.select(F.col("_metadata.file_path").alias(FILE), "content").mapInPandas(rows_of, schema)
-
-
-def _strict_records(records: DataFrame, names: list[str], namespaces: dict[str, str]) -> DataFrame:
-    """Exact rows of records already cut out."""
-    keys, schema = [name.upper() for name in names], _strict_schema(names)
-
-    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [parse_record(text, namespaces).values() for text in batch["record"]]
-            cells = pd.DataFrame([[values.get(key) for key in keys] for values in found], columns=names)
-            yield cells.assign(**{name: batch[name].to_numpy() for name in (FILE, BLOCK, LINE)})
-
-    return records.select(FILE, BLOCK, LINE, "record").mapInPandas(rows_of, schema)
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias(FILE), "content")
+    return files.join(whole, FILE, "left_semi").mapInPandas(rows_of, schema)
 
 
 def read_xml(
@@ -189,41 +163,27 @@ def read_xml(
     record: str | None = None,
     columns: list[str] | None = None,
     filters: Iterable | None = None,
-    strict: bool = False,
     position: bool = False,
-    whole_file_bytes: int | None = None,
 ) -> DataFrame:
     """Text rows of the records; attributes first, then child elements.
 
-    `record` names the record element, otherwise every root child seen at the head of the file is one.
-    `columns` are returned in the requested order and spelling, NULL where a record has none.
+    `record` names the record element, whatever its case; otherwise every child of the root is one. `columns` are
+    returned in the requested order and spelling, NULL where a record has none.
     """
-    namespaces: dict[str, str] = {}
-    head = _first_records(spark, path, record, namespaces)
+    head = _first_records(spark, path, record)
     if not head:
         return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in columns or []]))
     known = [name for name, _ in head[0].columns()]
     upper = {name.upper() for name in known}
     names = known + [name for name in dict.fromkeys(columns or []) if name.upper() not in upper]
-    tags = list(dict.fromkeys(found.name for found in head))
-    if whole_file_bytes is None:
-        whole_file_bytes = WHOLE_FILE_BYTES if strict else STREAMED_FILE_BYTES
-    cut = files_to_cut(spark, path, whole_file_bytes)
-    if cut is not None:
-        records = split_records(spark, path, cut)
-        if record is not None:
-            records = records.filter(F.upper("tag") == record.upper())
-    if strict:
-        rows = _strict_files(spark, path, record, names, cut)
-        if cut is not None:
-            rows = rows.unionByName(_strict_records(records, names, namespaces))
-    else:
-        raw = reduce(DataFrame.unionByName, [_tag_scan(spark, path, tag, names, cut) for tag in tags])
-        if cut is not None:
-            raw = raw.unionByName(_split_scan(records, names), allowMissingColumns=True)
-        nested = set().union(*(found.nested for found in head))
-        places = [name for name in (FILE, BLOCK, LINE) if name in raw.columns]
-        rows = raw.select(*_cells(names, nested), *places)
+    whole = files_to_keep_whole(spark, path)
+    some_whole = not whole.isEmpty()
+    records = split_records(spark, path, whole if some_whole else None)
+    if record is not None:
+        records = records.filter(F.upper("tag") == record.upper())
+    rows = _split_rows(records, names)
+    if some_whole:
+        rows = rows.unionByName(_whole_rows(spark, path, record, names, whole))
     where(rows.select(*known), filters)
     rows = where(rows, filters)
     kept = columns or known

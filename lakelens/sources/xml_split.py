@@ -1,4 +1,4 @@
-"""Records of large XML files, found without reading a file in one task.
+"""Records of XML files, found without reading a file in one task.
 
 The text is cut before every `<`. A tag raises or lowers the depth by one, so running sums inside each split,
 and then over one row per split, give every tag its depth; the root's children begin at depth one. This holds
@@ -10,25 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakelens.sources.position import BLOCK, FILE, LINE, named_files, with_split_position
+from lakelens.session import scratch_path
+from lakelens.sources.position import BLOCK, FILE, LINE, with_split_position
 
 SPLIT = [FILE, BLOCK]
 # The inside of a tag up to its `>`, skipping quoted attribute values, where the last character is a slash.
 _EMPTY_ELEMENT = r"""^(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?<=/)>"""
 
 
-def _pieces(spark: SparkSession, path: str | list[str], files: Column) -> DataFrame:
-    return with_split_position(spark.read.option("lineSep", "<").text(path).filter(files))
+def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return with_split_position(spark.read.option("lineSep", "<").text(path))
 
 
-def files_to_cut(spark: SparkSession, path: str | list[str], whole_file_bytes: int) -> Column | None:
-    """Condition on a scan's metadata for the larger files that can be cut; None when there are none.
+def files_to_keep_whole(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Names of the files that cannot be cut, as FILE: a `<` in them need not begin a tag.
 
-    A file can be cut when every `<` begins a tag, a comment, a section or an instruction.
+    That is so where a comment, a section or an instruction holds one, or where there is a DOCTYPE. Files whose tags
+    do not balance are named too, so that the parser refuses them.
     """
-    listed = spark.read.format("binaryFile").load(path).filter(F.col("length") > whole_file_bytes)
-    if listed.select("path").isEmpty():
-        return None
     value = F.col("value")
     open_ended = (
         (F.startswith(value, F.lit("!--")) & ~F.contains(value, F.lit("-->")))
@@ -36,21 +35,31 @@ def files_to_cut(spark: SparkSession, path: str | list[str], whole_file_bytes: i
         | (F.startswith(value, F.lit("?")) & ~F.contains(value, F.lit("?>")))
         | F.startswith(value, F.lit("!DOCTYPE"))
     )
-    large = F.col("_metadata.file_size") > whole_file_bytes
-    others = named_files(spark.read.option("lineSep", "<").text(path).filter(large & open_ended))
-    if others is None:
-        return None
-    return large & ~F.col("_metadata.file_path").isin(others) if others else large
+    path_of = scratch_path(spark, "whole")
+    ends = _pieces(spark, path).groupBy(FILE).agg(F.bool_or(open_ended).alias("_open"), F.sum(_step(value)).alias("_depth"))
+    ends.filter("_open OR _depth <> 0").select(FILE).write.parquet(path_of)
+    return spark.read.schema(f"{FILE} string").parquet(path_of)
+
+
+def _opens(value: Column) -> Column:
+    return value.rlike(r"^[\p{L}_:]")
+
+
+def _step(value: Column) -> Column:
+    """The change of depth a piece makes."""
+    raises = _opens(value) & ~value.rlike(_EMPTY_ELEMENT)
+    return F.when(F.startswith(value, F.lit("/")), F.lit(-1)).otherwise(raises.cast("int"))
 
 
 def _marked(pieces: DataFrame) -> DataFrame:
     """Numbered pieces, whether each opens an element, and the change of depth it makes."""
     value = F.col("value")
-    opens = value.rlike(r"^[\p{L}_:]")
-    raises = opens & ~value.rlike(_EMPTY_ELEMENT)
-    step = F.when(F.startswith(value, F.lit("/")), F.lit(-1)).otherwise(raises.cast("int"))
     return pieces.select(
-        *SPLIT, F.monotonically_increasing_id().alias(LINE), "value", opens.alias("_opens"), step.alias("_step")
+        *SPLIT,
+        F.monotonically_increasing_id().alias(LINE),
+        "value",
+        _opens(value).alias("_opens"),
+        _step(value).alias("_step"),
     )
 
 
@@ -73,9 +82,13 @@ def _split_starts(marked: DataFrame) -> DataFrame:
     return started.select(*SPLIT, "_start", F.last(begun, ignorenulls=True).over(earlier).alias("_open_block"))
 
 
-def split_records(spark: SparkSession, path: str | list[str], files: Column) -> DataFrame:
-    """One row per child of the root: file, block and line of its start, its XML as `record`, its local `tag`."""
-    marked = _marked(_pieces(spark, path, files))
+def split_records(spark: SparkSession, path: str | list[str], whole: DataFrame | None) -> DataFrame:
+    """One row per child of the root: file, block and line of its start, its XML as `record`, its local `tag`.
+
+    Files named in `whole` are left out.
+    """
+    pieces = _pieces(spark, path)
+    marked = _marked(pieces if whole is None else pieces.join(whole, FILE, "left_anti"))
     known = marked.join(_split_starts(marked), SPLIT)
     known = known.withColumn("_depth", F.col("_start") + _depth_before())
     begin_line = F.when(F.col("_opens") & (F.col("_depth") == 1), F.col(LINE))

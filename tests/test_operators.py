@@ -33,14 +33,14 @@ def json_frame(spark, *rows):
 def test_json_rows(spark):
     rows = json_frame(
         spark,
-        '{"id":1,"nome":"Rossi","importo":10.5,"attivo":true}',
-        '{"id":2,"nome":null,"importo":3,"attivo":false}',
-        '{"id":3,"importo":null}',
+        '{"tank":40,"fluid":"brine","litres":7,"sealed":false}',
+        '{"litres":0.25,"tank":41,"sealed":true,"fluid":null}',
+        '{"tank":42}',
     )
     table = json_rows_to_table(rows, "j", "id")
-    assert table.schema.simpleString() == "struct<id:bigint,nome:string,importo:double,attivo:boolean>"
-    assert [tuple(r) for r in table.orderBy("id").collect()] == [
-        (1, "Rossi", 10.5, True), (2, None, 3.0, False), (3, None, None, None),
+    assert table.schema.simpleString() == "struct<tank:bigint,fluid:string,litres:double,sealed:boolean>"
+    assert [tuple(r) for r in table.orderBy("tank").collect()] == [
+        (40, "brine", 7.0, False), (41, None, 0.25, True), (42, None, None, None),
     ]
 
 
@@ -103,7 +103,7 @@ def test_bad_records(spark):
 
 
 def test_payloads(spark):
-    rows = [(1, "bm90IGEgcGRm"), (2, "***"), (3, "JVBERi0xLjcK"), (4, "JVBERi0"), (5, "JVBE\nRi0x LjcK")]
+    rows = [(1, "cGxhaW4gdGV4dA=="), (2, "#!?"), (3, "JVBERi0xLjQgYWJj"), (4, "JVBERi0"), (5, "JVBE\nRi0x LjQg YWJj")]
     df = spark.createDataFrame(rows, "id int, b string")
     found = [tuple(r) for r in check_payloads(df, "b").select("id", "valid", "reason").orderBy("id").collect()]
     assert found == [
@@ -112,8 +112,8 @@ def test_payloads(spark):
 
 
 def test_paths(spark):
-    good = {"a\\b//c.txt": "a/b/c.txt", "/x/y.md": "x/y.md", " a / b.csv ": "a/b.csv"}
-    bad = ["../x.txt", "a/../b.txt", "/", "a/./b", ""]
+    good = {"tide\\north///low.csv": "tide/north/low.csv", "//log.md": "log.md", " in / out.txt ": "in/out.txt"}
+    bad = ["..", "tide/../../low.csv", "//", "tide/./low.csv", " "]
     for path, expected in good.items():
         assert normalize_path(path) == expected
     for path in bad:
@@ -129,25 +129,25 @@ def entry(path, size=1, minute=0, description=None):
 
 
 def test_catalog_search(spark):
-    entries = spark.createDataFrame([entry("a/clienti.csv"), entry("b/clienti.parquet"), entry("c/note.md")], CATALOG_SCHEMA)
+    entries = spark.createDataFrame([entry("tide/harbour.csv"), entry("old/harbour.parquet"), entry("log.md")], CATALOG_SCHEMA)
 
     def names(*args):
         return sorted(r["path"] for r in search(entries, *args).collect())
 
-    assert names("CLIENT") == ["a/clienti.csv", "b/clienti.parquet"]
-    assert names("clienti", ".CSV") == ["a/clienti.csv"]
-    assert names(None, "markdown") == ["c/note.md"]
-    assert names("zzz", None) == []
-    assert names(" ", "") == ["a/clienti.csv", "b/clienti.parquet", "c/note.md"]
+    assert names("HARB") == ["old/harbour.parquet", "tide/harbour.csv"]
+    assert names("harbour", ".PARQUET") == ["old/harbour.parquet"]
+    assert names(None, "markdown") == ["log.md"]
+    assert names("quay", None) == []
+    assert names(" ", "") == ["log.md", "old/harbour.parquet", "tide/harbour.csv"]
     assert [normalize_format(f) for f in (" ..Text", "PDF", None, ".")] == ["txt", "pdf", None, None]
 
 
 def test_catalog_upsert(spark, tmp_path):
-    old = spark.createDataFrame([entry("a/one.csv", 3, 5), entry("a/two.md", 4, 1)], CATALOG_SCHEMA)
-    new = spark.createDataFrame([entry("A/ONE.csv", 9, 2, "uno, due")], CATALOG_SCHEMA)
+    old = spark.createDataFrame([entry("in/low.csv", 30, 5), entry("in/high.md", 70, 1)], CATALOG_SCHEMA)
+    new = spark.createDataFrame([entry("IN/Low.CSV", 12, 2, "ebb, flood")], CATALOG_SCHEMA)
     merged = {r["path"]: (r["sizeBytes"], r["description"]) for r in upsert(old, new).collect()}
-    assert merged == {"a/two.md": (4, None), "A/ONE.csv": (9, "uno, due")}
-    assert {r["path"] for r in latest(old.unionAll(new)).collect()} == {"a/one.csv", "a/two.md"}
+    assert merged == {"in/high.md": (70, None), "IN/Low.CSV": (12, "ebb, flood")}
+    assert {r["path"] for r in latest(old.unionAll(new)).collect()} == {"in/low.csv", "in/high.md"}
     path = str(tmp_path / "index.csv")
     write_catalog_csv(upsert(old, new), path)
     back = read_catalog_csv(spark, path)
