@@ -1,6 +1,6 @@
-"""The catalogue of saved files: one entry per path, ignoring case, the newest one counting.
+"""The catalogue of saved files: one entry per path, ignoring case, the one appended last counting.
 
-Entries are appended to a Parquet log and resolved when read. An append never rewrites other entries, so
+Entries carry the number of their append; within one append, the later time counts. They are appended to a Parquet log and resolved when read. An append never rewrites other entries, so
 several jobs can save at once and a lost executor leaves no half-written catalogue.
 """
 
@@ -16,6 +16,7 @@ from lakelens.functions.text import fold, fold_literal
 CATALOG_SCHEMA = (
     "path string, name string, format string, sizeBytes bigint, savedAt timestamp, description string"
 )
+SEQUENCE = "_sequence"
 COLUMNS = ["path", "name", "format", "sizeBytes", "savedAt", "description"]
 FORMAT_ALIASES = {"markdown": "md", "text": "txt"}
 
@@ -29,8 +30,8 @@ def _newest(entries: DataFrame, *precedence: Column) -> DataFrame:
 
 
 def latest(entries: DataFrame) -> DataFrame:
-    """The newest entry of every path."""
-    return _newest(entries)
+    """The last entry of every path: of the last append, where entries carry its number, else the newest."""
+    return _newest(entries, *[F.coalesce(SEQUENCE, F.lit(0)) for name in entries.columns if name == SEQUENCE])
 
 
 def upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -42,17 +43,28 @@ def upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def append_entries(entries: DataFrame, index: str) -> None:
-    entries.select(*COLUMNS).write.mode("append").parquet(index)
+    number = F.lit(_last_append(entries.sparkSession, index) + 1).cast("bigint").alias(SEQUENCE)
+    entries.select(*COLUMNS, number).write.mode("append").parquet(index)
 
 
-def load_catalog(spark: SparkSession, index: str) -> DataFrame:
-    """Resolved entries; a catalogue that does not exist yet is empty."""
+def _log(spark: SparkSession, index: str) -> DataFrame | None:
     try:
-        return latest(spark.read.schema(CATALOG_SCHEMA).parquet(index))
+        return spark.read.schema(f"{CATALOG_SCHEMA}, {SEQUENCE} bigint").parquet(index)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], CATALOG_SCHEMA)
+        return None
+
+
+def _last_append(spark: SparkSession, index: str) -> int:
+    log = _log(spark, index)
+    return 0 if log is None else log.agg(F.max(SEQUENCE)).first()[0] or 0
+
+
+def load_catalog(spark: SparkSession, index: str) -> DataFrame:
+    """Resolved entries; a catalogue that does not exist yet is empty."""
+    log = _log(spark, index)
+    return spark.createDataFrame([], CATALOG_SCHEMA) if log is None else latest(log)
 
 
 def parsed_entries(raw: DataFrame) -> DataFrame:

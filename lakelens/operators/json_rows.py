@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_COLUMNS = 10_000
-
 
 def _pairs(rows: DataFrame, column: str, order: Column | None) -> DataFrame:
     """One row per key of every object, with the kind of its value; a NULL key for rows without any.
@@ -64,7 +62,7 @@ def infer_json_types(rows: DataFrame, column: str) -> DataFrame:
 def json_schema(rows: DataFrame, column: str, order_by: str | None = None) -> T.StructType:
     """The inferred schema, columns in the order they are first seen; raises when no table can be made."""
     order = F.col(order_by) if order_by else F.monotonically_increasing_id()
-    summary = _key_summary(rows, column, order).orderBy("first_row", "place").limit(MAX_COLUMNS + 2).collect()
+    summary = _key_summary(rows, column, order).orderBy("first_row", "place").collect()
     if not summary:
         raise ValueError("At least one row is needed.")
     broken = sum(row["broken"] for row in summary if row["key"] is None)
@@ -73,8 +71,6 @@ def json_schema(rows: DataFrame, column: str, order_by: str | None = None) -> T.
     fields = [row for row in summary if row["key"] is not None]
     if not fields or any(not row["key"].strip() for row in fields):
         raise ValueError("Rows need at least one column, and no column name may be blank.")
-    if len(fields) > MAX_COLUMNS:
-        raise ValueError(f"More than {MAX_COLUMNS} columns.")
     types = {"string": T.StringType(), "boolean": T.BooleanType(), "bigint": T.LongType(), "double": T.DoubleType()}
     return T.StructType([T.StructField(row["key"], types[row["type"]]) for row in fields])
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakelens.functions.text import fold, fold_literal
 from lakelens.sources.csv import read_csv
+from lakelens.sources.files import file_inventory
 from lakelens.sources.parquet import read_parquet
 from lakelens.sources.position import FILE, user_columns
 
@@ -33,9 +34,7 @@ PROJECT = "ProjectId"
 PRODUCT = "ProductId"
 ELEMENT = "WorkBreakdownElementId"
 # Type of amounts and quantities kept as text.
-AMOUNT = "decimal(20,4)"
-# Project ids up to this many become literals of the scan filter; more are joined.
-MAX_LITERALS = 1_000
+AMOUNT = "decimal(30,12)"
 
 
 @dataclass(frozen=True)
@@ -58,18 +57,21 @@ def read_folder(
 ) -> DataFrame:
     """All files of a folder as one table, with `project_file`, the file's name without its extension.
 
-    A saved table (a folder of part files) counts as one file. `files` keeps the named ones; the others are
-    dropped when the folder is listed, unread.
+    A saved table (a folder of part files) counts as one file. `files` keeps the named ones; they are chosen from
+    the listing, and the others are not opened.
     """
-    every = f"{path.rstrip('/')}/*"
-    if format == "csv":
-        rows = read_csv(spark, every, delimiter=delimiter, position=True)
-    else:
-        rows = read_parquet(spark, every, position=True)
     whole = F.regexp_replace(F.col(FILE), "/part-[^/]*$", "")
     stem = F.regexp_replace(F.url_decode(F.element_at(F.split(whole, "/"), -1)), r"\.[^.]*$", "")
+    chosen: str | list[str] = f"{path.rstrip('/')}/*"
     if files is not None:
-        rows = rows.filter(stem.isin(list(files)))
+        listed = file_inventory(spark, path).select(F.col("path").alias(FILE)).filter(stem.isin(list(files)))
+        chosen = sorted(row[0] for row in listed.select(whole).distinct().collect()) or chosen
+    if format == "csv":
+        rows = read_csv(spark, chosen, delimiter=delimiter, multiline=None if files is None or isinstance(chosen, list) else False, position=True)
+    else:
+        rows = read_parquet(spark, chosen, position=True)
+    if files is not None and not isinstance(chosen, list):
+        rows = rows.limit(0)
     return rows.select(*[F.col(f"`{column}`") for column in user_columns(rows)], stem.alias("project_file"))
 
 
@@ -78,7 +80,7 @@ def _typed(name: str) -> Column:
     cell = F.col(f"`{name}`")
     filled = F.when(F.trim(cell) != "", F.trim(cell))
     if name.endswith(("Amount", "Quantity", "Perc", "UnitCost")):
-        return filled.cast(AMOUNT)
+        return F.replace(filled, F.lit(","), F.lit("")).cast(AMOUNT)
     if name.endswith("Date"):
         slashed = F.to_timestamp(F.when(F.contains(filled, F.lit("/")), filled), "MM/dd/yyyy[ HH:mm:ss]")
         dashed = F.when(~F.contains(filled, F.lit("/")), filled)
@@ -115,10 +117,7 @@ def project_ids(projects: DataFrame, codes: Iterable[str], code: str = "MnemoncI
 
 
 def in_projects(fact: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of the given projects. A short list of ids filters the scan, a long one is semi-joined."""
-    found = [row[0] for row in ids.limit(MAX_LITERALS + 1).collect()]
-    if len(found) <= MAX_LITERALS:
-        return fact.filter(F.col(PROJECT).isin(found)) if found else fact.limit(0)
+    """Rows of the given projects."""
     return fact.join(ids, PROJECT, "left_semi")
 
 

@@ -67,9 +67,9 @@ def total(spark, sf_dir):
 @query(
     "agg_all_pages",
     "SELECT o_orderpriority, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS amount "
-    "FROM orders WHERE o_orderstatus = 'O' GROUP BY o_orderpriority",
+    "FROM orders GROUP BY o_orderpriority",
 )
 def agg_all_pages(spark, sf_dir):
-    rows = where(table(spark, sf_dir, "orders"), [("o_orderstatus", "eq", "O")])
+    rows = table(spark, sf_dir, "orders")
     amount = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amount")
     return plain(rows.groupBy("o_orderpriority").agg(F.count("*").alias("orders"), amount))

@@ -39,9 +39,9 @@ def field_count(record: Column, delimiter: str = ",") -> Column:
     return (length / len(delimiter)).cast("int") + 1
 
 
-def files_with_long_records(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str] | None:
-    """Files in which a record spans lines or a line holds only blanks, which the line-wise reader drops;
-    None when there are too many to be named. One parallel pass."""
+def files_with_long_records(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str]:
+    """Files in which a record spans lines or a line holds only blanks, which the line-wise reader drops.
+    One parallel pass."""
     line = F.col("value")
     blank = (line != "") & (F.trim(line) == "")
     return named_files(spark.read.text(path).filter(ends_inside_quotes(line, re.escape(delimiter)) | blank))
@@ -95,11 +95,10 @@ def _assembled_scan(
     delimiter: str,
     header: list[str] | None,
     width: int,
-    files: list[str] | None,
+    files: list[str],
 ) -> DataFrame:
-    """Files with records of several lines, split like any other file; None stands for every file."""
-    lines = with_split_position(spark.read.option("lineSep", "\n").text(path))
-    lines = lines if files is None else lines.filter(F.col(FILE).isin(files))
+    """The named files, with records of several lines, split like any other file."""
+    lines = with_split_position(spark.read.option("lineSep", "\n").text(path)).filter(F.col(FILE).isin(files))
     records = assembled_records(lines, re.escape(delimiter))
     options = {name: str(value) for name, value in _options(delimiter, False, False).items()}
     cells = F.from_csv(F.col("record"), _raw_schema(width), options).alias("_cells")
@@ -125,16 +124,15 @@ def _records(
     """Raw cells with their position, each file read the way its records need."""
     args = (spark, path, delimiter, header, width)
     long = files_with_long_records(spark, path, delimiter) if multiline is None else []
-    if long == []:
+    if not long:
         raw = _scan(*args, bool(multiline))
     else:
         raw = _assembled_scan(*args, long)
         if numbered:
             in_block = Window.partitionBy(FILE, BLOCK).orderBy(LINE)
             raw = raw.withColumn(LINE, F.row_number().over(in_block).cast("bigint"))
-        if long:
-            plain = _scan(*args, False).filter(~F.col(FILE).isin(long))
-            raw = plain.unionByName(raw, allowMissingColumns=True)
+        plain = _scan(*args, False).filter(~F.col(FILE).isin(long))
+        raw = plain.unionByName(raw, allowMissingColumns=True)
     return raw.withColumn("_present", field_count(F.col(RAW_RECORD), delimiter))
 
 

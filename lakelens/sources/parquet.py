@@ -11,8 +11,11 @@ SCHEMA_OF_SCHEMA = "name string, type string, nullable boolean"
 
 
 def read_parquet(spark: SparkSession, path: str | list[str], position: bool = False) -> DataFrame:
-    """Typed rows of a file, a folder, a glob or a list of them. `position` adds the pager's columns."""
-    rows = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    """Typed rows of a file, a folder, a glob or a list of them. `position` adds the pager's columns.
+
+    Files of differing schemas have the columns of all; a column of two types is an error.
+    """
+    rows = spark.read.option("mergeSchema", "true").parquet(*([path] if isinstance(path, str) else path))
     return with_row_position(rows) if position else rows
 
 

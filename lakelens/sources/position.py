@@ -18,8 +18,6 @@ ROW = "_pos_row"
 LINE = "_pos_line"
 POSITION = [FILE, BLOCK, ROW]
 PARQUET_BLOCK_BITS = 20
-# Up to this many files are told apart by name in a plan.
-MAX_NAMED_FILES = 1_000
 
 
 def with_split_position(scan: DataFrame) -> DataFrame:
@@ -46,7 +44,6 @@ def input_files(df: DataFrame) -> list[str]:
     return sorted(re.sub(r"^(\w+):///", r"\1:/", name) for name in df.inputFiles())
 
 
-def named_files(rows: DataFrame) -> list[str] | None:
-    """Files the rows of a scan come from; None when they are too many to be named in a plan."""
-    files = rows.select(F.col("_metadata.file_path")).distinct().limit(MAX_NAMED_FILES + 1).collect()
-    return [row[0] for row in files] if len(files) <= MAX_NAMED_FILES else None
+def named_files(rows: DataFrame) -> list[str]:
+    """Files the rows of a scan come from, some of those the driver has listed for the scan."""
+    return [row[0] for row in rows.select(F.col("_metadata.file_path")).distinct().collect()]

@@ -12,6 +12,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from lakelens.registry.base import ORACLE, QUERIES
 
 QUERY_SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ONLY_ROWS = {"file_inventory", "file_info", "search_fetch"}
@@ -40,22 +41,22 @@ def as_bag(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == ONLY_ROWS
+    assert set(QUERIES) - set(ORACLE) == ONLY_ROWS
 
 
 def test_entry(spark):
     assert entry_module.entry(spark).columns == ["o_orderkey", "o_custkey", "o_totalprice"]
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name, capsys):
-    found = entry_module.queries()[name](spark, QUERY_SF)
+    found = QUERIES[name](spark, QUERY_SF)
     rows = found.collect()
     found.explain()
     plan = capsys.readouterr().out
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert ("Python" in plan or "MapInPandas" in plan) == (name == "scan_xml_strict")
-    sql = entry_module.oracle_sql().get(name)
+    assert "Python" not in plan and "MapInPandas" not in plan
+    sql = ORACLE.get(name)
     if sql is None:
         assert rows
         return

@@ -10,7 +10,8 @@ import pytest
 from lakelens.operators.csv_check import check_csv_files
 from lakelens.operators.paging import _within_files, page, page_after, page_flags, page_frame
 from lakelens.operators.project import project_existing, project_requested
-from lakelens.sources import position, xml
+from lakelens.plans.model import read_folder
+from lakelens.sources import xml
 from lakelens.sources.csv import read_csv
 from lakelens.sources.files import list_directory
 from lakelens.sources.parquet import parquet_schema, read_parquet
@@ -431,11 +432,40 @@ def test_csv_odd_quotes(spark, tmp_path):
     ]
 
 
-def test_too_many_files_to_name(spark, lake_file, monkeypatch):
-    monkeypatch.setattr(position, "MAX_NAMED_FILES", 0)
+def test_some_files_with_long_records(spark, lake_file):
     lake_file("a.csv", "id,t\n1,x\n2,y\n", "named")
     folder = lake_file("b.csv", 'id,t\n3,"x\n3b"\n4,z\n', "named").rsplit("/", 1)[0]
     found = csv_page(spark, folder)
     assert [tuple(row) for row in found.rows] == [("1", "x"), ("2", "y"), ("3", "x\n3b"), ("4", "z")]
     path = lake_file("c.xml", "<r><!-- <p> --><p><k>1</k></p></r>")
     assert values(page(read_xml(spark, path, "p", position=True)).rows, "k") == ["1"]
+
+
+def test_xml_routes_agree(spark, lake_file):
+    """The same records in a file that is cut and in one that is read whole, late spellings and nesting included."""
+    body = "<Hall>" + "<Lamp no='1'><Kind>a</Kind></Lamp>" * 60 + "<Rack><Lamp no='x'/></Rack>"
+    body += "<lamp no='2'><Kind>x<i>y</i>z &lt;b&gt;</Kind></lamp><k:LAMP xmlns:k='urn:k' no='3'/></Hall>"
+    cut = lake_file("cut.xml", body)
+    whole = lake_file("whole.xml", body.replace("<Hall>", "<Hall><!-- <x> -->"))
+    for record in ("lamp", None):
+        rows = [xml_page(spark, path, record=record, columns=["no", "Kind"]).rows for path in (cut, whole)]
+        assert [tuple(r) for r in rows[0]] == [tuple(r) for r in rows[1]]
+        assert len(rows[0]) == (62 if record else 63)
+        assert [tuple(r) for r in rows[0]][-2:] == [("2", "xyz <b>"), ("3", None)]
+
+
+def test_parquet_files_of_two_schemas(spark, tmp_path):
+    path = str(tmp_path / "two")
+    spark.createDataFrame([(1, "x")], "id int, left string").write.parquet(path)
+    spark.createDataFrame([(2, "y")], "id int, right string").write.mode("append").parquet(path)
+    found = {r["id"]: (r["left"], r["right"]) for r in read_parquet(spark, path).collect()}
+    assert found == {1: ("x", None), 2: (None, "y")}
+
+
+def test_folder_reads_only_chosen_files(spark, lake_file):
+    lake_file("a.csv", "k;v;extra\n1;2;3\n", "chosen")
+    folder = lake_file("b.csv", "k;v\n5;6\n", "chosen").rsplit("/", 1)[0]
+    rows = read_folder(spark, folder, files=["b"])
+    assert rows.columns == ["k", "v", "project_file"] and [tuple(r) for r in rows.collect()] == [("5", "6", "b")]
+    assert len(rows.inputFiles()) == 1
+    assert read_folder(spark, folder, files=["zzz"]).count() == 0
