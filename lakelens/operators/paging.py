@@ -2,8 +2,8 @@
 
 A page is found in three steps that stay small at any table size: (1) count matching rows over growing
 batches of files until the page is covered, (2) sum the matches per block of those files and keep the blocks
-the page touches, (3) order only the rows of these blocks. Counting reads nothing but the filter columns, and
-later files are never opened.
+the page touches, (3) order only the rows of these blocks. Counting reads nothing but the filter columns and
+opens no later files; a CSV scan with `multiline=None` has looked through all files before.
 """
 
 from __future__ import annotations

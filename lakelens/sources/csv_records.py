@@ -2,7 +2,7 @@
 
 A line either leaves the quote state as it is, flips it, or sets it. The state at any line follows from the
 last line that set it and the flips since, so running sums inside each split, and then over one row per
-split, tell where every record starts. Only lines of records that span lines are brought together.
+split, tell where every record starts, and the lines of each record are then brought together.
 """
 
 from __future__ import annotations
