@@ -42,16 +42,28 @@ CERTIFICATE_AMOUNTS = [
 ]
 
 
-def totals(model: CostModel, measures: list[str], keys: list[str] | None = None) -> DataFrame:
-    """Sums of the named measures per key, over all rows of their tables; NULL where a table has no row."""
+def _key(table: DataFrame, name: str, period: str) -> Column:
+    """A key column; tables with several dates name their periods after them."""
+    own = name if name in table.columns or name not in ("Date", "Month", "Year") else period + name
+    return F.col(own).alias(name)
+
+
+def totals(
+    model: CostModel, measures: list[str], keys: list[str] | None = None, request_period: str = "Creation"
+) -> DataFrame:
+    """Sums of the named measures per key, over all rows of their tables; NULL where a table has no row.
+
+    The date, month and year of a purchase request are those of its creation, or with `request_period`
+    "Delivery" those of its delivery.
+    """
     keys = [PROJECT] if keys is None else keys
     by_table: dict[str, dict[str, str]] = {}
     for measure in measures:
         table, amount = MEASURES[measure]
         by_table.setdefault(table, {})[measure] = amount
     narrow = [
-        getattr(model, table).select(*keys, *[F.col(amount).alias(name) for name, amount in wanted.items()])
-        for table, wanted in by_table.items()
+        facts.select(*[_key(facts, key, request_period) for key in keys], *[F.col(amount).alias(name) for name, amount in wanted.items()])
+        for facts, wanted in ((getattr(model, table), wanted) for table, wanted in by_table.items())
     ]
     rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), narrow)
     return rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])

@@ -36,8 +36,14 @@ def cost_model(spark, sf_dir) -> CostModel:
     price = F.col("l_extendedprice")
     kept = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
 
-    def dated(day: Column) -> list[Column]:
-        return [day.alias("Date"), F.year(day).alias("Year"), F.month(day).alias("Month")]
+    def dated(day: Column, of: str = "") -> list[Column]:
+        return [day.alias(f"{of}Date"), F.year(day).alias(f"{of}Year"), F.month(day).alias(f"{of}Month")]
+
+    order_keys = [
+        F.col("c_nationkey").alias("ProjectId"),
+        F.col("o_custkey").alias("ProductId"),
+        (F.col("o_custkey") % 20).alias("WorkBreakdownElementId"),
+    ]
 
     return CostModel(
         projects=nation.select(key.alias("ProjectId"), F.col("n_name").alias("MnemoncId"), cutoff.alias("CutoffDate")),
@@ -50,7 +56,7 @@ def cost_model(spark, sf_dir) -> CostModel:
             _share("l_extendedprice", "1.20").alias("EarnAmount"),
         ),
         orders=placed.select(
-            F.col("c_nationkey").alias("ProjectId"), *dated(ordered), _money("o_totalprice").alias("CostAmount"),
+            *order_keys, *dated(ordered), _money("o_totalprice").alias("CostAmount"),
             F.col("o_orderkey").alias("MnemonicId"),
         ),
         accountings=items.filter(F.col("l_linestatus") == "F").select(
@@ -60,7 +66,7 @@ def cost_model(spark, sf_dir) -> CostModel:
             _money("l_extendedprice").alias("EVAmount"),
         ),
         purchase_requests=placed.filter(F.col("o_orderstatus") == "P").select(
-            F.col("c_nationkey").alias("ProjectId"), ordered.alias("CreationDate"),
+            *order_keys, *dated(ordered, "Creation"), *dated(F.date_add(ordered, 40), "Delivery"),
             _money("o_totalprice").alias("CostAmount"),
         ),
         certificates=placed.select(
@@ -75,10 +81,12 @@ WITH placed AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey),
 items AS (SELECT * FROM lineitem JOIN placed ON l_orderkey = o_orderkey),
 project AS (SELECT n_nationkey AS ProjectId, n_name AS MnemoncId, CASE WHEN n_nationkey % 10 <> 9
   THEN DATE '1998-06-30' + CAST(n_nationkey * 10 AS INTEGER) END AS CutoffDate FROM nation),
-requirement AS (SELECT c_nationkey AS ProjectId, CAST(o_orderdate AS DATE) AS Date,
+requirement AS (SELECT c_nationkey AS ProjectId, l_partkey AS ProductId, l_suppkey AS WorkBreakdownElementId,
+  CAST(o_orderdate AS DATE) AS Date,
   CAST(l_extendedprice AS DECIMAL(18, 2)) AS CostAmount,
   round(CAST(l_extendedprice AS DECIMAL(18, 2)) * CAST(1.20 AS DECIMAL(4, 2)), 2) AS EarnAmount FROM items),
-committed AS (SELECT c_nationkey AS ProjectId, CAST(o_totalprice AS DECIMAL(18, 2)) AS CostAmount,
+committed AS (SELECT c_nationkey AS ProjectId, o_custkey AS ProductId, o_custkey % 20 AS WorkBreakdownElementId,
+  CAST(o_totalprice AS DECIMAL(18, 2)) AS CostAmount,
   o_orderkey AS MnemonicId FROM placed),
 accounting AS (SELECT c_nationkey AS ProjectId, l_partkey AS ProductId, l_suppkey AS WorkBreakdownElementId,
   CAST(l_shipdate AS DATE) AS Date,
@@ -86,7 +94,9 @@ accounting AS (SELECT c_nationkey AS ProjectId, l_partkey AS ProductId, l_suppke
   round(CAST(l_extendedprice AS DECIMAL(18, 2)) * CAST(1.10 AS DECIMAL(4, 2)), 2) AS JPSAmount,
   CAST(l_extendedprice AS DECIMAL(18, 2)) AS JISAmount, CAST(l_quantity AS DECIMAL(18, 2)) AS Quantity,
   CAST(l_extendedprice AS DECIMAL(18, 2)) AS EVAmount FROM items WHERE l_linestatus = 'F'),
-request AS (SELECT c_nationkey AS ProjectId, CAST(o_totalprice AS DECIMAL(18, 2)) AS CostAmount FROM placed
+request AS (SELECT c_nationkey AS ProjectId, o_custkey AS ProductId, o_custkey % 20 AS WorkBreakdownElementId,
+  CAST(o_orderdate AS DATE) AS CreationDate, CAST(o_orderdate AS DATE) + 40 AS DeliveryDate,
+  CAST(o_totalprice AS DECIMAL(18, 2)) AS CostAmount FROM placed
   WHERE o_orderstatus = 'P'),
 certificate AS (SELECT c_nationkey AS ProjectId, o_orderpriority AS CertificateType,
   CAST(o_totalprice AS DECIMAL(18, 2)) AS NetAmount,
@@ -224,21 +234,54 @@ def project_scope(spark, sf_dir):
     return plain(measures.totals(model, ["planned_cost", "actual_cost"]))
 
 
+def _register_dimensions(name: str, fact: str, source: str) -> None:
+    @query(
+        name,
+        MODEL + " SELECT ProjectId, ProductId, WorkBreakdownElementId, CAST(CostAmount AS DOUBLE) AS CostAmount, "
+        f"MnemoncId AS project, p_name AS product, s_name AS element FROM {source} LEFT JOIN project USING (ProjectId) "
+        "LEFT JOIN part ON p_partkey = ProductId LEFT JOIN supplier ON s_suppkey = WorkBreakdownElementId",
+    )
+    def run(spark, sf_dir):
+        model = cost_model(spark, sf_dir)
+        rows = getattr(model, fact).select("ProjectId", "ProductId", "WorkBreakdownElementId", "CostAmount")
+        columns = {
+            "projects": {"MnemoncId": "project"},
+            "products": {"Description": "product"},
+            "work_breakdown_elements": {"Description": "element"},
+        }
+        return plain(with_dimensions(rows, model, columns))
+
+
+_register_dimensions("join_dims", "accountings", "accounting")
+_register_dimensions("join_dims_requirements", "requirements", "requirement")
+_register_dimensions("join_dims_orders", "orders", "committed")
+_register_dimensions("join_dims_requests", "purchase_requests", "request")
+
+
 @query(
-    "join_dims",
-    MODEL + " SELECT ProjectId, ProductId, WorkBreakdownElementId, CAST(CostAmount AS DOUBLE) AS CostAmount, "
-    "MnemoncId AS project, p_name AS product, s_name AS element FROM accounting LEFT JOIN project USING (ProjectId) "
-    "LEFT JOIN part ON p_partkey = ProductId LEFT JOIN supplier ON s_suppkey = WorkBreakdownElementId",
+    "join_dims_certificates",
+    MODEL + " SELECT ProjectId, CertificateType, CAST(NetAmount AS DOUBLE) AS NetAmount, MnemoncId AS project "
+    "FROM certificate LEFT JOIN project USING (ProjectId)",
 )
-def join_dims(spark, sf_dir):
+def join_dims_certificates(spark, sf_dir):
     model = cost_model(spark, sf_dir)
-    fact = model.accountings.select("ProjectId", "ProductId", "WorkBreakdownElementId", "CostAmount")
-    columns = {
-        "projects": {"MnemoncId": "project"},
-        "products": {"Description": "product"},
-        "work_breakdown_elements": {"Description": "element"},
-    }
-    return plain(with_dimensions(fact, model, columns))
+    rows = model.certificates.select("ProjectId", "CertificateType", "NetAmount")
+    return plain(with_dimensions(rows, model, {"projects": {"MnemoncId": "project"}}))
+
+
+def _register_request_period(name: str, period: str) -> None:
+    @query(
+        name,
+        MODEL + f" SELECT ProjectId, CAST(year({period}Date) AS INTEGER) AS \"Year\", "
+        f"CAST(month({period}Date) AS INTEGER) AS \"Month\", {_sum('CostAmount', 'requested_cost')} FROM request GROUP BY ALL",
+    )
+    def run(spark, sf_dir):
+        keys = ["ProjectId", "Year", "Month"]
+        return plain(measures.totals(cost_model(spark, sf_dir), ["requested_cost"], keys, period))
+
+
+_register_request_period("agg_requested_by_month", "Creation")
+_register_request_period("agg_requested_by_delivery", "Delivery")
 
 
 @query(

@@ -23,7 +23,7 @@ LINES = "SELECT unnest(string_split({column}, chr(10))) AS value FROM {table}"
     "scan_csv",
     "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, "
     "CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS o_totalprice, "
-    "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%gZ') AS o_orderdate, "
+    "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS o_orderdate, "
     "CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderpriority END AS o_orderpriority FROM orders",
 )
 def scan_csv(spark, sf_dir):

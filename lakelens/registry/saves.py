@@ -247,7 +247,12 @@ def catalog_search_alias(spark, sf_dir):
     return _searched(search(_document_entries(spark, sf_dir), None, "Markdown"))
 
 
-@query("search_fetch")
+@query(
+    "search_fetch",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, "
+    "CAST(o_totalprice AS VARCHAR) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS o_orderdate, "
+    "o_orderpriority FROM orders WHERE o_orderstatus = 'O' ORDER BY orders.o_orderkey LIMIT 500",
+)
 def search_fetch(spark, sf_dir):
     lake = _lake(spark)
     orders = table(spark, sf_dir, "orders")

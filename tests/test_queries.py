@@ -15,7 +15,7 @@ import __spark_entry__ as entry_module
 from lakelens.registry.base import ORACLE, QUERIES
 
 QUERY_SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-ONLY_ROWS = {"file_inventory", "file_info", "search_fetch"}
+ONLY_ROWS = {"file_inventory", "file_info"}
 
 
 @pytest.fixture(scope="module")
