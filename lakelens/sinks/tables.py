@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -119,4 +120,7 @@ def save_parquet(spark: SparkSession, content: DataFrame, root: str, path: str,
     """A frame as `.parquet`; with `json_column`, its JSON object rows are typed first."""
     check_extension(path, EXTENSIONS["parquet"])
     table = json_rows_to_table(content, json_column) if json_column else content
+    alike = sorted(name for name, times in Counter(name.lower() for name in table.columns).items() if times > 1)
+    if alike:
+        raise ValueError(f"Column names differ only by case: {', '.join(alike)}.")
     return save_table(table, root, path, "parquet", **options)

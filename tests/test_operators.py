@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakelens.lake import Lake
 from lakelens.operators.catalog import (
     CATALOG_SCHEMA,
+    append_entries,
     latest,
     load_catalog,
     normalize_format,
@@ -245,3 +246,16 @@ def test_streams(spark, tmp_path):
         entries = spark.readStream.schema(CATALOG_SCHEMA).parquet(log)
         write_catalog(entries, index, str(tmp_path / "c2")).awaitTermination()
     assert {r["path"]: r["sizeBytes"] for r in load_catalog(spark, index).collect()} == {"A.CSV": 7, "b.csv": 2}
+
+
+def test_later_append_wins(spark, tmp_path):
+    index = str(tmp_path / "log")
+    append_entries(spark.createDataFrame([entry("in/low.csv", 1, 30)], CATALOG_SCHEMA), index)
+    append_entries(spark.createDataFrame([entry("IN/low.csv", 2, 5)], CATALOG_SCHEMA), index)
+    assert [(r["path"], r["sizeBytes"]) for r in load_catalog(spark, index).collect()] == [("IN/low.csv", 2)]
+
+
+def test_columns_alike_but_for_case(spark, tmp_path):
+    rows = json_frame(spark, '{"tank":1,"Tank":2}')
+    with pytest.raises(ValueError, match="tank"):
+        Lake(spark, str(tmp_path)).save_parquet("t.parquet", rows, json_column="j")
