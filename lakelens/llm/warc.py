@@ -271,7 +271,10 @@ def transactions(records: DataFrame) -> DataFrame:
 def with_revisited(captures: DataFrame) -> DataFrame:
     """Adds refers_to: the capture id of the response that a revisit points to; null for responses."""
     origin = captures.where("response.type = 'response'").groupBy(F.col("main_id").alias("origin_id")).agg(F.max("capture_id").alias("refers_to"))
-    return captures.join(origin, F.col("response.refers_to") == F.col("origin_id"), "left").drop("origin_id")
+    # Responses join themselves: a key of their own spreads them, where null would gather them in one task.
+    keyed = captures.withColumn("key", F.coalesce("response.refers_to", "main_id"))
+    joined = keyed.join(origin, F.col("key") == F.col("origin_id"), "left").drop("key", "origin_id")
+    return joined.withColumn("refers_to", F.when(F.col("response.refers_to").isNotNull(), F.col("refers_to")))
 
 
 def archive_folder(spark: SparkSession) -> str:
