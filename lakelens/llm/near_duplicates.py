@@ -200,9 +200,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
             & (F.size(joint) >= LEAST_SHARED)
             & (F.col("key") == F.array_min(joint))
         )
-        .select(F.col("o_node").alias("a"), F.col("node").alias("b"))
-        .join(first, ["a", "b"], "left_anti")
-        .join(first.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"),
+        .select(F.greatest("o_node", "node").alias("a"), F.least("o_node", "node").alias("b"))
+        .join(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"),
         "pairs",
     )
     two = written(links(second, sets, percent), "links")
