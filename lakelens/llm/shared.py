@@ -12,6 +12,9 @@ from pyspark.sql import SparkSession
 import lakelens
 from lakelens.session import scratch_path
 
+#: Rows that go to a Python task at once; whole texts are large.
+BATCH_ROWS = 2_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _sent: set[str] = set()
 
 
@@ -23,7 +26,12 @@ def file_store(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def shipped(spark: SparkSession) -> SparkSession:
-    """Sends the package's modules to the executors, once per application, as their Python may not have them."""
+    """Sends the package's modules to the executors, once per application, as their Python may not have them.
+
+    Also lowers the session's Arrow batches to BATCH_ROWS, so that texts in flight stay small in every Python task.
+    """
+    if int(spark.conf.get(BATCH_SETTING)) not in range(1, BATCH_ROWS + 1):
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     context, package = spark.sparkContext, Path(lakelens.__file__).parent
     if context.applicationId not in _sent and package.is_dir():
         packed = io.BytesIO()

@@ -47,7 +47,7 @@ RANGE_CHARS = 64 << 20
 FILE_IDS = 8 << 20
 #: Characters tokenized together, and pieces whose ids a worker keeps.
 STEP_CHARS = 4 << 20
-KEPT_PIECES = 800_000
+KEPT_PIECES = 400_000
 
 #: White space that is not one blank or line feed between other characters, and the separators used below.
 SPACES = r"\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"

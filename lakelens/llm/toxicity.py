@@ -46,8 +46,7 @@ LEVEL = 19
 CODE_BYTES = 5
 MOST_COMMON, MOST_MARKED = 8_000, 4_000
 FEATURES = 4
-KEPT_WORDS = 300_000
-_kept: dict[int, Comparer] = {}
+KEPT_WORDS = 100_000
 
 
 def codes(word: str) -> list[bytes]:
@@ -99,15 +98,6 @@ class Comparer:
         self.marked = {model.marked[i : i + CODE_BYTES] for i in range(0, len(model.marked), CODE_BYTES)}
         self.known: dict[str, tuple[bytes, bool]] = {}
 
-    @classmethod
-    def of(cls, model: Model) -> Comparer:
-        key = hash((model.common, model.marked))
-        if key not in _kept:
-            if len(_kept) > 3:
-                _kept.clear()
-            _kept[key] = cls(model)
-        return _kept[key]
-
     def _word(self, word: str) -> tuple[bytes, bool]:
         if word not in self.known:
             parts = codes(word)
@@ -229,11 +219,12 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         others = {0: model, 1: model}
 
     def crossed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        comparers = {fold: Comparer(other) for fold, other in others.items()}
         for batch in batches:
             for fold, part in batch.groupby("fold"):
                 texts, toxic = part["text"].tolist(), part["toxic"].to_numpy()
                 for a, b in steps(texts):
-                    rows = Comparer.of(others[fold]).features(texts[a:b])
+                    rows = comparers[fold].features(texts[a:b])
                     yield pd.DataFrame(rows, columns=[f"f{i}" for i in range(FEATURES)]).assign(toxic=toxic[a:b].astype(float))
 
     schema = ", ".join(f"f{i} double" for i in range(FEATURES)) + ", toxic double"
@@ -246,9 +237,11 @@ def score(model: Model, text: Column) -> Column:
     """The score of a text, 0 to 1; reads whole texts, a few million characters at a time."""
 
     @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        values, comparer = texts.tolist(), Comparer.of(model)
-        parts = [model.scores(comparer.features(values[a:b])) for a, b in steps(values)]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        comparer = Comparer(model)
+        for texts in batches:
+            values = texts.tolist()
+            parts = [model.scores(comparer.features(values[a:b])) for a, b in steps(values)]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return scored(text)
