@@ -6,7 +6,8 @@ five canonical words with at most two placeholders; a text of fewer words has it
 
 Search. A bit table of fixed size, filled from the hashes of all item windows, goes to every task, which emits only the
 document windows that hit it. These meet the item windows in an equi-join on the full 64-bit hash. Per document and item
-the hits are split into occurrences (runs along one offset); an occurrence counts when it covers at least `cover` of the item's
+the hits are split into occurrences: those along one offset, or the longest chain that ascends in the document and in the item
+within a band of offsets, so a window that the item holds twice counts where it stands. An occurrence counts when it covers at least `cover` of the item's
 distinct windows and its slots are consistent: one item value always stands for one document value of the same kind and the other
 way round.
 
@@ -17,6 +18,7 @@ result, and so do repeated items. Empty tables give no rows. Only the named colu
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -169,25 +171,68 @@ def _hits(table: np.ndarray):
     return hits
 
 
+def _consistent(chain: list) -> int | None:
+    """The number of slots, if one item value always stands for one document value and the other way round."""
+    there, back = defaultdict(set), defaultdict(set)
+    for m in chain:
+        for old, new in zip(m["i_slots"], m["d_slots"]):
+            there[old].add(new)
+            back[new].add(old)
+    return len(there) if all(len(v) == 1 for v in (*there.values(), *back.values())) else None
+
+
+def _chain(matches: list) -> list:
+    """The longest chain of matches that ascends in the document and in the item, of equal ones that with fewest changes of offset."""
+    d, i = (np.array([m[name] for m in matches], np.int64) for name in ("d_at", "i_at"))
+    score, before = np.ones(len(d)), np.full(len(d), -1)
+    change = 1 / (len(d) + 1)
+    for at in range(1, len(d)):
+        ahead = np.flatnonzero((d[:at] < d[at]) & (i[:at] < i[at]))
+        if len(ahead):
+            gain = score[ahead] + 1 - change * (d[ahead] - i[ahead] != d[at] - i[at])
+            best = int(gain.argmax())
+            score[at], before[at] = gain[best], ahead[best]
+    chain, at = [], int(score.argmax())
+    while at >= 0:
+        chain.append(matches[at])
+        at = int(before[at])
+    return chain[::-1]
+
+
 def _occurrences(cover: float):
     def judge(matches: list, total: int) -> tuple[int, int, int, int] | None:
-        """Distinct item windows, consistent slots, first and last word of the best occurrence."""
-        best, run = None, []
-        slack = max(2, total // 5)
-        for match in [*sorted(matches, key=lambda m: (m["d_at"], m["i_at"])), None]:
-            if run and (match is None or abs((match["d_at"] - match["i_at"]) - (run[0]["d_at"] - run[0]["i_at"])) > slack):
-                found = {m["hash"] for m in run}
-                if len(found) >= cover * total and (best is None or len(found) > best[0]):
-                    there, back = defaultdict(set), defaultdict(set)
-                    for m in run:
-                        for old, new in zip(m["i_slots"], m["d_slots"]):
-                            there[old].add(new)
-                            back[new].add(old)
-                    if all(len(v) == 1 for v in (*there.values(), *back.values())):
-                        best = len(found), len(there), run[0]["d_at"], run[-1]["d_at"]
-                run = []
-            if match is not None:
-                run.append(match)
+        """Distinct item windows, consistent slots, first and last word of the best occurrence.
+
+        An occurrence lies within `slack` of some offset. Its matches are those on that offset or, where words were
+        inserted or left out or a window recurs, the best chain of all within the band.
+        """
+        best, slack = None, max(2, total // 5)
+        by_offset = defaultdict(list)
+        for m in sorted(matches, key=lambda m: (m["d_at"], m["i_at"])):
+            by_offset[m["d_at"] - m["i_at"]].append(m)
+        offsets = sorted(by_offset)
+        most = len({m["hash"] for m in matches})
+        tried = None
+
+        def take(chain: list) -> None:
+            nonlocal best
+            found = len({m["hash"] for m in chain})
+            if found >= cover * total and (best is None or (-found, chain[0]["d_at"]) < (-best[0], best[2])):
+                slots = _consistent(chain)
+                if slots is not None:
+                    best = found, slots, chain[0]["d_at"], chain[-1]["d_at"]
+
+        for offset in offsets:
+            take(by_offset[offset])
+        for offset in offsets:
+            if best is not None and best[0] == most:
+                break
+            band = offsets[bisect_left(offsets, offset - slack) : bisect_right(offsets, offset + slack)]
+            # A band's distinct windows bound what its chains cover.
+            hashes = {m["hash"] for o in band for m in by_offset[o]}
+            if band != tried and len(band) > 1 and len(hashes) >= cover * total and (best is None or len(hashes) > best[0]):
+                take(_chain(sorted((m for o in band for m in by_offset[o]), key=lambda m: (m["d_at"], m["i_at"]))))
+            tried = band
         return best
 
     def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

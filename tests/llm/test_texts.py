@@ -81,6 +81,28 @@ def test_contaminated(spark):
     assert all(0.8 <= r["coverage"] <= 1 for r in found)
 
 
+def test_contaminated_with_repeats(spark):
+    """Copies of items that hold a window twice, far apart or within the slack."""
+    rng = random.Random(4)
+    word = iter(f"w{i}" for i in range(10_000))
+    items = []
+    for i, (windows, first, second) in enumerate([(40, 12, 30), (54, 15, 35), (60, 20, 27), (60, 20, 25), (30, 3, 21)]):
+        words = [next(word) for _ in range(windows + 4)]
+        words[second : second + 5] = words[first : first + 5]
+        items.append((i, " ".join(words)))
+    people = "Then Tom has 3 red apples and Anna has 5 red apples while nobody else in the whole town ever had any fruit of that kind at all again"
+    items.append((10, people))
+    noise = lambda n: " ".join(next(word) for _ in range(n))
+    rows = [(100 + i, f"{noise(50)}. {text} {noise(50)}") for i, text in items]
+    rows += [(200 + i, f"{noise(9)} {' '.join(text.split()[:38])} {noise(3)} {' '.join(text.split()[38:])}") for i, text in items[1:4]]
+    rows += [(300, people.replace("Tom", "Bob").replace("Anna", "Eve").replace("3", "8")), (301, people.replace("3", "5"))]
+    rows += [(302, " ".join([items[0][1].split()[0], *items[0][1].split()[12:17]] * 60)), (303, f"{rows[0][1]} {noise(rng.randint(5, 9))} {rows[0][1]}")]
+    found = contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = {(100 + i, i) for i, _ in items} | {(201, 1), (202, 2), (203, 3), (300, 10), (303, 0)}
+    assert {(r["doc_id"], r["item_id"]) for r in found} == expected and len(found) == len(expected)
+    assert all(r["coverage"] == 1 and r["first_word"] == 50 for r in found if r["doc_id"] < 200)
+
+
 def bad_words(n):
     rng = random.Random(9)
     vocabulary = ["".join(rng.choice("aeiournst") for _ in range(rng.randint(2, 9))) for _ in range(1500)]
