@@ -11,8 +11,9 @@ A document's score is a logistic function of its largest and second largest wind
 byte, and its number of windows. The function is fitted on differences that come from dictionaries trained without the
 document (two folds), so the thresholds hold for unseen text; the final dictionaries use both folds.
 
-Training reads at most MOST_TOXIC + MOST_ORDINARY labelled documents, those with the smallest hash of their id. All else covers
-every document and every word.
+Training reads at most MOST_TOXIC + MOST_ORDINARY labelled documents, those with the smallest hash of their id. Where that
+leaves some out, the fit weighs each kind by how many documents are so labelled over how many were read, so the scores
+follow the share of toxic documents in all labels, whatever the input's size. All else covers every document and every word.
 
 Defined results: null and empty texts, and texts without letters, have no window and get the score of a document
 without evidence. Documents with several labels count as toxic if any of them is; null labels are left out. Without
@@ -129,7 +130,8 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
+def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> tuple[DataFrame, dict[bool, float]]:
+    """The labelled texts to learn from, and per kind how many labelled documents stand behind one of them."""
     judged = (
         labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
@@ -137,12 +139,15 @@ def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
         .agg((F.max("label") > 0).alias("toxic"))
         .withColumn("hash", F.xxhash64(F.lit(7), "doc_id"))
     )
-    some = [judged.where(F.col("toxic") == t).orderBy("hash", "doc_id").limit(n) for t, n in ((True, MOST_TOXIC), (False, MOST_ORDINARY))]
+    most = {True: MOST_TOXIC, False: MOST_ORDINARY}
+    labelled = {row["toxic"]: row["count"] for row in judged.groupBy("toxic").count().collect()}
+    weights = {t: max(1.0, labelled.get(t, 0) / n) for t, n in most.items()}
+    some = [judged.where(F.col("toxic") == t).orderBy("hash", "doc_id").limit(n) for t, n in most.items()]
     chosen = written(some[0].unionByName(some[1]), "labelled")
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     parts = 2 * docs.sparkSession.sparkContext.defaultParallelism
     fold = F.pmod(F.col("hash"), F.lit(2)).cast("int").alias("fold")
-    return written(texts.join(F.broadcast(chosen), "doc_id").select("toxic", fold, "text").repartition(parts), "sample")
+    return written(texts.join(F.broadcast(chosen), "doc_id").select("toxic", fold, "text").repartition(parts), "sample"), weights
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -173,10 +178,11 @@ def _g_test(a: Column, b: Column, toxic: float, ordinary: float) -> Column:
     )
 
 
-def _dictionaries(counts: DataFrame, sizes: dict[int, int], folds: tuple[int, ...]) -> Model:
+def _dictionaries(counts: DataFrame, sizes: dict[int, int], weights: dict[bool, float], folds: tuple[int, ...]) -> Model:
     toxic, ordinary = (float(sum(sizes.get(2 * t + f, 0) for f in folds)) for t in (1, 0))
+    share = weights[True] * toxic / max(1.0, weights[True] * toxic + weights[False] * ordinary)
     if not toxic or not ordinary:
-        return Model(b"", b"", share=toxic / max(1.0, toxic + ordinary))
+        return Model(b"", b"", share=share)
     a, b = (sum((F.col(f"k{2 * t + f}") for f in folds), F.lit(0)) for t in (1, 0))
     table = counts.select("code", a.cast("double").alias("a"), b.cast("double").alias("b"))
     common = table.where("b >= 2").orderBy(F.desc("b"), "code").limit(MOST_COMMON).collect()
@@ -189,16 +195,16 @@ def _dictionaries(counts: DataFrame, sizes: dict[int, int], folds: tuple[int, ..
         .limit(MOST_MARKED)
         .collect()
     )
-    return Model(b"".join(bytes(r["code"]) for r in reversed(common)), b"".join(bytes(r["code"]) for r in reversed(marked)), share=toxic / (toxic + ordinary))
+    return Model(b"".join(bytes(r["code"]) for r in reversed(common)), b"".join(bytes(r["code"]) for r in reversed(marked)), share=share)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
     z = np.hstack([np.ones((len(x), 1)), (x - centre) / scale])
     w, penalty = np.zeros(z.shape[1]), np.diag([1e-6] + [ridge] * x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve(z.T @ (z * (p * (1 - p) + 1e-9)[:, None]) + penalty, z.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve(z.T @ (z * (weight * (p * (1 - p) + 1e-9))[:, None]) + penalty, z.T @ (weight * (y - p)) - penalty @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -207,14 +213,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndar
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     shipped(docs.sparkSession)
-    sample = _sample(docs, labels, doc_id, text, label)
+    sample, weights = _sample(docs, labels, doc_id, text, label)
     sizes = {2 * int(r["toxic"]) + r["fold"]: r["count"] for r in sample.groupBy("toxic", "fold").count().collect()}
     kinds = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"k{k}") for k in range(4)]
     counts = written(sample.mapInPandas(_counted, "code binary, kind int, n long").groupBy("code").agg(*kinds).where("k0 + k1 + k2 + k3 >= 2"), "codes")
-    model = _dictionaries(counts, sizes, (0, 1))
+    model = _dictionaries(counts, sizes, weights, (0, 1))
     if not model.marked:
         return model
-    others = {fold: _dictionaries(counts, sizes, (1 - fold,)) for fold in (0, 1)}
+    others = {fold: _dictionaries(counts, sizes, weights, (1 - fold,)) for fold in (0, 1)}
     if not all(other.marked for other in others.values()):
         others = {0: model, 1: model}
 
@@ -229,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     schema = ", ".join(f"f{i} double" for i in range(FEATURES)) + ", toxic double"
     rows = sample.mapInPandas(crossed, schema).toPandas().sort_values([f"f{i}" for i in range(FEATURES)]).to_numpy()
-    w, centre, scale = _logistic(rows[:, :FEATURES], rows[:, FEATURES])
+    w, centre, scale = _logistic(rows[:, :FEATURES], rows[:, FEATURES], np.where(rows[:, FEATURES] > 0, weights[True], weights[False]))
     return Model(model.common, model.marked, tuple(w.tolist()), tuple(centre.tolist()), tuple(scale.tolist()), model.share)
 
 

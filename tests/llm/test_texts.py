@@ -139,6 +139,27 @@ def test_toxicity_without_examples(spark):
         assert {r[0] for r in docs.select(toxicity.score(model, F.col("text"))).collect()} == {share}
 
 
+def test_toxicity_share(spark, monkeypatch):
+    """Scores follow the share of toxic labels, also where only some of the labelled documents are read."""
+    rng = random.Random(6)
+    rows, _ = bad_words(1200)
+    rows = [(i, re.sub("glumpf|zorgling|blibberhead|grotfang", "aeio", text) + (" zorgling" if i % 4 == 0 else "")) for i, text in rows]
+    # Of the documents with the word, a third are toxic: 8 % of all.
+    labels = [(i, int(i % 4 == 0 and rng.random() < 1 / 3)) for i, _ in rows]
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def mean_score():
+        model = toxicity.train(docs, marks)
+        return docs.agg(F.avg(toxicity.score(model, F.col("text")))).first()[0], model.share
+
+    whole, share = mean_score()
+    monkeypatch.setattr(toxicity, "MOST_TOXIC", 60)
+    monkeypatch.setattr(toxicity, "MOST_ORDINARY", 120)
+    some, same = mean_score()
+    true = sum(t for _, t in labels) / len(labels)
+    assert all(abs(found - true) < 0.04 for found in (whole, share, some, same))
+
+
 def base(text):
     kinds = ["assign", "access", "hex"]
     spans = [
