@@ -6,7 +6,9 @@ i - SIZE, so all are filled after 2 * SIZE rounds at the latest, and large sets
 sets agree with probability equal to their Jaccard similarity, concentrated as for independent hash functions.
 
 Candidates. BANDS bands of ROWS coordinates give one key each. Sets with similarity 0.85 share 14 of 32 keys on average and
-fewer than LEAST_SHARED with probability 2.4e-6; pairs below that are no candidates. Texts with equal sets are one node.
+fewer than 3 with probability 2.4e-6; sets with similarity 0.8 share 10 and none with probability 3.0e-6. `least_shared` is the largest
+number of keys, 3 at most, that links at the bound fall short of with a probability below MOST_MISSED; pairs with fewer are no
+candidates. Texts with equal sets are one node.
 First, the members of a key are compared with one of them only: the node whose keys are the most common, which in a
 group of copies is the text they were made from. The links found are joined into components. Then, for the few keys
 whose members are still in different components, every member outside the largest of them is compared with the
@@ -24,6 +26,7 @@ Rows with equal ids and texts are one node. An empty table gives no rows. Only t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,10 +42,20 @@ from lakelens.llm.shingles import FACTORS, mixed, shingle_sets, steps
 
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
-LEAST_SHARED = 3
+MOST_SHARED, MOST_MISSED = 3, 5e-6
 FULL = np.uint64(2**64 - 1)
 
 
+def missed(percent: int, keys: int) -> float:
+    """The probability that two sets of this similarity share fewer than so many keys."""
+    p = (percent / 100) ** ROWS
+    return sum(math.comb(BANDS, k) * p**k * (1 - p) ** (BANDS - k) for k in range(keys))
+
+
+def least_shared(percent: int) -> int:
+    return max([1, *(k for k in range(1, MOST_SHARED + 1) if missed(percent, k) < MOST_MISSED)])
+
+
 def sketches(sets: list[np.ndarray], size: int = SIZE) -> np.ndarray:
     """A row of `size` coordinates per set that is not empty."""
     counts = np.array([len(s) for s in sets], np.int64)
@@ -197,7 +210,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
             & ((F.col("part") == F.col("main")) | (F.col("node") < F.col("o_node")))
             & close(F.col("n"), F.col("o_n"))
             & (F.least("common", "o_common") * (100 + percent) >= (F.col("n") + F.col("o_n")) * percent)
-            & (F.size(joint) >= LEAST_SHARED)
+            & (F.size(joint) >= least_shared(percent))
             & (F.col("key") == F.array_min(joint))
         )
         .select(F.greatest("o_node", "node").alias("a"), F.least("o_node", "node").alias("b"))

@@ -8,8 +8,9 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from lakelens.llm.components import components
-from lakelens.llm.near_duplicates import SIZE, near_duplicates, sketches
+from lakelens.llm.near_duplicates import SIZE, least_shared, missed, near_duplicates, sketches
 from lakelens.llm.shingles import shingle_sets
 
 SCHEMA = "doc_id long, text string, node string"
@@ -108,3 +109,19 @@ def test_components(spark):
         root[max(a, b)] = min(a, b)
     nodes = {n for e in edges for n in e}
     assert {n: found.get(n, n) for n in nodes} == {n: find(n) for n in nodes}
+
+
+def test_pairs_between_the_bounds(spark):
+    """The pipeline's stage takes pairs of similarity 0.80 to 0.85 for near copies; the operator at 85 does not."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(40):
+        base = [f"v{i}x{j}" for j in range(rng.randint(150, 300))]
+        copy = base[: len(base) - round(len(base) * rng.uniform(0.16, 0.185))]
+        rows += [(2 * i, " ".join(base), "x"), (2 * i + 1, " ".join(copy), "x")]
+        ratio = len(shingles(rows[-1][1])) / len(shingles(rows[-2][1]))
+        assert 0.8 <= ratio < 0.85
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert {r["doc_id"] for r in corpus_pipeline.remove_near_duplicates(spark, docs, "").collect()} == {2 * i for i in range(40)}
+    assert all(r["kept"] for r in near_duplicates(docs, percent=85).collect())
+    assert missed(85, least_shared(85)) < 5e-6 and missed(80, least_shared(80)) < 5e-6 and least_shared(85) == 3
