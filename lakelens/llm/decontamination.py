@@ -4,6 +4,10 @@ Canonical form. Words lose the punctuation around them and their case; numbers b
 capitalised words inside a sentence <name>. The value behind a placeholder is its slot. A text's template windows are its runs of
 five canonical words with at most two placeholders; a text of fewer words has its whole sequence as one window.
 
+Literal windows. Items with fewer than LEAST_TEMPLATES distinct template windows (numbers, lists of names, very short texts) and items
+under five words are looked for word by word, numbers and names included: by all runs of five words, or by the one run of all
+the item's words, anywhere in a document. An item of one or two words has to stand as a line or sentence of its own.
+
 Search. A bit table of fixed size, filled from the hashes of all item windows, goes to every task, which emits only the
 document windows that hit it. These meet the item windows in an equi-join on the full 64-bit hash. Per document and item
 the hits are split into occurrences: those along one offset, or the longest chain that ascends in the document and in the item
@@ -11,8 +15,7 @@ within a band of offsets, so a window that the item holds twice counts where it
 distinct windows and its slots are consistent: one item value always stands for one document value of the same kind and the other
 way round.
 
-Defined results: null and empty texts have no window and match nothing. Items without a window (empty, or only
-windows with more than two placeholders) match nothing. Null ids are kept as they are; rows with the same id and text give one
+Defined results: null and empty texts have no window and match nothing, as items without words. Null ids are kept as they are; rows with the same id and text give one
 result, and so do repeated items. Empty tables give no rows. Only the named columns are read.
 """
 
@@ -37,6 +40,9 @@ from lakelens.llm.shingles import FACTORS, WIDTH, mixed, steps
 
 COVER = 0.8
 MOST_SLOTS = 2
+#: Items with fewer distinct template windows are looked for literally; items of up to ALONE words as a line or sentence.
+LEAST_TEMPLATES, ALONE = 3, 2
+LITERAL_SALT = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of the table that goes to every task: 2 MiB, whatever the benchmark's size.
 TABLE_BITS = 1 << 24
 
@@ -97,9 +103,10 @@ class Canonical:
         number, unit, fused = (x[kept] for x in (number, unit, fused))
         after_number = np.concatenate([[False], number[:-1]]) & ~first if len(kept) else number
         self.kind = np.where(number | fused, NUM, np.where(unit & after_number, UNIT, np.where(capital[kept] & ~starts, NAME, LITERAL)))
-        self.word = at[kept]
+        self.word, self.starts = at[kept], starts
         placeholder = np.array([0, *[_word_code(k, "") for k in (NUM, UNIT, NAME)]], np.uint64)
-        self.codes = np.where(self.kind == LITERAL, literal[self.word] if len(kept) else np.zeros(0, np.uint64), placeholder[self.kind])
+        self.literal = literal[self.word] if len(kept) else np.zeros(0, np.uint64)
+        self.codes = np.where(self.kind == LITERAL, self.literal, placeholder[self.kind])
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text, first word within the text, hash, number of words) of every window with few enough placeholders."""
@@ -125,6 +132,22 @@ class Canonical:
             hashes = np.append(hashes, mixed(np.array([short], np.uint64)))
         return text, first, hashes.astype(np.int64), width
 
+    def literal_windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, first word within the text, hash) of every run of so many words as they stand."""
+        n, total = np.diff(self.bounds), len(self.literal)
+        runs = np.full(max(0, total - width + 1), width, np.uint64)
+        for place in range(width):
+            runs += self.literal[place : total - width + 1 + place] * FACTORS[place + (WIDTH if width < WIDTH else 0)]
+        counts = np.maximum(n - width + 1, 0)
+        text = np.repeat(np.arange(len(n)), counts)
+        first = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = self.bounds[:-1][text] + first
+        if width <= ALONE and len(at):
+            ends = at + width == self.bounds[1:][text]
+            good = self.starts[at] & (ends | self.starts[np.minimum(at + width, total - 1)])
+            text, first, at = text[good], first[good], at[good]
+        return text, first, mixed(runs[at] ^ LITERAL_SALT).astype(np.int64)
+
     def slots(self, text: int, first: int, width: int) -> list[str]:
         """Kind and value of the placeholders in a window."""
         at = range(self.bounds[text] + first, self.bounds[text] + first + width)
@@ -137,36 +160,46 @@ def _item_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part = batch.iloc[a:b]
             form = Canonical([text or "" for text in part["text"]])
             text, first, hashes, width = form.windows()
-            yield pd.DataFrame(
-                {
-                    "item": part["item"].to_numpy()[text],
-                    "i_row": part["i_row"].to_numpy()[text],
-                    "i_at": first,
-                    "hash": hashes,
-                    "i_slots": pd.Series([form.slots(t, f, w) for t, f, w in zip(text.tolist(), first.tolist(), width.tolist())], dtype=object),
-                }
-            )
-
+            n = np.diff(form.bounds)
+            distinct = np.bincount(np.unique(np.column_stack([text, hashes]), axis=0)[:, 0], minlength=len(n)) if len(text) else np.zeros(len(n), int)
+            few = distinct < LEAST_TEMPLATES
+            templates = np.flatnonzero(~few[text] | (n[text] < WIDTH))
+            text, first, hashes, width = (x[templates] for x in (text, first, hashes, width))
+            slots = [form.slots(t, f, w) for t, f, w in zip(text.tolist(), first.tolist(), width.tolist())]
+            yield _windows(part, text, first, hashes, width, 0, slots)
+            for size in range(1, WIDTH + 1):
+                text, first, hashes = form.literal_windows(size)
+                own = np.flatnonzero(few[text] & (np.minimum(n[text], WIDTH) == size))
+                yield _windows(part, text[own], first[own], hashes[own], np.full(len(own), size), 1, [[] for _ in own])
+
+
+def _windows(part: pd.DataFrame, text: np.ndarray, first: np.ndarray, hashes: np.ndarray, width: np.ndarray, route: int, slots: list) -> pd.DataFrame:
+    """Windows of items; route 1 is that of the literal ones."""
+    columns = {"item": part["item"].to_numpy()[text], "i_row": part["i_row"].to_numpy()[text], "route": np.full(len(text), route), "width": width}
+    return pd.DataFrame(columns | {"i_at": first, "hash": hashes, "i_slots": pd.Series(slots, dtype=object)})
+
+
+def _hits(table: np.ndarray, widths: list[int]):
+    def seen(hashes: np.ndarray) -> np.ndarray:
+        bit = hashes.astype(np.uint64) & np.uint64(TABLE_BITS - 1)
+        return np.flatnonzero((table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1)
+
+    def rows(part: pd.DataFrame, text: np.ndarray, first: np.ndarray, hashes: np.ndarray, slots: list) -> pd.DataFrame:
+        columns = {"doc": part["doc"].to_numpy()[text], "row": part["row"].to_numpy()[text], "d_at": first, "hash": hashes}
+        return pd.DataFrame(columns | {"d_slots": pd.Series(slots, dtype=object)})
 
-def _hits(table: np.ndarray):
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for a, b in steps(batch["text"].tolist()):
                 part = batch.iloc[a:b]
                 form = Canonical([text or "" for text in part["text"]])
                 text, first, hashes, width = form.windows()
-                bit = hashes.astype(np.uint64) & np.uint64(TABLE_BITS - 1)
-                seen = (table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
-                some = np.flatnonzero(seen)
-                yield pd.DataFrame(
-                    {
-                        "doc": part["doc"].to_numpy()[text[some]],
-                        "row": part["row"].to_numpy()[text[some]],
-                        "d_at": first[some],
-                        "hash": hashes[some],
-                        "d_slots": pd.Series([form.slots(text[i], first[i], width[i]) for i in some.tolist()], dtype=object),
-                    }
-                )
+                some = seen(hashes)
+                yield rows(part, text[some], first[some], hashes[some], [form.slots(text[i], first[i], width[i]) for i in some.tolist()])
+                for size in widths:
+                    text, first, hashes = form.literal_windows(size)
+                    some = seen(hashes)
+                    yield rows(part, text[some], first[some], hashes[some], [[] for _ in some])
 
     return hits
 
@@ -239,7 +272,7 @@ def _occurrences(cover: float):
         for batch in batches:
             best = [judge(m, t) for m, t in zip(batch["matches"], batch["windows"])]
             keep = [b is not None for b in best]
-            out = batch.loc[keep, ["doc", "row", "item", "windows"]].copy()
+            out = batch.loc[keep, ["doc", "row", "i_row", "item", "windows"]].copy()
             for i, name in enumerate(("matched", "slots", "first_word", "last_word")):
                 out[name] = [b[i] for b in best if b is not None]
             yield out
@@ -253,7 +286,7 @@ def contaminated(
     """doc_id, row (a hash of id and text), item_id, windows, matched, coverage, slots, first_word, last_word per find."""
     shipped(docs.sparkSession)
     own = items.select(F.col(item_id).cast("string").alias("item"), F.xxhash64(item_id, item_text).alias("i_row"), F.col(item_text).alias("text"))
-    schema = "item string, i_row long, i_at long, hash long, i_slots array<string>"
+    schema = "item string, i_row long, route int, width int, i_at long, hash long, i_slots array<string>"
     windows = written(own.mapInPandas(_item_windows, schema).distinct(), "items")
     bit = F.col("hash").bitwiseAND(TABLE_BITS - 1)
     marks = windows.select(F.shiftright(bit, 3).cast("int").alias("at"), F.expr(f"shiftleft(1, CAST(hash & {TABLE_BITS - 1} & 7 AS INT))").alias("bits"))
@@ -261,19 +294,24 @@ def contaminated(
     for row in marks.groupBy("at").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
         table[row["at"]] = row["bits"]
 
+    widths = sorted(row["width"] for row in windows.where("route = 1").select("width").distinct().collect())
     rows = docs.select(F.col(doc_id).cast("string").alias("doc"), F.xxhash64(doc_id, text).alias("row"), F.col(text).alias("text"))
-    hits = rows.mapInPandas(_hits(table), "doc string, row long, d_at long, hash long, d_slots array<string>")
-    totals = windows.groupBy("i_row").agg(F.countDistinct("hash").alias("windows"), F.first("item").alias("item"))
+    hits = rows.mapInPandas(_hits(table, widths), "doc string, row long, d_at long, hash long, d_slots array<string>")
+    totals = windows.groupBy("i_row", "route").agg(F.countDistinct("hash").alias("windows"), F.first("item").alias("item"))
     pairs = (
         hits.join(windows, "hash")
-        .groupBy("doc", "row", "i_row")
+        .groupBy("doc", "row", "i_row", "route")
         .agg(F.collect_list(F.struct("d_at", "i_at", "hash", "d_slots", "i_slots")).alias("matches"), F.countDistinct("hash").alias("found"))
-        .join(totals, "i_row")
+        .join(totals, ["i_row", "route"])
         .where(F.col("found") >= cover * F.col("windows"))
     )
-    found = pairs.select("doc", "row", "item", "windows", "matches").mapInPandas(
-        _occurrences(cover), "doc string, row long, item string, windows long, matched long, slots long, first_word long, last_word long"
+    judged = pairs.select("doc", "row", "i_row", "item", "windows", "matches").mapInPandas(
+        _occurrences(cover), "doc string, row long, i_row long, item string, windows long, matched long, slots long, first_word long, last_word long"
     )
+    # An item that is found by both routes is one find.
+    found = judged.groupBy("doc", "row", "i_row").agg(
+        F.max_by(F.struct("item", "windows", "matched", "slots", "first_word", "last_word"), F.struct("matched", -F.col("first_word"))).alias("best")
+    ).select("doc", "row", "best.*")
     return found.select(
         F.col("doc").cast(docs.schema[doc_id].dataType).alias("doc_id"),
         "row",

@@ -103,6 +103,24 @@ def test_contaminated_with_repeats(spark):
     assert all(r["coverage"] == 1 and r["first_word"] == 50 for r in found if r["doc_id"] < 200)
 
 
+def test_contaminated_literally(spark):
+    """Items of numbers, names or few words are found as they stand, and not by a common run of five words."""
+    names = "Alice Bob Carol Dave Erin Frank Grace Heidi Ivan Judy Mallory Niaj Olivia Peggy"
+    items = [
+        (1, "1 2 3 4 5 6 7 8"), (2, f"the following people were there: {names}"), (3, "seven green bottles"), (4, "forty two"),
+        (5, "at the end of the day"), (6, "1 2 3"), (7, "he paid 4 dollars for it"),
+    ]
+    rows = [
+        (10, "So we count: 1 2 3 4 5 6 7 8 and stop"), (11, "So we count 1 2 3 5 4 6 8 7 and stop"),
+        (20, f"Well, the following people were there: {names} and left."), (21, "Well, the following people were there: Zoe Yan Xena Walt Vic Una Tom Sam Rob Pam Oz Ned Max Liz."),
+        (30, "We saw Seven green bottles, on the wall"), (31, "seven bottles of green glass"), (40, "What is it? Forty two! Yes."), (41, "he was forty two then"),
+        (50, "but at the end of the day it rained"), (51, "but at the start of the day it rained"), (70, "and he paid 4 dollars for it all"), (71, "and he paid 5 dollars for it all"),
+    ]
+    found = contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = [(10, 1), (10, 6), (11, 6), (20, 2), (30, 3), (40, 4), (50, 5), (70, 7)]
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == expected
+
+
 def bad_words(n):
     rng = random.Random(9)
     vocabulary = ["".join(rng.choice("aeiournst") for _ in range(rng.randint(2, 9))) for _ in range(1500)]
