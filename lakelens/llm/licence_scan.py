@@ -1,10 +1,11 @@
 """License scans: passages of documents compared to licence templates by Dice coefficient over word bigrams.
 
 Texts and templates are normalised alike: lower case, everything but letters and digits is a gap, `licence` becomes
-`license`. A passage of x distinct bigrams that reaches Dice t with a template of n has t / (2 - t) * n <= x, so at least that many
-of the template's bigrams must stand close together: a window as long as the template slides over the document, and
-only templates whose bound some window meets are compared. Windows that meet it are joined while they overlap, cut to their first and last
-bigram of the template, and compared exactly, over sets. Overlapping passages of several templates go to the one
+`license`. A passage of x distinct bigrams that reaches Dice t with a template of n shares at least t / (2 - t) * n of them and has
+x <= (2 - t) / t * n. Passages may repeat bigrams; they are looked for up to LONGEST times that many words. A window of this length
+slides over the document, and only where it holds enough of the template's bigrams is the template compared, exactly, over sets.
+So every passage that reaches t within this length leads to a find. A passage begins and ends with a bigram of the
+template; its ends are moved in turn while its coefficient grows, and what is then left before it is searched again. Overlapping passages of several templates go to the one
 with the highest coefficient, then the longer one, then the smaller name.
 
 Templates are a parameter, a table of (license, text) with several texts per licence at will. They go to every task, so
@@ -32,6 +33,8 @@ from lakelens.llm.shingles import steps
 
 LEAST_DICE = 0.8
 MOST_WORDS = 200_000
+#: Words of a passage over the most distinct bigrams it may have.
+LONGEST = 2
 
 # Short notices and texts of common licences, as their authors publish them.
 TEMPLATES = [
@@ -163,31 +166,56 @@ class Scanner:
         for template in self.templates:
             need = self.least_shared(len(template.bigrams))
             hits = places[np.isin(kinds, template.bigrams)]
-            if len(hits) < need:
-                continue
-            upto = np.searchsorted(hits, hits + template.words - 1)
-            starts = np.flatnonzero(upto - np.arange(len(hits)) >= need)
-            last = -1
-            for i in starts.tolist():
-                if hits[i] < last:
-                    continue
-                best = self._best(template, hits, i, numbers)
-                if best is not None:
-                    candidates.append((-best[0], -template.words, template.name, best[1], best[2]))
-                    last = best[2]
+            if len(hits) >= need:
+                found = self._of_template(template, need, hits, numbers)
+                candidates += [(-dice, -template.words, template.name, a, b) for dice, a, b in found]
         taken: list[tuple[str, float, int, int]] = []
         for dice, _, name, a, b in sorted(candidates):
             if all(b <= x or a >= y for _, _, x, y in taken):
                 taken.append((name, -dice, a, b))
         return sorted(taken, key=lambda p: p[2:])
 
-    def _best(self, template: Template, hits: np.ndarray, i: int, numbers: np.ndarray) -> tuple[float, int, int] | None:
-        """The best passage from hit i on: ends at a hit, no longer than the size bound allows."""
-        n, a, best = len(template.bigrams), int(hits[i]), None
-        longest = (2 - self.least) / self.least * n
-        inside, seen, shared, at = set(template.bigrams.tolist()), set(), 0, a
-        stops = set(hits[i:].tolist())
-        while at + 1 < len(numbers) and len(seen) <= longest and at - a <= 2 * longest:
+    def _of_template(self, template: Template, need: int, hits: np.ndarray, numbers: np.ndarray) -> list[tuple[float, int, int]]:
+        """Passages that do not overlap: Dice, first word, end word."""
+        reach = LONGEST * self.longest(template)
+        inside, found = frozenset(template.bigrams.tolist()), []
+        parts = [(0, len(hits), len(numbers))]
+        while parts:
+            low, high, end = parts.pop()
+            own, last = hits[low:high], -1
+            upto = np.searchsorted(own, own + reach, side="right")
+            for i in np.flatnonzero(upto - np.arange(len(own)) >= need).tolist():
+                if own[i] < last:
+                    continue
+                floor = max(last, 0)
+                best = self._best(template, inside, own[i:], numbers, end, 1)
+                turn = -1
+                while best is not None:
+                    # From the best end back to the best start, and on while that gains.
+                    stops = own[(own >= floor) & (own <= best[2] - 2)][::-1] if turn < 0 else own[(own >= best[1]) & (own < end - 1)]
+                    better = self._best(template, inside, stops, numbers, end, turn)
+                    if better is None or better[0] <= best[0]:
+                        break
+                    best, turn = better, -turn
+                if best is None:
+                    continue
+                found.append(best)
+                if best[1] - own[i] > need:
+                    parts.append((low + i, low + int(np.searchsorted(own, best[1])), best[1]))
+                last = best[2]
+        return found
+
+    def longest(self, template: Template) -> float:
+        """The most distinct bigrams of a passage that reaches the least coefficient."""
+        return (2 - self.least) / self.least * len(template.bigrams)
+
+    def _best(self, template: Template, inside: frozenset, hits: np.ndarray, numbers: np.ndarray, end: int, turn: int) -> tuple[float, int, int] | None:
+        """The best passage from the first hit on, forwards or backwards: ends at a hit, no longer than the size bound allows."""
+        n, start, best = len(template.bigrams), int(hits[0]), None
+        longest = self.longest(template)
+        seen, shared, at = set(), 0, start
+        stops = set(hits[: np.searchsorted(turn * hits, turn * start + LONGEST * longest, side="right")].tolist())
+        while 0 <= at and at + 1 < end and len(seen) <= longest and abs(at - start) <= LONGEST * longest:
             left, right = int(numbers[at]), int(numbers[at + 1])
             # Words outside the vocabulary make bigrams of their own, one per place.
             pair = left * self.base + right if left and right else -at - 1
@@ -197,8 +225,8 @@ class Scanner:
             if at in stops:
                 dice = 2 * shared / (len(seen) + n)
                 if dice >= self.least and (best is None or dice > best[0]):
-                    best = dice, a, at + 2
-            at += 1
+                    best = dice, min(start, at), max(start, at) + 2
+            at += turn
         return best
 
 

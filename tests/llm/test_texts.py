@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakelens.llm import secret_spans, toxicity
 from lakelens.llm.decontamination import contaminated
-from lakelens.llm.licence_scan import TEMPLATES, scan_licences
+from lakelens.llm.licence_scan import TEMPLATES, Scanner, scan_licences
 
 DOCS = "doc_id long, text string, spans string, item_id string"
 
@@ -55,6 +55,35 @@ def test_licences(spark):
         assert r["dice"] == pytest.approx(max(dice)) and r["dice"] >= 0.8
 
 
+def test_licences_with_insertions():
+    """Templates with something inserted against all passages of the text."""
+    rng = random.Random(3)
+    word = iter(f"w{i}x" for i in range(100_000))
+    found, every = 0, 0
+    for words in (85, 120):
+        template = [next(word) for _ in range(words)]
+        scanner = Scanner([("L", " ".join(template))])
+        own = set(zip(template, template[1:]))
+        for share in (0.2, 0.35, 0.4, 0.45, 0.49, 0.55, 0.7):
+            at, more = rng.randint(words // 3, 2 * words // 3), [next(word) for _ in range(round(share * words))]
+            text = [*(next(word) for _ in range(20)), *template[:2], *(next(word) for _ in range(9)), *template[:at], *more, *template[at:], "end"]
+            best = 0
+            for a in range(len(text)):
+                seen = set()
+                for pair in zip(text[a:], text[a + 1 :]):
+                    seen.add(pair)
+                    best = max(best, 2 * len(seen & own) / (len(seen) + len(own))) if pair in own else best
+            passages = scanner.scan([" ".join(text)])[0]
+            assert [p[1] for p in passages] == ([pytest.approx(best)] if best >= 0.8 else [])
+            every += best >= 0.8
+            found += len(passages)
+    assert found == every >= 8
+    first = [next(word) for _ in range(40)]
+    second = [*first[:30], *(next(word) for _ in range(6)), *first[30:]]
+    passages = Scanner([("L", " ".join(first))]).scan([" ".join([*second, *first])])[0]
+    assert len(passages) == 2 and all(dice >= 0.8 for _, dice, *_ in passages)
+
+
 def test_contaminated(spark):
     rng = random.Random(2)
     vocabulary = [f"word{i}" for i in range(300)]
