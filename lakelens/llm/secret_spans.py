@@ -6,7 +6,7 @@ character classes, and whose log-likelihood under a character Markov model of ra
 learned one, whichever fits better) exceeds the one under a model of ordinary identifiers by at least a threshold a character.
 
 Training. Both models are first-order chains over character classes with additive smoothing, trained from labelled samples: the
-values of base spans (random) and runs of token characters without any base span (ordinary). The counts cover every
+values of base spans (random) and runs of token characters that touch no base span (ordinary). The counts cover every
 document; they are summed per task into tables of fixed size. The threshold lies three standard deviations below the mean score of
 uniformly random runs of the least length, never below 0. Where the documents hold too few secrets to learn from, the
 uniform model over letters and digits stands alone.
@@ -71,10 +71,12 @@ def _pairs(run: str) -> np.ndarray:
 
 
 def _outside(text: str, spans: list[tuple], pattern: re.Pattern) -> Iterator[tuple[int, int]]:
-    """Matches of a pattern that touch no span."""
-    bounds = [(s[0], s[2]) for s in spans]
+    """Matches of a pattern that touch no span; spans are sorted by start."""
+    at, reach = 0, 0
     for m in pattern.finditer(text):
-        if all(m.end() <= a or m.start() >= b for a, b in bounds):
+        while at < len(spans) and spans[at][0] < m.end():
+            reach, at = max(reach, spans[at][2]), at + 1
+        if reach <= m.start():
             yield m.span()
 
 
@@ -114,6 +116,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen = pc.value_counts(split)
             words = zip(seen.field("values").to_pylist(), seen.field("counts").to_pylist())
             coded = [(_pairs(m[0]), n) for word, n in words if len(word) >= 8 for m in WORD.finditer(word) if n]
+            for i, own in spans.items():
+                coded += [(_pairs(part[i][start:end]), 1) for start, end in (_outside(part[i], own, WORD) if own else ())]
             if coded:
                 weights = np.repeat([n for _, n in coded], [len(p) for p, _ in coded])
                 counts[0] += np.bincount(np.concatenate([p for p, _ in coded]), weights, STATES * STATES).astype(np.int64)

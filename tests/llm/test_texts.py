@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,3 +240,14 @@ def test_secrets(spark):
     assert not [s for i in range(500, 560) for s in got[i] if s[1] == "random"]
     assert not [s for i in range(600, 700) for s in got[i]]
     assert secret_spans.digest([]) == hashlib.sha256(b"").hexdigest()
+
+
+def test_secrets_ordinary_runs_of_all_documents():
+    """Runs beside a base span train the ordinary model; those that touch one do not."""
+    def ordinary(text):
+        counts = pd.concat(secret_spans._counted(iter([pd.DataFrame({"text": [text]})])))
+        return int(counts[counts["label"] == 0]["n"].sum())
+
+    name = "my_variable_name"
+    assert ordinary(f"{name} = 1") == ordinary(f"{name} = 1\ntoken=abcdef12") == len(name) - 1
+    assert ordinary(f"x token=abcdef12 {name} password: hunter22 {name}") == 2 * (len(name) - 1)
