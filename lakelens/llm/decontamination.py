@@ -297,18 +297,23 @@ def contaminated(
     widths = sorted(row["width"] for row in windows.where("route = 1").select("width").distinct().collect())
     rows = docs.select(F.col(doc_id).cast("string").alias("doc"), F.xxhash64(doc_id, text).alias("row"), F.col(text).alias("text"))
     hits = rows.mapInPandas(_hits(table, widths), "doc string, row long, d_at long, hash long, d_slots array<string>")
-    totals = windows.groupBy("i_row", "route").agg(F.countDistinct("hash").alias("windows"), F.first("item").alias("item"))
+    totals = windows.groupBy("i_row", "route").agg(F.countDistinct("hash").alias("windows"), F.max("item").alias("item"))
+    whole = written(windows.join(totals.withColumnRenamed("item", "its_item"), ["i_row", "route"]).drop("item").withColumnRenamed("its_item", "item"), "items")
+    # Bands of offsets overlap by half, so every occurrence lies within one; only bands that hold enough of the item are collected.
+    reach = 2 * F.greatest(F.lit(2), F.floor(F.col("windows") / 5)) + 1
+    band = F.floor((F.col("d_at") - F.col("i_at")) / reach)
+    matches = written(hits, "hits").join(whole, "hash").withColumn("band", F.explode(F.array(band - 1, band)))
+    group = ["row", "i_row", "route", "band"]
+    enough = matches.groupBy(*group, "windows").agg(F.countDistinct("hash").alias("found")).where(F.col("found") >= cover * F.col("windows"))
     pairs = (
-        hits.join(windows, "hash")
-        .groupBy("doc", "row", "i_row", "route")
-        .agg(F.collect_list(F.struct("d_at", "i_at", "hash", "d_slots", "i_slots")).alias("matches"), F.countDistinct("hash").alias("found"))
-        .join(totals, ["i_row", "route"])
-        .where(F.col("found") >= cover * F.col("windows"))
+        matches.join(enough.select(*group), group, "left_semi")
+        .groupBy("doc", *group, "item", "windows")
+        .agg(F.collect_set(F.struct("d_at", "i_at", "hash", "d_slots", "i_slots")).alias("matches"))
     )
     judged = pairs.select("doc", "row", "i_row", "item", "windows", "matches").mapInPandas(
         _occurrences(cover), "doc string, row long, i_row long, item string, windows long, matched long, slots long, first_word long, last_word long"
     )
-    # An item that is found by both routes is one find.
+    # An item that is found in several bands or by both routes is one find.
     found = judged.groupBy("doc", "row", "i_row").agg(
         F.max_by(F.struct("item", "windows", "matched", "slots", "first_word", "last_word"), F.struct("matched", -F.col("first_word"))).alias("best")
     ).select("doc", "row", "best.*")

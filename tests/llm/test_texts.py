@@ -133,6 +133,17 @@ def test_contaminated_with_repeats(spark):
     assert all(r["coverage"] == 1 and r["first_word"] == 50 for r in found if r["doc_id"] < 200)
 
 
+def test_contaminated_by_bands(spark):
+    """A frequent window neither collects its repeats nor hides an occurrence."""
+    words = [f"n{i}" for i in range(50)]
+    common = words[5:10]
+    words[30:35] = words[40:45] = common
+    rows = [(1, " ".join(common * 4000)), (2, " ".join([*(common * 4000), *words, *(common * 4000)]))]
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    found = contaminated(frame(spark, rows), items).collect()
+    assert [(r["doc_id"], r["coverage"], r["first_word"]) for r in found] == [(2, 1.0, 20_000)]
+
+
 def test_contaminated_literally(spark):
     """Items of numbers, names or few words are found as they stand, and not by a common run of five words."""
     names = "Alice Bob Carol Dave Erin Frank Grace Heidi Ivan Judy Mallory Niaj Olivia Peggy"
