@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written a
 All but the last return the columns of documents. The package `lakelens.llm` holds the operators.
 
 toxicity        removes the documents that the classifier calls toxic, whatever their label says.
-near_duplicates keeps one document of each group of near copies (similarity 0.8 or more on five-word shingles), the one with the smallest doc_id.
+near_duplicates keeps one document of each group of near copies (similarity 0.8 or more on five-word shingles), the one with the smallest doc_id,
+                nulls last, and of texts with that id the one with the least hash.
 decontamination removes documents that hold a benchmark item, also with other numbers or names.
 source_mix      repeats documents as often as the mix takes them; those it does not take are left out.
 token_ids       writes the binary token files and returns one row per document from them, with a hash of its ids.
@@ -46,8 +47,8 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicates(docs, NEAR)
-    gone = written(found.where("NOT kept").select("row").distinct(), "duplicates")
-    repeated = written(found.where("kept").groupBy("row").count().where("count > 1").select("row"), "repeated")
+    gone = written(found.where("NOT chosen").select("row").distinct(), "duplicates")
+    repeated = written(found.where("chosen").groupBy("row").count().where("count > 1").select("row"), "repeated")
     kept = _without(docs, gone)
     if repeated.isEmpty():
         return kept

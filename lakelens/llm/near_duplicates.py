@@ -21,7 +21,8 @@ of a pair of 1,000-word texts meet with probability 1e-6).
 
 Defined results: a null or empty text, or one without words, has an empty set and is linked with nothing. Null doc_ids
 are nodes like others and never the smallest id; a component of null ids only has a null id, and its rows are kept.
-Rows with equal ids and texts are one node. An empty table gives no rows. Only the named columns are read.
+Rows with equal ids and texts are one node. `chosen` is true for one row hash of every component, that of the least (doc_id, row) with nulls
+last, and for every row without shingles. An empty table gives no rows. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -159,7 +160,7 @@ def _able(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of `docs`: doc_id, row (a hash of id and text), n_shingles, component_id, kept."""
+    """One row per row of `docs`: doc_id, row (a hash of id and text), n_shingles, component_id, kept, chosen."""
     shipped(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(doc_id, text).alias("row"), F.col(text).alias("text"))
     sketched = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
@@ -169,7 +170,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     nodes = written(
         sketched.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min(F.struct("doc_id", "row")).alias("at"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys")),
+        .agg(F.min(F.struct("doc_id", "row")).alias("at"), F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("one"), F.first("n").alias("n"), F.first("keys").alias("keys")),
         "nodes",
     )
     keyed = nodes.select("node", "n", F.explode("keys").alias("key"))
@@ -222,12 +223,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     final = components(stars.unionByName(two))
     whole = (
         nodes.join(final.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
-        .select("node", F.coalesce("root", "node").alias("root"), "least")
+        .select("node", F.coalesce("root", "node").alias("root"), "least", "one")
     )
-    least = whole.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(whole.join(least, "root").select("node", "component_id"), "classes")
+    least = whole.groupBy("root").agg(F.min("least").alias("component_id"), F.min("one").alias("first"))
+    named = written(whole.join(least, "root").select("node", "component_id", F.col("first.row").alias("chosen_row")), "classes")
     joined = sketched.join(named.withColumnRenamed("node", "its_node"), F.col("node") == F.col("its_node"), "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select(
-        "doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id",
+        "row",
+        F.col("n").alias("n_shingles"),
+        component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        (F.col("node").isNull() | (F.col("row") == F.col("chosen_row"))).alias("chosen"),
     )

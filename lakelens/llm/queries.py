@@ -105,7 +105,7 @@ def op7_token_files(spark, sf_dir):
 
 @query("op8_near_duplicates")
 def op8_near_duplicates(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("row")
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("row", "chosen")
 
 
 @query(

@@ -77,6 +77,18 @@ def test_against_all_pairs(spark, seed):
     )
 
 
+def test_stage_keeps_one(spark):
+    """One row of each group, also if several share the smallest id or all ids are null."""
+    base = [[f"u{g}x{i}" for i in range(100)] for g in range(4)]
+    near = lambda g: " ".join([*base[g][:99], "other"])
+    whole = lambda g: " ".join(base[g])
+    rows = [(1, whole(0), ""), (1, near(0), ""), (2, whole(0), ""), (None, whole(1), ""), (None, near(1), ""), (None, whole(2), ""), (3, near(2), "")]
+    rows += [(None, whole(3), ""), (None, whole(3), ""), (None, None, ""), (5, "", "")]
+    kept = corpus_pipeline.remove_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    groups_of = sorted((r["text"].split()[0][:2], r["doc_id"]) for r in kept if r["text"])
+    assert groups_of == [("u0", 1), ("u1", None), ("u2", 3), ("u3", None)] and len(kept) == 6
+
+
 def test_sketch_agrees_as_sets_do():
     rng = np.random.default_rng(1)
     agreed = []
