@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakelens.llm import secret_spans, toxicity
+from lakelens.llm.centroids import centroid_clusters
 from lakelens.llm.columns import written
 from lakelens.llm.decontamination import contaminated
 from lakelens.llm.licence_scan import TEMPLATES, scan_licences
@@ -18,6 +19,8 @@ from lakelens.llm.near_duplicates import near_duplicates
 from lakelens.llm.token_files import read_token_files, token_folder, write_token_files
 from lakelens.llm.top_k import top_k
 from lakelens.llm.url_filters import judge_urls, rule_table
+from lakelens.llm.vector_codes import vector_codes
+from lakelens.llm.vector_sql import cluster_sql, code_sql
 from lakelens.llm.warc import archive_folder, read_records, transactions, with_revisited, write_archives
 from lakelens.registry.base import table
 
@@ -139,6 +142,16 @@ def op10_warc(spark, sf_dir):
     )
 
 
+@query("op11_centroid_clusters", cluster_sql())
+def op11_centroid_clusters(spark, sf_dir):
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_vector_codes", code_sql())
+def op13_vector_codes(spark, sf_dir):
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
