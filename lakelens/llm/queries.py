@@ -16,6 +16,7 @@ from lakelens.llm.decontamination import contaminated
 from lakelens.llm.licence_scan import TEMPLATES, scan_licences
 from lakelens.llm.mixing import mix
 from lakelens.llm.near_duplicates import near_duplicates
+from lakelens.llm.repeated_bytes import remove_repeats
 from lakelens.llm.token_files import read_token_files, token_folder, write_token_files
 from lakelens.llm.top_k import top_k
 from lakelens.llm.url_filters import judge_urls, rule_table
@@ -147,6 +148,11 @@ def op11_centroid_clusters(spark, sf_dir):
     return centroid_clusters(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_suffix_dedup")
+def op12_suffix_dedup(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op13_vector_codes", code_sql())
 def op13_vector_codes(spark, sf_dir):
     return vector_codes(table(spark, sf_dir, "embeddings"))
