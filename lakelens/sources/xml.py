@@ -1,9 +1,9 @@
 """Tabular XML: a root element whose children are records.
 
 Column names come from the first record, read from the head of the first file. Every file is cut into the root's
-children over many tasks and each child is parsed by Spark's XML functions. Files that cannot be cut, because a
-comment, a section or an instruction in them holds a `<`, are read as a whole, one file to a task, with the same
-rows.
+children over many tasks and each child is parsed by Spark's XML functions: files of nothing but records at their end tags,
+others by the depth of their tags. Files that cannot be cut, because a comment, a section or an instruction in them
+holds a `<`, are read as a whole, one file to a task, with the same rows.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from lakelens.operators.project import project_requested
 from lakelens.sources.position import BLOCK, FILE, LINE, input_files, with_split_position
 from lakelens.sources import xml_records
 from lakelens.sources.xml_records import XmlRecord, iter_records, root_tag
-from lakelens.sources.xml_split import files_to_keep_whole, split_records
+from lakelens.sources.xml_split import even_records, files_to_keep_whole, split_records, uneven_files
+from lakelens.sources.xml_text import cell_text, decoded, shielded
 
 # Executors need not have this package installed: the record reader travels with the job.
 cloudpickle.register_pickle_by_value(xml_records)
@@ -91,16 +92,9 @@ def xml_schema(spark: SparkSession, path: str | list[str], record: str | None =
 
 
 def _child_text(name: str) -> Column:
-    """First child of that name: '' when empty, NULL when absent, without inner tags when it has children."""
+    """First child of that name: '' when empty, NULL when absent."""
     every = F.col(f"`{name}`")
-    text = F.coalesce(F.try_element_at(every, F.lit(1)), F.lit(""))
-    opening = rf"(?is)<(?:[^\s/<>:]+:)?{re.escape(name)}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>"
-    first = F.split(F.col("record"), opening, 2)[1]
-    # Escaped or quoted text before the first inner tag holds no `<`; an end tag, comment or section is no child.
-    nested = first.rlike(r"^(?:[^<]|<!--(?s:.*?)-->|<!\[CDATA\[(?s:.*?)\]\]>)*<[\p{L}_:]")
-    inner = F.regexp_replace(text, r"</?[\p{L}_][^<>]*>|<!--.*?-->", "")
-    text = F.when(F.coalesce(nested, F.lit(False)), inner).otherwise(text)
-    return F.when(F.size(every) > 0, F.when(text.rlike(r"^\s*$"), F.lit("")).otherwise(text))
+    return F.when(F.size(every) > 0, cell_text(F.coalesce(F.try_element_at(every, F.lit(1)), F.lit(""))))
 
 
 def _raw_schema(names: list[str]) -> T.StructType:
@@ -121,9 +115,9 @@ OPTIONS = {
 
 def _split_rows(records: DataFrame, names: list[str]) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _raw_schema(names).fields)
-    parsed = F.from_xml(F.col("record"), schema, OPTIONS)
-    raw = records.select(parsed.alias("_cells"), "record", FILE, BLOCK, LINE).select("_cells.*", "record", FILE, BLOCK, LINE)
-    cells = [F.coalesce(F.col(f"`{ATTRIBUTE}{name}`"), _child_text(name)).alias(name) for name in names]
+    parsed = F.from_xml(shielded(F.col("record")), schema, OPTIONS)
+    raw = records.select(parsed.alias("_cells"), FILE, BLOCK, LINE).select("_cells.*", FILE, BLOCK, LINE)
+    cells = [F.coalesce(decoded(F.col(f"`{ATTRIBUTE}{name}`")), _child_text(name)).alias(name) for name in names]
     return raw.select(*cells, FILE, BLOCK, LINE)
 
 
@@ -176,14 +170,16 @@ def read_xml(
     known = [name for name, _ in head[0].columns()]
     upper = {name.upper() for name in known}
     names = known + [name for name in dict.fromkeys(columns or []) if name.upper() not in upper]
-    whole = files_to_keep_whole(spark, path)
-    some_whole = not whole.isEmpty()
-    records = split_records(spark, path, whole if some_whole else None)
-    if record is not None:
-        records = records.filter(F.upper("tag") == record.upper())
-    rows = _split_rows(records, names)
-    if some_whole:
-        rows = rows.unionByName(_whole_rows(spark, path, record, names, whole))
+    tag = head[0].name
+    uneven = uneven_files(spark, path, tag)
+    all_even = uneven.isEmpty()
+    rows = _split_rows(even_records(spark, path, tag, None if all_even else uneven), names)
+    if not all_even:
+        whole = files_to_keep_whole(spark, path, uneven)
+        records = split_records(spark, path, uneven, whole)
+        if record is not None:
+            records = records.filter(F.upper("tag") == record.upper())
+        rows = rows.unionByName(_split_rows(records, names)).unionByName(_whole_rows(spark, path, record, names, whole))
     where(rows.select(*known), filters)
     rows = where(rows, filters)
     kept = columns or known

@@ -3,10 +3,16 @@
 The text is cut before every `<`. A tag raises or lowers the depth by one, so running sums inside each split,
 and then over one row per split, give every tag its depth; the root's children begin at depth one. This holds
 where no comment, CDATA section or processing instruction contains a `<`; files with such are left out.
+
+Most files are plainer: the root holds nothing but records of one spelling, none within another. There every end
+tag of that name ends a record, so a text scan cut at it yields whole records, and nothing is shuffled. One pass over the
+files tells which are so; it sums a few flags per file.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,12 +24,58 @@ SPLIT = [FILE, BLOCK]
 _EMPTY_ELEMENT = r"""^(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?<=/)>"""
 
 
+#: Longer records are cut by depth.
+MOST_BYTES = 64 << 20
+# Attributes of a tag; the head of a file up to and with its root's tag; parts that hold no `<`.
+_ATTRIBUTES = r"""(?:[^<>"']|"[^"<]*"|'[^'<]*')*"""
+_HEAD = rf"\ufeff?\s*<[\p{{L}}_:][^\s<>/]*(?=[\s>]){_ATTRIBUTES}(?<!/)>"
+_PLAIN_PART = r"(?s)<!--[^<]*?-->|<!\[CDATA\[[^<]*?\]\]>|<\?[^<]*?\?>"
+
+
+def _ended(spark: SparkSession, path: str | list[str], tag: str) -> DataFrame:
+    """The text up to every end tag of that name, and what is left after the last; without any that is too long."""
+    reader = spark.read.option("mapreduce.input.linerecordreader.line.maxlength", str(MOST_BYTES))
+    return with_split_position(reader.option("lineSep", f"</{tag}>").text(path))
+
+
+def uneven_files(spark: SparkSession, path: str | list[str], tag: str) -> DataFrame:
+    """Names of the files, as FILE, that hold more than a root with records of that spelling, one after the other."""
+    value, name = F.col("value"), re.escape(tag)
+    bare = F.when(F.contains(value, F.lit("<!")) | F.contains(value, F.lit("<?")), F.regexp_replace(value, _PLAIN_PART, "")).otherwise(value)
+    opening = rf"\s*<{name}(?=[\s>]){_ATTRIBUTES}(?<!/)>"
+    ended = _ended(spark, path, tag)
+    size, length = F.col("_metadata.file_size").alias("_size"), F.octet_length("value") + len(f"</{tag}>".encode())
+    lines = ended.select(FILE, bare.alias("value"), size, length.alias("_length"))
+    first = value.rlike(rf"^{_HEAD}{opening}")
+    record = (first | value.rlike(rf"^{opening}")) & (F.size(F.split(value, rf"<{name}(?=[\s/>])")) == 2)
+    whole = ~F.contains(value, F.lit("<!")) & ~F.contains(value, F.lit("<?"))
+    flags = lines.select(FILE, "_size", "_length", first.alias("_first"), (record & whole).alias("_record"), value.rlike(r"^\s*</[^<>]+>\s*$").alias("_end"))
+    sums = flags.groupBy(FILE).agg(
+        F.bool_and(F.col("_record") | F.col("_end")).alias("_even"), F.count_if("_first").alias("_firsts"), F.count_if("_end").alias("_ends"),
+        # Only the last piece lacks the end tag; a piece that was too long is missing.
+        (F.sum("_length") - len(f"</{tag}>".encode()) == F.max("_size")).alias("_all"),
+    )
+    path_of = scratch_path(spark, "uneven")
+    sums.filter("NOT _even OR _firsts <> 1 OR _ends <> 1 OR NOT _all").select(FILE).write.parquet(path_of)
+    return spark.read.schema(f"{FILE} string").parquet(path_of)
+
+
+def even_records(spark: SparkSession, path: str | list[str], tag: str, uneven: DataFrame | None) -> DataFrame:
+    """The records of all files but the uneven ones, as `split_records` gives them."""
+    lines = _ended(spark, path, tag).withColumn(LINE, F.monotonically_increasing_id())
+    lines = lines if uneven is None else lines.join(uneven, FILE, "left_anti")
+    start = F.regexp_instr("value", F.lit(rf"<{re.escape(tag)}(?=[\s>])"))
+    # NULL where there is none, as a caller's filter on cells may be tried before this one.
+    record = F.when(start > 0, F.concat(F.substring(F.col("value"), start, F.length("value")), F.lit(f"</{tag}>")))
+    return lines.filter(start > 0).select(FILE, BLOCK, LINE, record.alias("record"), F.lit(tag).alias("tag"))
+
+
 def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return with_split_position(spark.read.option("lineSep", "<").text(path))
 
 
-def files_to_keep_whole(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Names of the files that cannot be cut, as FILE: a `<` in them need not begin a tag.
+def files_to_keep_whole(spark: SparkSession, path: str | list[str], among: DataFrame) -> DataFrame:
+    """Names of the files among some that cannot be cut, as FILE: a `<` in them need not begin a tag.
 
     That is so where a comment, a section or an instruction holds one, or where there is a DOCTYPE. Files whose tags
     do not balance are named too, so that the parser refuses them.
@@ -36,7 +88,7 @@ def files_to_keep_whole(spark: SparkSession, path: str | list[str]) -> DataFrame
         | F.startswith(value, F.lit("!DOCTYPE"))
     )
     path_of = scratch_path(spark, "whole")
-    ends = _pieces(spark, path).groupBy(FILE).agg(F.bool_or(open_ended).alias("_open"), F.sum(_step(value)).alias("_depth"))
+    ends = _pieces(spark, path).join(among, FILE, "left_semi").groupBy(FILE).agg(F.bool_or(open_ended).alias("_open"), F.sum(_step(value)).alias("_depth"))
     ends.filter("_open OR _depth <> 0").select(FILE).write.parquet(path_of)
     return spark.read.schema(f"{FILE} string").parquet(path_of)
 
@@ -82,13 +134,12 @@ def _split_starts(marked: DataFrame) -> DataFrame:
     return started.select(*SPLIT, "_start", F.last(begun, ignorenulls=True).over(earlier).alias("_open_block"))
 
 
-def split_records(spark: SparkSession, path: str | list[str], whole: DataFrame | None) -> DataFrame:
+def split_records(spark: SparkSession, path: str | list[str], among: DataFrame, whole: DataFrame) -> DataFrame:
     """One row per child of the root: file, block and line of its start, its XML as `record`, its local `tag`.
 
-    Files named in `whole` are left out.
+    Files are those of `among` that are not in `whole`.
     """
-    pieces = _pieces(spark, path)
-    marked = _marked(pieces if whole is None else pieces.join(whole, FILE, "left_anti"))
+    marked = _marked(_pieces(spark, path).join(among, FILE, "left_semi").join(whole, FILE, "left_anti"))
     known = marked.join(_split_starts(marked), SPLIT)
     known = known.withColumn("_depth", F.col("_start") + _depth_before())
     begin_line = F.when(F.col("_opens") & (F.col("_depth") == 1), F.col(LINE))
