@@ -2,9 +2,9 @@
 
 Texts and templates are normalised alike: lower case, everything but letters and digits is a gap, `licence` becomes
 `license`. A passage of x distinct bigrams that reaches Dice t with a template of n shares at least t / (2 - t) * n of them and has
-x <= (2 - t) / t * n. Passages may repeat bigrams; they are looked for up to LONGEST times that many words. A window of this length
-slides over the document, and only where it holds enough of the template's bigrams is the template compared, exactly, over sets.
-So every passage that reaches t within this length leads to a find. A passage begins and ends with a bigram of the
+x <= (2 - t) / t * n. Words outside the templates are told apart by the document's own dictionary, so a repeated bigram counts once whatever
+it is made of. A window of at most that many distinct bigrams, however long, slides over the document, and only where it holds enough of the
+template's bigrams is the template compared, exactly, over sets. So every passage that reaches t leads to a find. A passage begins and ends with a bigram of the
 template; its ends are moved in turn while its coefficient grows, and what is then left before it is searched again. Overlapping passages of several templates go to the one
 with the highest coefficient, then the longer one, then the smaller name.
 
@@ -33,8 +33,6 @@ from lakelens.llm.shingles import steps
 
 LEAST_DICE = 0.8
 MOST_WORDS = 200_000
-#: Words of a passage over the most distinct bigrams it may have.
-LONGEST = 2
 
 # Short notices and texts of common licences, as their authors publish them.
 TEMPLATES = [
@@ -138,11 +136,15 @@ class Scanner:
         """Per text its passages: licence, Dice, first word, end word."""
         names, at, bounds = words_of(texts)
         place = np.array([self.place.get(name, 0) for name in names], np.int64)
+        # Unknown words have numbers of their own, and their bigrams are negative.
+        other = np.where(place > 0, place, self.base + np.arange(len(names)))
         found: list[list] = [[] for _ in texts]
         if not len(at) or not self.templates:
             return found
-        numbers = place[at]
+        numbers, every = place[at], other[at]
+        wide = self.base + len(names)
         pairs = numbers[:-1] * self.base + numbers[1:]
+        codes = np.where((numbers[:-1] > 0) & (numbers[1:] > 0), pairs, -(every[:-1] * wide + every[1:]))
         pairs[(numbers[:-1] == 0) | (numbers[1:] == 0)] = 0
         ends = bounds[1:-1] - 1
         pairs[ends[(ends >= 0) & (ends < len(pairs))]] = 0
@@ -158,16 +160,16 @@ class Scanner:
         smallest = min(self.least_shared(len(t.bigrams)) for t in self.templates)
         for text in np.flatnonzero(per_text >= smallest).tolist():
             mine = slice(*np.searchsorted(owner, [text, text + 1]))
-            found[text] = self._passages(where[mine] - bounds[text], kinds[mine], numbers[bounds[text] : bounds[text + 1]])
+            found[text] = self._passages(where[mine] - bounds[text], kinds[mine], codes[bounds[text] : bounds[text + 1] - 1].tolist())
         return found
 
-    def _passages(self, places: np.ndarray, kinds: np.ndarray, numbers: np.ndarray) -> list[tuple[str, float, int, int]]:
+    def _passages(self, places: np.ndarray, kinds: np.ndarray, codes: list[int]) -> list[tuple[str, float, int, int]]:
         candidates = []
         for template in self.templates:
             need = self.least_shared(len(template.bigrams))
             hits = places[np.isin(kinds, template.bigrams)]
             if len(hits) >= need:
-                found = self._of_template(template, need, hits, numbers)
+                found = self._of_template(template, need, hits, codes)
                 candidates += [(-dice, -template.words, template.name, a, b) for dice, a, b in found]
         taken: list[tuple[str, float, int, int]] = []
         for dice, _, name, a, b in sorted(candidates):
@@ -175,33 +177,35 @@ class Scanner:
                 taken.append((name, -dice, a, b))
         return sorted(taken, key=lambda p: p[2:])
 
-    def _of_template(self, template: Template, need: int, hits: np.ndarray, numbers: np.ndarray) -> list[tuple[float, int, int]]:
+    def _of_template(self, template: Template, need: int, hits: np.ndarray, codes: list[int]) -> list[tuple[float, int, int]]:
         """Passages that do not overlap: Dice, first word, end word."""
-        reach = LONGEST * self.longest(template)
-        inside, found = frozenset(template.bigrams.tolist()), []
-        parts = [(0, len(hits), len(numbers))]
+        inside, places, found = frozenset(template.bigrams.tolist()), set(hits.tolist()), []
+        ends = reaches(codes, hits, int(self.longest(template)))
+        parts = [(0, len(hits), len(codes))]
         while parts:
             low, high, end = parts.pop()
             own, last = hits[low:high], -1
-            upto = np.searchsorted(own, own + reach, side="right")
+            upto = np.searchsorted(own, ends[low:high])
             for i in np.flatnonzero(upto - np.arange(len(own)) >= need).tolist():
                 if own[i] < last:
                     continue
                 floor = max(last, 0)
-                best = self._best(template, inside, own[i:], numbers, end, 1)
-                turn = -1
+                best = self._best(template, inside, places, codes, int(own[i]), min(int(own[upto[i] - 1]), end - 1))
+                forwards = False
                 while best is not None:
                     # From the best end back to the best start, and on while that gains.
-                    stops = own[(own >= floor) & (own <= best[2] - 2)][::-1] if turn < 0 else own[(own >= best[1]) & (own < end - 1)]
-                    better = self._best(template, inside, stops, numbers, end, turn)
+                    if forwards:
+                        better = self._best(template, inside, places, codes, best[1], min(int(own[-1]), end - 1))
+                    else:
+                        better = self._best(template, inside, places, codes, best[2] - 2, max(floor, int(own[0])))
                     if better is None or better[0] <= best[0]:
                         break
-                    best, turn = better, -turn
+                    best, forwards = better, not forwards
                 if best is None:
                     continue
                 found.append(best)
                 if best[1] - own[i] > need:
-                    parts.append((low + i, low + int(np.searchsorted(own, best[1])), best[1]))
+                    parts.append((low + i, low + int(np.searchsorted(own, best[1])), best[1] - 1))
                 last = best[2]
         return found
 
@@ -209,27 +213,46 @@ class Scanner:
         """The most distinct bigrams of a passage that reaches the least coefficient."""
         return (2 - self.least) / self.least * len(template.bigrams)
 
-    def _best(self, template: Template, inside: frozenset, hits: np.ndarray, numbers: np.ndarray, end: int, turn: int) -> tuple[float, int, int] | None:
-        """The best passage from the first hit on, forwards or backwards: ends at a hit, no longer than the size bound allows."""
-        n, start, best = len(template.bigrams), int(hits[0]), None
+    def _best(self, template: Template, inside: frozenset, places: set[int], codes: list[int], start: int, stop: int) -> tuple[float, int, int] | None:
+        """The best passage from the hit at `start` on, towards `stop`: ends at a hit, with no more distinct bigrams than the size bound allows."""
+        n, best = len(template.bigrams), None
         longest = self.longest(template)
-        seen, shared, at = set(), 0, start
-        stops = set(hits[: np.searchsorted(turn * hits, turn * start + LONGEST * longest, side="right")].tolist())
-        while 0 <= at and at + 1 < end and len(seen) <= longest and abs(at - start) <= LONGEST * longest:
-            left, right = int(numbers[at]), int(numbers[at + 1])
-            # Words outside the vocabulary make bigrams of their own, one per place.
-            pair = left * self.base + right if left and right else -at - 1
+        seen, shared, turn = set(), 0, 1 if stop >= start else -1
+        for at in range(start, stop + turn, turn):
+            pair = codes[at]
             if pair not in seen:
                 seen.add(pair)
                 shared += pair in inside
-            if at in stops:
+                if len(seen) > longest:
+                    break
+            if at in places:
                 dice = 2 * shared / (len(seen) + n)
                 if dice >= self.least and (best is None or dice > best[0]):
                     best = dice, min(start, at), max(start, at) + 2
-            at += turn
         return best
 
 
+def reaches(codes: list[int], starts: np.ndarray, most: int) -> np.ndarray:
+    """For ascending starts, where the longest run of codes from there with at most so many distinct ones ends."""
+    counts: dict[int, int] = {}
+    out, a, b = np.empty(len(starts), np.int64), 0, 0
+    for i, start in enumerate(starts.tolist()):
+        if start >= b:
+            counts, a, b = {}, start, start
+        while a < start:
+            left = counts[codes[a]] - 1
+            if left:
+                counts[codes[a]] = left
+            else:
+                del counts[codes[a]]
+            a += 1
+        while b < len(codes) and (codes[b] in counts or len(counts) < most):
+            counts[codes[b]] = counts.get(codes[b], 0) + 1
+            b += 1
+        out[i] = b
+    return out
+
+
 def scan_licences(
     docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST_DICE
 ) -> DataFrame:
