@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelens.llm.columns import written
-from lakelens.llm.shared import shipped
+from lakelens.llm.shared import shipped, tidy
 from lakelens.llm.shingles import steps
 
 MOST_TOXIC, MOST_ORDINARY = 4_000, 8_000
@@ -130,8 +130,8 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> tuple[DataFrame, dict[bool, float]]:
-    """The labelled texts to learn from, and per kind how many labelled documents stand behind one of them."""
+def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> tuple[DataFrame, dict[bool, int]]:
+    """The labelled texts to learn from, one per id (that of the least hash), and how many ids have each label."""
     judged = (
         labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
@@ -141,13 +141,18 @@ def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
     )
     most = {True: MOST_TOXIC, False: MOST_ORDINARY}
     labelled = {row["toxic"]: row["count"] for row in judged.groupBy("toxic").count().collect()}
-    weights = {t: max(1.0, labelled.get(t, 0) / n) for t, n in most.items()}
     some = [judged.where(F.col("toxic") == t).orderBy("hash", "doc_id").limit(n) for t, n in most.items()]
     chosen = written(some[0].unionByName(some[1]), "labelled")
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     parts = 2 * docs.sparkSession.sparkContext.defaultParallelism
     fold = F.pmod(F.col("hash"), F.lit(2)).cast("int").alias("fold")
-    return written(texts.join(F.broadcast(chosen), "doc_id").select("toxic", fold, "text").repartition(parts), "sample"), weights
+    # At most MOST_TOXIC + MOST_ORDINARY ids go to every task; an id on many rows is reduced to one text before the shuffle.
+    one = (
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "toxic", "hash")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("mark"), "text")).alias("one"))
+    )
+    return written(one.select("toxic", fold, F.col("one.text").alias("text")).repartition(parts), "sample"), labelled
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,8 +218,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     shipped(docs.sparkSession)
-    sample, weights = _sample(docs, labels, doc_id, text, label)
+    sample, labelled = _sample(docs, labels, doc_id, text, label)
     sizes = {2 * int(r["toxic"]) + r["fold"]: r["count"] for r in sample.groupBy("toxic", "fold").count().collect()}
+    weights = {t: max(1.0, labelled.get(t, 0) / max(1, sum(sizes.get(2 * int(t) + fold, 0) for fold in (0, 1)))) for t in (True, False)}
     kinds = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"k{k}") for k in range(4)]
     counts = written(sample.mapInPandas(_counted, "code binary, kind int, n long").groupBy("code").agg(*kinds).where("k0 + k1 + k2 + k3 >= 2"), "codes")
     model = _dictionaries(counts, sizes, weights, (0, 1))
@@ -244,6 +250,9 @@ def score(model: Model, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from tidy(scores)(batches)
+
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         comparer = Comparer(model)
         for texts in batches:
             values = texts.tolist()
