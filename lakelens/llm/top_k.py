@@ -199,7 +199,7 @@ def top_k(
 
     def wave(sent: DataFrame) -> DataFrame:
         both = held.withColumn("place", F.lit(0).cast("long")).unionByName(sent)
-        dealt = both.withColumn("floor", F.col("floor").cast("string")).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+        dealt = both.withColumn("floor", F.col("floor").cast("string")).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "kind")
         return dealt.mapInPandas(search, "query_id long, place long, vec_id long, score long")
 
     asked = asked.withColumn("place", F.xxhash64("v")).withColumn("home", home)
