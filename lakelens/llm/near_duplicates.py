@@ -10,11 +10,15 @@ fewer than 3 with probability 2.4e-6; sets with similarity 0.8 share 10 and none
 number of keys, 3 at most, that links at the bound fall short of with a probability below MOST_MISSED; pairs with fewer are no
 candidates. Texts with equal sets are one node.
 First, the members of a key are compared with one of them only: the node whose keys are the most common, which in a
-group of copies is the text they were made from. The links found are joined into components. Then, for the few keys
-whose members are still in different components, every member outside the largest of them is compared with the
-members of other components, unless they have too many shingles that no other of these texts has to be linked with any.
+group of copies is the text they were made from. The links found are joined into components. While the keys whose members are in
+different components hold many pairs, every member outside a key's largest component is compared with one drawn member of it and one
+drawn member outside, each key and round with others, and the components are joined anew; so members that are linked with some
+share of a large group, as filled-in forms are, join it after a few rounds of a few pairs each. Rounds end when few pairs are left or
+a round connects few. Then every member outside the largest component of its key is compared with the members of other components, unless
+they have too many shingles that no other of these texts has to be linked with any.
 So every candidate pair is compared on its full sets, already connected, or shown to be no link by its counts, and a
-group of thousands is not paired with itself.
+group of thousands whose members are linked is not paired with itself. What stays quadratic is a group whose members share keys and
+are no links: those that no smaller set of comparisons can tell apart.
 
 Links need 100 * |intersection| >= percent * |union| on the full sets (shingles as 40-bit numbers; two unequal ones
 of a pair of 1,000-word texts meet with probability 1e-6).
@@ -38,12 +42,15 @@ from pyspark.sql import functions as F
 
 from lakelens.llm.columns import written
 from lakelens.llm.components import components
-from lakelens.llm.shared import shipped
+from lakelens.llm.shared import shipped, tidy
 from lakelens.llm.shingles import FACTORS, mixed, shingle_sets, steps
 
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
 MOST_SHARED, MOST_MISSED = 3, 5e-6
+#: Another round of drawn pairs is made while there are more pairs than this for each member that is outside, and
+#: the last one has left less than this share of them.
+MANY_PAIRS, LEAST_GAIN = 8, 0.9
 FULL = np.uint64(2**64 - 1)
 
 
@@ -139,7 +146,7 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar on their full sets."""
     right = pairs.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("right")), "b")
     both = right.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("left")), "a")
-    return both.select("a", "b", "left", "right").mapInPandas(_compare(percent), "a binary, b binary")
+    return both.select("a", "b", "left", "right").mapInPandas(tidy(_compare(percent)), "a binary, b binary")
 
 
 def _able(sets: DataFrame, percent: int) -> DataFrame:
@@ -159,12 +166,37 @@ def _able(sets: DataFrame, percent: int) -> DataFrame:
     return counted.where(common * 100 >= F.col("n") * percent).select("node", common.alias("common"))
 
 
+def _close(percent: int):
+    """Whether two set sizes allow a link."""
+    return lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
+
+def _several(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, n, part, main) of the keys whose members are in different components; main is the largest of these."""
+    placed = members.join(roots.withColumnRenamed("root", "part"), members["node"] == roots["node"], "left").select(
+        members["key"], members["node"], "n", F.coalesce("part", members["node"]).alias("part")
+    )
+    parts = placed.groupBy("key", "part").agg(F.count("*").alias("c"))
+    split = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("c", "part")).alias("main")).where("parts > 1").drop("parts")
+    return written(placed.join(split, "key"), "several")
+
+
+def _drawn(several: DataFrame, percent: int, seed: int) -> DataFrame:
+    """Pairs (a, b): every member outside its key's main part with a drawn member of that part and a drawn one outside."""
+    draw = F.struct(F.xxhash64(F.lit(seed), "key", "node"), "node", "n", "part")
+    outside = F.col("part") != F.col("main")
+    drawn = several.groupBy("key").agg(F.max(F.when(~outside, draw)).alias("of_main"), F.max(F.when(outside, draw)).alias("of_others"))
+    both = several.where(outside).join(drawn, "key").select("node", "n", "part", F.explode(F.array("of_main", "of_others")).alias("one"))
+    able = both.where((F.col("part") != F.col("one.part")) & _close(percent)(F.col("n"), F.col("one.n")))
+    return able.select(F.greatest("one.node", "node").alias("a"), F.least("one.node", "node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, row (a hash of id and text), n_shingles, component_id, kept, chosen."""
     shipped(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(doc_id, text).alias("row"), F.col(text).alias("text"))
     sketched = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
-        _sketch, "doc_id string, row long, n long, node binary, keys array<long>"
+        tidy(_sketch), "doc_id string, row long, n long, node binary, keys array<long>"
     )
     sketched = written(sketched.withColumn("doc_id", F.col("doc_id").cast("long")), "sketches")
     nodes = written(
@@ -179,27 +211,32 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
 
     common = members.groupBy("node").agg(F.sum("members").alias("common"))
     ranked = members.join(common, "node").groupBy("key").agg(F.max(F.struct("common", "node", "n")).alias("best"))
-    close = lambda n, m: (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+    close = _close(percent)
     first = written(
         members.join(ranked, "key")
         .where((F.col("node") != F.col("best.node")) & close(F.col("n"), F.col("best.n")))
-        .groupBy(F.col("best.node").alias("a"), F.col("node").alias("b"))
-        .agg(F.count("*").alias("times"))
-        .select("a", "b"),
+        .select(F.greatest("best.node", "node").alias("a"), F.least("best.node", "node").alias("b"))
+        .distinct(),
         "pairs",
     )
     wanted = members.select("node").distinct().join(nodes.select("node", "at"), "node")
     found = rows.join(wanted, (F.col("row") == F.col("at.row")) & F.col("doc_id").eqNullSafe(F.col("at.doc_id")))
-    sets = written(found.select("node", "text").mapInPandas(_sets, "node binary, elements binary").dropDuplicates(["node"]), "sets")
+    sets = written(found.select("node", "text").mapInPandas(tidy(_sets), "node binary, elements binary").dropDuplicates(["node"]), "sets")
     one = written(links(first, sets, percent), "links")
 
-    roots = components(one)
-    placed = members.join(roots.withColumnRenamed("root", "part"), members["node"] == roots["node"], "left").select(
-        members["key"], members["node"], "n", F.coalesce("part", members["node"]).alias("part")
-    )
-    parts = placed.groupBy("key", "part").agg(F.count("*").alias("c"))
-    split = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("part", "c").alias("main")).where("parts > 1").drop("parts")
-    several = written(placed.join(split, "key"), "several")
+    all_links, roots = one, components(one)
+    before = None
+    while True:
+        several = _several(members, roots)
+        held = several.groupBy("key").agg(F.count("*").alias("c"), F.count_if(F.col("part") != F.col("main")).alias("out"))
+        pairs, out = held.agg(F.sum(F.col("c") * F.col("out")), F.sum("out")).first()
+        if not out or pairs <= MANY_PAIRS * out or (before is not None and out > LEAST_GAIN * before):
+            break
+        tried = written(_drawn(several, percent, 0 if before is None else out).join(first, ["a", "b"], "left_anti"), "pairs")
+        first = first.unionByName(tried)
+        all_links = all_links.unionByName(written(links(tried, sets, percent), "links"))
+        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots, before = components(stars.unionByName(all_links)), out
     able = _able(several.select("node", "n").distinct().join(sets, "node"), percent)
     apart = written(several.join(able, "node").join(nodes.select("node", "keys"), "node"), "apart")
     outside = apart.where("part <> main").select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "part", "keys", "common")])
@@ -215,7 +252,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
             & (F.col("key") == F.array_min(joint))
         )
         .select(F.greatest("o_node", "node").alias("a"), F.least("o_node", "node").alias("b"))
-        .join(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"),
+        .join(first, ["a", "b"], "left_anti"),
         "pairs",
     )
     two = written(links(second, sets, percent), "links")
