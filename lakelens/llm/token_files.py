@@ -1,7 +1,7 @@
 """Token ids of whole documents in binary files: one concatenated id array, Elias-Fano document boundaries.
 
-Documents are dealt over tasks by ranges of (doc_id, text hash), so files follow each other in ascending doc_id order
-and no id, however often it occurs, has to fit one task. A task writes a file whenever enough ids have come together;
+Documents are dealt over tasks by ranges of (doc_id, text hash, row number), so files follow each other in ascending doc_id order
+and no id, however often it occurs with one text or many, has to fit one task. A task writes a file whenever enough ids have come together;
 it goes to a temporary name and is then renamed, and only the files that a finished task reports are in the listing.
 
 A file: magic, counts and the width of an id (2 bytes where the vocabulary allows, else 4); the ids, little-endian; the
@@ -218,7 +218,9 @@ def write_token_files(
 
     dealt = (
         chosen.withColumn("hash", F.xxhash64("text"))
-        .repartitionByRange(ranges, "doc_id", "hash")
+        # Rows of one id and text are split by their number alone.
+        .withColumn("number", F.monotonically_increasing_id())
+        .repartitionByRange(ranges, "doc_id", "hash", "number")
         .sortWithinPartitions("doc_id", "hash")
         .select(F.spark_partition_id().alias("range"), F.col("doc_id").cast("string").alias("doc_id"), "text")
     )
