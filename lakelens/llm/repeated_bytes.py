@@ -10,8 +10,9 @@ so equal strings lie in segments of one key, at one offset from the anchor. A ke
 Counts. Equal segments (key and a hash of the bytes) are summed before anything else: a segment that occurs twice repeats as a whole, and goes
 to its shard once, however many copies there are. Segments of keys with a single content need no shard.
 
-Shards. The remaining contents are cut from the texts and sent by key. A task takes whole keys, STEP_BYTES at a time, and sorts
-the suffixes of these. A key with more than `key_bytes` of different contents goes another way that can be split: its strings are
+Shards. The remaining contents are cut from the texts and sent by key. A task takes whole keys, STEP_BYTES at a time. Equal strings have equal
+offsets from their anchors, so of BLOCK neighbouring offsets only those matter whose strings' common bytes occur twice in the key;
+the suffixes of what is left are sorted. A key with more than `key_bytes` of different contents goes another way that can be split: its strings are
 hashed (128 bits) and counted over all tasks.
 
 Spans. The repeated places come back to every segment they belong to, are united per text and removed.
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelens.llm.columns import written
-from lakelens.llm.shared import shipped
+from lakelens.llm.shared import shipped, tidy
 from lakelens.llm.shingles import FACTORS, mixed
 from lakelens.llm.suffix_arrays import repeated_places
 
@@ -47,6 +48,7 @@ PIECE_BYTES = 1 << 21
 KEY_BYTES = 4 << 20
 SHARD_BYTES = 8 << 20
 GRAM = 8
+BLOCK = 32
 #: Bits of a second hash by which texts are known.
 MORE_BITS = 23
 PLACE = np.uint64((1 << 24) - 1)
@@ -80,13 +82,13 @@ def _least(values: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[window - 1 : window - 1 + n])
 
 
-def segments(data: bytes, sizes: list[int], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first place, number of strings, key) of the segments of joined texts."""
+def segments(data: bytes, sizes: list[int], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first place, number of strings, anchor, key) of the segments of joined texts."""
     context, places = anchor_width(width)
     number = grams(data)
     hashed = (mixed(number) & ~PLACE) | np.arange(len(number), dtype=np.uint64)
     if len(hashed) < places:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
     anchors = (_least(hashed, places) & PLACE).astype(np.int64)
     ends = np.cumsum(np.array(sizes, np.int64))
     starts = ends - np.array(sizes, np.int64)
@@ -105,7 +107,7 @@ def segments(data: bytes, sizes: list[int], width: int) -> tuple[np.ndarray, np.
     key = np.zeros(len(first), np.uint64)
     for i in (*range(0, context - GRAM, GRAM), context - GRAM):
         key = mixed(key ^ number[at + i]) * FACTORS[0]
-    return first, count, mixed(key)
+    return first, count, at, mixed(key)
 
 
 def _pieces(texts: list[bytes], width: int) -> Iterator[tuple[list[tuple[int, int]], bytes, list[int]]]:
@@ -134,7 +136,7 @@ def _found(width: int):
             texts = [text.encode() for text in batch["text"]]
             ids, more = batch["id"].to_numpy(np.int64), batch["more"].to_numpy(np.int64)
             for owners, data, sizes in _pieces(texts, width):
-                first, count, key = segments(data, sizes, width)
+                first, count, _, key = segments(data, sizes, width)
                 of = np.searchsorted(np.cumsum(sizes), first, side="right")
                 owner, offset = np.array([o for o, _ in owners]), np.array([a for _, a in owners])
                 start = first - (np.cumsum(sizes) - sizes)[of] + offset[of]
@@ -166,25 +168,50 @@ def _found(width: int):
 def _cut(width: int):
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for text, wanted in zip(batch["text"], batch["wanted"]):
+            parts = []
+            for text, starts, strings in zip(batch["text"], batch["start"], batch["strings"]):
                 data = text.encode()
-                yield pd.DataFrame(
-                    [(w["key"], w["content"], w["once"], data[w["start"] : w["start"] + w["strings"] + width - 1]) for w in wanted],
-                    columns=["key", "content", "once", "bytes"],
-                )
+                parts += [data[a : a + n + width - 1] for a, n in zip(starts.tolist(), strings.tolist())]
+            yield pd.DataFrame({name: np.concatenate(batch[name].to_numpy()) for name in ("key", "content", "once")} | {"bytes": parts})
 
     return cut
 
 
+def shared_parts(keys: list[int], texts: list[bytes], width: int) -> list[tuple[int, int, int]]:
+    """(segment, first place, number of strings) of what can repeat among the segments of the same key."""
+    data, sizes = b"".join(texts), [len(t) for t in texts]
+    first, count, anchor, _ = segments(data, sizes, width)
+    view, block = memoryview(data), min(BLOCK, width // 4)
+    common = width - block + 1
+    found, seen = [], {}
+    for i, (s, n, a) in enumerate(zip(first.tolist(), count.tolist(), anchor.tolist())):
+        for j in range((a - s) // block, (a - s - n + 1) // block - 1, -1):
+            c = a - block * j
+            mark = keys[i], j, xxhash.xxh3_64_intdigest(view[c : c + common])
+            seen[mark] = seen.get(mark, 0) + 1
+            low = max(s, c - block + 1)
+            found.append((i, low - s, min(s + n, c + 1) - low, mark))
+    parts: list[tuple[int, int, int]] = []
+    for i, low, n, mark in found:
+        if seen[mark] > 1:
+            if parts and parts[-1][0] == i and parts[-1][1] + parts[-1][2] == low:
+                parts[-1] = i, parts[-1][1], parts[-1][2] + n
+            else:
+                parts.append((i, low, n))
+    return parts
+
+
 def _sorted(width: int, step_bytes: int):
     """Ranges of repeated places of the segments of whole keys, which come in order; only of those that occur once."""
 
     def search(held: list[tuple[int, int, bool, bytes]]) -> pd.DataFrame:
+        parts = shared_parts([key for key, *_ in held], [data for *_, data in held], width)
         rows = []
-        for (key, content, once, _), places in zip(held, repeated_places([data for *_, data in held], width)):
+        for (i, low, _), places in zip(parts, repeated_places([held[i][3][low : low + n + width - 1] for i, low, n in parts], width)):
+            key, content, once, _ = held[i]
             if once and len(places):
                 breaks = np.flatnonzero(np.diff(places) > 1)
-                rows.append((key, content, places[np.append(0, breaks + 1)], places[np.append(breaks, len(places) - 1)] + 1))
+                rows.append((key, content, low + places[np.append(0, breaks + 1)], low + places[np.append(breaks, len(places) - 1)] + 1))
         return pd.DataFrame(rows, columns=["key", "content", "a", "b"])
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,9 +246,9 @@ def _removed(width: int):
     def removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for text, ranges in zip(batch["text"], batch["ranges"]):
+            for text, starts, ends in zip(batch["text"], batch["a"], batch["b"]):
                 data, kept, end, gone, spans = memoryview(text.encode()), hashlib.sha256(), 0, 0, 0
-                for a, b in sorted((r["a"], r["b"] + width - 1) for r in ranges):
+                for a, b in sorted(zip(starts.tolist(), (ends + width - 1).tolist())):
                     if a > end or not spans:
                         kept.update(data[end:a])
                         spans += 1
@@ -255,7 +282,7 @@ def remove_repeats(
     long_ = rows.where(F.col("n_bytes") >= width).select("id", "more", "text")
 
     every = written(
-        long_.mapInPandas(_found(width), "id long, more long, key long, content long, start long, strings long, times long"), "segments"
+        long_.mapInPandas(tidy(_found(width)), "id long, more long, key long, content long, start long, strings long, times long"), "segments"
     )
     many = every.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1").select("key")
     # Rows of equal texts are one row from here on.
@@ -278,14 +305,14 @@ def remove_repeats(
     )
     texts = long_.groupBy("id", "more").agg(F.first("text").alias("text"))
     of_segment = "key long, content long, once boolean"
-    cut = written(texts.join(wanted, ["id", "more"]).select("text", "wanted").mapInPandas(_cut(width), f"{of_segment}, bytes binary"), "cut")
+    cut = written(texts.join(wanted, ["id", "more"]).select("text", *[f"wanted.{name}" for name in ("key", "content", "once", "start", "strings")]).mapInPandas(tidy(_cut(width)), f"{of_segment}, bytes binary"), "cut")
     big = written(sizes.where(F.col("bytes") > key_bytes).select("key"), "large-keys")
     total = cut.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(spark.sparkContext.defaultParallelism, math.ceil(total / SHARD_BYTES))
     small = cut.join(big, "key", "left_anti").repartition(shards, "key").sortWithinPartitions("key")
-    near = small.mapInPandas(_sorted(width, step_bytes), "key long, content long, a array<long>, b array<long>")
+    near = small.mapInPandas(tidy(_sorted(width, step_bytes)), "key long, content long, a array<long>, b array<long>")
 
-    marks = written(cut.join(big, "key", "left_semi").mapInPandas(_hashed(width), f"{of_segment}, place long, mark binary"), "marks")
+    marks = written(cut.join(big, "key", "left_semi").mapInPandas(tidy(_hashed(width)), f"{of_segment}, place long, mark binary"), "marks")
     twice = marks.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
     far = marks.where("once").join(twice, "mark", "left_semi").groupBy("key", "content").agg(F.collect_list("place").alias("a"))
 
@@ -300,7 +327,7 @@ def remove_repeats(
         .groupBy("id", "more")
         .agg(F.collect_list("r").alias("ranges"))
     )
-    changed = texts.join(ranges, ["id", "more"]).mapInPandas(_removed(width), "id long, more long, n_removed long, n_spans long, kept_sha256 string")
+    changed = texts.join(ranges, ["id", "more"]).select("id", "more", "text", "ranges.a", "ranges.b").mapInPandas(tidy(_removed(width)), "id long, more long, n_removed long, n_spans long, kept_sha256 string")
     changed = written(changed, "changed")
     kept = rows.select("doc_id", "id", "more", "n_bytes", F.sha2("text", 256).alias("own")).join(changed, ["id", "more"], "left")
     return kept.select(

@@ -36,23 +36,27 @@ def _smaller(s: np.ndarray) -> np.ndarray:
 
 def _scan(s: np.ndarray, small: np.ndarray, sorted_lms: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """The array that the LMS suffixes in this order induce, one suffix at a time."""
-    symbols, kinds = s.tolist(), small.tolist()
-    sa, at = [-1] * len(symbols), stops.tolist()
-    for i in reversed(sorted_lms.tolist()):
-        c = symbols[i]
+    # The symbol before every place, where that suffix is of the kind; -1 elsewhere and, at the end, for free places.
+    before = np.full((2, len(s) + 1), -1, np.int64)
+    before[0, 1:-1] = np.where(small[:-1], -1, s[:-1])
+    before[1, 1:-1] = np.where(small[:-1], s[:-1], -1)
+    larger, smaller = before.tolist()
+    sa, at = [-1] * len(s), stops.tolist()
+    for i, c in zip(sorted_lms[::-1].tolist(), s[sorted_lms][::-1].tolist()):
         at[c] -= 1
         sa[at[c]] = i
     at = starts.tolist()
     for x in sa:
-        if x > 0 and not kinds[x - 1]:
-            c = symbols[x - 1]
-            sa[at[c]] = x - 1
-            at[c] += 1
+        c = larger[x]
+        if c >= 0:
+            place = at[c]
+            sa[place] = x - 1
+            at[c] = place + 1
     at = stops.tolist()
     for place in range(len(sa) - 1, -1, -1):
         x = sa[place]
-        if x > 0 and kinds[x - 1]:
-            c = symbols[x - 1]
+        c = smaller[x]
+        if c >= 0:
             at[c] -= 1
             sa[at[c]] = x - 1
     return np.array(sa, np.int64)

@@ -36,7 +36,7 @@ def test_effects(spark):
     ids = lambda df: sorted((r[0] for r in df.select("doc_id").collect()), key=str)
     assert ids(clean) == ids(given.where(toxicity.score(model, F.col("text")) < 0.5))
 
-    groups = near_duplicates(clean).where("n_shingles > 0").collect()
+    groups = near_duplicates(clean, corpus_pipeline.NEAR).where("n_shingles > 0").collect()
     assert sorted(r["doc_id"] for r in once.where("length(text) > 0").collect()) == sorted({r["component_id"] for r in groups})
 
     assert set(ids(tested)) == set(ids(once)) - set(ids(contaminated(once, spark.read.parquet(f"{SF}/benchmark.parquet"))))
