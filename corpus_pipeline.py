@@ -17,7 +17,7 @@ ids and texts count as one document from the second stage on. An empty table pas
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelens.llm import toxicity
@@ -34,10 +34,26 @@ ORACLE_SQL = None
 NEAR = 80
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that no column of `docs` has, whatever its case."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _matched(docs: DataFrame, rows: DataFrame, how: str, mark: Column | None = None) -> DataFrame:
+    """`docs` joined with (doc_id, row, ...) on the id and the hash of id and text, so that one hash alone decides nothing."""
+    key = _free(docs, "row_hash")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text") if mark is None else mark)
+    named = rows.withColumnsRenamed({"doc_id": _free(docs, "its_doc_id"), "row": _free(docs, "its_row")})
+    its_id, its_row = (named[_free(docs, name)] for name in ("its_doc_id", "its_row"))
+    return keyed.join(named, (keyed[key] == its_row) & keyed["doc_id"].eqNullSafe(its_id), how)
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows whose hash of id and text is not in `gone`."""
-    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    return keyed.join(gone.select(F.col("row").alias("__row")), "__row", "left_anti").drop("__row")
+    """The rows whose id and hash are not in `gone`."""
+    return _matched(docs, gone.select("doc_id", "row"), "left_anti").select(*docs.columns)
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,25 +63,25 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicates(docs, NEAR)
-    gone = written(found.where("NOT chosen").select("row").distinct(), "duplicates")
-    repeated = written(found.where("chosen").groupBy("row").count().where("count > 1").select("row"), "repeated")
+    gone = written(found.where("NOT chosen").select("doc_id", "row").distinct(), "duplicates")
+    repeated = written(found.where("chosen").groupBy("doc_id", "row").count().where("count > 1").select("doc_id", "row"), "repeated")
     kept = _without(docs, gone)
     if repeated.isEmpty():
         return kept
-    once = kept.withColumn("__row", F.xxhash64("doc_id", "text")).join(repeated.withColumnRenamed("row", "__row"), "__row")
-    return _without(kept, repeated).unionByName(once.dropDuplicates(["__row"]).drop("__row"))
+    again = _matched(kept, repeated, "left_semi")
+    return _without(kept, repeated).unionByName(again.dropDuplicates(["doc_id", _free(docs, "row_hash")]).select(*docs.columns))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, written(found.select("row").distinct(), "contaminated"))
+    return _without(docs, written(found.select("doc_id", "row").distinct(), "contaminated"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    taken = mix(docs).where("copies > 0").groupBy(F.col("row").alias("__row")).agg(F.max("copies").alias("__copies"))
-    keyed = docs.withColumn("__row", row_hash(F.col("doc_id"), F.col("text")))
-    repeated = keyed.join(written(taken, "copies"), "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return repeated.select(*docs.columns)
+    copies = _free(docs, "copies")
+    taken = written(mix(docs).where("copies > 0").groupBy("doc_id", "row").agg(F.max("copies").alias(copies)), "copies")
+    repeated = _matched(docs, taken, "inner", row_hash(F.col("doc_id"), F.col("text")))
+    return repeated.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(_free(docs, "copy"))).select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
