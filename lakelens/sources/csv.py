@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from lakelens.functions.predicates import build_predicate
 from lakelens.sources.csv_records import assembled_records, ends_inside_quotes
-from lakelens.sources.position import BLOCK, FILE, LINE, ROW, input_files, named_files, with_split_position
+from lakelens.sources.position import BLOCK, FILE, LINE, ROW, input_files, with_split_position
 
 RAW_RECORD = "_raw_record"
 
@@ -39,12 +40,39 @@ def field_count(record: Column, delimiter: str = ",") -> Column:
     return (length / len(delimiter)).cast("int") + 1
 
 
-def files_with_long_records(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str]:
-    """Files in which a record spans lines or a line holds only blanks, which the line-wise reader drops.
-    One parallel pass."""
+def _same_header(cells: Column, header: list[str]) -> Column:
+    """Whether the parsed record has these names, ignoring case and a byte order mark."""
+    found = [F.lower(F.coalesce(cells[f"_{i}"], F.lit(""))) for i in range(len(header))]
+    found[0] = F.regexp_replace(found[0], "^\ufeff", "")
+    same = [name == F.lit(expected.lower()) for name, expected in zip(found, header)]
+    return reduce(Column.__and__, same, cells[RAW_RECORD].isNull())
+
+
+def _other_header() -> Column:
+    return F.raise_error(F.concat(F.lit("CSV header differs from that of the first file: "), F.col(FILE))).cast("boolean")
+
+
+def files_with_long_records(spark: SparkSession, path: str | list[str], delimiter: str = ",", header: list[str] | None = None) -> DataFrame:
+    """Files, as FILE, in which a record spans lines or a line holds only blanks, which the line-wise reader drops.
+
+    Any other file has to begin with the given header.
+    """
     line = F.col("value")
     blank = (line != "") & (F.trim(line) == "")
-    return named_files(spark.read.text(path).filter(ends_inside_quotes(line, re.escape(delimiter)) | blank))
+    long = ends_inside_quotes(line, re.escape(delimiter)) | blank
+    lines = with_split_position(spark.read.text(path)).withColumn(LINE, F.monotonically_increasing_id())
+    at = F.when((F.col(BLOCK) == 0) & (line != ""), F.col(LINE))
+    sums = [F.bool_or(long).alias("_long")]
+    wanted = F.col("_long")
+    if header:
+        options = {name: str(value) for name, value in _options(delimiter, False, False).items()}
+        same = _same_header(F.from_csv(line, _raw_schema(len(header)), options), header)
+        # Only lines that hold the first name are parsed.
+        likely = F.contains(F.lower(line), F.lit(header[0].lower())) if '"' not in header[0] else F.lit(True)
+        sums += [F.min(at).alias("_first"), F.min(F.when(likely, F.when(same, at))).alias("_named")]
+        good = F.col("_first").isNull() | F.col("_first").eqNullSafe(F.col("_named"))
+        wanted = F.when(F.col("_long"), F.lit(True)).when(good, F.lit(False)).otherwise(_other_header())
+    return lines.groupBy(FILE).agg(*sums).filter(wanted).select(FILE)
 
 
 def _first_record(spark: SparkSession, path: str | list[str], delimiter: str, multiline: bool) -> list[str]:
@@ -76,13 +104,13 @@ def _raw_schema(width: int) -> str:
 
 
 def _scan(
-    spark: SparkSession, path: str | list[str], delimiter: str, header: list[str] | None, width: int, multiline: bool
+    spark: SparkSession, path: str | list[str], delimiter: str, header: list[str] | None, width: int, multiline: bool, checked: bool = True
 ) -> DataFrame:
-    """Raw cells of the line-wise or the multi-line reader; every file has to have the given header."""
+    """Raw cells of the line-wise or the multi-line reader; `checked` files have to have the given header."""
     reader = spark.read.options(**_options(delimiter, header is not None, multiline))
     internal = [f"_{i}" for i in range(width)]
     # Spark compares headers by name, which a repeated or empty name does not allow.
-    if header is None or "" in header or len({name.lower() for name in header}) < width:
+    if header is None or not checked or "" in header or len({name.lower() for name in header}) < width:
         return with_split_position(reader.schema(_raw_schema(width)).csv(path))
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, RAW_RECORD]])
     raw = with_split_position(reader.schema(schema).option("enforceSchema", "false").csv(path))
@@ -95,20 +123,17 @@ def _assembled_scan(
     delimiter: str,
     header: list[str] | None,
     width: int,
-    files: list[str],
+    files: DataFrame,
 ) -> DataFrame:
     """The named files, with records of several lines, split like any other file."""
-    lines = with_split_position(spark.read.option("lineSep", "\n").text(path)).filter(F.col(FILE).isin(files))
+    lines = with_split_position(spark.read.option("lineSep", "\n").text(path)).join(files, FILE, "left_semi")
     records = assembled_records(lines, re.escape(delimiter))
     options = {name: str(value) for name, value in _options(delimiter, False, False).items()}
     cells = F.from_csv(F.col("record"), _raw_schema(width), options).alias("_cells")
     rows = records.select(cells, FILE, BLOCK, LINE, "is_first").select("_cells.*", FILE, BLOCK, LINE, "is_first")
     if header is not None:
-        found = F.array(*[F.lower(F.coalesce(f"_{i}", F.lit(""))) for i in range(width)])
-        expected = F.array(*[F.lit(name.lower()) for name in header])
-        same = F.col(RAW_RECORD).isNull() & (F.regexp_replace(F.array_join(found, delimiter), "^\ufeff", "") == F.array_join(expected, delimiter))
-        other = F.raise_error(F.concat(F.lit("CSV header differs from that of the first file: "), F.col(FILE)))
-        rows = rows.filter(F.when(~F.col("is_first"), F.lit(True)).when(same, F.lit(False)).otherwise(other.cast("boolean")))
+        same = _same_header(F.struct(*[F.col(name) for name in (*(f"_{i}" for i in range(width)), RAW_RECORD)]), header)
+        rows = rows.filter(F.when(~F.col("is_first"), F.lit(True)).when(same, F.lit(False)).otherwise(_other_header()))
     return rows.drop("is_first")
 
 
@@ -123,15 +148,17 @@ def _records(
 ) -> DataFrame:
     """Raw cells with their position, each file read the way its records need."""
     args = (spark, path, delimiter, header, width)
-    long = files_with_long_records(spark, path, delimiter) if multiline is None else []
-    if not long:
-        raw = _scan(*args, bool(multiline))
+    if multiline is not None:
+        raw = _scan(*args, multiline)
     else:
+        # Part of the plan, not a job of its own: where no file is long, the second branch ends before it reads.
+        # At most one name per file of the listing, which the driver holds already, goes to every task.
+        long = F.broadcast(files_with_long_records(spark, path, delimiter, header))
         raw = _assembled_scan(*args, long)
         if numbered:
             in_block = Window.partitionBy(FILE, BLOCK).orderBy(LINE)
             raw = raw.withColumn(LINE, F.row_number().over(in_block).cast("bigint"))
-        plain = _scan(*args, False).filter(~F.col(FILE).isin(long))
+        plain = _scan(*args, False, checked=False).join(long, FILE, "left_anti")
         raw = plain.unionByName(raw, allowMissingColumns=True)
     return raw.withColumn("_present", field_count(F.col(RAW_RECORD), delimiter))
 
@@ -163,7 +190,8 @@ def read_csv(
     repeats a name, the column holds the last value and a filter looks at the first. `position` adds the
     pager's columns.
 
-    `multiline=None` checks for records that span lines. Files without any are read line by line, the others
+    `multiline=None` tells files with records that span lines from others while the plan runs; opening them starts no job but
+    for the first record. Files without any are read line by line, the others
     have their records put together first; both are split over many tasks. False skips the check and takes
     every line as a record, True leaves it to Spark's multi-line reader, which gives a file to one task.
     """

@@ -110,22 +110,24 @@ def assembled_records(lines: DataFrame, sep: str) -> DataFrame:
         F.last(begin_line, ignorenulls=True).over(upto).alias("_record"),
         F.max(begin_line).over(Window.partitionBy(*SPLIT)).alias("_last_record"),
     )
-    # The last record of a split may go on in later splits, whose lines before their first record belong to
-    # it; such a record is known by its block alone.
     headless = F.col("_record").isNull()
     pieces = placed.select(
-        FILE,
-        F.when(headless, F.col("_open_block")).otherwise(F.col(BLOCK)).alias("_block"),
-        F.when(headless | (F.col("_record") == F.col("_last_record")), F.lit(-1)).otherwise(F.col("_record")).alias("_id"),
+        *SPLIT,
+        "_record",
+        F.when(headless, F.col("_open_block")).otherwise(F.col(BLOCK)).alias("_begun"),
+        (headless | (F.col("_record") == F.col("_last_record"))).alias("_crossing"),
         F.struct(F.col(BLOCK).alias("block"), F.col(LINE).alias("line"), "value").alias("_piece"),
         (F.col("is_first") & F.col("_begins")).alias("is_first"),
     )
-    joined = pieces.groupBy(FILE, "_block", "_id").agg(
-        F.array_sort(F.collect_list("_piece")).alias("_pieces"), F.max("is_first").alias("is_first")
-    )
-    records = joined.select(
-        FILE,
-        F.col("_block").alias(BLOCK),
+    # The last record of a split may go on in later splits, whose lines before their first record belong to
+    # it; such a record is known by its block alone. All others are put together where their split is.
+    # Both branches read the same shuffled lines, so the shuffle is made once.
+    both = [F.array_sort(F.collect_list("_piece")).alias("_pieces"), F.max("is_first").alias("is_first")]
+    own = ~F.col("_crossing") & (F.col("_begun") == F.col(BLOCK))
+    inside = pieces.filter(own).groupBy(*SPLIT, "_record").agg(*both).drop("_record")
+    across = pieces.filter("_crossing").groupBy(FILE, F.col("_begun").alias(BLOCK)).agg(*both)
+    records = inside.unionByName(across).select(
+        *SPLIT,
         F.col("_pieces")[0]["line"].alias(LINE),
         F.regexp_replace(F.array_join(F.transform("_pieces", lambda p: p["value"]), "\n"), r"\r$", "").alias("record"),
         "is_first",

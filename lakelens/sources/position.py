@@ -42,8 +42,3 @@ def user_columns(df: DataFrame) -> list[str]:
 def input_files(df: DataFrame) -> list[str]:
     """Sorted input files, spelled as the scan metadata spells them; known from the listing, unread."""
     return sorted(re.sub(r"^(\w+):///", r"\1:/", name) for name in df.inputFiles())
-
-
-def named_files(rows: DataFrame) -> list[str]:
-    """Files the rows of a scan come from, some of those the driver has listed for the scan."""
-    return [row[0] for row in rows.select(F.col("_metadata.file_path")).distinct().collect()]
