@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -17,9 +18,11 @@ NUMBER_PATTERN = rf"^{_BLANK}(?:[+-]?{_UNSIGNED}|{_UNSIGNED}[+-]){_BLANK}$"
 MAX_MAGNITUDE = Decimal("79228162514264337593543950335")
 
 _BLANK_CHARACTERS = " \t\n\x0b\f\r"
-FINE = "decimal(38,28)"
-COARSE = "decimal(38,10)"
-WHOLE = "decimal(38,0)"
+#: Plain cells this short are exact as SHORT and are compared as such.
+SHORT, SHORT_DIGITS = "decimal(38,15)", 15
+_SHORT_PATTERN = rf"^[+-]?[0-9]{{1,{SHORT_DIGITS}}}(?:\.[0-9]{{0,{SHORT_DIGITS}}})?$"
+#: Added to an exponent in a key; exponents beyond a long count as the largest.
+_OFFSET, _MOST_EXPONENT = 5 * 10**18, 10**18
 
 
 def parse_number(text: str) -> Decimal | None:
@@ -30,7 +33,7 @@ def parse_number(text: str) -> Decimal | None:
     if digits[-1] in "+-":
         digits = digits[-1] + digits[:-1]
     number = Decimal(digits)
-    return number if abs(number) <= MAX_MAGNITUDE else None
+    return number if number.copy_abs() <= MAX_MAGNITUDE else None
 
 
 def plain_digits(column: Column) -> Column:
@@ -40,18 +43,58 @@ def plain_digits(column: Column) -> Column:
     return F.when(column.rlike(NUMBER_PATTERN), digits)
 
 
-def compare_number(column: Column, number: Decimal, compare) -> Column:
-    """`compare(cell, number)` for a text cell; NULL when the cell is no number within `MAX_MAGNITUDE`.
+def number_key(number: Decimal) -> str:
+    """A text that sorts as the number does, whatever its length; `_cell_key` gives that of a cell."""
+    sign, digits, exponent = number.as_tuple()
+    significant = "".join(map(str, digits)).lstrip("0")
+    power = len(significant) + exponent
+    significant = significant.rstrip("0")
+    if not significant:
+        return "1"
+    if not sign:
+        return f"2{_OFFSET + power:019d}{significant}"
+    return f"0{_OFFSET - power:019d}{significant.translate(str.maketrans('0123456789', '9876543210'))}~"
 
-    Values below 1e10 are compared to 28 decimals, values below 1e28 to 10, larger ones as whole numbers.
-    """
-    digits = plain_digits(column)
 
-    def at(kind: str) -> Column:
-        return compare(digits.try_cast(kind), F.lit(f"{number:f}").try_cast(kind))
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, outside generated code."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _cell_parts(digits: Column) -> Column:
+    """Sign, power of ten and significant digits of a cell that `plain_digits` gave."""
+    mantissa = F.regexp_replace(digits, r"^[+-]|[eE].*$", "")
+    written = F.regexp_extract(digits, r"[eE]([+-]?[0-9]+)$", 1)
+    most = F.when(F.startswith(written, F.lit("-")), F.lit(-_MOST_EXPONENT)).otherwise(F.lit(_MOST_EXPONENT))
+    given = F.least(F.greatest(F.coalesce(written.try_cast("bigint"), most), F.lit(-_MOST_EXPONENT)), F.lit(_MOST_EXPONENT))
+    exponent = F.when(written == "", F.lit(0)).otherwise(given)
+    every = F.replace(mantissa, F.lit("."), F.lit(""))
+    leading = F.ltrim(every, F.lit("0"))
+    power = F.length(F.substring_index(mantissa, ".", 1)) + exponent - (F.length(every) - F.length(leading))
+    return F.struct(F.startswith(digits, F.lit("-")).alias("below"), power.alias("power"), F.rtrim(leading, F.lit("0")).alias("significant"))
+
 
-    # A zero with any exponent is zero, but does not cast to a decimal.
-    zero = F.when(digits.rlike(r"^[+-]?[0.]+([eE].*)?$"), F.lit(bool(compare(Decimal(0), number))))
-    whole = F.when(F.abs(digits.try_cast(WHOLE)) <= F.lit(str(MAX_MAGNITUDE)).cast(WHOLE), at(WHOLE))
-    scales = [FINE, COARSE] if abs(number) < Decimal(10) ** 10 else [COARSE]
-    return F.coalesce(*map(at, scales), zero, whole)
+def _cell_key(parts: Column) -> Column:
+    """(key, key of the magnitude)."""
+    power, significant = parts["power"], parts["significant"]
+    size = F.concat(F.lit("2"), F.lpad((F.lit(_OFFSET) + power).cast("string"), 19, "0"), significant)
+    below = F.concat(
+        F.lit("0"), F.lpad((F.lit(_OFFSET) - power).cast("string"), 19, "0"), F.translate(significant, "0123456789", "9876543210"), F.lit("~")
+    )
+    zero = significant == ""
+    return F.struct(
+        F.when(zero, F.lit("1")).when(parts["below"], below).otherwise(size).alias("key"), F.when(zero, F.lit("1")).otherwise(size).alias("size")
+    )
+
+
+def compare_number(column: Column, number: Decimal, compare) -> Column:
+    """`compare(cell, number)` for a text cell, exact at any length; NULL when the cell is no number within `MAX_MAGNITUDE`."""
+    digits = plain_digits(column)
+    most, wanted = F.lit(number_key(MAX_MAGNITUDE)), F.lit(number_key(number))
+    keyed = lambda cell: F.when(cell["size"] <= most, compare(cell["key"], wanted))
+    exact = _bound(digits, lambda d: _bound(_cell_parts(d), lambda parts: _bound(_cell_key(parts), keyed)))
+    decimals = -number.as_tuple().exponent
+    if number.copy_abs() >= 10**22 or decimals > SHORT_DIGITS:
+        return exact
+    short = compare(digits.try_cast(SHORT), F.lit(f"{number:f}").cast(SHORT))
+    return F.when(digits.rlike(_SHORT_PATTERN), short).otherwise(exact)

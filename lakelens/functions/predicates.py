@@ -150,7 +150,15 @@ def _compare_instant(column: Column, data_type: T.DataType, op: str, moment: dat
 
 
 def _compare_text(text: Column, op: str, value: str) -> Column:
-    return _COMPARE[op](fold(text), F.lit(fold_literal(value)))
+    """Ordinal order of UTF-16 code units.
+
+    It differs from Spark's order of code points only between a character beyond the basic plane and one from U+E000 on,
+    so a value without either is compared as it is.
+    """
+    folded, literal = fold(text), fold_literal(value)
+    if op in ("eq", "ne") or all(ch < "\ue000" for ch in literal):
+        return _COMPARE[op](folded, F.lit(literal))
+    return _COMPARE[op](F.encode(folded, "UTF-16BE"), F.lit(literal.encode("utf-16-be")))
 
 
 def _compare(column: Column, data_type: T.DataType, op: str, value: str) -> Column:

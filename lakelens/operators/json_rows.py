@@ -31,6 +31,32 @@ def _pairs(rows: DataFrame, column: str, order: Column | None) -> DataFrame:
     return pairs.select(*kept)
 
 
+#: Strings, structural characters and all text between them; together they are the whole document.
+TOKEN = r'(?s)("[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[^{}\[\],:"]++)'
+
+
+def _members(json: str, tokens: str) -> Column:
+    """Name literal, first character and length of every member of a JSON object, as they stand in its text."""
+    state = "named_struct('depth', {depth}, 'at', s.at + length(t), 'key', {key}, 'start', {start}, 'out', {out})"
+    member = f"named_struct('key', s.key, 'start', s.start, 'size', s.at - s.start)"
+    between = "s.depth = 1 AND t IN (',', '}')"
+    empty = "named_struct('depth', 0, 'at', 1, 'key', CAST(NULL AS STRING), 'start', 1, 'out', CAST(array() AS ARRAY<STRUCT<key: STRING, start: INT, size: INT>>))"
+    ended = state.format(depth="if(t = '}', 0, 1)", key="CAST(NULL AS STRING)", start="s.at + 1", out=f"if(s.key IS NULL, s.out, array_append(s.out, {member}))")
+    named = state.format(depth="1", key=f"trim(BOTH ' \\t\\r\\n' FROM substring({json}, s.start, s.at - s.start))", start="s.at + 1", out="s.out")
+    depth = "s.depth + CASE WHEN t IN ('{', '[') THEN 1 WHEN t IN ('}', ']') THEN -1 ELSE 0 END"
+    other = state.format(depth=depth, key="s.key", start="if(s.depth = 0, s.at + length(t), s.start)", out="s.out")
+    step = f"(s, t) -> CASE WHEN {between} THEN {ended} WHEN s.depth = 1 AND t = ':' AND s.key IS NULL THEN {named} ELSE {other} END"
+    return F.expr(f"aggregate({tokens}, {empty}, {step}, s -> s.out)")
+
+
+def _raw(members: Column, json: Column, name: str) -> Column:
+    """The text of a member's value; the last one counts."""
+    plain = F.lit(f'"{name}"')
+    spelled = lambda key: F.when(F.contains(key, F.lit("\\")), F.from_json(F.concat(F.lit("["), key, F.lit("]")), "array<string>")[0] == name).otherwise(key == plain)
+    last = F.try_element_at(F.filter(members, lambda m: spelled(m["key"])), F.lit(-1))
+    return F.btrim(F.substring(json, last["start"], last["size"]), F.lit(" \t\r\n"))
+
+
 def _key_summary(rows: DataFrame, column: str, order: Column | None = None) -> DataFrame:
     """One row per key with its type; the NULL key counts rows that are no object."""
     pairs = _pairs(rows, column, order)
@@ -47,7 +73,8 @@ def _key_summary(rows: DataFrame, column: str, order: Column | None = None) -> D
         .when(every(real), F.lit("double"))
         .otherwise(F.lit("string"))
     )
-    summary = [kind.alias("type"), F.sum("_broken").alias("broken")]
+    other = F.bool_or(F.col("_kind") != "STRING")
+    summary = [kind.alias("type"), F.sum("_broken").alias("broken"), F.coalesce(other, F.lit(False)).alias("raw")]
     if order is not None:
         summary += [F.min("_order").alias("first_row"), F.min_by("_place", "_order").alias("place")]
     return pairs.groupBy("key").agg(*summary)
@@ -72,11 +99,27 @@ def json_schema(rows: DataFrame, column: str, order_by: str | None = None) -> T.
     if not fields or any(not row["key"].strip() for row in fields):
         raise ValueError("Rows need at least one column, and no column name may be blank.")
     types = {"string": T.StringType(), "boolean": T.BooleanType(), "bigint": T.LongType(), "double": T.DoubleType()}
-    return T.StructType([T.StructField(row["key"], types[row["type"]]) for row in fields])
+    # Text columns that hold other values too take these from the source text.
+    return T.StructType([T.StructField(row["key"], types[row["type"]], metadata={"raw": row["raw"]}) for row in fields])
 
 
 def json_rows_to_table(rows: DataFrame, column: str, order_by: str | None = None) -> DataFrame:
-    """Typed table of JSON object rows; an omitted key is NULL, nested values in text columns stay JSON text."""
+    """Typed table of JSON object rows; an omitted key is NULL, other values in text columns stay as they are written."""
     schema = json_schema(rows, column, order_by)
-    parsed = rows.select(F.from_json(F.col(column), schema).alias("_row"))
-    return parsed.select("_row.*")
+    mixed = [field.name for field in schema.fields if field.metadata["raw"] and isinstance(field.dataType, T.StringType)]
+    plain = T.StructType([T.StructField(field.name, field.dataType) for field in schema.fields])
+    json = F.col("_json")
+    parsed = rows.select(F.col(column).alias("_json"), F.from_json(F.col(column), plain).alias("_row"))
+    if mixed:
+        parsed = parsed.withColumn("_tokens", F.regexp_extract_all("_json", F.lit(TOKEN), F.lit(1))).withColumn("_members", _members("_json", "_tokens"))
+    # By place, as names may differ in case alone.
+    kept = [name for name in ("_json", "_members") if name in parsed.columns]
+    placed = parsed.select("_row.*", *kept).toDF(*[f"_{i}" for i in range(len(plain))], *kept)
+    cells = []
+    for i, name in enumerate(plain.names):
+        cell = F.col(f"_{i}")
+        if name in mixed:
+            raw = _raw(F.col("_members"), json, name)
+            cell = F.when(F.startswith(raw, F.lit('"')), cell).when(raw != "null", raw)
+        cells.append(cell.alias(name))
+    return placed.select(*cells)

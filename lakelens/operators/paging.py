@@ -3,20 +3,26 @@
 A page is found in three steps that stay small at any table size: (1) count matching rows over growing
 batches of files until the page is covered, (2) sum the matches per block of those files and keep the blocks
 the page touches, (3) order only the rows of these blocks. Counting reads nothing but the filter columns and
-opens no later files; a CSV scan with `multiline=None` has looked through all files before.
+opens no later files. An unfiltered Parquet page needs less: a file's rows are numbered, so the page is a range of row
+numbers, and only which file it lies in is counted, from the footers; with one file nothing is.
+
+A `Walk` goes through all pages of a table. It counts the matches per file once and keeps them as a table; the
+matches per block of the files a page lies in are counted when the walk comes to them and serve all pages there. So a page
+in the middle of a table costs what the first one does.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from lakelens.functions.predicates import where
+from lakelens.functions.predicates import checked_conditions, where
 from lakelens.operators.project import project_existing
-from lakelens.sources.position import BLOCK, FILE, LINE, POSITION, ROW, input_files, user_columns
+from lakelens.session import scratch_path
+from lakelens.sources.position import BLOCK, FILE, LINE, POSITION, ROW, input_files, user_columns, whole_scan
 
 # Page size limits.
 DEFAULT_ROWS = 200
@@ -66,7 +72,11 @@ def _bounds(df: DataFrame, keys: list[str], offset: int, end: int) -> Row:
 
     The running sum sees one row per file or file block, no more than the scan has tasks.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("matches"))
+    return _located(df.groupBy(*keys).agg(F.count("*").alias("matches")), keys, offset, end)
+
+
+def _located(counts: DataFrame, keys: list[str], offset: int, end: int) -> Row:
+    """`_bounds` of matches that are counted already."""
     running = F.sum("matches").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
     touched = (
         counts.withColumn("upto", running)
@@ -87,6 +97,24 @@ def _nothing(df: DataFrame) -> DataFrame:
     return empty if ROW in df.columns else empty.withColumn(ROW, F.lit(None).cast("bigint"))
 
 
+def _numbered(df: DataFrame, files: list[str], offset: int, end: int) -> DataFrame:
+    """Rows [offset, end) of an unfiltered Parquet scan, by row number."""
+    covering = _covering_files(df, files, offset, end)
+    if covering is None:
+        return _nothing(df)
+    first, last, skipped = covering
+    if first != last:
+        bounds = _bounds(_within_files(df, first, last), [FILE], offset - skipped, end - skipped)
+        if bounds["first"] is None:
+            return _nothing(df)
+        first, last, skipped = bounds["first"][FILE], bounds["last"][FILE], skipped + bounds["before"]
+    start, count = offset - skipped, end - offset
+    # No file gives more rows than the page has.
+    here = (F.col(FILE) == first) & F.col(ROW).between(start, start + count - 1)
+    rows = _within_files(df, first, last).filter(here | ((F.col(FILE) > first) & (F.col(ROW) < count)))
+    return rows.orderBy(*POSITION).limit(count)
+
+
 def _slice(df: DataFrame, files: list[str], offset: int, end: int) -> DataFrame:
     """Rows [offset, end) of `df` in file order, position columns included."""
     covering = _covering_files(df, files, offset, end)
@@ -103,18 +131,78 @@ def _slice(df: DataFrame, files: list[str], offset: int, end: int) -> DataFrame:
         located = _within_files(df, bounds["first"][FILE], bounds["last"][FILE])
         skipped += bounds["before"]
     bounds = _bounds(located, [FILE, BLOCK], offset - skipped, end - skipped)
+    return _of_blocks(located, bounds, offset - skipped, end - skipped)
+
+
+def _of_blocks(located: DataFrame, bounds: Row, offset: int, end: int) -> DataFrame:
+    """Rows [offset, end) of `located`, which lie in the blocks that `bounds` names."""
     first, last = bounds["first"], bounds["last"]
     if first is None:
-        return _nothing(df)
+        return _nothing(located)
     after_first = (F.col(FILE) > first[FILE]) | ((F.col(FILE) == first[FILE]) & (F.col(BLOCK) >= first[BLOCK]))
     before_last = (F.col(FILE) < last[FILE]) | ((F.col(FILE) == last[FILE]) & (F.col(BLOCK) <= last[BLOCK]))
-    if by_row_index:
+    if ROW in located.columns:
         rows = _within_files(located, first[FILE], last[FILE]).filter(after_first & before_last)
     else:
         in_scan_order = F.monotonically_increasing_id()
         line = F.coalesce(LINE, in_scan_order) if LINE in located.columns else in_scan_order
         rows = located.filter(after_first & before_last).withColumn(ROW, line)
-    return rows.orderBy(*POSITION).offset(offset - skipped - bounds["before"]).limit(end - offset)
+    return rows.orderBy(*POSITION).offset(offset - bounds["before"]).limit(end - offset)
+
+
+class Walk:
+    """Pages of one table, one after the other or at any offset, without counting anything twice."""
+
+    def __init__(self, df: DataFrame, filters: Iterable | None = None):
+        self.rows = where(df, filters)
+        self.columns = user_columns(df)
+        path = scratch_path(df.sparkSession, "directory")
+        counts = self.rows.groupBy(FILE).agg(F.count("*").alias("matches"))
+        # The running sum sees one row per file.
+        upto = F.sum("matches").over(Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, 0))
+        counts.withColumn("upto", upto).write.parquet(path)
+        self.files = df.sparkSession.read.schema(f"{FILE} string, matches long, upto long").parquet(path)
+        self.blocks: tuple[tuple[str, str], DataFrame] | None = None
+
+    def total(self) -> int:
+        """All matches."""
+        return self.files.agg(F.max("upto")).first()[0] or 0
+
+    def _blocks(self, located: DataFrame, first: str, last: str) -> DataFrame:
+        """Matches per block of a range of files, kept for the pages that follow there."""
+        if self.blocks is None or self.blocks[0] != (first, last):
+            path = scratch_path(located.sparkSession, "directory")
+            located.groupBy(FILE, BLOCK).agg(F.count("*").alias("matches")).write.parquet(path)
+            kept = located.sparkSession.read.schema(f"{FILE} string, {BLOCK} long, matches long").parquet(path)
+            self.blocks = (first, last), kept
+        return self.blocks[1]
+
+    def frame(self, offset: int = 0, max_rows: int | None = None, peek: bool = False) -> DataFrame:
+        """The rows of one page; `peek` adds the row after it."""
+        start = max(offset, 0)
+        end = start + clamp_rows(max_rows) + (1 if peek else 0)
+        touched = self.files.filter((F.col("upto") > start) & (F.col("upto") - F.col("matches") < end))
+        first, last, before = touched.agg(F.min(FILE), F.max(FILE), F.min(F.col("upto") - F.col("matches"))).first()
+        if first is None:
+            return _nothing(self.rows).select(*self.columns)
+        located = _within_files(self.rows, first, last)
+        bounds = _located(self._blocks(located, first, last), [FILE, BLOCK], start - before, end - before)
+        return _of_blocks(located, bounds, start - before, end - before).select(*[F.col(f"`{name}`") for name in self.columns])
+
+    def page(self, offset: int = 0, max_rows: int | None = None) -> Page:
+        """One page; its `next_offset` is that of the page after it."""
+        count, skip = clamp_rows(max_rows), max(offset, 0)
+        found = self.frame(skip, count, peek=True).collect()
+        truncated = len(found) > count
+        return Page(self.columns, found[:count], truncated, skip, skip + count if truncated else None)
+
+    def pages(self, max_rows: int | None = None) -> Iterator[Page]:
+        """All pages from the first on."""
+        offset: int | None = 0
+        while offset is not None:
+            found = self.page(offset, max_rows)
+            yield found
+            offset = found.next_offset
 
 
 def page_frame(
@@ -122,8 +210,12 @@ def page_frame(
 ) -> DataFrame:
     """Rows of one page of a positioned scan, in file order; `peek` adds the row after the page, if any."""
     count, skip = clamp_rows(max_rows), max(offset, 0)
-    matching = where(df, filters)
-    rows = _slice(matching, input_files(df), skip, skip + count + (1 if peek else 0))
+    conditions = checked_conditions(filters)
+    end = skip + count + (1 if peek else 0)
+    if not conditions and ROW in df.columns and whole_scan(df):
+        rows = _numbered(df, input_files(df), skip, end)
+    else:
+        rows = _slice(where(df, conditions), input_files(df), skip, end)
     return rows.select(*[F.col(f"`{name}`") for name in user_columns(df)])
 
 

@@ -47,6 +47,35 @@ def profile_nulls(df: DataFrame, columns: list[str] | None = None, approx_distin
     return df.agg(*measures).select(F.inline(F.array(*profiles)))
 
 
+def sample_rows(df: DataFrame, count: int = 20, by: list[str] | None = None) -> DataFrame:
+    """The rows with the smallest hashes: a sample that depends on their content alone, not on order or partitions.
+
+    `by` names the columns that are hashed as text, all by default; equal rows come into the sample together.
+    """
+    types = {field.name: field.dataType for field in df.schema.fields}
+    names = df.columns if by is None else by
+    cells = [F.coalesce(cell_text(F.col("`" + name.replace("`", "``") + "`"), types[name]), F.lit("")) for name in names]
+    return df.orderBy(F.md5(F.concat_ws("\x01", *cells)), *cells).limit(count)
+
+
+#: Standard error of a distinct estimate with 2^12 registers.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def distinct_sketches(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
+    """(*keys, column, sketch): one mergeable HyperLogLog sketch of a few KB per key and column, whatever the number of values."""
+    types = {field.name: field.dataType for field in df.schema.fields}
+    cells = [F.struct(F.lit(name).alias("column"), cell_text(F.col(f"`{name}`"), types[name]).alias("cell")) for name in columns]
+    each = df.select(*(keys or []), F.inline(F.array(*cells)))
+    return each.groupBy(*(keys or []), "column").agg(F.hll_sketch_agg("cell", F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(*keys, column, distinct): estimates of the union of sketches, so parts of a table are read once only."""
+    return sketches.groupBy(*(keys or []), "column").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct"))
+
+
 def keyword_compare(
     df: DataFrame, text: str, keyword: str, key: str, period: str, value: str, periods: list | None = None
 ) -> DataFrame:

@@ -17,6 +17,7 @@ from lakelens.functions.text import fold, fold_literal
 from lakelens.sources.csv import read_csv
 from lakelens.sources.files import file_inventory
 from lakelens.sources.parquet import read_parquet
+from lakelens.sources.xml import read_xml, xml_columns
 from lakelens.sources.position import FILE, user_columns
 
 # Folder of each table in the documented lake.
@@ -53,12 +54,18 @@ class CostModel:
 
 
 def read_folder(
-    spark: SparkSession, path: str, format: str = "csv", delimiter: str = ";", files: Iterable[str] | None = None
+    spark: SparkSession,
+    path: str,
+    format: str = "csv",
+    delimiter: str = ";",
+    files: Iterable[str] | None = None,
+    record: str | None = None,
 ) -> DataFrame:
     """All files of a folder as one table, with `project_file`, the file's name without its extension.
 
     A saved table (a folder of part files) counts as one file. `files` keeps the named ones; they are chosen from
-    the listing, and the others are not opened.
+    the listing, and the others are not opened. XML files may differ in their columns: the table has those of every
+    file's first record, NULL where a file lacks one.
     """
     whole = F.regexp_replace(F.col(FILE), "/part-[^/]*$", "")
     stem = F.regexp_replace(F.url_decode(F.element_at(F.split(whole, "/"), -1)), r"\.[^.]*$", "")
@@ -68,6 +75,8 @@ def read_folder(
         chosen = sorted(row[0] for row in listed.select(whole).distinct().collect()) or chosen
     if format == "csv":
         rows = read_csv(spark, chosen, delimiter=delimiter, multiline=None if files is None or isinstance(chosen, list) else False, position=True)
+    elif format == "xml":
+        rows = read_xml(spark, chosen, record, xml_columns(spark, chosen, record), position=True)
     else:
         rows = read_parquet(spark, chosen, position=True)
     if files is not None and not isinstance(chosen, list):

@@ -301,3 +301,19 @@ def agg_by_month(spark, sf_dir):
 )
 def agg_certificates(spark, sf_dir):
     return plain(measures.certificate_totals(cost_model(spark, sf_dir).certificates))
+
+
+SHARES = {name: f"0.{i + 11}" for i, name in enumerate(measures.CERTIFICATE_AMOUNTS)}
+
+
+@query(
+    "agg_certificate_amounts",
+    MODEL + "SELECT c_nationkey AS ProjectId, o_orderpriority AS CertificateType, count(*) AS certificates, "
+    + ", ".join(f"CAST(sum(round(CAST(o_totalprice AS DECIMAL(18, 2)) * CAST({share} AS DECIMAL(4, 2)), 2)) AS DOUBLE) AS {name}" for name, share in SHARES.items())
+    + " FROM placed GROUP BY c_nationkey, o_orderpriority",
+)
+def agg_certificate_amounts(spark, sf_dir):
+    """All twelve amounts of a certificate, each another share of the price."""
+    placed = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    amounts = [_share("o_totalprice", share).alias(name) for name, share in SHARES.items()]
+    return plain(measures.certificate_totals(placed.select(F.col("c_nationkey").alias("ProjectId"), F.col("o_orderpriority").alias("CertificateType"), *amounts)))

@@ -193,3 +193,20 @@ def project_xml_style(spark, sf_dir):
 def filter_nonprojected(spark, sf_dir):
     rows = where(read_parquet(spark, table_path(sf_dir, "orders")), [("o_totalprice", "gte", "250000")])
     return project_existing(rows, ["o_orderkey", "o_custkey"])
+
+
+@query(
+    "folder_xml",
+    "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS \"Name\", CASE WHEN c_nationkey < 10 THEN c_mktsegment END AS \"Segment\", "
+    "CASE WHEN c_nationkey >= 10 THEN CAST(c_nationkey AS VARCHAR) END AS \"Nation\", "
+    "CASE WHEN c_nationkey < 10 THEN 'low' ELSE 'high' END AS project_file FROM customer",
+)
+def folder_xml(spark, sf_dir):
+    """A folder of two XML tables whose records differ in their columns."""
+    root = scratch_path(spark, "folder")
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("@id"), F.col("c_name").alias("Name"), "c_mktsegment", "c_nationkey")
+    low = customer.filter("c_nationkey < 10").select("@id", "Name", F.col("c_mktsegment").alias("Segment"))
+    high = customer.filter("c_nationkey >= 10").select("@id", "Name", F.col("c_nationkey").alias("Nation"))
+    for name, rows in (("low", low), ("high", high)):
+        rows.write.xml(f"{root}/{name}.xml", rootTag="Customers", rowTag="Customer", attributePrefix="@")
+    return read_folder(spark, root, "xml", record="customer").select("id", "Name", "Segment", "Nation", "project_file")

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from lakelens.functions.predicates import where
 from lakelens.lake import Lake
-from lakelens.operators.catalog import append_entries, load_catalog, parsed_entries, search, upsert
-from lakelens.operators.csv_check import bad_records
-from lakelens.operators.json_rows import infer_json_types
+from lakelens.operators.catalog import append_entries, load_catalog, parsed_entries, read_catalog_csv, search, upsert, write_catalog_csv
+from lakelens.operators.csv_check import bad_records, check_csv_files
+from lakelens.operators.json_rows import infer_json_types, json_rows_to_table
 from lakelens.operators.paths import normalized_path
 from lakelens.operators.payload import check_payloads
-from lakelens.operators.profile import keyword_compare, profile_nulls
+from lakelens.operators.profile import SKETCH_ERROR, distinct_sketches, keyword_compare, merged_distinct, profile_nulls, sample_rows
 from lakelens.registry.base import plain, query, table
 from lakelens.session import scratch_path
 from lakelens.sources.csv import read_csv
@@ -319,3 +319,80 @@ def keyword(spark, sf_dir):
     )
     years = list(range(1995, 2002))
     return plain(keyword_compare(items.join(part, "l_partkey"), "p_name", "widget", "p_brand", "year", "price", years))
+
+
+@query(
+    "json_raw_values",
+    "SELECT doc_id AS id, CASE doc_id % 4 WHEN 0 THEN '[' || doc_id || ', ' || n_chars || ' ]' WHEN 1 THEN '{\"k\" : \"}\\\"' || lang || '\", \"v\":[1.0]}' "
+    "WHEN 2 THEN n_chars || 'e2' ELSE 'a\"b ' || lang END AS mark, CASE WHEN doc_id % 3 = 0 THEN '-0.50' ELSE lang END AS other FROM documents",
+)
+def json_raw_values(spark, sf_dir):
+    kind = F.col("doc_id") % 4
+    mark = (
+        F.when(kind == 0, F.format_string("[%s, %s ]", "doc_id", "n_chars"))
+        .when(kind == 1, F.format_string('{"k" : "}\\"%s", "v":[1.0]}', "lang"))
+        .when(kind == 2, F.format_string("%se2", "n_chars"))
+        .otherwise(F.format_string('"a\\"b %s"', "lang"))
+    )
+    other = F.when(F.col("doc_id") % 3 == 0, F.lit("-0.50")).otherwise(F.format_string('"%s"', "lang"))
+    json = F.format_string('{ "id":%s , "mark" : %s, "other":%s}', "doc_id", mark, other)
+    return json_rows_to_table(table(spark, sf_dir, "documents").select(json.alias("json")), "json").select("id", "mark", "other")
+
+
+@query(
+    "csv_files_check",
+    "SELECT count(*) AS bad_records, CAST(2 AS INTEGER) AS expected, CAST(3 AS INTEGER) AS n_fields FROM lineitem WHERE l_partkey % 7 = 0",
+)
+def csv_files_check(spark, sf_dir):
+    """Written files, each with its header as the first record."""
+    path = scratch_path(spark, "csv")
+    items = table(spark, sf_dir, "lineitem").repartitionByRange(4, "l_orderkey")
+    value = F.concat("l_returnflag", F.when(F.col("l_partkey") % 7 == 0, F.lit(",extra")).otherwise(F.lit("")))
+    items.select("l_orderkey", value.alias("flag")).write.csv(path, header=True, quote="\u0000")
+    found = check_csv_files(spark, path)
+    return found.agg(F.sum("bad_records").alias("bad_records"), F.min("expected").alias("expected"), F.max("n_fields").alias("n_fields"))
+
+
+@query(
+    "catalog_index_file",
+    "SELECT 'docs/' || doc_id || '.txt' AS path, doc_id || ' \"' || lang || '\", a' || chr(10) || 'b' AS name, lang AS format, n_chars AS \"sizeBytes\", "
+    "TIMESTAMP '2024-05-06 07:08:09.25' AS \"savedAt\", CASE WHEN doc_id % 2 = 0 THEN 'even; , ' || lang END AS description FROM documents WHERE lang = 'en'",
+)
+def catalog_index_file(spark, sf_dir):
+    """A catalogue written as an index file, read back and searched."""
+    entries = table(spark, sf_dir, "documents").select(
+        F.format_string("docs/%s.txt", "doc_id").alias("path"),
+        F.format_string('%s "%s", a\nb', "doc_id", "lang").alias("name"),
+        F.col("lang").alias("format"),
+        F.col("n_chars").alias("sizeBytes"),
+        F.to_timestamp(F.lit("2024-05-06 07:08:09.25")).alias("savedAt"),
+        F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("even; , "), "lang")).alias("description"),
+    )
+    path = scratch_path(spark, "index")
+    write_catalog_csv(entries, path)
+    return search(read_catalog_csv(spark, path), '"EN", A', ".en").withColumn("savedAt", F.col("savedAt").cast("timestamp_ntz"))
+
+
+@query(
+    "profile_samples",
+    "SELECT doc_id, lang, source, n_chars FROM documents ORDER BY md5(concat_ws(chr(1), doc_id, lang)), doc_id LIMIT 50",
+)
+def profile_samples(spark, sf_dir):
+    return sample_rows(table(spark, sf_dir, "documents"), 50, ["doc_id", "lang"]).select("doc_id", "lang", "source", "n_chars")
+
+
+@query(
+    "profile_distinct",
+    "SELECT 'doc_id' AS \"column\", count(DISTINCT doc_id) AS exact, true AS within FROM documents UNION ALL "
+    "SELECT 'lang', count(DISTINCT lang), true FROM documents UNION ALL SELECT 'source', count(DISTINCT source), true FROM documents UNION ALL "
+    "SELECT 'text', count(DISTINCT text), true FROM documents UNION ALL SELECT 'n_chars', count(DISTINCT n_chars), true FROM documents",
+)
+def profile_distinct(spark, sf_dir):
+    """Sketches per language, merged over all languages, against exact counts: within five standard errors."""
+    documents = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "lang", "source", "text", "n_chars"]
+    estimated = merged_distinct(distinct_sketches(documents, columns, ["lang"]).withColumnRenamed("lang", "part"))
+    cells = [F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("cell")) for name in columns]
+    exact = documents.select(F.inline(F.array(*cells))).groupBy("column").agg(F.count_distinct("cell").alias("exact"))
+    close = F.abs(F.col("distinct") - F.col("exact")) <= 5 * SKETCH_ERROR * F.col("exact") + 1
+    return exact.join(estimated, "column").select("column", "exact", close.alias("within"))

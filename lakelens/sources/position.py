@@ -42,3 +42,9 @@ def user_columns(df: DataFrame) -> list[str]:
 def input_files(df: DataFrame) -> list[str]:
     """Sorted input files, spelled as the scan metadata spells them; known from the listing, unread."""
     return sorted(re.sub(r"^(\w+):///", r"\1:/", name) for name in df.inputFiles())
+
+
+def whole_scan(df: DataFrame) -> bool:
+    """Whether the rows are all those of a scan: nothing but projections stands above it."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    return all(re.match(r"[\s:+|-]*(Project|Relation|SubqueryAlias)\b", line) for line in plan.splitlines() if line.strip())

@@ -24,7 +24,7 @@ from lakelens.sources.position import BLOCK, FILE, LINE, input_files, with_split
 from lakelens.sources import xml_records
 from lakelens.sources.xml_records import XmlRecord, iter_records, root_tag
 from lakelens.sources.xml_split import even_records, files_to_keep_whole, split_records, uneven_files
-from lakelens.sources.xml_text import cell_text, decoded, shielded
+from lakelens.sources.xml_text import BREAK, cell_text, decoded, shielded
 
 # Executors need not have this package installed: the record reader travels with the job.
 cloudpickle.register_pickle_by_value(xml_records)
@@ -33,6 +33,8 @@ HEAD_TAGS = 4_096
 ATTRIBUTE = "@"
 PIECE_BYTES = 1 << 20
 BATCH_RECORDS = 10_000
+# The parser's name for text beside child elements.
+VALUE_TAG = "_VALUE"
 XML_SCHEMA = "name string, is_attribute boolean"
 
 
@@ -151,6 +153,47 @@ def _whole_rows(
     return files.join(whole, FILE, "left_semi").mapInPandas(rows_of, schema)
 
 
+def _all_records(spark: SparkSession, path: str | list[str], record: str | None, tag: str) -> tuple[DataFrame, DataFrame | None]:
+    """The records of all files that can be cut, and the names of those that cannot."""
+    uneven = uneven_files(spark, path, tag)
+    if uneven.isEmpty():
+        return even_records(spark, path, tag, None), None
+    whole = files_to_keep_whole(spark, path, uneven)
+    split = split_records(spark, path, uneven, whole)
+    if record is not None:
+        split = split.filter(F.upper("tag") == record.upper())
+    return even_records(spark, path, tag, uneven).unionByName(split), whole
+
+
+def xml_columns(spark: SparkSession, path: str | list[str], record: str | None = None) -> list[str]:
+    """Columns of the first record of every file: those of the first file in its order, then others by name.
+
+    One record per file is looked at; names that differ by case are one column.
+    """
+    head = _first_records(spark, path, record)
+    if not head:
+        return []
+    records, whole = _all_records(spark, path, record, head[0].name)
+    first = records.groupBy(FILE).agg(F.min_by("record", F.struct(BLOCK, LINE)).alias("record"))
+    cells = first.select(F.from_xml(shielded(F.col("record")), "variant", OPTIONS).alias("cells"))
+    keys = cells.lateralJoin(spark.tvf.variant_explode(F.col("cells").outer())).select(F.ltrim("key", F.lit(ATTRIBUTE)).alias("name"))
+    if whole is not None:
+
+        def names_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for content in batch["content"]:
+                    pieces = (content[i : i + PIECE_BYTES] for i in range(0, len(content), PIECE_BYTES))
+                    for found in islice(iter_records(pieces, record), 1):
+                        yield pd.DataFrame({"name": [name for name, _ in found.columns()]})
+
+        files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias(FILE), "content")
+        keys = keys.unionByName(files.join(whole, FILE, "left_semi").select("content").mapInPandas(names_of, "name string"))
+    known = [name for name, _ in head[0].columns()]
+    others = keys.filter(F.col("name") != VALUE_TAG).groupBy(F.upper("name").alias("folded")).agg(F.min("name").alias("name")).orderBy("folded")
+    upper = {name.upper() for name in known}
+    return known + [row["name"] for row in others.collect() if row["folded"] not in upper and row["name"] != BREAK[1:-2]]
+
+
 def read_xml(
     spark: SparkSession,
     path: str | list[str],
@@ -170,16 +213,10 @@ def read_xml(
     known = [name for name, _ in head[0].columns()]
     upper = {name.upper() for name in known}
     names = known + [name for name in dict.fromkeys(columns or []) if name.upper() not in upper]
-    tag = head[0].name
-    uneven = uneven_files(spark, path, tag)
-    all_even = uneven.isEmpty()
-    rows = _split_rows(even_records(spark, path, tag, None if all_even else uneven), names)
-    if not all_even:
-        whole = files_to_keep_whole(spark, path, uneven)
-        records = split_records(spark, path, uneven, whole)
-        if record is not None:
-            records = records.filter(F.upper("tag") == record.upper())
-        rows = rows.unionByName(_split_rows(records, names)).unionByName(_whole_rows(spark, path, record, names, whole))
+    records, whole = _all_records(spark, path, record, head[0].name)
+    rows = _split_rows(records, names)
+    if whole is not None:
+        rows = rows.unionByName(_whole_rows(spark, path, record, names, whole))
     where(rows.select(*known), filters)
     rows = where(rows, filters)
     kept = columns or known

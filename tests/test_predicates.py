@@ -4,6 +4,7 @@ text-cell comparator with a plain Python model of the documented rules."""
 from __future__ import annotations
 
 import datetime as dt
+import operator
 import random
 import re
 from decimal import Decimal, localcontext
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.functions.instants import parse_instant
-from lakelens.functions.numbers import parse_number
+from lakelens.functions.numbers import MAX_MAGNITUDE, compare_number, parse_number
 from lakelens.functions.predicates import (
     FilterCondition,
     build_predicate,
@@ -235,3 +236,35 @@ def test_text_of_times_in_another_zone(spark):
         assert ids(df, ("n", "startswith", "03/10/2024 02:30"), ("n", "gt", "2024-03-10 02:29")) == [1]
     finally:
         spark.conf.set("spark.sql.session.timeZone", previous)
+
+
+def _long_number(rng):
+    whole = "".join(rng.choice("0123456789") for _ in range(rng.choice([1, 2, 5, 20, 27, 29])))
+    part = "".join(rng.choice("0123456789") for _ in range(rng.choice([0, 1, 3, 15, 16, 30, 60])))
+    exponent = rng.choice(["", "", "", "e0", "e-3", "E+5", "e-40", "e20"])
+    return rng.choice(["", "-", "+", ""]) + whole + ("." + part if part else "") + exponent
+
+
+def test_numbers_of_any_length(spark):
+    """Order and equality against exact decimals, past 28 digits and up to the largest magnitude."""
+    rng = random.Random(2)
+    edge = str(MAX_MAGNITUDE)
+    cells = [_long_number(rng) for _ in range(300)] + ["0", "-0", "0.000", "0e99", "1,000", "5-", " 7 ", ".5", "abc", "", None]
+    cells += [edge, edge + ".000", edge[:-1] + "4.99999999999", edge[:-1] + "6", "-" + edge, "1e-30", "-1e-30", "1e99999999999999999999"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    values = ["0", "12345.678", edge[:-1] + "4.9999999", "-0." + "0" * 33 + "1", "9" * 20, *[c for c in rng.sample(cells[:300], 8)]]
+    for number in filter(None, map(parse_number, values)):
+        found = df.select("c", *[compare_number(F.col("c"), number, f).alias(f.__name__) for f in (operator.lt, operator.eq, operator.ge)]).collect()
+        for row in found:
+            cell = None if row["c"] is None or "e99999" in row["c"] else parse_number(row["c"])
+            assert tuple(row)[1:] == ((None,) * 3 if cell is None else (cell < number, cell == number, cell >= number)), (row, number)
+
+
+def test_order_beyond_the_basic_plane(spark):
+    rng = random.Random(3)
+    cells = ["".join(rng.choice("aZ_￮\U0001f600\U00010000é漢") for _ in range(rng.randrange(4))) for _ in range(300)]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    for value in ("\U0001f600", "￮", "a", "漢", "Z\U00010000a"):
+        for op, holds in (("lt", operator.lt), ("gte", operator.ge)):
+            expected = [c for c in cells if holds(c.upper().encode("utf-16-be"), value.upper().encode("utf-16-be"))]
+            assert sorted(row["c"] for row in where(df, [("c", op, value)]).collect()) == sorted(expected)
