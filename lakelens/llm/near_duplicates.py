@@ -48,9 +48,9 @@ from lakelens.llm.shingles import FACTORS, mixed, shingle_sets, steps
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
 MOST_SHARED, MOST_MISSED = 3, 5e-6
-#: Another round of drawn pairs is made while there are more pairs than this for each member that is outside, and
-#: the last one has left less than this share of them.
-MANY_PAIRS, LEAST_GAIN = 8, 0.9
+#: Another round of drawn pairs is made while there are more pairs than this for each member, and
+#: the last one has left no more than this share of those outside.
+MANY_PAIRS, LEAST_GAIN = 16, 0.7
 FULL = np.uint64(2**64 - 1)
 
 
@@ -224,21 +224,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     sets = written(found.select("node", "text").mapInPandas(tidy(_sets), "node binary, elements binary").dropDuplicates(["node"]), "sets")
     one = written(links(first, sets, percent), "links")
 
-    all_links, roots = one, components(one)
-    before = None
+    all_links, roots, before = one, components(one), None
     while True:
         several = _several(members, roots)
-        held = several.groupBy("key").agg(F.count("*").alias("c"), F.count_if(F.col("part") != F.col("main")).alias("out"))
-        pairs, out = held.agg(F.sum(F.col("c") * F.col("out")), F.sum("out")).first()
-        if not out or pairs <= MANY_PAIRS * out or (before is not None and out > LEAST_GAIN * before):
+        able = _able(several.select("node", "n").distinct().join(sets, "node"), percent)
+        apart = written(several.join(able, "node"), "apart")
+        held = apart.groupBy("key").agg(F.count("*").alias("c"), F.count_if(F.col("part") != F.col("main")).alias("out"))
+        pairs, out, all_held = held.agg(F.sum(F.col("c") * F.col("out")), F.sum("out"), F.sum("c")).first()
+        if not out or pairs <= MANY_PAIRS * all_held or (before is not None and out > LEAST_GAIN * before):
             break
-        tried = written(_drawn(several, percent, 0 if before is None else out).join(first, ["a", "b"], "left_anti"), "pairs")
+        tried = written(_drawn(apart, percent, 0 if before is None else out).join(first, ["a", "b"], "left_anti"), "pairs")
         first = first.unionByName(tried)
         all_links = all_links.unionByName(written(links(tried, sets, percent), "links"))
         stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots, before = components(stars.unionByName(all_links)), out
-    able = _able(several.select("node", "n").distinct().join(sets, "node"), percent)
-    apart = written(several.join(able, "node").join(nodes.select("node", "keys"), "node"), "apart")
+    apart = apart.join(nodes.select("node", "keys"), "node")
     outside = apart.where("part <> main").select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "part", "keys", "common")])
     joint = F.array_intersect("keys", "o_keys")
     second = written(

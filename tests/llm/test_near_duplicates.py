@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from lakelens.llm import near_duplicates as operator
 from lakelens.llm.components import components
 from lakelens.llm.near_duplicates import SIZE, least_shared, missed, near_duplicates, sketches
 from lakelens.llm.shingles import shingle_sets
@@ -137,3 +138,31 @@ def test_pairs_between_the_bounds(spark):
     assert {r["doc_id"] for r in corpus_pipeline.remove_near_duplicates(spark, docs, "").collect()} == {2 * i for i in range(40)}
     assert all(r["kept"] for r in near_duplicates(docs, percent=85).collect())
     assert missed(85, least_shared(85)) < 5e-6 and missed(80, least_shared(80)) < 5e-6 and least_shared(85) == 3
+
+
+def forms(n, seed):
+    """One form of 300 words with five slots of 60 values: two of them are linked if they share a value at least."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = [f"t{j}" for j in range(300)]
+        for slot in range(5):
+            words[30 + 55 * slot] = f"slot{slot}v{rng.randrange(60)}"
+        rows.append((i, " ".join(words), "x"))
+    return rows
+
+
+def test_forms(spark, monkeypatch):
+    """Equal to all pairs, with pairs that grow as the documents do."""
+    counts = []
+    compare = operator.links
+    monkeypatch.setattr(operator, "links", lambda pairs, sets, percent: (counts.append(pairs.count()), compare(pairs, sets, percent))[1])
+    made = {}
+    for n in (250, 1000):
+        counts.clear()
+        rows = forms(n, n)
+        found = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+        made[n] = sum(counts)
+        if n == 250:
+            assert [found[i] for i in range(n)] == groups(rows)[0]
+    assert made[1000] < 8 * made[250] + 1000

@@ -18,7 +18,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def test_registered():
     names = set(entry_module.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

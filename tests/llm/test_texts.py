@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from lakelens.llm import secret_spans, toxicity
-from lakelens.llm.decontamination import contaminated
+from lakelens.llm.decontamination import Canonical, contaminated
 from lakelens.llm.licence_scan import TEMPLATES, Scanner, scan_licences
 
 DOCS = "doc_id long, text string, spans string, item_id string"
@@ -262,3 +263,76 @@ def test_secrets_ordinary_runs_of_all_documents():
     name = "my_variable_name"
     assert ordinary(f"{name} = 1") == ordinary(f"{name} = 1\ntoken=abcdef12") == len(name) - 1
     assert ordinary(f"x token=abcdef12 {name} password: hunter22 {name}") == 2 * (len(name) - 1)
+
+
+def test_licences_with_repeats():
+    """Repeated words outside the templates and within them, any length, against all passages."""
+    rng = random.Random(5)
+    template = [f"t{i}" for i in range(40)]
+    for more in (["foo"] * 25, ["xx", "yy"] * 30, ["xx"] * 400):
+        text = template[:20] + more + template[20:]
+        assert [p[1] for p in Scanner([("L", " ".join(template))]).scan([" ".join(text)])[0]] == [pytest.approx(_best_passage(template, text))]
+    found = 0
+    for _ in range(300):
+        words = [f"v{i}" for i in range(rng.choice([3, 6, 20]))]
+        templates = [[rng.choice(words + [f"u{i}" for i in range(30)]) for _ in range(rng.randint(4, 30))] for _ in range(2)]
+        text = []
+        while len(text) < rng.randint(5, 90):
+            kind, template = rng.random(), rng.choice(templates)
+            at = rng.randrange(len(template))
+            text += template[at : at + rng.randint(1, 20)] if kind < 0.5 else [rng.choice(["zz", "yy", "foo"])] * rng.randint(1, 8) if kind < 0.8 else [rng.choice(words)]
+        for name, template in zip("AB", templates):
+            passages = Scanner([(name, " ".join(template))]).scan([" ".join(text)])[0]
+            best = _best_passage(template, text)
+            assert (max((p[1] for p in passages), default=0) >= 0.8) == (best >= 0.8 - 1e-12)
+            found += len(passages)
+        both = Scanner([(n, " ".join(t)) for n, t in zip("AB", templates)]).scan([" ".join(text)])[0]
+        assert all(a[3] <= b[2] for a, b in zip(both, both[1:]))
+    assert found > 100
+
+
+def _best_passage(template, text):
+    own, best = set(zip(template, template[1:])), 0.0
+    for a in range(len(text)):
+        seen = set()
+        for pair in zip(text[a:], text[a + 1 :]):
+            seen.add(pair)
+            best = max(best, 2 * len(seen & own) / (len(seen) + len(own))) if pair in own else best
+    return best
+
+
+SHORT_ITEMS = [
+    ("What is 12 times 7?", "What is 13 times 8?"),
+    ("Tom has 3 red apples", "Bob has 5 red apples"),
+    ("Solve 4 plus 9 now", "Solve 5 plus 2 now"),
+    ("Anna buys 12 pens for 3 dollars each", "Bob buys 7 pens for 9 dollars each"),
+    ("Maria sold 14 cups of tea on Monday", "Peter sold 20 cups of tea on Friday"),
+]
+
+
+def test_short_items_with_other_numbers(spark):
+    docs = []
+    for i, (item, other) in enumerate(SHORT_ITEMS):
+        docs += [(10 * i, f"Some words before it. {other.rstrip('?')}. And after that more."), (10 * i + 1, other), (10 * i + 2, f"aa bb {item} cc dd")]
+    docs += [(900, "He has 3 red cars and 5 apples. What is this? Solve it now. On Monday we sold 3 cups."), (901, "Bob has red apples"), (902, "Bob has 5 green pears.")]
+    items = spark.createDataFrame([(i, item) for i, (item, _) in enumerate(SHORT_ITEMS)], "item_id long, text string")
+    found = contaminated(frame(spark, docs), items).collect()
+    assert sorted((r["item_id"], r["doc_id"]) for r in found) == [(i, 10 * i + j) for i in range(5) for j in range(3)]
+
+
+def test_words_of_a_column_as_one_by_one():
+    """Numbers, units, names and sentence ends; the same words in any company."""
+    text = "Anna paid 3 dollars (about 2.50€) to Bob Smith. Then 5km away, ÉMILE met Él and A. 'Quoted.' end"
+    form = Canonical([text, "", "Anna"])
+    kinds = "".join("w#un"[k] for k in form.kind.tolist())
+    assert [form.cores[i] for i in form.word.tolist()][:6] == ["anna", "paid", "3", "dollars", "about", "2.50€"]
+    assert kinds[:9] == "ww#uwwwnn" and form.maybe.tolist()[0] and form.bounds.tolist()[-2:] == [len(kinds) - 1, len(kinds)]
+    assert kinds[9:11] == "w#" and not form.maybe.tolist()[11]
+
+
+def test_one_label_on_many_rows(spark):
+    """A labelled id on many rows gives one text to learn from."""
+    rows = [(1, f"text number {i} of one id") for i in range(3000)] + [(i, f"other text {i}") for i in range(2, 60)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 1)) for i in range(1, 60)], "doc_id long, toxic int")
+    sample, labelled = toxicity._sample(frame(spark, rows), labels, "doc_id", "text", "toxic")
+    assert sample.count() == sum(labelled.values()) == sum(1 for i in range(1, 60) if zlib.crc32(str(i).encode()) % 5)
