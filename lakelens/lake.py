@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from lakelens.operators import catalog
-from lakelens.operators.paging import Page, clamp_rows, page
+from lakelens.operators.paging import Page, Walk, clamp_rows, page
 from lakelens.operators.project import project_existing, project_requested
 from lakelens.sinks import tables
 from lakelens.sinks.tables import INDEX_PATH, lake_path
@@ -96,6 +96,13 @@ class Lake:
         rows = read_xml(self.spark, self._at(path), record, columns, filters, position=True)
         return page(rows, None, max_rows, offset, None, project_requested)
 
+    def walk(self, path: str, format: str = "csv", filters: Iterable | None = None, **read) -> Walk:
+        """All pages of a file or folder (csv, parquet, txt, md, xml), its matches counted once; `read` goes to the reader."""
+        readers = {"csv": read_csv, "parquet": read_parquet, "txt": read_text, "md": read_text, "xml": read_xml}
+        if format not in readers:
+            raise ValueError(f"Format '{format}' has no pages. Allowed: {', '.join(readers)}.")
+        return Walk(readers[format](self.spark, self._at(path), position=True, **read), filters)
+
     def save_text(self, path: str, content: DataFrame | str, **options) -> DataFrame:
         return tables.save_text(self.spark, content, self.root, path, index_path=self.index_path, **options)
 

@@ -259,3 +259,20 @@ def test_columns_alike_but_for_case(spark, tmp_path):
     rows = json_frame(spark, '{"tank":1,"Tank":2}')
     with pytest.raises(ValueError, match="tank"):
         Lake(spark, str(tmp_path)).save_parquet("t.parquet", rows, json_column="j")
+
+
+def test_raw_json_values(spark):
+    """Values other than strings in text columns stay as they are written, blanks, escapes and exponents included."""
+    rows = [
+        '{"a": [1, 2], "b": 1e2, "c": "x\\u0041", "d": {"k" : "}\\"", "z":[ {"q":1.0} ]}, "n": 5}',
+        '  {"b":"t,{", "a" : null, "c":"q", "d":true,"n":6 , "e\\u0061":{"x" :  1}}',
+        '{"a":"s","b": -0.50 , "c":null,"n":7, "ea": "\\"v"}',
+        '{"n":1}',
+    ]
+    df = spark.createDataFrame([(row,) for row in rows], "j string").coalesce(1)
+    assert [row.asDict() for row in json_rows_to_table(df, "j").collect()] == [
+        {"a": "[1, 2]", "b": "1e2", "c": "xA", "d": '{"k" : "}\\"", "z":[ {"q":1.0} ]}', "n": 5, "ea": None},
+        {"a": None, "b": "t,{", "c": "q", "d": "true", "n": 6, "ea": '{"x" :  1}'},
+        {"a": "s", "b": "-0.50", "c": None, "d": None, "n": 7, "ea": '"v'},
+        {"a": None, "b": None, "c": None, "d": None, "n": 1, "ea": None},
+    ]

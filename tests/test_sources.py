@@ -6,12 +6,13 @@ import csv
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakelens.operators.csv_check import check_csv_files
-from lakelens.operators.paging import _within_files, page, page_after, page_flags, page_frame
+from lakelens.operators.paging import Walk, _within_files, page, page_after, page_flags, page_frame
 from lakelens.operators.project import project_existing, project_requested
 from lakelens.plans.model import read_folder
-from lakelens.sources import xml
+from lakelens.sources import xml, xml_split
 from lakelens.sources.csv import read_csv
 from lakelens.sources.files import list_directory
 from lakelens.sources.parquet import parquet_schema, read_parquet
@@ -469,3 +470,88 @@ def test_folder_reads_only_chosen_files(spark, lake_file):
     assert rows.columns == ["k", "v", "project_file"] and [tuple(r) for r in rows.collect()] == [("5", "6", "b")]
     assert len(rows.inputFiles()) == 1
     assert read_folder(spark, folder, files=["zzz"]).count() == 0
+
+
+CELLS = (
+    "<r><k a='1 &lt; &amp;amp; \"2\"'><K>x<i>y</i>z &lt;b&gt; w &lt;c d</K><L><![CDATA[ <b>&amp; ]]> <i q=\"a>b\">t</i> <!-- c --> u</L>"
+    "<M>&#32;</M><N> <i/> </N><O>a &gt; b > <u>c</u></O><P><![CDATA[<a>]]></P></k><k><K/><P>&#x41;&quot;]]&gt;</P></k></r>"
+)
+
+
+@pytest.mark.parametrize("before", ["<r>", "<r><z/>", "<r><!-- <x> -->"])
+def test_xml_cell_text(spark, lake_file, before):
+    """Escaped markup, sections, comments and inner tags, by each of the three ways a file is read."""
+    path = lake_file("cells.xml", CELLS.replace("<r>", before))
+    rows = xml_page(spark, path, record="k", columns=["a", "K", "L", "M", "N", "O", "P"]).rows
+    assert tuple(rows[0]) == ('1 < &amp; "2"', "xyz <b> w <c d", " <b>&amp; t u", "", "", "a > b > c", "<a>")
+    assert tuple(rows[1]) == (None, "", None, None, None, None, 'A"]]>')
+
+
+def test_xml_even_files(spark, lake_file):
+    """Which files are cut at their end tags, and that small splits and a missing piece change nothing."""
+    record = "<P n='1'><k>1</k></P>"
+    even = [f"<r>{record * 3}</r>", f'<?xml version="1.0"?>\n<!-- x -->\n<r a="b>"> {record} \n{record}</r>\n', f"<r>{record}<P n='2'><!-- y --><k><![CDATA[z]]></k></P></r>"]
+    uneven = ["<r/>", "<r></r>", f"<r>{record}<Q/></r>", f"<r><Q>{record}</Q></r>", f"<r>{record}<p n='2'/></r>", f"<r>{record}<P n='2'/></r>", f"<P>{record}</P>"]
+    uneven += [f"<r><P><P/></P>{record}</r>", f"<r>{record}<!-- </P><P> --></r>", f"<r>{record}<P><k>2</k>", f"<r>{record}</r><r>{record}</r>"]
+    for i, text in enumerate([*even, *uneven]):
+        lake_file(f"{i:02d}.xml", text, "shapes")
+    folder = lake_file("zz.xml", even[0], "shapes").rsplit("/", 1)[0]
+    found = sorted(row[0].rsplit("/", 1)[1] for row in xml_split.uneven_files(spark, folder, "P").collect())
+    assert found == [f"{i:02d}.xml" for i in range(len(even), len(even) + len(uneven))]
+    many = lake_file("many.xml", "<r>" + "".join(f"<P n='{i}'><k>é{i}</k></P>" for i in range(500)) + "</r>")
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "701")
+    try:
+        assert [tuple(row) for row in xml_page(spark, many, max_rows=1000).rows] == [(str(i), f"é{i}") for i in range(500)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+
+
+def test_xml_folder(spark, lake_file):
+    lake_file("a.xml", "<r><P n='1'><k>1</k></P><P n='2'><later>x</later></P></r>", "xmls")
+    lake_file("b.xml", "<r><!-- <x> --><p M='3'><K>2</K><z>q</z></p></r>", "xmls")
+    folder = lake_file("c.xml", "<r><Q/><P><l>&lt;</l></P></r>", "xmls").rsplit("/", 1)[0]
+    rows = read_folder(spark, folder, "xml", record="p")
+    assert rows.columns == ["n", "k", "l", "M", "z", "project_file"]
+    assert sorted((tuple(r) for r in rows.collect()), key=str) == sorted(
+        [("1", "1", None, None, None, "a"), ("2", None, None, None, None, "a"), (None, "2", None, "3", "q", "b"), (None, None, "<", None, None, "c")], key=str
+    )
+
+
+def test_opening_csv_starts_no_scan(spark, lake_file):
+    """Only the first record is looked at; a file with long records is found while the plan runs."""
+    lake_file("a.csv", "k,v\n" + "1,x\n" * 50, "lazy")
+    folder = lake_file("b.csv", 'k,v\n2,"x\ny"\n', "lazy").rsplit("/", 1)[0]
+    rows = read_csv(spark, folder)
+    lake_file("b.csv", 'k,v\n2,"x\ny\nz"\n', "lazy")
+    spark.catalog.refreshByPath(folder)
+    assert sorted({tuple(r) for r in rows.collect()}) == [("1", "x"), ("2", "x\ny\nz")]
+    plain = lake_file("p.csv", "k,v\n1,x\n2,y\n")
+    lines = read_csv(spark, plain)
+    assert lines.count() == 2 and "CartesianProduct" not in lines._jdf.queryExecution().toString()
+
+
+def test_walk(spark, tmp_path):
+    """All pages of a CSV, a text and a Parquet folder, filtered, forwards and at any offset, against the whole."""
+    rows = [(i, f"w{i % 7}") for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, word string").repartitionByRange(5, "id").sortWithinPartitions("id")
+    df.write.csv(str(tmp_path / "c"), header=True)
+    df.select(F.concat_ws(",", "id", "word").alias("value")).write.text(str(tmp_path / "t"))
+    df.write.parquet(str(tmp_path / "p"))
+    wanted = [i for i, word in rows if word in ("w1", "w3", "w5")]
+    scans = {
+        "c": (read_csv(spark, str(tmp_path / "c"), position=True), lambda r: int(r["id"])),
+        "t": (read_text(spark, str(tmp_path / "t"), position=True), lambda r: int(r["value"].split(",")[0])),
+        "p": (read_parquet(spark, str(tmp_path / "p"), position=True), lambda r: r["id"]),
+    }
+    for name, (scan, key) in scans.items():
+        odd = scan.filter(F.col("value" if name == "t" else "word").rlike("w[135]$"))
+        walk = Walk(odd)
+        assert walk.total() == len(wanted)
+        pages = list(walk.pages(100))
+        assert [key(r) for page_ in pages for r in page_.rows] == wanted and [p.next_offset for p in pages][:-1] == [100, 200, 300][: len(pages) - 1]
+        assert [key(r) for r in walk.page(250, 30).rows] == wanted[250:280] and walk.page(10_000).rows == []
+    parquet = scans["p"][0]
+    for offset in (0, 177, 180, 500, 899, 900):
+        assert [r["id"] for r in page(parquet, None, 120, offset).rows] == list(range(offset, min(900, offset + 120)))
+    assert [r["id"] for r in page(parquet.filter("id % 2 = 0"), None, 10, 100).rows] == list(range(200, 220, 2))
