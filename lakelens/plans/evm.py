@@ -24,21 +24,17 @@ def _daily_amounts(model: CostModel) -> DataFrame:
 def evm(model: CostModel) -> DataFrame:
     """PV, AC and EV up to the cutoff, BAC over all time, and CPI, SPI, EAC, VAC for every project.
 
-    The amounts meet the cutoff dates, the small right side, after being summed per project and date; the sums
-    then join the projects. A project without a cutoff has NULL everywhere but in BAC. VAC is EAC - BAC, so
-    above zero the project overruns.
+    The amounts meet the cutoff dates once, after being summed per project and date. A project without a cutoff has
+    NULL everywhere but in BAC. VAC is EAC - BAC, so above zero the project overruns.
     """
     projects = model.projects.select(PROJECT, CUTOFF).distinct()
-    dated = _daily_amounts(model).join(projects, PROJECT)
     due = F.col("Date") <= F.col(CUTOFF)
-    sums = dated.groupBy(F.col(PROJECT).alias("_project"), F.col(CUTOFF).alias("_cutoff")).agg(
+    whole = projects.join(_daily_amounts(model), PROJECT, "left").groupBy(PROJECT, CUTOFF).agg(
         F.sum("planned").alias("bac"),
         F.sum(F.when(due, F.col("planned"))).alias("pv"),
         F.sum(F.when(due, F.col("actual"))).alias("ac"),
         F.sum(F.when(due, F.col("earned"))).alias("ev"),
     )
-    same = (F.col(PROJECT) == F.col("_project")) & F.col(CUTOFF).eqNullSafe(F.col("_cutoff"))
-    whole = projects.join(sums, same, "left").drop("_project", "_cutoff")
     estimated = whole.withColumn("eac", F.col("ac") + (F.col("bac") - F.col("ev")))
     return estimated.withColumns(
         {"cpi": ratio("ev", "ac"), "spi": ratio("ev", "pv"), "vac": F.col("eac") - F.col("bac")}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakelens.functions.predicates import where
+from lakelens.functions.text import cell_text
 from lakelens.operators.project import project_existing
 from lakelens.registry.base import query, table
 
@@ -105,3 +106,20 @@ def filter_dynamic_numeric(spark, sf_dir):
     )
     mixed = table(spark, sf_dir, "orders").select("o_orderkey", cell.alias("cell"))
     return where(mixed, [("cell", "gt", "1e2")])
+
+
+@query(
+    "cell_text_types",
+    "SELECT l_orderkey, l_linenumber, regexp_replace(CAST(l_extendedprice AS VARCHAR), '\\.0$', '') AS price, "
+    "CASE WHEN l_quantity / 1000000 >= 0.0001 THEN 'plain' ELSE regexp_replace(replace(CAST(l_quantity / 1000000 AS VARCHAR), '.0e', 'e'), 'e', 'E') END AS small, "
+    "strftime(l_shipdate, '%m/%d/%Y %H:%M:%S') AS shipped, CAST(l_discount > 0.05 AS VARCHAR) AS cheap FROM lineitem",
+)
+def cell_text_types(spark, sf_dir):
+    """Reals, plain and with an exponent, timestamps and booleans as the text that filters compare."""
+    rows = table(spark, sf_dir, "lineitem").withColumn("cheap", F.col("l_discount") > 0.05).withColumn("small", F.col("l_quantity") / 1000000)
+    types = {field.name: field.dataType for field in rows.schema.fields}
+    text = lambda name: cell_text(F.col(name), types[name])
+    small = F.when(F.col("small") >= 0.0001, F.lit("plain")).otherwise(text("small"))
+    return rows.select(
+        "l_orderkey", "l_linenumber", text("l_extendedprice").alias("price"), small.alias("small"), text("l_shipdate").alias("shipped"), text("cheap").alias("cheap")
+    )
