@@ -54,3 +54,14 @@ def test_run(spark):
 def test_empty(spark, stage):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     assert stage(spark, docs, SF).count() == 0
+
+
+def test_clashing_columns(spark):
+    """Columns named like the stages' own stay, in every spelling, with all their values."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    extra = {name: F.concat(F.lit(f"{name}-"), F.col("doc_id")) for name in ("row_hash", "ROW", "its_row", "its_doc_id", "copies", "copy", "__row", "chosen")}
+    given = written(docs.withColumns(extra), "given")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        given = written(stage(spark, given, SF), name)
+        assert given.columns == [*docs.columns, *extra]
+        assert given.where(" OR ".join(f"`{c}` <> concat('{c}-', doc_id)" for c in extra)).isEmpty() and not given.isEmpty()

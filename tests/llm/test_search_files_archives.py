@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from lakelens.llm import token_files
 from lakelens.llm.elias_fano import EliasFano
 from lakelens.llm.shared import file_store
 from lakelens.llm.token_files import TokenFile, read_token_files, token_folder, write_token_files
@@ -132,3 +133,15 @@ def test_short_payloads_are_responses(spark):
     folder = archive_folder(spark)
     found = with_revisited(transactions(read_records(write_archives(pages, folder, revisit_from=5), folder))).collect()
     assert {r["capture_id"]: r["refers_to"] for r in found} == {1: None, 2: None, 3: 4, 4: None}
+
+
+def test_many_equal_rows(spark, monkeypatch):
+    """Rows of one id and one text, and empty ones without id, are dealt over several ranges; the files still follow each other."""
+    monkeypatch.setattr(token_files, "RANGE_CHARS", 2_000)
+    docs = spark.createDataFrame([(None, "")] * 500 + [(1, "same words")] * 1500 + [(2, "end")], "doc_id long, text string").repartition(6)
+    folder = token_folder(spark)
+    files = write_token_files(docs, VOCABULARY, folder)
+    assert files.count() >= 5 and files.agg(F.max("documents")).first()[0] < 1000
+    found = sorted(map(tuple, read_token_files(files, folder).collect()), key=lambda r: r[1])
+    assert [r[0] for r in found] == [None] * 500 + [1] * 1500 + [2]
+    assert [r[1] for r in found] == [sum(r[2] for r in found[:i]) for i in range(len(found))]
