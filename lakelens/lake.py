@@ -64,7 +64,7 @@ class Lake:
         filters: Iterable | None = None,
         multiline: bool | None = None,
     ) -> Page:
-        """`multiline=None` first looks through all files for records that span lines; False skips that."""
+        """`multiline=None` finds files with records that span lines while it reads; False takes every line as a record."""
         rows = read_csv(self.spark, self._at(path), delimiter, has_header, filters, multiline, position=True)
         return page(rows, None, max_rows, offset)
 
