@@ -148,7 +148,8 @@ def centroid_clusters(
                 np.add.at(sums, label, v)
                 n += np.bincount(label, minlength=len(n))
             there = np.flatnonzero(n)
-            yield pd.DataFrame({"cluster": there, "n": n[there], "sums": list(sums[there])})
+            if len(there):
+                yield pd.DataFrame({"cluster": there, "n": n[there], "sums": list(sums[there])})
 
         return summed
 

@@ -145,7 +145,8 @@ def vector_codes(
                         np.add.at(sums[p], entry, part)
                         n[p] += np.bincount(entry, minlength=len(first))
             part, entry = np.nonzero(n)
-            yield pd.DataFrame({"part": part, "entry": entry, "n": n[part, entry], "sums": list(sums[part, entry])})
+            if len(part):
+                yield pd.DataFrame({"part": part, "entry": entry, "n": n[part, entry], "sums": list(sums[part, entry])})
 
         return summed
 
