@@ -148,7 +148,27 @@ def op11_centroid_clusters(spark, sf_dir):
     return centroid_clusters(table(spark, sf_dir, "embeddings"))
 
 
-@query("op12_suffix_dedup")
+@query(
+    "op12_suffix_dedup",
+    """
+    WITH docs AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS r, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+    starts AS MATERIALIZED (
+      SELECT r, i, md5_number(substr(h, 2 * i + 1, 800)) AS m FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM docs WHERE length(h) >= 800)),
+    again AS (SELECT r, i FROM starts JOIN (SELECT m FROM starts GROUP BY m HAVING count(*) > 1) USING (m)),
+    marked AS (SELECT r, i, CASE WHEN i - lag(i) OVER w <= 400 THEN 0 ELSE 1 END AS fresh FROM again WINDOW w AS (PARTITION BY r ORDER BY i)),
+    numbered AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS s FROM marked),
+    spans AS MATERIALIZED (SELECT r, s, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY r, s),
+    pieces AS (
+      SELECT r, s, substr(h, 2 * coalesce(lag(b) OVER w, 0) + 1, 2 * (a - coalesce(lag(b) OVER w, 0))) AS kept, b, row_number() OVER (PARTITION BY r ORDER BY s DESC) AS last_first
+      FROM spans JOIN docs USING (r) WINDOW w AS (PARTITION BY r ORDER BY s)),
+    changed AS (
+      SELECT r, string_agg(kept || CASE WHEN last_first = 1 THEN substr(h, 2 * p.b + 1) ELSE '' END, '' ORDER BY s) AS kept, count(*) AS n_spans
+      FROM pieces p JOIN docs USING (r) GROUP BY r),
+    sums AS (SELECT r, sum(b - a) AS n_removed FROM spans GROUP BY r)
+    SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+    FROM docs LEFT JOIN changed USING (r) LEFT JOIN sums USING (r)
+    """,
+)
 def op12_suffix_dedup(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents"))
 
