@@ -48,9 +48,9 @@ from lakelens.llm.shingles import FACTORS, mixed, shingle_sets, steps
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
 MOST_SHARED, MOST_MISSED = 3, 5e-6
-#: Another round of drawn pairs is made while there are more pairs than this for each member, and
-#: the last one has left no more than this share of those outside.
-MANY_PAIRS, LEAST_GAIN = 16, 0.7
+#: Another round of drawn pairs is made while keys of more members than this hold more pairs than all keys have members, and
+#: the last round has left no more than this share of those outside.
+LARGE_KEY, LEAST_GAIN = 64, 0.7
 FULL = np.uint64(2**64 - 1)
 
 
@@ -224,14 +224,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     sets = written(found.select("node", "text").mapInPandas(tidy(_sets), "node binary, elements binary").dropDuplicates(["node"]), "sets")
     one = written(links(first, sets, percent), "links")
 
-    all_links, roots, before = one, components(one), None
+    all_links, roots, before, room = one, components(one), None, members.count()
     while True:
         several = _several(members, roots)
         able = _able(several.select("node", "n").distinct().join(sets, "node"), percent)
         apart = written(several.join(able, "node"), "apart")
         held = apart.groupBy("key").agg(F.count("*").alias("c"), F.count_if(F.col("part") != F.col("main")).alias("out"))
-        pairs, out, all_held = held.agg(F.sum(F.col("c") * F.col("out")), F.sum("out"), F.sum("c")).first()
-        if not out or pairs <= MANY_PAIRS * all_held or (before is not None and out > LEAST_GAIN * before):
+        pairs, out = held.where(F.col("c") > LARGE_KEY).agg(F.sum(F.col("c") * F.col("out")), F.sum("out")).first()
+        if not out or pairs <= room or (before is not None and out > LEAST_GAIN * before):
             break
         tried = written(_drawn(apart, percent, 0 if before is None else out).join(first, ["a", "b"], "left_anti"), "pairs")
         first = first.unionByName(tried)

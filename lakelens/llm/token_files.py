@@ -25,6 +25,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 from pathlib import Path
 
 import numpy as np
@@ -37,7 +38,7 @@ from tokenizers import Tokenizer
 
 from lakelens.llm.columns import written
 from lakelens.llm.elias_fano import EliasFano
-from lakelens.llm.shared import file_store, shipped
+from lakelens.llm.shared import file_store, shipped, tidy
 from lakelens.session import scratch_path
 
 MAGIC = b"LLIDSEF1"
@@ -47,7 +48,9 @@ RANGE_CHARS = 64 << 20
 FILE_IDS = 8 << 20
 #: Characters tokenized together, and pieces whose ids a worker keeps.
 STEP_CHARS = 4 << 20
-KEPT_PIECES = 400_000
+KEPT_PIECES = 800_000
+#: New pieces that the tokenizer sees at once.
+RUN = 1_000
 
 #: White space that is not one blank or line feed between other characters, and the separators used below.
 SPACES = r"\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -59,6 +62,30 @@ CUT, END, OTHER = "\0", "\1", "\2"
 _encoders: dict[int, Encoder] = {}
 
 
+class Pieces:
+    """Ids of pieces in one array, and where those of each piece are."""
+
+    def __init__(self, kind: str):
+        self.at: dict[str, int] = {}
+        self.ids, self.lengths, self.starts = np.zeros(0, kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def find(self, names: list[str]) -> np.ndarray:
+        """The number of each piece, -1 for those not known."""
+        return np.fromiter(map(self.at.get, names, repeat(-1)), np.int64, len(names))
+
+    def add(self, names: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.at.update(zip(names, range(len(self.at), len(self.at) + len(names))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these pieces one after the other, and how many each has."""
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[numbers] - (ends - lengths), lengths)
+        return self.ids[places], lengths
+
+
 class Encoder:
     """Ids of texts, with the ids of pieces seen lately kept."""
 
@@ -68,8 +95,12 @@ class Encoder:
         added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.uneven = "|".join([UNEVEN, *map(re.escape, added)])
         self.whole = re.compile("|".join([WHOLE.pattern, *map(re.escape, added)]))
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.recent, self.older = Pieces(self.kind), Pieces(self.kind)
+        # A byte-level vocabulary spells a token with one character a byte, so ids tell where words end.
+        spelled = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(spelled.values(), default=0) + 1, np.int64)
+        self.bytes_of[list(spelled.values())] = [len(token) for token in spelled]
+        self.by_bytes = '"type":"ByteLevel"' in re.sub(r"\s", "", str(self.tokenizer.pre_tokenizer.__getstate__(), "utf-8")) if self.tokenizer.pre_tokenizer else False
 
     @classmethod
     def of(cls, vocabulary: str) -> Encoder:
@@ -80,43 +111,67 @@ class Encoder:
         return _encoders[key]
 
     def _new(self, words: list[str]) -> None:
-        for a in range(0, len(words), 1000):
-            some = words[a : a + 1000]
+        """Sends pieces that are not known through the tokenizer, those that begin with a blank joined to a text."""
+        joined = [word for word in words if self.by_bytes and len(word) > 1 and word[0] == " " and not word[1].isspace()]
+        self._alone(words if not joined else [word for word in words if not (len(word) > 1 and word[0] == " " and not word[1].isspace())])
+        runs = [joined[a : a + RUN] for a in range(0, len(joined), RUN)]
+        for some, encoding in zip(runs, self.tokenizer.encode_batch_fast(["".join(run) for run in runs], add_special_tokens=False)):
+            ids = np.array(encoding.ids, self.kind)
+            upto, ends = np.cumsum(self.bytes_of[ids]), np.cumsum([len(word.encode()) for word in some])
+            last = np.searchsorted(upto, ends)
+            if len(upto) and last[-1] == len(upto) - 1 and (upto[last] == ends).all():
+                self.recent.add(some, ids, np.diff(last, prepend=-1))
+            else:
+                self._alone(some)
+
+    def _alone(self, words: list[str]) -> None:
+        ids, lengths = [np.zeros(0, self.kind)], [np.zeros(0, np.int64)]
+        for a in range(0, len(words), RUN):
+            some = words[a : a + RUN]
             encoding = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids, at = np.array(encoding.ids, self.kind), np.array(encoding.word_ids, np.int64)
-            ends = (np.searchsorted(at, np.arange(len(some) + 1)) * ids.itemsize).tolist()
-            data = ids.tobytes()
-            self.recent.update((word, data[ends[i] : ends[i + 1]]) for i, word in enumerate(some))
-
-    def pieces(self, wanted: list[str]) -> list[bytes]:
-        """Ids of distinct pieces. A word and the stop or comma after it are known apart."""
-        if len(self.recent) > KEPT_PIECES // 2:
-            self.older, self.recent = self.recent, {}
-        recent, older, new, ended = self.recent, self.older, set(), []
-        for piece in wanted:
-            if piece in recent:
-                continue
-            if piece in older:
-                recent[piece] = older[piece]
-            elif len(piece) > 2 and piece[-1] in ".,;:!?" and piece[-2].isalpha():
+            ids.append(np.array(encoding.ids, self.kind))
+            lengths.append(np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(some)))
+        self.recent.add(words, np.concatenate(ids), np.concatenate(lengths))
+
+    def known(self, names: list[str]) -> np.ndarray:
+        """The numbers of distinct pieces in `recent`. A word and the stop or comma after it are looked for apart."""
+        found = self.recent.find(names)
+        missing = np.flatnonzero(found < 0)
+        if not len(missing):
+            return found
+        wanted = [names[i] for i in missing.tolist()]
+        before = self.older.find(wanted)
+        again = np.flatnonzero(before >= 0)
+        self.recent.add([wanted[i] for i in again.tolist()], *self.older.take(before[again]))
+        ended, new = [], {}
+        for i in np.flatnonzero(before < 0).tolist():
+            piece = wanted[i]
+            if len(piece) > 2 and piece[-1] in ".,;:!?" and piece[-2].isalpha():
                 ended.append(piece)
-                new.update(part for part in (piece[:-1], piece[-1]) if part not in recent)
+                new[piece[:-1]] = new[piece[-1]] = None
             else:
-                new.add(piece)
-        self._new(list(new))
-        recent.update((piece, recent[piece[:-1]] + recent[piece[-1]]) for piece in ended)
-        return [recent[piece] for piece in wanted]
-
-    def _uneven(self, text: str) -> bytes:
+                new[piece] = None
+        self._new([piece for piece in new if piece not in self.recent.at])
+        if ended:
+            parts = self.recent.find([part for piece in ended for part in (piece[:-1], piece[-1])])
+            ids, lengths = self.recent.take(parts)
+            fresh = [i for i, piece in enumerate(ended) if piece not in self.recent.at]
+            if len(fresh) < len(ended):
+                ids, _ = self.recent.take(parts.reshape(-1, 2)[fresh].ravel())
+            self.recent.add([ended[i] for i in fresh], ids, lengths.reshape(-1, 2).sum(axis=1)[fresh])
+        found[missing] = self.recent.find(wanted)
+        return found
+
+    def _uneven(self, text: str) -> np.ndarray:
         if self.whole.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        cut = PIECES.findall(text)
-        distinct = list(set(cut))
-        ids = dict(zip(distinct, self.pieces(distinct)))
-        return b"".join([ids[piece] for piece in cut])
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+        cut = pa.array(PIECES.findall(text), pa.large_string()).dictionary_encode()
+        return self.recent.take(self.known(cut.dictionary.to_pylist())[cut.indices.to_numpy()])[0]
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, the end id after each, and the number of ids of each."""
+        if len(self.recent.at) > KEPT_PIECES // 2:
+            self.older, self.recent = self.recent, Pieces(self.kind)
         column = pa.array(texts, pa.large_string())
         others = {}
         for i in np.flatnonzero(pc.match_substring_regex(column, self.uneven).to_numpy(zero_copy_only=False)).tolist():
@@ -128,18 +183,22 @@ class Encoder:
         cut = pc.split_pattern(column, CUT)
         coded = cut.flatten().dictionary_encode()
         bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
-        names = coded.dictionary.to_pylist()
-        plain = [name for name in names if name and name[0] not in (END, OTHER)]
-        ids = dict(zip(plain, self.pieces(plain))) | {f"{OTHER}{i}": part for i, part in others.items()}
-        ids |= {"": b"", END: np.array([end_id], self.kind).tobytes()}
-        parts = [ids[name] for name in names]
-        width = np.dtype(self.kind).itemsize
-        lengths = np.array([len(part) for part in parts], np.int64) // width
-        starts = np.cumsum(lengths) - lengths
-        at = coded.indices.to_numpy()
-        ends = np.concatenate([[0], np.cumsum(lengths[at])])
-        places = np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], lengths[at])
-        return np.frombuffer(b"".join(parts), self.kind)[places], np.diff(ends[bounds])
+        # What is of this step alone gets the numbers after those of the pieces.
+        own = {"": np.zeros(0, self.kind), END: np.array([end_id], self.kind)} | {f"{OTHER}{i}": ids for i, ids in others.items()}
+        names = coded.dictionary
+        marks = pc.or_(pc.equal(names, ""), pc.or_(pc.starts_with(names, END), pc.starts_with(names, OTHER)))
+        step, numbers = marks.to_numpy(zero_copy_only=False), np.empty(len(names), np.int64)
+        numbers[~step] = self.known(names.filter(pc.invert(marks)).to_pylist())
+        numbers[step] = len(self.recent.at) + np.arange(step.sum())
+        every = Pieces(self.kind)
+        mine = [own[name] for name in names.filter(marks).to_pylist()]
+        sizes = np.array([len(ids) for ids in mine], np.int64)
+        every.ids = np.concatenate([self.recent.ids, *mine])
+        every.lengths = np.concatenate([self.recent.lengths, sizes])
+        every.starts = np.concatenate([self.recent.starts, len(self.recent.ids) + np.cumsum(sizes) - sizes])
+        ids, lengths = every.take(numbers[coded.indices.to_numpy()])
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return ids, np.diff(ends[bounds])
 
 
 def pack(doc_ids: list[int | None], ids: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -224,7 +283,7 @@ def write_token_files(
         .sortWithinPartitions("doc_id", "hash")
         .select(F.spark_partition_id().alias("range"), F.col("doc_id").cast("string").alias("doc_id"), "text")
     )
-    files = written(dealt.mapInPandas(write, "file string, range int, part int, documents long, tokens long"), "token-list")
+    files = written(dealt.mapInPandas(tidy(write), "file string, range int, part int, documents long, tokens long"), "token-list")
     before = Window.orderBy("range", "part").rowsBetween(Window.unboundedPreceding, -1)
     return files.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("first"), "documents", "tokens")
 
