@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelens.llm import toxicity
-from lakelens.llm.columns import written
+from lakelens.llm.columns import perhaps_among, written
 from lakelens.llm.decontamination import contaminated
 from lakelens.llm.mixing import mix, row_hash
 from lakelens.llm.near_duplicates import near_duplicates
@@ -51,9 +51,17 @@ def _matched(docs: DataFrame, rows: DataFrame, how: str, mark: Column | None = N
     return keyed.join(named, (keyed[key] == its_row) & keyed["doc_id"].eqNullSafe(its_id), how)
 
 
+def _perhaps(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of `docs` whose id and hash are surely not in `rows`, and the others: only those need a join."""
+    perhaps = _free(docs, "perhaps")
+    marked = perhaps_among(docs, F.xxhash64("doc_id", "text"), rows.select("row"), _free(docs, "word"), _free(docs, "bits"), perhaps)
+    return marked.where(~F.col(perhaps)).drop(perhaps), marked.where(perhaps).drop(perhaps)
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows whose id and hash are not in `gone`."""
-    return _matched(docs, gone.select("doc_id", "row"), "left_anti").select(*docs.columns)
+    kept, perhaps = _perhaps(docs, gone)
+    return kept.unionByName(_matched(perhaps, gone.select("doc_id", "row"), "left_anti").select(*docs.columns))
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +76,7 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     kept = _without(docs, gone)
     if repeated.isEmpty():
         return kept
-    again = _matched(kept, repeated, "left_semi")
+    again = _matched(_perhaps(kept, repeated)[1], repeated, "left_semi")
     return _without(kept, repeated).unionByName(again.dropDuplicates(["doc_id", _free(docs, "row_hash")]).select(*docs.columns))
 
 

@@ -15,13 +15,16 @@ different components hold many pairs, every member outside a key's largest compo
 drawn member outside, each key and round with others, and the components are joined anew; so members that are linked with some
 share of a large group, as filled-in forms are, join it after a few rounds of a few pairs each. Rounds end when few pairs are left or
 a round connects few. Then every member outside the largest component of its key is compared with the members of other components, unless
-they have too many shingles that no other of these texts has to be linked with any.
+they have too many shingles that no other of these texts has to be linked with any, or their parities show that too many shingles differ:
+a set's parities tell for each of PARITIES classes of shingles whether it holds an odd number of them, so two sets differ in at least as many
+shingles as parities. No link is lost by that; up to some thousand shingles it rules out most pairs that are none, in all rounds.
 So every candidate pair is compared on its full sets, already connected, or shown to be no link by its counts, and a
 group of thousands whose members are linked is not paired with itself. What stays quadratic is a group whose members share keys and
 are no links: those that no smaller set of comparisons can tell apart.
 
 Links need 100 * |intersection| >= percent * |union| on the full sets (shingles as 40-bit numbers; two unequal ones
-of a pair of 1,000-word texts meet with probability 1e-6).
+of a pair of 1,000-word texts meet with probability 1e-6). A text's set is made again for the nodes that share a key; a bit table of their
+hashes, of bounded size, keeps the other texts out of that shuffle.
 
 Defined results: a null or empty text, or one without words, has an empty set and is linked with nothing. Null doc_ids
 are nodes like others and never the smallest id; a component of null ids only has a null id, and its rows are kept.
@@ -33,14 +36,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelens.llm.columns import written
+from lakelens.llm.columns import perhaps_among, written
 from lakelens.llm.components import components
 from lakelens.llm.shared import shipped, tidy
 from lakelens.llm.shingles import FACTORS, mixed, shingle_sets, steps
@@ -51,6 +56,8 @@ MOST_SHARED, MOST_MISSED = 3, 5e-6
 #: Another round of drawn pairs is made while keys of more members than this hold more pairs than all keys have members, and
 #: the last round has left no more than this share of those outside.
 LARGE_KEY, LEAST_GAIN = 64, 0.7
+#: Classes of shingles, by their hash, whose parities bound how much two sets differ.
+PARITIES = 1024
 FULL = np.uint64(2**64 - 1)
 
 
@@ -119,12 +126,18 @@ def _long(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def parities(elements: bytes) -> np.ndarray:
+    """A bit per class, in 64-bit words: whether the set holds an odd number of its shingles."""
+    odd = np.bincount((_long(elements) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         texts = batch["text"].tolist()
         for a, b in steps(texts):
-            sets = shingle_sets(texts[a:b])
-            yield pd.DataFrame({"node": batch["node"].iloc[a:b].to_numpy(), "elements": [_short(s) for s in sets]})
+            sets = [_short(s) for s in shingle_sets(texts[a:b])]
+            yield pd.DataFrame({"node": batch["node"].iloc[a:b].to_numpy(), "elements": sets, "size": [len(s) // 5 for s in sets], "parities": [parities(s) for s in sets]})
 
 
 def _compare(percent: int):
@@ -142,10 +155,26 @@ def _compare(percent: int):
     return compare
 
 
+def _differing(one: str, other: str) -> Column:
+    """In how many parities two sets differ."""
+    return reduce(add, (F.bit_count(F.col(one)[i].bitwiseXOR(F.col(other)[i])) for i in range(PARITIES // 64)))
+
+
+def _can_link(percent: int) -> Column:
+    """Whether size and parities of one set and another (o_size, o_parities) allow a link."""
+    both = F.col("size") + F.col("o_size")
+    return (both - _differing("parities", "o_parities")) * (100 + percent) >= 2 * percent * both
+
+
 def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar on their full sets."""
-    right = pairs.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("right")), "b")
-    both = right.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("left")), "a")
+    small = sets.select(F.col("node").alias("a"), "size", "parities")
+    other = small.withColumnsRenamed({"a": "b", "size": "o_size", "parities": "o_parities"})
+    near = written(pairs.join(other, "b").join(small, "a").where(_can_link(percent)).select("a", "b"), "near")
+    ends = near.select(F.explode(F.array("a", "b")).alias("end")).select(F.xxhash64("end"))
+    wanted = perhaps_among(sets.select("node", "elements"), F.xxhash64("node"), ends).where("perhaps")
+    right = near.join(wanted.select(F.col("node").alias("b"), F.col("elements").alias("right")), "b")
+    both = right.join(wanted.select(F.col("node").alias("a"), F.col("elements").alias("left")), "a")
     return both.select("a", "b", "left", "right").mapInPandas(tidy(_compare(percent)), "a binary, b binary")
 
 
@@ -220,26 +249,32 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
         "pairs",
     )
     wanted = members.select("node").distinct().join(nodes.select("node", "at"), "node")
-    found = rows.join(wanted, (F.col("row") == F.col("at.row")) & F.col("doc_id").eqNullSafe(F.col("at.doc_id")))
-    sets = written(found.select("node", "text").mapInPandas(tidy(_sets), "node binary, elements binary").dropDuplicates(["node"]), "sets")
+    perhaps = perhaps_among(rows, F.col("row"), wanted.select("at.row")).where("perhaps")
+    found = perhaps.join(wanted, (F.col("row") == F.col("at.row")) & F.col("doc_id").eqNullSafe(F.col("at.doc_id")))
+    sets = written(found.select("node", "text").mapInPandas(tidy(_sets), "node binary, elements binary, size long, parities array<long>").dropDuplicates(["node"]), "sets")
     one = written(links(first, sets, percent), "links")
 
-    all_links, roots, before, room = one, components(one), None, members.count()
+    all_links, roots, before, room, able = one, components(one), None, members.count(), None
     while True:
         several = _several(members, roots)
-        able = _able(several.select("node", "n").distinct().join(sets, "node"), percent)
+        if able is None:
+            able = written(_able(several.select("node", "n").distinct().join(sets, "node"), percent), "able")
         apart = written(several.join(able, "node"), "apart")
         held = apart.groupBy("key").agg(F.count("*").alias("c"), F.count_if(F.col("part") != F.col("main")).alias("out"))
         pairs, out = held.where(F.col("c") > LARGE_KEY).agg(F.sum(F.col("c") * F.col("out")), F.sum("out")).first()
         if not out or pairs <= room or (before is not None and out > LEAST_GAIN * before):
             break
+        if before is not None:
+            # Much fewer are left, and so what they have in common with others.
+            able = None
         tried = written(_drawn(apart, percent, 0 if before is None else out).join(first, ["a", "b"], "left_anti"), "pairs")
         first = first.unionByName(tried)
         all_links = all_links.unionByName(written(links(tried, sets, percent), "links"))
         stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots, before = components(stars.unionByName(all_links)), out
-    apart = apart.join(nodes.select("node", "keys"), "node")
-    outside = apart.where("part <> main").select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "part", "keys", "common")])
+    apart = apart.join(nodes.select("node", "keys"), "node").join(sets.select("node", "size", "parities"), "node")
+    columns = ("node", "n", "part", "keys", "common", "parities", "size")
+    outside = apart.where("part <> main").select("key", *[F.col(c).alias(f"o_{c}") for c in columns])
     joint = F.array_intersect("keys", "o_keys")
     second = written(
         apart.join(outside, "key")
@@ -248,6 +283,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
             & ((F.col("part") == F.col("main")) | (F.col("node") < F.col("o_node")))
             & close(F.col("n"), F.col("o_n"))
             & (F.least("common", "o_common") * (100 + percent) >= (F.col("n") + F.col("o_n")) * percent)
+            & _can_link(percent)
             & (F.size(joint) >= least_shared(percent))
             & (F.col("key") == F.array_min(joint))
         )

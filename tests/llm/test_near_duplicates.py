@@ -7,9 +7,11 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakelens.llm import near_duplicates as operator
+from lakelens.llm.columns import perhaps_among
 from lakelens.llm.components import components
 from lakelens.llm.near_duplicates import SIZE, least_shared, missed, near_duplicates, sketches
 from lakelens.llm.shingles import shingle_sets
@@ -166,3 +168,48 @@ def test_forms(spark, monkeypatch):
         if n == 250:
             assert [found[i] for i in range(n)] == groups(rows)[0]
     assert made[1000] < 8 * made[250] + 1000
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for size in (1, 30, 900, 6000):
+        a, b = (np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64)) for _ in range(2))
+        b = np.unique(np.concatenate([a[: size // 2], b[size // 2 :]]))
+        one, other = operator._short(a), operator._short(b)
+        differing = sum(int(x).bit_count() for x in (operator.parities(one) ^ operator.parities(other)).view(np.uint64))
+        assert differing <= len(np.setxor1d(operator._long(one), operator._long(other)))
+    assert (operator.parities(b"") == 0).all()
+
+
+def test_members_without_links_are_not_paired(spark, monkeypatch):
+    """Texts that share keys and shingles with all others of a large group, and are no links."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        words = [f"t{j}" for j in range(300)]
+        for slot in range(24):
+            words[6 + 12 * slot] = f"slot{slot}v{rng.randrange(3)}"
+        rows.append((i, " ".join(words), "x"))
+    sets = [shingles(text) for _, text, _ in rows]
+    linked = [(i, j) for j in range(300) for i in range(j) if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j]))]
+    joined, compare = [], operator.links
+    monkeypatch.setattr(operator, "links", lambda pairs, sets, percent: (joined.append(pairs.count()), compare(pairs, sets, percent))[1])
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, SCHEMA), 80).collect()}
+    assert joined[-1] <= 10 * len(rows) and all(found[i] == found[j] for i, j in linked)
+    assert len(set(found.values())) >= len(rows) - len(linked)
+
+
+def test_perhaps_among(spark):
+    """No hash of the table is ruled out, most others are; a null hash is in no table."""
+    rows = spark.range(5000).select("id", F.xxhash64("id").alias("h")).unionByName(spark.createDataFrame([(None, None)], "id long, h long"))
+    marked = perhaps_among(rows, F.col("h"), rows.where("id < 100").select("h"))
+    assert marked.columns == ["id", "h", "perhaps"] and marked.where("perhaps AND id < 100").count() == 100
+    assert marked.where("perhaps").count() < 120 and marked.where("perhaps IS NULL").count() == 0 and marked.count() == 5001
+
+
+def test_stage_with_clashing_columns(spark):
+    rows = [(i, f"text number {i} of these few words here", i, i, i) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, word int, Bits int, perhaps int")
+    gone = docs.where("doc_id < 7").select("doc_id", F.xxhash64("doc_id", "text").alias("row"))
+    kept = corpus_pipeline._without(docs, gone)
+    assert sorted(map(tuple, kept.collect())) == rows[7:] and kept.columns == docs.columns
