@@ -19,13 +19,13 @@ columns are read.
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
 from pathlib import Path
 
 import numpy as np
@@ -63,20 +63,28 @@ _encoders: dict[int, Encoder] = {}
 
 
 class Pieces:
-    """Ids of pieces in one array, and where those of each piece are."""
+    """Pieces and their ids, each kind in one array, and where the ids of each piece are."""
 
     def __init__(self, kind: str):
-        self.at: dict[str, int] = {}
+        self.names = pa.array([], pa.large_string())
         self.ids, self.lengths, self.starts = np.zeros(0, kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def find(self, names: list[str]) -> np.ndarray:
-        """The number of each piece, -1 for those not known."""
-        return np.fromiter(map(self.at.get, names, repeat(-1)), np.int64, len(names))
+    def __len__(self) -> int:
+        return len(self.names)
 
-    def add(self, names: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        self.at.update(zip(names, range(len(self.at), len(self.at) + len(names))))
+    def find(self, names: pa.Array) -> np.ndarray:
+        """The number of each piece, -1 for those not known."""
+        if not len(self) or not len(names):
+            return np.full(len(names), -1, np.int64)
+        return pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def add(self, names: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Their numbers. None of them may be known."""
+        numbers = len(self) + np.arange(len(names))
+        self.names = pa.concat_arrays([self.names, names])
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
+        return numbers
 
     def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of these pieces one after the other, and how many each has."""
@@ -110,67 +118,71 @@ class Encoder:
             _encoders[key] = cls(vocabulary)
         return _encoders[key]
 
-    def _new(self, words: list[str]) -> None:
-        """Sends pieces that are not known through the tokenizer, those that begin with a blank joined to a text."""
-        joined = [word for word in words if self.by_bytes and len(word) > 1 and word[0] == " " and not word[1].isspace()]
-        self._alone(words if not joined else [word for word in words if not (len(word) > 1 and word[0] == " " and not word[1].isspace())])
-        runs = [joined[a : a + RUN] for a in range(0, len(joined), RUN)]
+    def _new(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The same pieces in some order, their ids and how many each has. Those that begin with a blank are joined to texts."""
+        joined, alone = [], []
+        for word in words:
+            (joined if self.by_bytes and len(word) > 1 and word[0] == " " and not word[1].isspace() else alone).append(word)
+        runs, done = [joined[a : a + RUN] for a in range(0, len(joined), RUN)], []
         for some, encoding in zip(runs, self.tokenizer.encode_batch_fast(["".join(run) for run in runs], add_special_tokens=False)):
             ids = np.array(encoding.ids, self.kind)
             upto, ends = np.cumsum(self.bytes_of[ids]), np.cumsum([len(word.encode()) for word in some])
             last = np.searchsorted(upto, ends)
             if len(upto) and last[-1] == len(upto) - 1 and (upto[last] == ends).all():
-                self.recent.add(some, ids, np.diff(last, prepend=-1))
+                done.append((some, ids, np.diff(last, prepend=-1)))
             else:
-                self._alone(some)
-
-    def _alone(self, words: list[str]) -> None:
-        ids, lengths = [np.zeros(0, self.kind)], [np.zeros(0, np.int64)]
-        for a in range(0, len(words), RUN):
-            some = words[a : a + RUN]
+                alone += some
+        for a in range(0, len(alone), RUN):
+            some = alone[a : a + RUN]
             encoding = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(encoding.ids, self.kind))
-            lengths.append(np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(some)))
-        self.recent.add(words, np.concatenate(ids), np.concatenate(lengths))
+            done.append((some, np.array(encoding.ids, self.kind), np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(some))))
+        if not done:
+            return [], np.zeros(0, self.kind), np.zeros(0, np.int64)
+        names, ids, lengths = zip(*done)
+        return [word for some in names for word in some], np.concatenate(ids), np.concatenate(lengths)
 
-    def known(self, names: list[str]) -> np.ndarray:
+    def known(self, names: pa.Array) -> np.ndarray:
         """The numbers of distinct pieces in `recent`. A word and the stop or comma after it are looked for apart."""
         found = self.recent.find(names)
         missing = np.flatnonzero(found < 0)
+        before = self.older.find(names.take(pa.array(missing)))
+        again = missing[before >= 0]
+        if len(again):
+            found[again] = self.recent.add(names.take(pa.array(again)), *self.older.take(before[before >= 0]))
+        missing = missing[before < 0]
         if not len(missing):
             return found
-        wanted = [names[i] for i in missing.tolist()]
-        before = self.older.find(wanted)
-        again = np.flatnonzero(before >= 0)
-        self.recent.add([wanted[i] for i in again.tolist()], *self.older.take(before[again]))
+        wanted = names.take(pa.array(missing)).to_pylist()
         ended, new = [], {}
-        for i in np.flatnonzero(before < 0).tolist():
-            piece = wanted[i]
+        for piece in wanted:
+            # What comes before the stop ends in a letter, so it is none of `ended` itself.
             if len(piece) > 2 and piece[-1] in ".,;:!?" and piece[-2].isalpha():
                 ended.append(piece)
                 new[piece[:-1]] = new[piece[-1]] = None
             else:
                 new[piece] = None
-        self._new([piece for piece in new if piece not in self.recent.at])
+        looked = list(new)
+        at = self.recent.find(pa.array(looked, pa.large_string()))
+        number = dict(zip(looked, at.tolist()))
+        fresh, ids, lengths = self._new([piece for piece, place in number.items() if place < 0])
+        number.update(zip(fresh, self.recent.add(pa.array(fresh, pa.large_string()), ids, lengths).tolist()))
         if ended:
-            parts = self.recent.find([part for piece in ended for part in (piece[:-1], piece[-1])])
+            parts = np.array([number[part] for piece in ended for part in (piece[:-1], piece[-1])], np.int64)
             ids, lengths = self.recent.take(parts)
-            fresh = [i for i, piece in enumerate(ended) if piece not in self.recent.at]
-            if len(fresh) < len(ended):
-                ids, _ = self.recent.take(parts.reshape(-1, 2)[fresh].ravel())
-            self.recent.add([ended[i] for i in fresh], ids, lengths.reshape(-1, 2).sum(axis=1)[fresh])
-        found[missing] = self.recent.find(wanted)
+            added = self.recent.add(pa.array(ended, pa.large_string()), ids, lengths.reshape(-1, 2).sum(axis=1))
+            number.update(zip(ended, added.tolist()))
+        found[missing] = [number[piece] for piece in wanted]
         return found
 
     def _uneven(self, text: str) -> np.ndarray:
         if self.whole.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
         cut = pa.array(PIECES.findall(text), pa.large_string()).dictionary_encode()
-        return self.recent.take(self.known(cut.dictionary.to_pylist())[cut.indices.to_numpy()])[0]
+        return self.recent.take(self.known(cut.dictionary)[cut.indices.to_numpy()])[0]
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, the end id after each, and the number of ids of each."""
-        if len(self.recent.at) > KEPT_PIECES // 2:
+        if len(self.recent) > KEPT_PIECES // 2:
             self.older, self.recent = self.recent, Pieces(self.kind)
         column = pa.array(texts, pa.large_string())
         others = {}
@@ -188,8 +200,8 @@ class Encoder:
         names = coded.dictionary
         marks = pc.or_(pc.equal(names, ""), pc.or_(pc.starts_with(names, END), pc.starts_with(names, OTHER)))
         step, numbers = marks.to_numpy(zero_copy_only=False), np.empty(len(names), np.int64)
-        numbers[~step] = self.known(names.filter(pc.invert(marks)).to_pylist())
-        numbers[step] = len(self.recent.at) + np.arange(step.sum())
+        numbers[~step] = self.known(names.filter(pc.invert(marks)))
+        numbers[step] = len(self.recent) + np.arange(step.sum())
         every = Pieces(self.kind)
         mine = [own[name] for name in names.filter(marks).to_pylist()]
         sizes = np.array([len(ids) for ids in mine], np.int64)
@@ -305,6 +317,8 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (of 32-bit little-endian ids), per document."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _encoders.clear()  # a worker that has written files keeps its encoder between tasks
+        gc.collect()
         store, base = file_store(folder)
         for batch in batches:
             for name, first in zip(batch["file"], batch["first"]):

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -145,3 +148,20 @@ def test_many_equal_rows(spark, monkeypatch):
     found = sorted(map(tuple, read_token_files(files, folder).collect()), key=lambda r: r[1])
     assert [r[0] for r in found] == [None] * 500 + [1] * 1500 + [2]
     assert [r[1] for r in found] == [sum(r[2] for r in found[:i]) for i in range(len(found))]
+
+
+def test_known_pieces_are_small():
+    """What an encoder keeps of many pieces is some ten bytes each, and their ids stay right when they come back from the older ones."""
+    encoder, rng = token_files.Encoder(Path(VOCABULARY).read_text(encoding="utf-8")), random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(30_000)]
+    texts = [" ".join(words[a : a + 500]) + "." for a in range(0, len(words), 500)]
+    tracemalloc.start()
+    first = encoder.encode(texts, 2)
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 80 * len(words)
+    encoder.older, encoder.recent = encoder.recent, token_files.Pieces(encoder.kind)
+    again = encoder.encode(texts, 2)
+    plain = [i for text in texts for i in [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2]]
+    assert first[0].tolist() == plain == again[0].tolist() and first[1].tolist() == again[1].tolist()
