@@ -47,6 +47,8 @@ MOST_SLOTS = 2
 LEAST_TEMPLATES, ALONE = 3, 2
 WHOLE, LEAST_LITERALS, ENOUGH_LITERALS = 12, 3, 5
 LITERAL_SALT = np.uint64(0x9E3779B97F4A7C15)
+#: Characters of documents taken together.
+STEP_CHARS = 1 << 19
 #: Bits of the table that goes to every task: 2 MiB, whatever the benchmark's size.
 TABLE_BITS = 1 << 24
 
@@ -255,7 +257,7 @@ def _hits(table: np.ndarray, literal: list[int], whole: list[int]):
 
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for a, b in steps(batch["text"].tolist()):
+            for a, b in steps(batch["text"].tolist(), STEP_CHARS):
                 part = batch.iloc[a:b]
                 form = Canonical([text or "" for text in part["text"]])
                 text, first, hashes, _, width, forms = form.windows()
