@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import gc
 import math
+import os
 import re
 import struct
 import uuid
@@ -32,13 +33,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakelens.llm.columns import written
 from lakelens.llm.elias_fano import EliasFano
-from lakelens.llm.shared import file_store, shipped, tidy
+from lakelens.llm.shared import file_store, give_back, shipped, tidy
 from lakelens.session import scratch_path
 
 MAGIC = b"LLIDSEF1"
@@ -47,10 +49,10 @@ HEAD = struct.Struct("<8sQQQqB")
 RANGE_CHARS = 64 << 20
 FILE_IDS = 8 << 20
 #: Characters tokenized together, and pieces whose ids a worker keeps.
-STEP_CHARS = 4 << 20
-KEPT_PIECES = 800_000
-#: New pieces that the tokenizer sees at once.
-RUN = 1_000
+STEP_CHARS = 2 << 20
+KEPT_PIECES = 400_000
+#: New pieces that the tokenizer sees as one text, and such texts that it sees at once.
+RUN, RUNS = 1_000, 32
 
 #: White space that is not one blank or line feed between other characters, and the separators used below.
 SPACES = r"\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -59,29 +61,41 @@ UNEVEN = rf"[ \n][ \n]|[\x00-\x02{SPACES}]"
 WHOLE = re.compile(r"[\x1c-\x1f]")
 PIECES = re.compile(r"\s+(?=\s\S)|\s+\Z| ?\S+|\s")
 CUT, END, OTHER = "\0", "\1", "\2"
+STOPS = frozenset(".,;:!?")
 _encoders: dict[int, Encoder] = {}
 
 
+def hashes_of(words: list[str] | np.ndarray) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 class Pieces:
-    """Pieces and their ids, each kind in one array, and where the ids of each piece are."""
+    """Pieces and their ids, each kind in one array, and where the ids of each piece are.
+
+    A piece is looked up by a hash, as a table of numbers is made sooner than one of strings, and then compared itself.
+    """
 
     def __init__(self, kind: str):
-        self.names = pa.array([], pa.large_string())
+        self.names, self.hashes = pa.array([], pa.large_string()), np.zeros(0, np.uint64)
         self.ids, self.lengths, self.starts = np.zeros(0, kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def __len__(self) -> int:
         return len(self.names)
 
-    def find(self, names: pa.Array) -> np.ndarray:
+    def find(self, names: pa.Array, hashes: np.ndarray) -> np.ndarray:
         """The number of each piece, -1 for those not known."""
         if not len(self) or not len(names):
             return np.full(len(names), -1, np.int64)
-        return pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        found = pc.fill_null(pc.index_in(pa.array(hashes), value_set=pa.array(self.hashes)), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        there = np.flatnonzero(found >= 0)
+        same = pc.equal(names.take(pa.array(there)), self.names.take(pa.array(found[there]))).to_numpy(zero_copy_only=False)
+        found[there[~same]] = -1
+        return found
 
-    def add(self, names: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def add(self, names: pa.Array, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Their numbers. None of them may be known."""
         numbers = len(self) + np.arange(len(names))
-        self.names = pa.concat_arrays([self.names, names])
+        self.names, self.hashes = pa.concat_arrays([self.names, names]), np.concatenate([self.hashes, hashes])
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
         return numbers
@@ -90,7 +104,9 @@ class Pieces:
         """The ids of these pieces one after the other, and how many each has."""
         lengths = self.lengths[numbers]
         ends = np.cumsum(lengths)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[numbers] - (ends - lengths), lengths)
+        kind = np.int32 if len(self.ids) + lengths.sum() < 1 << 31 else np.int64
+        places = np.repeat((self.starts[numbers] - (ends - lengths)).astype(kind), lengths)
+        places += np.arange(len(places), dtype=kind)
         return self.ids[places], lengths
 
 
@@ -98,6 +114,8 @@ class Encoder:
     """Ids of texts, with the ids of pieces seen lately kept."""
 
     def __init__(self, vocabulary: str):
+        # A task has one core, and every thread would keep memory of its own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
@@ -120,18 +138,20 @@ class Encoder:
 
     def _new(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """The same pieces in some order, their ids and how many each has. Those that begin with a blank are joined to texts."""
-        joined, alone = [], []
+        joined, alone, done = [], [], []
         for word in words:
-            (joined if self.by_bytes and len(word) > 1 and word[0] == " " and not word[1].isspace() else alone).append(word)
-        runs, done = [joined[a : a + RUN] for a in range(0, len(joined), RUN)], []
-        for some, encoding in zip(runs, self.tokenizer.encode_batch_fast(["".join(run) for run in runs], add_special_tokens=False)):
-            ids = np.array(encoding.ids, self.kind)
-            upto, ends = np.cumsum(self.bytes_of[ids]), np.cumsum([len(word.encode()) for word in some])
-            last = np.searchsorted(upto, ends)
-            if len(upto) and last[-1] == len(upto) - 1 and (upto[last] == ends).all():
-                done.append((some, ids, np.diff(last, prepend=-1)))
-            else:
-                alone += some
+            (joined if self.by_bytes and word[0] == " " and len(word) > 1 and not word[1].isspace() else alone).append(word)
+        runs = [joined[a : a + RUN] for a in range(0, len(joined), RUN)]
+        for a in range(0, len(runs), RUNS):
+            together = self.tokenizer.encode_batch_fast(["".join(run) for run in runs[a : a + RUNS]], add_special_tokens=False)
+            for some, encoding in zip(runs[a : a + RUNS], together):
+                ids = np.array(encoding.ids, self.kind)
+                upto, ends = np.cumsum(self.bytes_of[ids]), np.cumsum(pc.binary_length(pa.array(some, pa.large_string())).to_numpy())
+                last = np.searchsorted(upto, ends)
+                if len(upto) and last[-1] == len(upto) - 1 and (upto[last] == ends).all():
+                    done.append((some, ids, np.diff(last, prepend=-1)))
+                else:
+                    alone += some
         for a in range(0, len(alone), RUN):
             some = alone[a : a + RUN]
             encoding = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
@@ -143,37 +163,36 @@ class Encoder:
 
     def known(self, names: pa.Array) -> np.ndarray:
         """The numbers of distinct pieces in `recent`. A word and the stop or comma after it are looked for apart."""
-        found = self.recent.find(names)
+        words = names.to_numpy(zero_copy_only=False)
+        hashes = hashes_of(words)
+        found = self.recent.find(names, hashes)
         missing = np.flatnonzero(found < 0)
-        before = self.older.find(names.take(pa.array(missing)))
+        before = self.older.find(names.take(pa.array(missing)), hashes[missing])
         again = missing[before >= 0]
         if len(again):
-            found[again] = self.recent.add(names.take(pa.array(again)), *self.older.take(before[before >= 0]))
+            found[again] = self.recent.add(names.take(pa.array(again)), hashes[again], *self.older.take(before[before >= 0]))
         missing = missing[before < 0]
         if not len(missing):
             return found
-        wanted = names.take(pa.array(missing)).to_pylist()
-        ended, new = [], {}
-        for piece in wanted:
-            # What comes before the stop ends in a letter, so it is none of `ended` itself.
-            if len(piece) > 2 and piece[-1] in ".,;:!?" and piece[-2].isalpha():
-                ended.append(piece)
-                new[piece[:-1]] = new[piece[-1]] = None
-            else:
-                new[piece] = None
-        looked = list(new)
-        at = self.recent.find(pa.array(looked, pa.large_string()))
-        number = dict(zip(looked, at.tolist()))
-        fresh, ids, lengths = self._new([piece for piece, place in number.items() if place < 0])
-        number.update(zip(fresh, self.recent.add(pa.array(fresh, pa.large_string()), ids, lengths).tolist()))
+        wanted = words[missing].tolist()
+        # What comes before the stop ends in a letter, so it is none of `ended` itself.
+        ended = dict.fromkeys([piece for piece in wanted if piece[-1] in STOPS and len(piece) > 2 and piece[-2].isalpha()])
+        parts = list(dict.fromkeys([part for piece in ended for part in (piece[:-1], piece[-1])]))
+        at = self.recent.find(pa.array(parts, pa.large_string()), hashes_of(parts))
+        number = {part: place for part, place in zip(parts, at.tolist()) if place >= 0}
+        plain = [piece for piece in wanted if piece not in ended]
+        fresh, ids, lengths = self._new(list(dict.fromkeys(plain + [part for part in parts if part not in number])))
+        number.update(zip(fresh, self._add(fresh, ids, lengths)))
         if ended:
-            parts = np.array([number[part] for piece in ended for part in (piece[:-1], piece[-1])], np.int64)
-            ids, lengths = self.recent.take(parts)
-            added = self.recent.add(pa.array(ended, pa.large_string()), ids, lengths.reshape(-1, 2).sum(axis=1))
-            number.update(zip(ended, added.tolist()))
+            both = np.array([number[part] for piece in ended for part in (piece[:-1], piece[-1])], np.int64)
+            ids, lengths = self.recent.take(both)
+            number.update(zip(ended, self._add(list(ended), ids, lengths.reshape(-1, 2).sum(axis=1))))
         found[missing] = [number[piece] for piece in wanted]
         return found
 
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> list[int]:
+        return self.recent.add(pa.array(words, pa.large_string()), hashes_of(words), ids, lengths).tolist()
+
     def _uneven(self, text: str) -> np.ndarray:
         if self.whole.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
@@ -195,6 +214,7 @@ class Encoder:
         cut = pc.split_pattern(column, CUT)
         coded = cut.flatten().dictionary_encode()
         bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        del column, cut
         # What is of this step alone gets the numbers after those of the pieces.
         own = {"": np.zeros(0, self.kind), END: np.array([end_id], self.kind)} | {f"{OTHER}{i}": ids for i, ids in others.items()}
         names = coded.dictionary
@@ -215,11 +235,19 @@ class Encoder:
 
 def pack(doc_ids: list[int | None], ids: np.ndarray, lengths: np.ndarray) -> bytes:
     """One file. doc_ids ascend, nulls first; `ids` are those of all documents, `lengths` how many each has."""
+    return b"".join(packed(doc_ids, [ids], lengths))
+
+
+def packed(doc_ids: list[int | None], ids: list[np.ndarray], lengths: np.ndarray) -> Iterator[bytes]:
+    """A file's parts; `ids` are arrays whose ids follow each other."""
     known = np.array([d for d in doc_ids if d is not None], np.int64)
     least = int(known[0]) if len(known) else 0
-    head = HEAD.pack(MAGIC, len(doc_ids), len(ids), len(doc_ids) - len(known), least, ids.itemsize)
+    yield HEAD.pack(MAGIC, len(doc_ids), sum(map(len, ids)), len(doc_ids) - len(known), least, ids[0].itemsize)
+    for some in ids:
+        yield some.tobytes()
+    yield EliasFano.of(np.cumsum(lengths)).to_bytes()
     apart = known.astype(np.uint64) - np.int64(least).astype(np.uint64)
-    return b"".join([head, ids.tobytes(), EliasFano.of(np.cumsum(lengths)).to_bytes(), EliasFano.of(apart).to_bytes()])
+    yield EliasFano.of(apart).to_bytes()
 
 
 class TokenFile:
@@ -268,7 +296,8 @@ def write_token_files(
         def flush():
             name = f"{shard:06d}-{len(done):06d}-{uuid.uuid4().hex}.ids"
             with store.open_output_stream(f"{base}/.{name}.partial", compression=None) as out:
-                out.write(pack(doc_ids, np.concatenate(ids), np.concatenate(lengths)))
+                for part in packed(doc_ids, ids, np.concatenate(lengths)):
+                    out.write(part)
             store.move(f"{base}/.{name}.partial", f"{base}/{name}")
             done.append((name, shard, len(done), len(doc_ids), held))
 
@@ -280,6 +309,7 @@ def write_token_files(
                 ids.append(coded)
                 lengths.append(counts)
                 held += len(coded)
+                give_back()
                 if held >= FILE_IDS:
                     flush()
                     doc_ids, ids, lengths, held = [], [], [], 0
@@ -319,6 +349,7 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         _encoders.clear()  # a worker that has written files keeps its encoder between tasks
         gc.collect()
+        give_back()
         store, base = file_store(folder)
         for batch in batches:
             for name, first in zip(batch["file"], batch["first"]):
@@ -326,14 +357,13 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
                     data = TokenFile(source.read())
                 ends = data.ends.all().astype(np.int64)
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                wide = memoryview(data.ids.astype("<u4")).cast("B")
-                sums = [zlib.crc32(wide[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
+                sums = [zlib.crc32(data.ids[a:b].astype("<u4")) for a, b in zip(starts.tolist(), ends.tolist())]
                 names = pd.array(data.doc_ids(), "Int64")
                 yield pd.DataFrame({"doc_id": names, "start": starts + int(first), "n_tokens": ends - starts, "ids_crc32": sums})
 
     shipped(files.sparkSession)
     listed = files.select("file", "first")
-    return listed.repartition(max(1, min(files.count(), 50_000))).mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return listed.repartition(max(1, min(files.count(), 50_000))).mapInPandas(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_folder(spark) -> str:

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
+import pytest
+import public_tokenizers
+
+from lakelens.llm import decontamination, shared, token_files
 
-from lakelens.llm import decontamination, shared
+VOCABULARY = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
 
 
 def test_scans_are_small(spark):
@@ -34,3 +40,34 @@ def test_documents_are_searched_in_steps(monkeypatch):
     found = pd.concat(decontamination._hits(table, [], [])(iter([batch])))
     assert sum(held) == 20 * len(text) and max(held) <= (1 << 19) + len(text)
     assert found.groupby("row").size().nunique() == 1 and found["row"].nunique() == 20
+
+
+class Counting:
+    """A tokenizer that notes how many texts it sees at once."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.most = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.most = max(self.most, len(texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_pieces_go_through_the_tokenizer_in_portions(monkeypatch, collide):
+    """Also where all pieces have one hash, so that only the pieces themselves tell them apart."""
+    if collide:
+        monkeypatch.setattr(token_files, "hashes_of", lambda words: np.zeros(len(words), np.uint64))
+    encoder = token_files.Encoder(VOCABULARY)
+    plain, encoder.tokenizer = encoder.tokenizer, Counting(encoder.tokenizer)
+    many = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}x" for i in range(600 if collide else 17_000))
+    texts = [many, "He said: yes, yes. He said no!", "", "a  b\n\nc\tyes. no!", many[: len(many) // 2]]
+    monkeypatch.setattr(token_files, "RUN", 100)
+    for _ in range(2):
+        ids, lengths = encoder.encode(texts, 2)
+        parts = np.split(ids, np.cumsum(lengths)[:-1])
+        assert [part.tolist() for part in parts] == [plain.encode(text, add_special_tokens=False).ids + [2] for text in texts]
+    assert 0 < encoder.tokenizer.most <= 32
