@@ -220,6 +220,11 @@ def _drawn(several: DataFrame, percent: int, seed: int) -> DataFrame:
     return able.select(F.greatest("one.node", "node").alias("a"), F.least("one.node", "node").alias("b")).distinct()
 
 
+def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, root) with these links (a, b) besides."""
+    return roots if links.isEmpty() else components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, row (a hash of id and text), n_shingles, component_id, kept, chosen."""
     shipped(docs.sparkSession)
@@ -254,7 +259,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     sets = written(found.select("node", "text").mapInPandas(tidy(_sets), "node binary, elements binary, size long, parities array<long>").dropDuplicates(["node"]), "sets")
     one = written(links(first, sets, percent), "links")
 
-    all_links, roots, before, room, able = one, components(one), None, members.count(), None
+    roots, before, room, able = components(one), None, members.count(), None
     while True:
         several = _several(members, roots)
         if able is None:
@@ -269,9 +274,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
             able = None
         tried = written(_drawn(apart, percent, 0 if before is None else out).join(first, ["a", "b"], "left_anti"), "pairs")
         first = first.unionByName(tried)
-        all_links = all_links.unionByName(written(links(tried, sets, percent), "links"))
-        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots, before = components(stars.unionByName(all_links)), out
+        more, before = written(links(tried, sets, percent), "links"), out
+        if more.isEmpty() and able is not None:
+            # Nothing has changed, so these are the keys that the next round would hold.
+            break
+        roots = _grown(roots, more)
     apart = apart.join(nodes.select("node", "keys"), "node").join(sets.select("node", "size", "parities"), "node")
     columns = ("node", "n", "part", "keys", "common", "parities", "size")
     outside = apart.where("part <> main").select("key", *[F.col(c).alias(f"o_{c}") for c in columns])
@@ -292,8 +299,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
         "pairs",
     )
     two = written(links(second, sets, percent), "links")
-    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    final = components(stars.unionByName(two))
+    final = _grown(roots, two)
     whole = (
         nodes.join(final.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
         .select("node", F.coalesce("root", "node").alias("root"), "least", "one")

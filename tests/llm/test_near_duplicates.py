@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakelens.llm import near_duplicates as operator
+from lakelens.llm import components as stars
 from lakelens.llm.columns import perhaps_among
 from lakelens.llm.components import components
 from lakelens.llm.near_duplicates import SIZE, least_shared, missed, near_duplicates, sketches
@@ -126,6 +127,38 @@ def test_components(spark):
     assert {n: found.get(n, n) for n in nodes} == {n: find(n) for n in nodes}
 
 
+@pytest.mark.parametrize(("share", "least", "most"), [(1000, 1, 1), (20, 2, 30)])
+def test_components_in_shares(spark, monkeypatch, share, least, most):
+    """Edges that fit one share take one step; rounds join those of several. Chains, a star, repeats, loops and nulls."""
+    chain = lambda start, n: [(i + 1, i) if i % 3 else (i, i + 1) for i in range(start, start + n)]
+    edges = chain(0, 60) + chain(100, 20) + [(200, 200 + i) for i in range(1, 30)] + [(5, 5), (7, 8), (None, 3), (4, None), (300, 300)]
+    named = spark.createDataFrame(edges, "a long, b long").select(*[F.unhex(F.lpad(F.hex(c), 16, "0")).alias(c) for c in "ab"])
+    steps = []
+    write = stars.written
+    monkeypatch.setattr(stars, "SHARE_EDGES", share)
+    monkeypatch.setattr(stars, "written", lambda df, label: (steps.append(label), write(df, label))[1])
+    found = sorted((int.from_bytes(r["node"]), int.from_bytes(r["root"])) for r in components(named).collect())
+    assert found == [(i, 0) for i in range(1, 61)] + [(100 + i, 100) for i in range(1, 21)] + [(200 + i, 200) for i in range(1, 30)]
+    assert least <= len(steps) <= most
+    assert components(named.where("a = b")).collect() == []
+
+
+def test_rounds_without_links(spark, monkeypatch):
+    """Components are joined anew only where a round or the last comparison has found a link."""
+    joined, join = [], operator.components
+    monkeypatch.setattr(operator, "components", lambda edges: (joined.append(1), join(edges))[1])
+    monkeypatch.setattr(operator, "LARGE_KEY", 2)
+    rng = random.Random(4)
+    rows = []
+    for i in range(150):  # texts that share keys and are no links
+        words = [f"t{j}" for j in range(300)]
+        for slot in range(24):
+            words[6 + 12 * slot] = f"slot{slot}v{rng.randrange(40)}"
+        rows.append((i, " ".join(words), "x"))
+    found = near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert all(r["kept"] for r in found) and len(found) == 150 and len(joined) == 1
+
+
 def test_pairs_between_the_bounds(spark):
     """The pipeline's stage takes pairs of similarity 0.80 to 0.85 for near copies; the operator at 85 does not."""
     rng = random.Random(11)
