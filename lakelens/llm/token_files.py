@@ -50,7 +50,7 @@ RANGE_CHARS = 64 << 20
 FILE_IDS = 8 << 20
 #: Characters tokenized together, and pieces whose ids a worker keeps.
 STEP_CHARS = 2 << 20
-KEPT_PIECES = 400_000
+KEPT_PIECES = 1_600_000
 #: New pieces that the tokenizer sees as one text, and such texts that it sees at once.
 RUN, RUNS = 1_000, 32
 
@@ -72,10 +72,12 @@ def hashes_of(words: list[str] | np.ndarray) -> np.ndarray:
 class Pieces:
     """Pieces and their ids, each kind in one array, and where the ids of each piece are.
 
-    A piece is looked up by a hash, as a table of numbers is made sooner than one of strings, and then compared itself.
+    A piece is looked up by a hash and then compared itself. The table that leads from hashes to numbers grows with the pieces and is
+    at most half full; a number is in the first place from its hash's own that was free.
     """
 
     def __init__(self, kind: str):
+        self.table = np.full(1 << 10, -1, np.int32)
         self.names, self.hashes = pa.array([], pa.large_string()), np.zeros(0, np.uint64)
         self.ids, self.lengths, self.starts = np.zeros(0, kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -84,9 +86,15 @@ class Pieces:
 
     def find(self, names: pa.Array, hashes: np.ndarray) -> np.ndarray:
         """The number of each piece, -1 for those not known."""
-        if not len(self) or not len(names):
-            return np.full(len(names), -1, np.int64)
-        found = pc.fill_null(pc.index_in(pa.array(hashes), value_set=pa.array(self.hashes)), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        found, left = np.full(len(names), -1, np.int64), np.arange(len(names))
+        places = self._places(hashes)
+        while len(left):
+            numbers = self.table[places]
+            taken = numbers >= 0
+            left, places, numbers = left[taken], places[taken], numbers[taken]
+            hit = self.hashes[numbers] == hashes[left]
+            found[left[hit]] = numbers[hit]
+            left, places = left[~hit], self._next(places[~hit])
         there = np.flatnonzero(found >= 0)
         same = pc.equal(names.take(pa.array(there)), self.names.take(pa.array(found[there]))).to_numpy(zero_copy_only=False)
         found[there[~same]] = -1
@@ -98,8 +106,27 @@ class Pieces:
         self.names, self.hashes = pa.concat_arrays([self.names, names]), np.concatenate([self.hashes, hashes])
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
+        if 2 * len(self) > len(self.table):
+            self.table = np.full(1 << (4 * len(self)).bit_length(), -1, np.int32)
+            self._enter(np.arange(len(self)))
+        else:
+            self._enter(numbers)
         return numbers
 
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.table) - 1)).astype(np.int64)
+
+    def _next(self, places: np.ndarray) -> np.ndarray:
+        return (places + 1) & (len(self.table) - 1)
+
+    def _enter(self, numbers: np.ndarray) -> None:
+        places = self._places(self.hashes[numbers])
+        while len(numbers):
+            free = self.table[places] < 0
+            self.table[places[free]] = numbers[free]
+            other = self.table[places] != numbers
+            numbers, places = numbers[other], self._next(places[other])
+
     def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of these pieces one after the other, and how many each has."""
         lengths = self.lengths[numbers]

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import public_tokenizers
 
@@ -71,3 +72,34 @@ def test_pieces_go_through_the_tokenizer_in_portions(monkeypatch, collide):
         parts = np.split(ids, np.cumsum(lengths)[:-1])
         assert [part.tolist() for part in parts] == [plain.encode(text, add_special_tokens=False).ids + [2] for text in texts]
     assert 0 < encoder.tokenizer.most <= 32
+
+
+def test_pieces_are_kept_between_steps(monkeypatch):
+    """Of more distinct pieces than a few steps hold, none goes through the tokenizer again."""
+    encoder, asked = token_files.Encoder(VOCABULARY), []
+    new = encoder._new
+    monkeypatch.setattr(encoder, "_new", lambda words: (asked.append(len(words)), new(words))[1])
+    texts = ["w" + " w".join(map(str, range(a, a + 50_000))) for a in range(100_000, 600_000, 50_000)]
+    first = [encoder.encode([text], 2)[0] for text in texts]
+    assert sum(asked) >= 500_000
+    asked.clear()
+    again = [encoder.encode([text], 2)[0] for text in texts[:3]]
+    assert sum(asked) == 0 and all((a == b).all() for a, b in zip(first, again))
+
+
+def test_table_of_pieces():
+    """Hashes that share their place; the table grows and every piece is found, of two with one hash at least one."""
+    rng, pieces = np.random.default_rng(2), token_files.Pieces("<u2")
+    names = np.array([f"p{i}" for i in range(6_000)], object)
+    hashes = rng.integers(0, 1 << 63, len(names), dtype=np.uint64) * np.uint64(2)
+    hashes[1_000:1_200] = (hashes[:200] & np.uint64(1023)) + (np.arange(1, 201, dtype=np.uint64) << np.uint64(40))
+    hashes[1_300] = hashes[1_299]
+    ids, lengths = rng.integers(0, 1 << 16, 3 * len(names)).astype("<u2"), np.full(len(names), 3)
+    assert (pieces.find(pa.array(names), hashes) == -1).all()
+    for a, b in [(0, 7), (7, 1_400), (1_400, 1_400), (1_400, 6_000)]:
+        pieces.add(pa.array(names[a:b], pa.large_string()), hashes[a:b], ids[3 * a : 3 * b], lengths[a:b])
+    found = pieces.find(pa.array(names, pa.large_string()), hashes)
+    assert sorted(found[1_299:1_301].tolist()) in ([-1, 1_299], [-1, 1_300])
+    assert (np.delete(found, [1_299, 1_300]) == np.delete(np.arange(6_000), [1_299, 1_300])).all()
+    assert (pieces.take(found[:1_299])[0] == ids[:3_897]).all() and 2 * len(pieces) <= len(pieces.table)
+    assert (pieces.find(pa.array(["other"], pa.large_string()), hashes[:1]) == -1).all()
